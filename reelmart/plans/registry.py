@@ -347,3 +347,233 @@ def _fix_assemble() -> None:
 
 
 _fix_assemble()
+
+
+# Wave 3: performance ------------------------------------------------------------
+from reelmart.operators import align as AL  # noqa: E402
+from reelmart.operators import correlate as CO  # noqa: E402
+from reelmart.operators import perf as P  # noqa: E402
+from reelmart.operators import significance as SG  # noqa: E402
+
+ALIGN_TOLERANCE = O.ALIGN_TOLERANCE
+
+
+def perf_unioned(lk: Lake) -> DataFrame:
+    return P.ad_perf_unioned(lk.perf_native("meta"), lk.perf_native("tiktok"))
+
+
+def perf_fact(lk: Lake) -> DataFrame:
+    return P.fact_ad_performance(P.latest_pull(perf_unioned(lk)), lk.dim_platform(),
+                                 lk.map_ad_asset)
+
+
+def perf_kpi(lk: Lake) -> DataFrame:
+    return P.ad_kpi(perf_fact(lk))
+
+
+def perf_bridge(lk: Lake) -> DataFrame:
+    return P.bridge_ad_chunk(lk.edit_decision_list, lk.perf_chunks)
+
+
+def perf_anchors(lk: Lake) -> DataFrame:
+    return AL.anchors(perf_fact(lk), lk.dim_platform(), lk.map_ad_asset, lk.perf_assets)
+
+
+def perf_alignment(lk: Lake) -> DataFrame:
+    return AL.metric_chunk_alignment(perf_anchors(lk), perf_bridge(lk), perf_fact(lk),
+                                     tolerance_sec=ALIGN_TOLERANCE)
+
+
+def perf_metric_chunk(lk: Lake) -> DataFrame:
+    return AL.ad_metric_chunk(perf_alignment(lk), perf_kpi(lk), lk.perf_chunks)
+
+
+def perf_mart(lk: Lake) -> DataFrame:
+    return CO.chunk_perf_correlation(perf_metric_chunk(lk))
+
+
+_UNIONED_COLS = ("ad_id, perf_date, impressions, plays_3s, plays_25, plays_50, plays_75, "
+                 "plays_100, sum_watch_time_sec, plays_3s AS play_count, link_clicks, results, "
+                 "spend, load_ts, platform_name")
+
+
+@query("ad_perf_unioned", f"SELECT {_UNIONED_COLS} FROM perf_pulls", ["perf_pulls"])
+def _ad_perf_unioned(lk: Lake) -> DataFrame:
+    return perf_unioned(lk)
+
+
+@query("perf_latest_pull", f"SELECT {_UNIONED_COLS} FROM perf_latest", ["perf_latest"])
+def _perf_latest_pull(lk: Lake) -> DataFrame:
+    return P.latest_pull(perf_unioned(lk))
+
+
+@query("fact_ad_performance", "SELECT * FROM fact_perf", ["fact_perf"])
+def _fact_ad_performance(lk: Lake) -> DataFrame:
+    return perf_fact(lk)
+
+
+@query("ad_kpi", """
+SELECT ad_id, platform_id, round(hook_rate, 6) AS hook_rate, round(hold_rate_25, 6) AS hold_rate_25,
+       round(hold_rate_50, 6) AS hold_rate_50, round(retention_75, 6) AS retention_75,
+       round(retention_100, 6) AS retention_100, round(avg_play_time_sec, 6) AS avg_play_time_sec,
+       round(ctr_link, 6) AS ctr_link, round(cpa, 6) AS cpa, round(cvr, 6) AS cvr FROM kpi""",
+       ["kpi"])
+def _ad_kpi(lk: Lake) -> DataFrame:
+    return P.ad_kpi(perf_fact(lk), digits=6)
+
+
+@query("kpi_targets", """
+SELECT ad_id, platform_id, hook_rate >= 0.25 AS hook_ok, avg_play_time_sec >= 5.0 AS play_time_ok,
+       ctr_link >= 0.01 AS ctr_ok, cvr BETWEEN 0.01 AND 0.03 AS cvr_ok FROM kpi""", ["kpi"])
+def _kpi_targets(lk: Lake) -> DataFrame:
+    return P.kpi_targets(perf_kpi(lk))
+
+
+@query("bridge_ad_chunk", "SELECT * FROM bridge_ad_chunk", ["bridge_ad_chunk"])
+def _bridge_ad_chunk(lk: Lake) -> DataFrame:
+    return perf_bridge(lk)
+
+
+@query("anchors", "SELECT * FROM anchors", ["anchors"])
+def _anchors(lk: Lake) -> DataFrame:
+    return perf_anchors(lk)
+
+
+@query("metric_chunk_alignment", "SELECT * FROM alignment", ["alignment"])
+def _metric_chunk_alignment(lk: Lake) -> DataFrame:
+    return perf_alignment(lk)
+
+
+@query("ad_metric_chunk", "SELECT * FROM metric_chunk", ["metric_chunk"])
+def _ad_metric_chunk(lk: Lake) -> DataFrame:
+    return perf_metric_chunk(lk)
+
+
+# Wave 4: insight ------------------------------------------------------------------
+@query("chunk_perf_correlation", "SELECT * FROM mart", ["mart"])
+def _chunk_perf_correlation(lk: Lake) -> DataFrame:
+    return perf_mart(lk)
+
+
+@query("winning_hook_themes", """
+SELECT platform_id, feature_value AS hook_theme, n_ads, round(median_metric, 3) AS median_hook_rate,
+       rank_in_platform, evidence_regime, honesty_note
+FROM mart WHERE metric_name = 'hook_rate' AND feature_dim = 'chunk_theme'
+  AND evidence_regime <> 'BLOCK'
+ORDER BY platform_id, median_hook_rate DESC, hook_theme""", ["mart"])
+def _winning_hook_themes(lk: Lake) -> DataFrame:
+    return CO.winning_hook_themes(perf_mart(lk))
+
+
+@query("cta_sentiment", """
+SELECT platform_id, feature_value AS cta_sentiment, n_ads, round(median_metric, 4) AS median_ctr_link,
+       evidence_regime
+FROM mart WHERE metric_name = 'ctr_link' AND feature_dim = 'sentiment'
+  AND evidence_regime <> 'BLOCK'
+ORDER BY platform_id, median_ctr_link DESC, cta_sentiment""", ["mart"])
+def _cta_sentiment(lk: Lake) -> DataFrame:
+    return CO.cta_sentiment(perf_mart(lk))
+
+
+@query("mine_library", """
+SELECT fc.chunk_id, fc.asset_id, fc.chunk_theme, fc.standalone_score, fc.transcript_segment
+FROM pchunk fc JOIN passet a ON a.asset_id = fc.asset_id AND a.asset_type = 'RAW'
+WHERE fc.chunk_theme IN (SELECT DISTINCT feature_value FROM mart
+                         WHERE metric_name = 'hook_rate' AND feature_dim = 'chunk_theme'
+                           AND evidence_regime <> 'BLOCK' AND rank_in_platform <= 3)
+  AND fc.standalone_score >= 4
+  AND NOT EXISTS (SELECT 1 FROM bridge_ad_chunk b WHERE b.chunk_id = fc.chunk_id)
+ORDER BY fc.standalone_score DESC, fc.chunk_id""", ["pchunk", "passet", "mart", "bridge_ad_chunk"])
+def _mine_library(lk: Lake) -> DataFrame:
+    return CO.mine_library(perf_mart(lk), lk.perf_chunks, lk.perf_assets, perf_bridge(lk))
+
+
+@query("mine_lineage", """
+SELECT p.asset_id AS raw_parent_id, p.chunk_id, p.chunk_theme, p.standalone_score,
+       x.n_ads_via_lineage
+FROM pchunk p
+JOIN (SELECT a.parent_asset_id AS raw_parent_id, count(DISTINCT b.ad_id) AS n_ads_via_lineage
+      FROM bridge_ad_chunk b JOIN passet a ON a.asset_id = b.asset_id
+      WHERE a.asset_type = 'EDITED' AND a.parent_asset_id IS NOT NULL GROUP BY 1) x
+  ON x.raw_parent_id = p.asset_id
+WHERE p.standalone_score >= 4""", ["pchunk", "passet", "bridge_ad_chunk"])
+def _mine_lineage(lk: Lake) -> DataFrame:
+    return CO.mine_lineage(perf_bridge(lk), lk.perf_assets, lk.perf_chunks)
+
+
+@query("cross_platform_agreement", """
+SELECT metric_name, feature_value, count(*) AS n_platforms, max(rank_in_platform) AS worst_rank,
+       count(*) = 2 AS agrees
+FROM mart WHERE evidence_regime <> 'BLOCK' AND feature_dim = 'chunk_theme' AND rank_in_platform <= 3
+GROUP BY 1, 2""", ["mart"])
+def _cross_platform_agreement(lk: Lake) -> DataFrame:
+    return CO.cross_platform_agreement(perf_mart(lk))
+
+
+_FAM = "platform_id, metric_name, feature_dim"
+
+
+@query("mann_whitney", f"""
+, mw_base AS (
+  SELECT *, rank() OVER (PARTITION BY {_FAM} ORDER BY metric_value)
+            + (count(*) OVER (PARTITION BY {_FAM}, metric_value) - 1) / 2.0 AS r
+  FROM mart_base),
+mw_fam AS (SELECT {_FAM}, count(*) AS n_total FROM mw_base GROUP BY 1, 2, 3),
+mw_ties AS (SELECT {_FAM}, sum(t * t * t - t) AS tie_sum
+            FROM (SELECT {_FAM}, metric_value, count(*) AS t FROM mw_base GROUP BY 1, 2, 3, 4)
+            GROUP BY 1, 2, 3),
+mw_grp AS (SELECT {_FAM}, feature_value, count(*) AS n1, sum(r) AS r1 FROM mw_base
+           GROUP BY 1, 2, 3, 4),
+mw_calc AS (
+  SELECT g.platform_id, g.metric_name, g.feature_dim, g.feature_value, g.n1,
+         f.n_total - g.n1 AS n_rest, m.evidence_regime,
+         g.r1 - g.n1::DOUBLE * (g.n1::DOUBLE + 1) / 2.0 AS u1,
+         g.n1::DOUBLE * (f.n_total - g.n1)::DOUBLE / 12.0
+           * ((f.n_total::DOUBLE + 1) - t.tie_sum::DOUBLE
+              / (f.n_total::DOUBLE * (f.n_total::DOUBLE - 1))) AS var,
+         g.n1::DOUBLE * (f.n_total - g.n1)::DOUBLE AS n1n2
+  FROM mw_grp g JOIN mw_fam f USING ({_FAM}) JOIN mw_ties t USING ({_FAM})
+  JOIN mart m USING ({_FAM}, feature_value)),
+mw_z AS (
+  SELECT *, CASE WHEN var > 0 THEN greatest(abs(u1 - n1n2 / 2.0) - 0.5, 0.0) / sqrt(var) END AS z,
+         (evidence_regime = 'SUGGESTIVE' AND n_rest >= 5 AND var > 0) AS tested
+  FROM mw_calc),
+mw_p AS (
+  SELECT *, CASE WHEN tested THEN least(1.0, 2.0 * (exp(-0.5 * abs(z) * abs(z)) * 0.3989422804014327)
+              * (tt * (0.319381530 + tt * (-0.356563782 + tt * (1.781477937
+                 + tt * (-1.821255978 + tt * 1.330274429)))))) END AS p_raw,
+         sum(CAST(tested AS INTEGER)) OVER (PARTITION BY {_FAM}) AS n_tests
+  FROM (SELECT *, 1.0 / (1.0 + 0.2316419 * abs(z)) AS tt FROM mw_z))
+SELECT platform_id, metric_name, feature_dim, feature_value, n1 AS n_value, n_rest,
+       round(u1, 6) AS u_stat, round(CASE WHEN tested THEN z END, 6) AS z_score,
+       round(p_raw, 6) AS p_value, round(least(1.0, p_raw * n_tests), 6) AS p_bonferroni,
+       coalesce(least(1.0, p_raw * n_tests) < 0.05, false) AS is_significant
+FROM mw_p""", ["mart_base", "mart"])
+def _mann_whitney(lk: Lake) -> DataFrame:
+    return SG.mann_whitney(perf_metric_chunk(lk), perf_mart(lk))
+
+
+@query("spearman_directional", f"""
+SELECT platform_id, metric_name, feature_dim, feature_value, count(*) AS n_ads,
+       CASE WHEN var_pop(rs) > 0 AND var_pop(rm) > 0 THEN round(corr(rs, rm), 6) END
+         AS spearman_rho
+FROM (SELECT b.*,
+        rank() OVER (PARTITION BY {_FAM}, feature_value ORDER BY standalone_score)
+          + (count(*) OVER (PARTITION BY {_FAM}, feature_value, standalone_score) - 1) / 2.0 AS rs,
+        rank() OVER (PARTITION BY {_FAM}, feature_value ORDER BY metric_value)
+          + (count(*) OVER (PARTITION BY {_FAM}, feature_value, metric_value) - 1) / 2.0 AS rm
+      FROM mart_base b JOIN mart m USING ({_FAM}, feature_value)
+      WHERE m.evidence_regime = 'DIRECTIONAL')
+GROUP BY 1, 2, 3, 4""", ["mart_base", "mart"])
+def _spearman_directional(lk: Lake) -> DataFrame:
+    return SG.spearman_directional(perf_metric_chunk(lk), perf_mart(lk))
+
+
+def _fix_mann_whitney() -> None:
+    # the statement above continues the WITH list built from its deps
+    sql = ORACLE["mann_whitney"]
+    head, _, body = sql.partition("\n\n, mw_base AS (")
+    ORACLE["mann_whitney"] = head + ",\nmw_base AS (" + body
+
+
+_fix_mann_whitney()
