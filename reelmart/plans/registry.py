@@ -301,52 +301,25 @@ def _compatible_pairs_topk(lk: Lake) -> DataFrame:
     return A.compatible_pairs_topk(fact_chunk(lk), lk.manifest, compat(lk), TOPK)
 
 
-def _assemble_sql(depth: int, k: int) -> str:
-    """Brute-force beam: every step ranks all unseen eligible chunks of each
-    compatible theme and keeps the best k."""
-    steps = ["""p1 AS (SELECT client_id, [chunk_id] AS path, [chunk_theme] AS themes,
-                 standalone_score AS score, chunk_id AS last_chunk
-          FROM elig WHERE chunk_theme = 'Hook')"""]
-    for j in range(2, depth + 1):
-        steps.append(f"""p{j} AS (
-  SELECT client_id, list_append(path, cand) AS path, list_append(themes, step_theme) AS themes,
-         score + cscore AS score, cand AS last_chunk FROM (
-    SELECT p.client_id, p.path, p.themes, p.score, b.compatible_theme AS step_theme,
-           n.chunk_id AS cand, n.standalone_score AS cscore,
-           row_number() OVER (PARTITION BY p.path, b.compatible_theme
-                              ORDER BY n.standalone_score DESC, n.chunk_id) AS r
-    FROM p{j - 1} p JOIN compat_bridge b ON b.chunk_id = p.last_chunk
-    JOIN elig n ON n.client_id = p.client_id AND n.chunk_theme = b.compatible_theme
-    WHERE NOT list_contains(p.path, n.chunk_id))
-  WHERE r <= {k})""")
-    return (", ".join(steps) + f"""
-SELECT client_id, path[1] AS hook_chunk, array_to_string(path, '>') AS sequence,
-       array_to_string(themes, '>') AS themes, score AS sequence_score FROM p{depth}""")
+ASSEMBLE_K = 2
 
 
-ASSEMBLE_K = 2
+_ASM_OUT = """
+SELECT client_id, path[1] AS hook_chunk, array_to_string(path, '>') AS sequence,
+       array_to_string(themes, '>') AS themes, score AS sequence_score FROM asm{d}"""
 
 
-@query("assemble_3step", "__ASSEMBLE3__", ["elig", "compat_bridge"])
+@query("assemble_3step", _ASM_OUT.format(d=3), ["asm3"])
 def _assemble_3step(lk: Lake) -> DataFrame:
     return A.assemble(fact_chunk(lk), lk.manifest, compat(lk), depth=3, k=ASSEMBLE_K)
 
 
-@query("assemble_nstep", "__ASSEMBLE5__", ["elig", "compat_bridge"])
+@query("assemble_nstep", _ASM_OUT.format(d=5), ["asm5"])
 def _assemble_nstep(lk: Lake) -> DataFrame:
     return A.assemble(fact_chunk(lk), lk.manifest, compat(lk), depth=5, k=ASSEMBLE_K,
                       checkpoint_every=2)
 
 
-def _fix_assemble() -> None:
-    for key, marker, depth in (("assemble_3step", "__ASSEMBLE3__", 3),
-                               ("assemble_nstep", "__ASSEMBLE5__", 5)):
-        sql = ORACLE[key]
-        head, _, _ = sql.rpartition("\n__ASSEMBLE")
-        ORACLE[key] = head + ",\n" + _assemble_sql(depth, ASSEMBLE_K)
-
-
-_fix_assemble()
 
 
 # Wave 3: performance ------------------------------------------------------------
@@ -577,3 +550,277 @@ def _fix_mann_whitney() -> None:
 
 
 _fix_mann_whitney()
+
+
+# Wave 5: quality, lineage, retention, telemetry ---------------------------------------
+from reelmart.functions import columns as C  # noqa: E402
+from reelmart.operators import lineage as LN  # noqa: E402
+from reelmart.operators import quality as Q  # noqa: E402
+from reelmart.operators import retention as RT  # noqa: E402
+from reelmart.operators import telemetry as TM  # noqa: E402
+from reelmart.sources import testdata as TD  # noqa: E402
+
+NOW_ISO = "2024-02-15T00:00:00+00:00"
+
+
+@query("asset_lineage_closure", """RECURSIVE
+, clos(asset_id, ancestor_id, depth) AS (
+  SELECT asset_id, parent_asset_id, 1 FROM manifest WHERE parent_asset_id IS NOT NULL
+  UNION ALL
+  SELECT c.asset_id, m.parent_asset_id, c.depth + 1 FROM clos c
+  JOIN manifest m ON m.asset_id = c.ancestor_id
+  WHERE m.parent_asset_id IS NOT NULL AND c.depth < 10)
+SELECT asset_id, ancestor_id, CAST(depth AS INTEGER) AS depth FROM clos""", ["manifest"])
+def _asset_lineage_closure(lk: Lake) -> DataFrame:
+    return LN.lineage_closure(lk.manifest, max_depth=10)
+
+
+def manifest_log(lk: Lake) -> DataFrame:
+    """Manifest rows as appended per delivery (before dedupe)."""
+    d = lk.deliveries
+    ext = C.extension(F.col("asset_name"))
+    key = C.landing_key(F.col("client_id"), F.col("asset_id"), ext)
+    return d.select("asset_id", "client_id", "content_sha256", "asset_name",
+                    C.asset_type_from_folder(F.col("folder")).alias("asset_type"),
+                    C.source_uri(TD.WORKSPACE, TD.LAKEHOUSE, key).alias("source_uri"))
+
+
+_HEX = "'^[0-9a-f]{64}$'"
+_URI = ("'^abfss://([^@]+)@onelake\\.dfs\\.fabric\\.microsoft\\.com/([^/]+)\\.Lakehouse/Files/"
+        "landing/([^/]+)/video/([0-9a-f]{64})\\.\\w+$'")
+_PLACE = "('', 'demo_client', 'test', 'tbd', 'todo', 'unknown', 'client', 'na', 'none')"
+
+
+@query("lineage_contract", f"""
+, mlog AS (
+  SELECT asset_id, client_id, content_sha256,
+         CASE WHEN regexp_matches(lower(folder), 'edited|winning|winners') THEN 'EDITED'
+              ELSE 'RAW' END AS asset_type,
+         '{O.URI_PREFIX}landing/' || client_id || '/video/' || asset_id
+           || coalesce(nullif(regexp_extract(asset_name, '(\\.[^.]+)$', 1), ''), '.mp4')
+           AS source_uri
+  FROM deliv),
+viol AS (
+  SELECT 'R1' AS rule, count(*) AS n FROM mlog
+  WHERE coalesce(trim(asset_id), '') = '' OR coalesce(trim(client_id), '') = ''
+     OR coalesce(trim(content_sha256), '') = '' OR coalesce(trim(asset_type), '') = ''
+     OR coalesce(trim(source_uri), '') = ''
+  UNION ALL SELECT 'R2', count(*) FROM mlog
+  WHERE NOT regexp_matches(coalesce(asset_id, ''), {_HEX})
+     OR NOT regexp_matches(coalesce(content_sha256, ''), {_HEX})
+  UNION ALL SELECT 'R3', count(*) FROM mlog
+  WHERE regexp_matches(coalesce(content_sha256, ''), {_HEX}) AND coalesce(client_id, '') <> ''
+    AND sha256(client_id || ':' || content_sha256) <> asset_id
+  UNION ALL SELECT 'R4', count(*) FROM mlog
+  WHERE NOT regexp_matches(source_uri, {_URI})
+     OR regexp_extract(source_uri, {_URI}, 3) <> client_id
+     OR regexp_extract(source_uri, {_URI}, 4) <> asset_id
+  UNION ALL SELECT 'R5', count(*) FROM mlog
+  WHERE coalesce(client_id, '') <> '' AND client_id NOT IN (SELECT client_id FROM dclient)
+  UNION ALL SELECT 'R6', count(*) FROM (SELECT asset_id FROM mlog GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL SELECT 'R7', count(*) FROM mlog WHERE coalesce(client_id, '') IN {_PLACE})
+SELECT rule, CAST(n AS BIGINT) AS n_violations FROM viol""", ["deliv", "dclient"])
+def _lineage_contract(lk: Lake) -> DataFrame:
+    v = Q.lineage_violations(manifest_log(lk), lk.dim_client)
+    return Q.lineage_contract_summary(v, lk.spark)
+
+
+def _perf_latest(lk: Lake) -> DataFrame:
+    return P.latest_pull(perf_unioned(lk))
+
+
+@query("referential_report", """
+SELECT check_name, severity, CAST(n AS BIGINT) AS n_orphans, n = 0 AS passed FROM (
+  SELECT 'fact_chunk.asset_id->dim_asset' AS check_name, 'CRITICAL' AS severity, count(*) AS n
+  FROM fact_chunk c WHERE c.asset_id NOT IN (SELECT asset_id FROM manifest)
+  UNION ALL SELECT 'bridge_chunk_compatibility.chunk_id->fact_chunk', 'HIGH', count(*)
+  FROM compat_bridge b WHERE b.chunk_id NOT IN (SELECT chunk_id FROM fact_chunk)
+  UNION ALL SELECT 'dim_asset.client_id->dim_client', 'CRITICAL', count(*)
+  FROM manifest m WHERE m.client_id NOT IN (SELECT client_id FROM dclient)
+  UNION ALL SELECT 'edit_decision_list.chunk_id->fact_chunk', 'CRITICAL', count(*)
+  FROM edl e WHERE e.chunk_id NOT IN (SELECT chunk_id FROM pchunk)
+  UNION ALL SELECT 'fact_ad_performance.asset_id->EDITED asset', 'CRITICAL', count(*)
+  FROM fact_perf f WHERE f.asset_id NOT IN (SELECT asset_id FROM passet WHERE asset_type = 'EDITED')
+  UNION ALL SELECT 'ad mapped to an asset', 'CRITICAL', count(DISTINCT ad_id)
+  FROM perf_latest l WHERE l.ad_id NOT IN (SELECT ad_id FROM map_ad_asset)
+  UNION ALL SELECT 'ad has at least one chunk', 'CRITICAL', count(DISTINCT ad_id)
+  FROM fact_perf f WHERE f.ad_id NOT IN (SELECT ad_id FROM bridge_ad_chunk))""",
+       ["fact_chunk", "manifest", "compat_bridge", "dclient", "edl", "pchunk", "fact_perf",
+        "passet", "perf_latest", "map_ad_asset", "bridge_ad_chunk"])
+def _referential_report(lk: Lake) -> DataFrame:
+    fc, bridge, fact = fact_chunk(lk), perf_bridge(lk), perf_fact(lk)
+    edited = lk.perf_assets.where(F.col("asset_type") == "EDITED")
+    unmapped = _perf_latest(lk).select("ad_id").join(lk.map_ad_asset, "ad_id", "left_anti") \
+        .distinct()
+    chunkless = fact.select("ad_id").join(bridge, "ad_id", "left_anti").distinct()
+    return Q.referential_report([
+        ("fact_chunk.asset_id->dim_asset", "CRITICAL", Q.orphans(fc, "asset_id", lk.manifest)),
+        ("bridge_chunk_compatibility.chunk_id->fact_chunk", "HIGH",
+         Q.orphans(compat(lk), "chunk_id", fc)),
+        ("dim_asset.client_id->dim_client", "CRITICAL",
+         Q.orphans(lk.manifest, "client_id", lk.dim_client)),
+        ("edit_decision_list.chunk_id->fact_chunk", "CRITICAL",
+         Q.orphans(lk.edit_decision_list, "chunk_id", lk.perf_chunks)),
+        ("fact_ad_performance.asset_id->EDITED asset", "CRITICAL",
+         Q.orphans(fact, "asset_id", edited)),
+        ("ad mapped to an asset", "CRITICAL", unmapped),
+        ("ad has at least one chunk", "CRITICAL", chunkless),
+    ])
+
+
+def _reconcile_sql(name: str, base: str, view: str, keys: str) -> str:
+    return f"""
+SELECT '{name}' AS check_name, (SELECT count(*) FROM {base}) AS n_base,
+       (SELECT count(*) FROM {view}) AS n_view,
+       (SELECT count(*) FROM (SELECT {keys} FROM {base} EXCEPT ALL SELECT {keys} FROM {view}))
+         AS n_base_only,
+       (SELECT count(*) FROM (SELECT {keys} FROM {view} EXCEPT ALL SELECT {keys} FROM {base}))
+         AS n_view_only"""
+
+
+@query("reconcile_keys", "SELECT *, n_base_only = 0 AND n_view_only = 0 AS reconciled FROM ("
+       + _reconcile_sql("edl_vs_bridge_ad_chunk", "edl", "bridge_ad_chunk",
+                        "ad_id, chunk_id, position_in_ad")
+       + "\nUNION ALL" + _reconcile_sql("silver_vs_fact_chunk", "silver", "fact_chunk", "chunk_id")
+       + "\nUNION ALL" + _reconcile_sql("latest_pull_vs_fact_ad_performance", "perf_latest",
+                                        "fact_perf", "ad_id, perf_date") + ")",
+       ["edl", "bridge_ad_chunk", "silver", "fact_chunk", "perf_latest", "fact_perf"])
+def _reconcile_keys(lk: Lake) -> DataFrame:
+    parts = [
+        Q.reconcile("edl_vs_bridge_ad_chunk", lk.edit_decision_list, perf_bridge(lk),
+                    ["ad_id", "chunk_id", "position_in_ad"]),
+        Q.reconcile("silver_vs_fact_chunk", silver_wide(lk), fact_chunk(lk), ["chunk_id"]),
+        Q.reconcile("latest_pull_vs_fact_ad_performance", _perf_latest(lk), perf_fact(lk),
+                    ["ad_id", "perf_date"]),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def parsed_run(bronze: DataFrame) -> DataFrame:
+    """Every parsed chunk of a run, gate flags aside (what the model said)."""
+    flat, _ = SV.explode_chunks(bronze)
+    return flat
+
+
+_ITEMS = """
+SELECT DISTINCT asset_id, item FROM (
+  SELECT asset_id, 't:' || chunk_theme AS item FROM {t}
+  UNION ALL
+  SELECT asset_id, 'k:' || kw FROM (SELECT asset_id, unnest(keywords) AS kw FROM {t}))"""
+
+
+@query("golden_gate", f"""
+, it1 AS ({_ITEMS.format(t='silver')}),
+it2 AS ({_ITEMS.format(t='silver2')}),
+jac AS (
+  SELECT asset_id, count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL)::DOUBLE / count(*) AS j
+  FROM (SELECT coalesce(x.asset_id, y.asset_id) AS asset_id, x.item AS a, y.item AS b
+        FROM it1 x FULL JOIN it2 y ON x.asset_id = y.asset_id AND x.item = y.item)
+  GROUP BY 1),
+sc AS (
+  SELECT a.asset_id, count(*) AS n_common,
+         count(*) FILTER (WHERE abs(a.standalone_score - b.standalone_score) <= 1) AS n_within
+  FROM silver a JOIN silver2 b ON a.asset_id = b.asset_id AND a.chunk_sequence = b.chunk_sequence
+  GROUP BY 1)
+SELECT m.client_id, count(*) AS n_assets, round(avg(j.j), 6) AS mean_jaccard,
+       round(sum(sc.n_within)::DOUBLE / sum(sc.n_common), 6) AS score_agreement,
+       avg(j.j) >= 0.8 AND sum(sc.n_within) = sum(sc.n_common) AS passes
+FROM jac j LEFT JOIN sc ON sc.asset_id = j.asset_id JOIN manifest m ON m.asset_id = j.asset_id
+GROUP BY 1""", ["silver", "silver2", "manifest"])
+def _golden_gate(lk: Lake) -> DataFrame:
+    return Q.golden_gate(parsed_run(lk.bronze), parsed_run(lk.bronze_run2), lk.manifest)
+
+
+@query("drift_report", """
+SELECT asset_id, count(in1) AS n_run1, count(in2) AS n_run2,
+       count(*) FILTER (WHERE in2 IS NULL) AS n_missing,
+       count(*) FILTER (WHERE in1 IS NULL) AS n_new,
+       count(*) FILTER (WHERE in1 IS NOT NULL AND in2 IS NOT NULL AND s1 <> s2) AS n_score_changed,
+       count(*) FILTER (WHERE in1 IS NOT NULL AND in2 IS NOT NULL AND t1 <> t2) AS n_theme_changed,
+       count(*) FILTER (WHERE in2 IS NULL OR in1 IS NULL
+                          OR (in1 IS NOT NULL AND in2 IS NOT NULL AND (s1 <> s2 OR t1 <> t2))) > 0
+         AS drifted
+FROM (SELECT coalesce(a.asset_id, b.asset_id) AS asset_id, a.in1, b.in2, a.s1, b.s2, a.t1, b.t2
+      FROM (SELECT asset_id, chunk_sequence, standalone_score AS s1, chunk_theme AS t1, 1 AS in1
+            FROM silver) a
+      FULL JOIN (SELECT asset_id, chunk_sequence, standalone_score AS s2, chunk_theme AS t2,
+                        1 AS in2 FROM silver2) b
+        ON a.asset_id = b.asset_id AND a.chunk_sequence = b.chunk_sequence)
+GROUP BY 1""", ["silver", "silver2"])
+def _drift_report(lk: Lake) -> DataFrame:
+    return Q.drift_report(parsed_run(lk.bronze), parsed_run(lk.bronze_run2))
+
+
+_PLAN_SQL = """
+SELECT landing_key, client_id, asset_id, age_days, landing_ttl_days, bronze_present,
+       CASE WHEN mtime IS NULL THEN 'skip_no_mtime'
+            WHEN age_days < landing_ttl_days THEN 'within_ttl'
+            WHEN NOT bronze_present THEN 'skip_no_bronze'
+            ELSE 'delete_candidate' END AS action
+FROM (SELECT m.landing_key, m.client_id, m.asset_id, m.modified_at AS mtime, c.landing_ttl_days,
+             m.doc_id % 13 <> 0 AS bronze_present,
+             CAST(floor((epoch(TIMESTAMP '2024-02-15 00:00:00') - epoch(m.modified_at)) / 86400)
+                  AS BIGINT) AS age_days
+      FROM manifest m JOIN dclient c ON c.client_id = m.client_id
+      WHERE m.doc_id % 17 <> 0)"""
+CTE_PLAN = "plan"
+O.cte(CTE_PLAN, _PLAN_SQL, ["manifest", "dclient"])
+
+
+def retention(lk: Lake) -> DataFrame:
+    return RT.retention_plan(lk.landing_objects, lk.dim_client, lk.bronze, TD.RETENTION_NOW)
+
+
+@query("retention_plan", "SELECT * FROM plan", ["plan"])
+def _retention_plan(lk: Lake) -> DataFrame:
+    return retention(lk)
+
+
+@query("retention_summary", "SELECT action, count(*) AS n_objects FROM plan GROUP BY 1", ["plan"])
+def _retention_summary(lk: Lake) -> DataFrame:
+    return RT.retention_summary(retention(lk))
+
+
+@query("frozen_log", f"""
+SELECT asset_id, client_id,
+       'bronze/' || client_id || '/ttl_delete_log/' || asset_id || '_{NOW_ISO}.json' AS log_key,
+       CAST(json_object('event', 'landing_ttl_delete', 'asset_id', asset_id,
+                        'client_id', client_id, 'deleted_key', landing_key,
+                        'age_days', age_days, 'deleted_at', '{NOW_ISO}',
+                        'consequence', '{'FROZEN - re-extraction permanently impossible; re-parse from Bronze survives'}')
+            AS VARCHAR) AS record
+FROM plan WHERE action = 'delete_candidate'""", ["plan"])
+def _frozen_log(lk: Lake) -> DataFrame:
+    return RT.frozen_log(retention(lk), NOW_ISO)
+
+
+O.cte("runlog", """
+SELECT CAST(event_id AS VARCHAR) AS run_id, CAST(user_id AS VARCHAR) AS asset_id,
+       'm' || CAST(k % 3 AS VARCHAR) AS model_version, 'v' || CAST(k % 2 AS VARCHAR) AS prompt_version,
+       CAST(floor(value * 100) AS BIGINT) AS tokens_in, CAST(floor(value * 10) AS BIGINT) AS tokens_out,
+       value AS processing_time_sec,
+       CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS INTEGER) AS retry_count,
+       CAST(NULL AS DOUBLE) AS extraction_confidence, ts AS load_ts
+FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""")
+
+
+def run_log(lk: Lake) -> DataFrame:
+    return TM.parse_run_log(lk.run_log_json)
+
+
+@query("extraction_run", "SELECT * FROM runlog", ["runlog"])
+def _extraction_run(lk: Lake) -> DataFrame:
+    return run_log(lk)
+
+
+@query("extraction_cost", """
+SELECT r.model_version, r.prompt_version, count(*) AS n_runs,
+       CAST(sum(r.tokens_in) AS BIGINT) AS tokens_in, CAST(sum(r.tokens_out) AS BIGINT) AS tokens_out,
+       round(sum(r.processing_time_sec), 6) AS processing_time_sec,
+       CAST(sum(r.retry_count) AS BIGINT) AS retries,
+       round(CAST(sum(r.tokens_in * p.pin + r.tokens_out * p.pout) AS DOUBLE) / 1e9, 6) AS cost_usd
+FROM runlog r LEFT JOIN (VALUES ('m0', 75, 300), ('m1', 150, 600), ('m2', 1250, 5000))
+  AS p(model_version, pin, pout) ON p.model_version = r.model_version
+GROUP BY 1, 2""", ["runlog"])
+def _extraction_cost(lk: Lake) -> DataFrame:
+    return TM.extraction_cost(run_log(lk), lk.price_table())

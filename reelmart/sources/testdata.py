@@ -381,8 +381,9 @@ class Lake:
             F.floor(F.col("value") * 10).cast("bigint").alias("tokens_out"),
             F.col("value").alias("processing_time_sec"),
             F.when(F.col("event_type") == "error", 1).otherwise(0).alias("retry_count"),
-            F.col("ts").alias("load_ts"))
-        return e.select(F.to_json(rec).alias("value"))
+            F.col("ts").cast("timestamp").alias("load_ts"))
+        return e.select(F.to_json(rec, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+                        .alias("value"))
 
     def price_table(self) -> DataFrame:
         return self.spark.createDataFrame(
@@ -390,4 +391,5 @@ class Lake:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.table("events").select("event_id", "ts", "user_id", "event_type", "value")
+        return self.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"),
+                                           "user_id", "event_type", "value")
