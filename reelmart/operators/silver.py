@@ -37,7 +37,7 @@ def bronze_gate(bronze: DataFrame) -> DataFrame:
               .when(F.size(chunks) == 0, F.lit("empty"))
               .when(_missing_required(chunks), F.lit("missing_required_key")))
     return p.select(
-        "asset_id", "client_id",
+        "asset_id", "client_id", "model_version",
         F.when(chunks.isNotNull(), F.size(chunks)).cast("int").alias("chunk_count"),
         F.when(reason.isNull(), F.lit("PASS")).otherwise(F.lit("QUARANTINE")).alias("gate_status"),
         reason.alias("reason"))

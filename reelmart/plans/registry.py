@@ -189,8 +189,8 @@ def _near_dup_pairs(lk: Lake) -> DataFrame:
     return I.near_dup_pairs(lk.manifest)
 
 
-@query("bronze_gate", """
-SELECT b.asset_id, b.client_id,
+O.cte("bgate", """
+SELECT b.asset_id, b.client_id, 'm-flash-1' AS model_version,
        CAST(CASE WHEN b.asset_reason = 'unparsable' THEN NULL
                  WHEN b.asset_reason = 'empty' THEN 0
                  ELSE (SELECT count(*) FROM chunkall c WHERE c.asset_id = b.asset_id) END
@@ -198,6 +198,9 @@ SELECT b.asset_id, b.client_id,
        CASE WHEN b.asset_reason IS NULL THEN 'PASS' ELSE 'QUARANTINE' END AS gate_status,
        b.asset_reason AS reason
 FROM bronze_dmg b""", ["bronze_dmg", "chunkall"])
+
+
+@query("bronze_gate", "SELECT * FROM bgate", ["bgate"])
 def _bronze_gate(lk: Lake) -> DataFrame:
     return SV.bronze_gate(lk.bronze_damaged)
 
@@ -824,3 +827,79 @@ FROM runlog r LEFT JOIN (VALUES ('m0', 75, 300), ('m1', 150, 600), ('m2', 1250,
 GROUP BY 1, 2""", ["runlog"])
 def _extraction_cost(lk: Lake) -> DataFrame:
     return TM.extraction_cost(run_log(lk), lk.price_table())
+
+
+# expectations report ---------------------------------------------------------------
+_SUITE_TABLES = {
+    "bronze_asset_raw": "bgate", "dim_asset": "manifest", "dim_client": "dclient",
+    "fact_chunk": "fact_chunk", "silver_chunk": "dmg_chunks",
+    "bridge_chunk_compatibility": "compat_bridge", "bridge_ad_chunk": "bridge_ad_chunk",
+    "fact_ad_performance": "fact_perf", "mart_chunk_perf_correlation": "mart",
+    "fct_ad_kpi": "kpi", "fct_ad_metric_chunk": "metric_chunk",
+    "assembled_sequence": "asm_chunks",
+}
+O.cte("asm_chunks", """
+SELECT c.standalone_score FROM (SELECT unnest(path) AS chunk_id FROM asm3) s
+JOIN fact_chunk c ON c.chunk_id = s.chunk_id""", ["asm3", "fact_chunk"])
+
+
+def _sql_lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _suite_sql(name: str, table: str) -> list[str]:
+    out = []
+    for kind, col, args, sev in Q.SUITES[name]:
+        head = f"SELECT '{name}' AS suite, '{Q._label(kind, col, args)}' AS expectation, '{sev}' AS severity"
+        if kind == "not_null":
+            fail = f"{col} IS NULL"
+        elif kind == "between":
+            lo, hi = args
+            conds = ([f"{col} < {lo}"] if lo is not None else []) + \
+                    ([f"{col} > {hi}"] if hi is not None else [])
+            fail = f"{col} IS NOT NULL AND ({' OR '.join(conds)})"
+        elif kind == "in_set":
+            fail = f"{col} IS NOT NULL AND {col} NOT IN ({', '.join(_sql_lit(v) for v in args)})"
+        elif kind in ("unique", "compound_unique"):
+            cols = col if isinstance(col, list) else [col]
+            nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+            out.append(f"{head}, CAST(coalesce(sum(k), 0) AS BIGINT) AS n_checked, "
+                       f"CAST(coalesce(sum(k) FILTER (WHERE k > 1), 0) AS BIGINT) AS n_failed "
+                       f"FROM (SELECT {', '.join(cols)}, count(*) AS k FROM {table} WHERE {nn} "
+                       f"GROUP BY {', '.join(cols)})")
+            continue
+        elif kind == "row_count":
+            out.append(f"{head}, count(*) AS n_checked, "
+                       f"CAST(CASE WHEN count(*) < {args} THEN 1 ELSE 0 END AS BIGINT) AS n_failed "
+                       f"FROM {table}")
+            continue
+        out.append(f"{head}, count(*) AS n_checked, count(*) FILTER (WHERE {fail}) AS n_failed "
+                   f"FROM {table}")
+    return out
+
+
+_EXP_SQL = ("SELECT suite, expectation, severity, n_checked, n_failed, n_failed = 0 AS success, "
+            "n_failed > 0 AND severity = 'CRITICAL' AS blocks_promotion FROM (\n"
+            + "\nUNION ALL\n".join(q for n, t in _SUITE_TABLES.items() for q in _suite_sql(n, t))
+            + ")")
+
+
+@query("expectations_report", _EXP_SQL, sorted(set(_SUITE_TABLES.values())))
+def _expectations_report(lk: Lake) -> DataFrame:
+    seqs = A.assemble(fact_chunk(lk), lk.manifest, compat(lk), depth=3, k=ASSEMBLE_K)
+    asm = seqs.select(F.explode(F.split("sequence", ">")).alias("chunk_id")) \
+        .join(fact_chunk(lk).select("chunk_id", "standalone_score"), "chunk_id")
+    return Q.expectations_report({
+        "bronze_asset_raw": SV.bronze_gate(lk.bronze_damaged),
+        "dim_asset": I.dim_asset(lk.manifest),
+        "dim_client": lk.dim_client,
+        "fact_chunk": fact_chunk(lk),
+        "silver_chunk": parsed_run(lk.bronze_damaged),
+        "bridge_chunk_compatibility": compat(lk),
+        "bridge_ad_chunk": perf_bridge(lk),
+        "fact_ad_performance": perf_fact(lk),
+        "mart_chunk_perf_correlation": perf_mart(lk),
+        "fct_ad_kpi": perf_kpi(lk),
+        "fct_ad_metric_chunk": perf_metric_chunk(lk),
+        "assembled_sequence": asm,
+    })
