@@ -903,3 +903,171 @@ def _expectations_report(lk: Lake) -> DataFrame:
         "fct_ad_metric_chunk": perf_metric_chunk(lk),
         "assembled_sequence": asm,
     })
+
+
+# Wave 6: sources, sinks, extraction stage, streams -------------------------------------
+import pandas as pd  # noqa: E402
+
+from reelmart import schemas as S  # noqa: E402
+from reelmart.sources import files as FS  # noqa: E402
+from reelmart.sources.scratch import new_scratch  # noqa: E402
+from reelmart.streaming import streams as ST  # noqa: E402
+
+
+def _seed_frames(lk: Lake) -> dict[str, DataFrame]:
+    return {
+        "dim_client": lk.dim_client,
+        "dim_platform": lk.dim_platform(),
+        "asset_manifest": lk.manifest.select(*I.MANIFEST_COLS),
+        "map_ad_asset": lk.map_ad_asset,
+        "edit_decision_list": lk.edit_decision_list,
+    }
+
+
+@query("seed_tables", """
+SELECT 'dim_client' AS table_name, count(*) AS n_rows FROM dclient
+UNION ALL SELECT 'dim_platform', count(*) FROM dim_platform
+UNION ALL SELECT 'asset_manifest', count(*) FROM manifest
+UNION ALL SELECT 'map_ad_asset', count(*) FROM map_ad_asset
+UNION ALL SELECT 'edit_decision_list', count(*) FROM edl""",
+       ["dclient", "dim_platform", "manifest", "map_ad_asset", "edl"])
+def _seed_tables(lk: Lake) -> DataFrame:
+    """Seeds round-trip through header CSVs read back with explicit schemas."""
+    root = new_scratch(lk.spark, "seeds")
+    parts = []
+    for name, df in _seed_frames(lk).items():
+        FS.write_seed(df, f"{root}/{name}")
+        back = FS.read_seed(lk.spark, f"{root}/{name}", name)
+        parts.append(back.agg(F.count(F.lit(1)).alias("n_rows"))
+                     .select(F.lit(name).alias("table_name"), "n_rows"))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+_TIKTOK_CSV = ("ad_id STRING, stat_time_day DATE, impressions BIGINT, video_views_p_3s BIGINT, "
+               "video_views_p25 BIGINT, video_views_p50 BIGINT, video_views_p75 BIGINT, "
+               "video_views_p100 BIGINT, total_watch_time BIGINT, video_views BIGINT, "
+               "clicks_destination BIGINT, conversions BIGINT, spend BIGINT, load_ts TIMESTAMP, "
+               "platform_native STRING")
+
+
+@query("perf_raw_capture")
+def _perf_raw_capture(lk: Lake) -> DataFrame:
+    """Verbatim platform CSV exports captured with file, row hash and load time."""
+    root = new_scratch(lk.spark, "perf-raw")
+    lk.perf_native("tiktok").write.mode("overwrite").option("header", True) \
+        .csv(f"{root}/tiktok")
+    return FS.capture_raw_csv(lk.spark, f"{root}/tiktok", _TIKTOK_CSV)
+
+
+@query("bronze_append", """
+SELECT a.asset_id, a.client_id, 'm-flash-1' AS model_version,
+       CAST(count(c.chunk_id) AS INTEGER) AS chunk_count
+FROM asset1 a LEFT JOIN chunkall c ON c.asset_id = a.asset_id
+WHERE a.doc_id % 13 <> 0 GROUP BY 1, 2""", ["asset1", "chunkall"])
+def _bronze_append(lk: Lake) -> DataFrame:
+    """Write-once Bronze: the second append of the same responses adds nothing."""
+    path = new_scratch(lk.spark, "bronze")
+    rows = lk.bronze.select(*[f.name for f in S.BRONZE_ASSET_RAW.fields])
+    FS.bronze_append(rows, path)
+    again = FS.bronze_append(rows, path)
+    if again:
+        raise RuntimeError(f"bronze append is not write-once: {again} rows re-appended")
+    return lk.spark.read.parquet(path).select("asset_id", "client_id", "model_version",
+                                              "chunk_count")
+
+
+def line_segmenter(batches):
+    """Stand-in extractor (the model call is the caller's function): one chunk
+    per non-blank line, 5 s each. Per-row Python stays this small helper."""
+    import json
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples(index=False):
+            lines = [x.strip(" ") for x in r.text.split("\n")]
+            lines = [x for x in lines if x != ""]
+            chunks = [{"start_sec": 5.0 * i, "end_sec": 5.0 * (i + 1), "transcript_segment": x,
+                       "chunk_theme": "Body", "sentiment": "neutral", "standalone_score": 3}
+                      for i, x in enumerate(lines)]
+            out.append((r.asset_id, r.client_id, json.dumps({"chunks": chunks}), "stand-in",
+                        "p0", r.content_sha256, len(chunks)))
+        yield pd.DataFrame(out, columns=["asset_id", "client_id", "raw_response",
+                                         "model_version", "prompt_version", "content_sha256",
+                                         "chunk_count"])
+
+
+def extract_stage(new_assets: DataFrame, extractor, concurrency: int) -> DataFrame:
+    """Run the extractor over assets without Bronze. The partition count caps
+    how many model calls run at once (the rate limit); rows never leave the
+    executors."""
+    schema = ("asset_id string, client_id string, raw_response string, model_version string, "
+              "prompt_version string, content_sha256 string, chunk_count int")
+    return new_assets.repartition(concurrency, "asset_id").mapInPandas(extractor, schema)
+
+
+@query("extract_stage", """
+SELECT m.asset_id, m.client_id, CAST(count(c.chunk_id) AS INTEGER) AS chunk_count
+FROM manifest m LEFT JOIN chunkall c ON c.asset_id = m.asset_id
+WHERE m.doc_id % 13 = 0 GROUP BY 1, 2""", ["manifest", "chunkall"])
+def _extract_stage(lk: Lake) -> DataFrame:
+    todo = I.list_new_assets(lk.manifest, lk.bronze).select("asset_id") \
+        .join(lk.landed_assets.select("asset_id", "client_id", "content_sha256", "text"),
+              "asset_id")
+    return extract_stage(todo, line_segmenter, concurrency=2) \
+        .select("asset_id", "client_id", "chunk_count")
+
+
+_DELIVERY_SCHEMA = ("asset_id STRING, client_id STRING, content_sha256 STRING, doc_id BIGINT, "
+                    "modified_at TIMESTAMP")
+
+
+@query("stream_new_assets", "SELECT DISTINCT asset_id, client_id, content_sha256 FROM deliv",
+       ["deliv"])
+def _stream_new_assets(lk: Lake) -> DataFrame:
+    root = new_scratch(lk.spark, "arrivals")
+    (lk.deliveries.select("asset_id", "client_id", "content_sha256", "doc_id", "modified_at")
+     .repartitionByRange(4, "doc_id").write.parquet(f"{root}/landing"))
+    out = ST.stream_new_assets(lk.spark, f"{root}/landing", _DELIVERY_SCHEMA, f"{root}/sink",
+                               f"{root}/_checkpoint")
+    return out.select("asset_id", "client_id", "content_sha256")
+
+
+_PERF_COLS = ("ad_id STRING, perf_date DATE, impressions BIGINT, plays_3s BIGINT, "
+              "plays_25 BIGINT, plays_50 BIGINT, plays_75 BIGINT, plays_100 BIGINT, "
+              "sum_watch_time_sec BIGINT, play_count BIGINT, link_clicks BIGINT, results BIGINT, "
+              "spend BIGINT, load_ts TIMESTAMP, platform_name STRING")
+
+
+@query("stream_perf_upsert", f"SELECT {_UNIONED_COLS} FROM perf_latest", ["perf_latest"])
+def _stream_perf_upsert(lk: Lake) -> DataFrame:
+    root = new_scratch(lk.spark, "perf-stream")
+    u = perf_unioned(lk)
+    first = F.col("load_ts") == F.date_add("perf_date", 1).cast("timestamp")
+    u.where(first).write.parquet(f"{root}/pulls/a")      # early partial pulls land first
+    u.where(~first).write.parquet(f"{root}/pulls/b")     # restatements arrive later
+    src_dir = f"{root}/pulls/*"
+    return ST.stream_perf_upsert(lk.spark, src_dir, _PERF_COLS, f"{root}/target",
+                                 f"{root}/_checkpoint", P.latest_pull)
+
+
+_DAILY_SQL = """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS day, user_id, event_type, count(*) AS n_events,
+       round(sum(value), 6) AS sum_value
+FROM events GROUP BY 1, 2, 3"""
+
+
+@query("daily_counts", _DAILY_SQL)
+def _daily_counts(lk: Lake) -> DataFrame:
+    return ST.daily_counts_batch(lk.events).withColumn("sum_value", C.r6(F.col("sum_value")))
+
+
+@query("stream_daily_counts", _DAILY_SQL)
+def _stream_daily_counts(lk: Lake) -> DataFrame:
+    root = new_scratch(lk.spark, "events-stream")
+    schema = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING")
+    out = ST.stream_daily_counts(lk.spark, lk.sf_dir, "events.parquet", schema,
+                                 f"{root}/target", f"{root}/_checkpoint")
+    return out.withColumn("sum_value", C.r6(F.col("sum_value")))
