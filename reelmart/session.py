@@ -32,9 +32,11 @@ CORE_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "reelmart") -> SparkSession:
+                  app_name: str = "reelmart", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the store's defaults."""
     builder = SparkSession.builder.appName(app_name)
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in CORE_CONF.items():
@@ -65,7 +67,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     Jobs read ``spark.checkpoint.dir`` from the session; they never invent a
     machine-local folder. Tests set it to a scratch folder before calling.
     """
-    value = spark.conf.get("spark.checkpoint.dir", None)
+    value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if value:
         sc = spark.sparkContext
         if sc.getCheckpointDir() is None:

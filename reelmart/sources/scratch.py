@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    base = (spark.conf.get("spark.checkpoint.dir", None)
+    base = (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
             or spark.sparkContext.getCheckpointDir()
             or spark.conf.get("spark.sql.warehouse.dir"))
     return base.rstrip("/")
