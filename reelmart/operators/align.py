@@ -19,6 +19,10 @@ PERF_METRICS = ["hook_rate", "hold_rate_25", "hold_rate_50", "retention_75", "re
 
 
 def ad_platforms(fact: DataFrame) -> DataFrame:
+    """(ad, platform) pairs. Pass the KPI frame (one row per pair) to share
+    its aggregate with the KPI join instead of a second distinct."""
+    if "hook_rate" in fact.columns:
+        return fact.select("ad_id", "platform_id")
     return fact.select("ad_id", "platform_id").distinct()
 
 

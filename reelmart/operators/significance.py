@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reelmart import schemas as S
 from reelmart.functions import columns as C
-from reelmart.operators.correlate import mart_base
+from reelmart.operators.correlate import evidence_regime, mart_base
 
 FAMILY = ["platform_id", "metric_name", "feature_dim"]
 ALPHA = 0.05
@@ -27,7 +27,9 @@ def average_rank(order_col: str, part: list[str]) -> F.Column:
     return F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
 
 
-def mann_whitney(metric_chunk: DataFrame, mart: DataFrame) -> DataFrame:
+def mann_whitney(metric_chunk: DataFrame, mart: DataFrame | None = None) -> DataFrame:
+    """``mart`` is accepted for symmetry; the regime is recomputed from the
+    group size (n_ads = n1), so the mart's whole lineage is not run twice."""
     base = mart_base(metric_chunk).withColumn("r", average_rank("metric_value", FAMILY))
     fam_n = base.groupBy(*FAMILY).agg(F.count(F.lit(1)).alias("n_total"))
     ties = (base.groupBy(*FAMILY, "metric_value").agg(F.count(F.lit(1)).alias("t"))
@@ -35,8 +37,7 @@ def mann_whitney(metric_chunk: DataFrame, mart: DataFrame) -> DataFrame:
     grp = base.groupBy(*FAMILY, "feature_value").agg(F.count(F.lit(1)).alias("n1"),
                                                       F.sum("r").alias("r1"))
     g = grp.join(fam_n, FAMILY).join(ties, FAMILY) \
-        .join(mart.select(*FAMILY, "feature_value", "evidence_regime"),
-              FAMILY + ["feature_value"])
+        .withColumn("evidence_regime", evidence_regime(F.col("n1")))
     n1, n2, n = F.col("n1").cast("double"), (F.col("n_total") - F.col("n1")).cast("double"), \
         F.col("n_total").cast("double")
     u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
@@ -57,11 +58,12 @@ def mann_whitney(metric_chunk: DataFrame, mart: DataFrame) -> DataFrame:
                       F.coalesce(p_bonf < ALPHA, F.lit(False)).alias("is_significant"))
 
 
-def spearman_directional(metric_chunk: DataFrame, mart: DataFrame) -> DataFrame:
-    """Spearman rho between standalone score and metric in DIRECTIONAL groups."""
+def spearman_directional(metric_chunk: DataFrame, mart: DataFrame | None = None) -> DataFrame:
+    """Spearman rho between standalone score and metric in DIRECTIONAL groups
+    (group size from a window count, not a second pass over the mart)."""
     grp = FAMILY + ["feature_value"]
-    directional = mart.where(F.col("evidence_regime") == "DIRECTIONAL").select(*grp)
-    b = mart_base(metric_chunk).join(directional, grp, "left_semi")
+    b = mart_base(metric_chunk).withColumn("n_grp", F.count(F.lit(1)).over(Window.partitionBy(*grp)))
+    b = b.where(evidence_regime(F.col("n_grp")) == "DIRECTIONAL")
     b = b.withColumn("rs", average_rank("standalone_score", grp)) \
         .withColumn("rm", average_rank("metric_value", grp))
     agg = b.groupBy(*grp).agg(F.count(F.lit(1)).alias("n_ads"),

@@ -42,7 +42,9 @@ def query(name: str, sql: str | None = None, deps: list[str] | None = None):
 
 # Shared derived frames --------------------------------------------------------
 def silver_wide(lk: Lake) -> DataFrame:
-    return SV.silver_chunk_wide(lk.bronze)
+    """The Silver chunk table (stored, partitioned by client)."""
+    return lk.store.table("silver_wide", lambda: SV.silver_chunk_wide(lk.bronze),
+                          partition_by=["client_id"], cluster_by=["asset_id", "chunk_sequence"])
 
 
 def fact_chunk(lk: Lake) -> DataFrame:
@@ -335,12 +337,19 @@ ALIGN_TOLERANCE = O.ALIGN_TOLERANCE
 
 
 def perf_unioned(lk: Lake) -> DataFrame:
-    return P.ad_perf_unioned(lk.perf_native("meta"), lk.perf_native("tiktok"))
+    """Silver int_ad_perf_unioned (stored)."""
+    return lk.store.table("perf_unioned", lambda: P.ad_perf_unioned(
+        lk.perf_native("meta"), lk.perf_native("tiktok")), cluster_by=["ad_id", "perf_date"])
+
+
+def _perf_latest(lk: Lake) -> DataFrame:
+    """Silver dedup: latest pull per (ad, platform, day) (stored)."""
+    return lk.store.table("perf_latest", lambda: P.latest_pull(perf_unioned(lk)),
+                          cluster_by=["ad_id", "perf_date"])
 
 
 def perf_fact(lk: Lake) -> DataFrame:
-    return P.fact_ad_performance(P.latest_pull(perf_unioned(lk)), lk.dim_platform(),
-                                 lk.map_ad_asset)
+    return P.fact_ad_performance(_perf_latest(lk), lk.dim_platform(), lk.map_ad_asset)
 
 
 def perf_kpi(lk: Lake) -> DataFrame:
@@ -352,11 +361,11 @@ def perf_bridge(lk: Lake) -> DataFrame:
 
 
 def perf_anchors(lk: Lake) -> DataFrame:
-    return AL.anchors(perf_fact(lk), lk.dim_platform(), lk.map_ad_asset, lk.perf_assets)
+    return AL.anchors(perf_kpi(lk), lk.dim_platform(), lk.map_ad_asset, lk.perf_assets)
 
 
 def perf_alignment(lk: Lake) -> DataFrame:
-    return AL.metric_chunk_alignment(perf_anchors(lk), perf_bridge(lk), perf_fact(lk),
+    return AL.metric_chunk_alignment(perf_anchors(lk), perf_bridge(lk), perf_kpi(lk),
                                      tolerance_sec=ALIGN_TOLERANCE)
 
 
@@ -628,10 +637,6 @@ def _lineage_contract(lk: Lake) -> DataFrame:
     return Q.lineage_contract_summary(v, lk.spark)
 
 
-def _perf_latest(lk: Lake) -> DataFrame:
-    return P.latest_pull(perf_unioned(lk))
-
-
 @query("referential_report", """
 SELECT check_name, severity, CAST(n AS BIGINT) AS n_orphans, n = 0 AS passed FROM (
   SELECT 'fact_chunk.asset_id->dim_asset' AS check_name, 'CRITICAL' AS severity, count(*) AS n
@@ -1071,3 +1076,12 @@ def _stream_daily_counts(lk: Lake) -> DataFrame:
     out = ST.stream_daily_counts(lk.spark, lk.sf_dir, "events.parquet", schema,
                                  f"{root}/target", f"{root}/_checkpoint")
     return out.withColumn("sum_value", C.r6(F.col("sum_value")))
+
+
+def build_layers(lk: Lake) -> None:
+    """Build every stored Bronze/Silver layer once (the transform step)."""
+    for layer in (lambda: lk.manifest, lambda: lk.dim_client, lambda: silver_wide(lk),
+                  lambda: lk.bronze_run2, lambda: lk.bronze_damaged,
+                  lambda: _perf_latest(lk), lambda: lk.edit_decision_list,
+                  lambda: lk.perf_chunks, lambda: lk.perf_assets, lambda: lk.map_ad_asset):
+        layer()

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from reelmart import schemas as S
 from reelmart.functions import columns as C
+from reelmart.sources.store import LayerStore
 
 # ---------------------------------------------------------------- FIXED VALUES
 # Binding parameters of the test-data contract (FIXTURES.md section B).
@@ -34,6 +35,16 @@ PRICE_TABLE = [("m0", 75, 300), ("m1", 150, 600), ("m2", 1250, 5000)]
 # ------------------------------------------------------------ end FIXED VALUES
 
 
+def stored_layer(partition_by: list[str] | None = None, cluster_by: list[str] | None = None):
+    """Make a Lake method a stored layer: built once, written, read back."""
+    def deco(fn):
+        def get(self):
+            return self.store.table(fn.__name__, lambda: fn(self), partition_by, cluster_by)
+        get.__doc__ = fn.__doc__
+        return property(get)
+    return deco
+
+
 def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
@@ -45,6 +56,10 @@ class Lake:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    @cached_property
+    def store(self) -> LayerStore:
+        return LayerStore(self.spark, "layers")
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -71,7 +86,7 @@ class Lake:
                             .otherwise(F.col("n_chars") * 67))
                 .withColumn("modified_at", modified))
 
-    @cached_property
+    @stored_layer()
     def dim_client(self) -> DataFrame:
         """Tenants: one per document source. TTL 10/20/30 days by source number."""
         num = F.regexp_extract(F.col("client_id"), r"(\d+)$", 1).try_cast("int")
@@ -83,7 +98,7 @@ class Lake:
                         (F.lit(10) + F.lit(10) * (num % 3)).cast("int").alias("landing_ttl_days"),
                         F.lit("active").alias("status")))
 
-    @cached_property
+    @stored_layer(cluster_by=["asset_id"])
     def landed_assets(self) -> DataFrame:
         """Deliveries collapsed to assets; the earliest delivery (min doc_id) wins.
 
@@ -96,7 +111,7 @@ class Lake:
              .agg(F.min(F.struct(*keep)).alias("w")))
         return w.select("asset_id", *[F.col(f"w.{c}").alias(c) for c in keep])
 
-    @cached_property
+    @stored_layer()
     def manifest(self) -> DataFrame:
         """Asset manifest (one row per asset), with lineage parents for EDITED."""
         a = self.landed_assets
@@ -112,17 +127,6 @@ class Lake:
         return m.withColumn("parent_asset_id",
                             F.when(F.col("asset_type") == "EDITED", prev))
 
-    @cached_property
-    def lines(self) -> DataFrame:
-        """Non-blank trimmed lines of each asset's text, 1-based sequence."""
-        kept = F.filter(F.transform(F.split(F.col("text"), "\n"), lambda x: F.trim(x)),
-                        lambda x: x != "")
-        return (self.landed_assets
-                .select("asset_id", "client_id", "doc_id",
-                        F.posexplode(kept).alias("pos", "line"))
-                .withColumn("chunk_sequence", (F.col("pos") + 1).cast("int"))
-                .drop("pos"))
-
     @staticmethod
     def _chunk_struct(doc: Column, seq: Column, line: Column, score_shift: Column | None = None
                       ) -> Column:
@@ -172,16 +176,16 @@ class Lake:
                         (F.col("modified_at") + F.expr(f"INTERVAL {run} DAYS"))
                         .alias("load_ts")))
 
-    @cached_property
+    @stored_layer(partition_by=["client_id"], cluster_by=["asset_id"])
     def bronze(self) -> DataFrame:
         """Clean Bronze (run 1): the input of Silver."""
         return self._responses(1).drop("doc_id")
 
-    @cached_property
+    @stored_layer(partition_by=["client_id"], cluster_by=["asset_id"])
     def bronze_run2(self) -> DataFrame:
         return self._responses(2).drop("doc_id")
 
-    @cached_property
+    @stored_layer(partition_by=["client_id"], cluster_by=["asset_id"])
     def bronze_damaged(self) -> DataFrame:
         """Bronze as it arrives in the wild: truncated, empty and out-of-range rows."""
         r = self._responses(1)
@@ -230,19 +234,25 @@ class Lake:
                      F.count_if(F.col("l_returnflag") == "R").alias("results"),
                      F.sum(fl(ep * F.col("l_tax"))).alias("spend")))
 
-    @cached_property
+    @stored_layer(cluster_by=["ad_id", "perf_date"])
     def perf_pulls(self) -> DataFrame:
-        """Two pulls per day: a partial one (90 %, day + 1) and the final (day + 3)."""
+        """Two pulls per day: a partial one (90 %, day + 1) and the final (day + 3).
+
+        One pass: each daily row is exploded into its two pulls (no union,
+        so the daily aggregate runs once).
+        """
         counts = ["impressions", "plays_3s", "plays_25", "plays_50", "plays_75", "plays_100",
                   "sum_watch_time_sec", "link_clicks", "results", "spend"]
-        d = self.perf_daily
-        ts = lambda n: F.date_add("perf_date", n).cast("timestamp")
-        early = d.select("ad_id", "platform_native", "perf_date",
-                         *[F.floor(F.col(c) * 0.9).cast("bigint").alias(c) for c in counts],
-                         ts(1).alias("load_ts"))
-        final = d.select("ad_id", "platform_native", "perf_date", *counts,
-                         ts(3).alias("load_ts"))
-        return early.unionByName(final)
+        pulls = F.explode(F.array(
+            F.struct(F.lit(0.9).alias("f"), F.lit(1).alias("lag")),
+            F.struct(F.lit(None).cast("double").alias("f"), F.lit(3).alias("lag"))))
+        d = self.perf_daily.select("*", pulls.alias("pull"))
+        scaled = lambda c: F.when(F.col("pull.f").isNull(), F.col(c)).otherwise(
+            F.floor(F.col(c) * F.col("pull.f")).cast("bigint"))
+        return d.select("ad_id", "platform_native", "perf_date",
+                        *[scaled(c).alias(c) for c in counts],
+                        F.date_add("perf_date", F.col("pull.lag")).cast("timestamp")
+                        .alias("load_ts"))
 
     def perf_native(self, platform: str) -> DataFrame:
         """A platform's export under its own column names."""
@@ -278,7 +288,7 @@ class Lake:
             F.col("results").alias("conversions"), "spend", "load_ts",
             F.lit("tiktok").alias("platform_native"))
 
-    @cached_property
+    @stored_layer()
     def cut(self) -> DataFrame:
         """Editor's cut per ad: up to 5 distinct parts, laid end to end."""
         li = self.table("lineitem").select("l_suppkey", "l_partkey", "l_quantity")
@@ -304,7 +314,7 @@ class Lake:
         return [theme.alias("chunk_theme"), _pick(S.SENTIMENTS, size % 6).alias("sentiment"),
                 (size % 5 + 1).cast("int").alias("standalone_score")]
 
-    @cached_property
+    @stored_layer()
     def edit_decision_list(self) -> DataFrame:
         c = self.cut
         ad, pos = F.col("ad_num"), F.col("position_in_ad")
@@ -317,7 +327,7 @@ class Lake:
                 .select("ad_id", cid.alias("chunk_id"), role.alias("chunk_role"),
                         "position_in_ad", "start_sec", "end_sec"))
 
-    @cached_property
+    @stored_layer()
     def perf_chunks(self) -> DataFrame:
         """fact_chunk of the performance leg: edited cuts plus the raw library."""
         part = self.table("part").select("p_partkey", "p_size", "p_name")
@@ -336,7 +346,7 @@ class Lake:
             F.col("p_name").alias("transcript_segment"), *self._part_features(F.col("p_size")))
         return edited.unionByName(raw)
 
-    @cached_property
+    @stored_layer()
     def perf_assets(self) -> DataFrame:
         """dim_asset of the performance leg."""
         ed = (self.cut.groupBy("ad_id", "ad_num").agg(F.max("end_sec").alias("mx"))
@@ -353,7 +363,7 @@ class Lake:
                        F.lit(None).cast("int").alias("duration_sec")))
         return ed.unionByName(raw).withColumn("client_id", F.lit("perf"))
 
-    @cached_property
+    @stored_layer()
     def map_ad_asset(self) -> DataFrame:
         ads = self.table("lineitem").select("l_suppkey").distinct()
         return (ads.where(F.col("l_suppkey") % 31 != 0)
