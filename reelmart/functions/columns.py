@@ -106,3 +106,13 @@ def two_sided_normal_p(z: Column) -> Column:
     poly = t * (F.lit(b1) + t * (F.lit(b2) + t * (F.lit(b3) + t * (F.lit(b4) + t * F.lit(b5)))))
     pdf = F.exp(F.lit(-0.5) * az * az) * F.lit(0.3989422804014327)
     return F.least(F.lit(1.0), F.lit(2.0) * pdf * poly)
+
+
+def literal_table(spark, rows: list[tuple], schema: str):
+    """A small literal table built in the JVM (no Python RDD, no Python
+    workers): ``inline`` over an array of literal structs. ``schema`` is
+    'name TYPE, ...'."""
+    fields = [f.strip().split(None, 1) for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelmart import schemas as S
 from reelmart.functions import columns as C
+from reelmart.functions.ranks import exact_median
 
 FEATURE_DIMS = ["chunk_theme", "sentiment", "chunk_role"]
 
@@ -33,19 +34,24 @@ def chunk_perf_correlation(metric_chunk: DataFrame, approx_median: bool = False)
     """Per platform x metric x feature: n_ads, median/mean/min/max, rank within
     (platform, metric, dimension) by median, evidence regime, honesty note.
 
-    One aggregate: the exact median is the ``percentile`` aggregate (partial
-    + final), not a window per group. Each (ad, platform, metric) has exactly
-    one row (guarded by the expectations report), so count(*) equals
-    count(distinct ad_id) without the extra distinct shuffle. For groups of
-    tens of millions of ads, ``approx_median`` switches to percentile_approx.
+    The exact median comes from two-level order statistics
+    (``exact_median``): no group is sorted on one task or held whole in one
+    aggregation buffer, so a feature value holding most ads stays parallel.
+    Each (ad, platform, metric) has exactly one row (guarded by the
+    expectations report), so count(*) equals count(distinct ad_id) without
+    the extra distinct shuffle. ``approx_median`` trades exactness for one
+    fewer pass.
     """
-    med = (F.percentile_approx("metric_value", 0.5, 10000) if approx_median
-           else F.median("metric_value"))
-    g = (mart_base(metric_chunk)
-         .groupBy("platform_id", "metric_name", "feature_dim", "feature_value")
-         .agg(F.count(F.lit(1)).alias("n_ads"), med.alias("median_raw"),
-              F.avg("metric_value").alias("mean_raw"), F.min("metric_value").alias("min_metric"),
-              F.max("metric_value").alias("max_metric")))
+    keys = ["platform_id", "metric_name", "feature_dim", "feature_value"]
+    base = mart_base(metric_chunk)
+    aggs = [F.count(F.lit(1)).alias("n_ads"), F.avg("metric_value").alias("mean_raw"),
+            F.min("metric_value").alias("min_metric"), F.max("metric_value").alias("max_metric")]
+    if approx_median:
+        aggs.append(F.percentile_approx("metric_value", 0.5, 10000).alias("median_raw"))
+    g = base.groupBy(*keys).agg(*aggs)
+    if not approx_median:
+        g = g.join(exact_median(base, keys, "metric_value")
+                   .withColumnRenamed("median", "median_raw"), keys)
     w = Window.partitionBy("platform_id", "metric_name", "feature_dim") \
         .orderBy(F.col("median_raw").desc())
     return g.select(

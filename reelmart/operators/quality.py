@@ -116,7 +116,6 @@ def _row_fail(kind: str, col: str, args) -> F.Column:
 
 def run_suite(name: str, df: DataFrame) -> DataFrame:
     """Evaluate one suite: one aggregate for row rules, one per uniqueness rule."""
-    spark = df.sparkSession
     rules = SUITES[name]
     row_rules = [r for r in rules if r[0] in ("not_null", "between", "in_set")]
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -143,8 +142,7 @@ def run_suite(name: str, df: DataFrame) -> DataFrame:
                 F.lit(name).alias("suite"), F.lit(_label(k, c, a)).alias("expectation"),
                 F.lit(sev).alias("severity"), F.col("n").alias("n_checked"),
                 F.when(F.col("n") < a, 1).otherwise(0).cast("bigint").alias("n_failed")))
-    out = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "suite string")
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def expectations_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -212,7 +210,7 @@ def lineage_violations(manifest_rows: DataFrame, clients: DataFrame) -> DataFram
 
 def lineage_contract_summary(violations: DataFrame, spark) -> DataFrame:
     """Violations per rule, all seven rules listed (0 when clean)."""
-    rules = spark.createDataFrame([(f"R{i}",) for i in range(1, 8)], "rule string")
+    rules = C.literal_table(spark, [(f"R{i}",) for i in range(1, 8)], "rule string")
     cnt = violations.groupBy("rule").agg(F.count(F.lit(1)).alias("n_violations"))
     return rules.join(cnt, "rule", "left").select(
         "rule", F.coalesce("n_violations", F.lit(0)).cast("bigint").alias("n_violations"))

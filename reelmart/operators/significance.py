@@ -14,30 +14,33 @@ from pyspark.sql import functions as F
 
 from reelmart import schemas as S
 from reelmart.functions import columns as C
+from reelmart.functions.ranks import average_rank, value_ranks
 from reelmart.operators.correlate import evidence_regime, mart_base
 
 FAMILY = ["platform_id", "metric_name", "feature_dim"]
 ALPHA = 0.05
 
 
-def average_rank(order_col: str, part: list[str]) -> F.Column:
-    """Average rank of ties: rank() + (ties - 1) / 2."""
-    w = Window.partitionBy(*part).orderBy(order_col)
-    ties = Window.partitionBy(*part, order_col)
-    return F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
-
-
-def mann_whitney(metric_chunk: DataFrame, mart: DataFrame | None = None) -> DataFrame:
+def mann_whitney(metric_chunk: DataFrame, mart: DataFrame | None = None,
+                 buckets: int = 64) -> DataFrame:
     """``mart`` is accepted for symmetry; the regime is recomputed from the
-    group size (n_ads = n1), so the mart's whole lineage is not run twice."""
-    base = mart_base(metric_chunk).withColumn("r", average_rank("metric_value", FAMILY))
-    fam_n = base.groupBy(*FAMILY).agg(F.count(F.lit(1)).alias("n_total"))
-    ties = (base.groupBy(*FAMILY, "metric_value").agg(F.count(F.lit(1)).alias("t"))
-            .groupBy(*FAMILY).agg(F.sum(F.col("t") ** 3 - F.col("t")).alias("tie_sum")))
-    grp = base.groupBy(*FAMILY, "feature_value").agg(F.count(F.lit(1)).alias("n1"),
-                                                      F.sum("r").alias("r1"))
-    g = grp.join(fam_n, FAMILY).join(ties, FAMILY) \
-        .withColumn("evidence_regime", evidence_regime(F.col("n1")))
+    group size (n_ads = n1), so the mart's whole lineage is not run twice.
+
+    Ranks come from ``value_ranks`` (two-level, skew-safe): a family is never
+    sorted on one task. R1 = sum over (value, count) of count x average rank.
+    """
+    base = mart_base(metric_chunk)
+    rk = value_ranks(base, FAMILY, "metric_value", buckets)
+    fam = rk.groupBy(*FAMILY).agg(F.max("n").alias("n_total"),
+                                  F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t"))
+                                  .alias("tie_sum"))
+    per_val = base.groupBy(*FAMILY, "feature_value", "metric_value") \
+        .agg(F.count(F.lit(1)).alias("c"))
+    grp = (per_val.join(rk.select(*FAMILY, "metric_value", average_rank(rk).alias("ar")),
+                        FAMILY + ["metric_value"])
+           .groupBy(*FAMILY, "feature_value")
+           .agg(F.sum("c").alias("n1"), F.sum(F.col("c") * F.col("ar")).alias("r1")))
+    g = grp.join(fam, FAMILY).withColumn("evidence_regime", evidence_regime(F.col("n1")))
     n1, n2, n = F.col("n1").cast("double"), (F.col("n_total") - F.col("n1")).cast("double"), \
         F.col("n_total").cast("double")
     u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
@@ -58,17 +61,24 @@ def mann_whitney(metric_chunk: DataFrame, mart: DataFrame | None = None) -> Data
                       F.coalesce(p_bonf < ALPHA, F.lit(False)).alias("is_significant"))
 
 
-def spearman_directional(metric_chunk: DataFrame, mart: DataFrame | None = None) -> DataFrame:
-    """Spearman rho between standalone score and metric in DIRECTIONAL groups
-    (group size from a window count, not a second pass over the mart)."""
+def spearman_directional(metric_chunk: DataFrame, mart: DataFrame | None = None,
+                         buckets: int = 64) -> DataFrame:
+    """Spearman rho between standalone score and metric in DIRECTIONAL groups:
+    Pearson correlation of skew-safe average ranks."""
     grp = FAMILY + ["feature_value"]
-    b = mart_base(metric_chunk).withColumn("n_grp", F.count(F.lit(1)).over(Window.partitionBy(*grp)))
-    b = b.where(evidence_regime(F.col("n_grp")) == "DIRECTIONAL")
-    b = b.withColumn("rs", average_rank("standalone_score", grp)) \
-        .withColumn("rm", average_rank("metric_value", grp))
-    agg = b.groupBy(*grp).agg(F.count(F.lit(1)).alias("n_ads"),
-                              F.corr("rs", "rm").alias("rho"),
-                              F.var_pop("rs").alias("vs"), F.var_pop("rm").alias("vm"))
+    base = mart_base(metric_chunk)
+    sizes = base.groupBy(*grp).agg(F.count(F.lit(1)).alias("n_grp")) \
+        .where(evidence_regime(F.col("n_grp")) == "DIRECTIONAL").select(*grp)
+    b = base.join(sizes, grp, "left_semi")
+    rs = value_ranks(b, grp, "standalone_score", buckets)
+    rm = value_ranks(b, grp, "metric_value", buckets)
+    rows = (b.join(rs.select(*grp, "standalone_score", average_rank(rs).alias("rs")),
+                   grp + ["standalone_score"])
+            .join(rm.select(*grp, "metric_value", average_rank(rm).alias("rm")),
+                  grp + ["metric_value"]))
+    agg = rows.groupBy(*grp).agg(F.count(F.lit(1)).alias("n_ads"),
+                                 F.corr("rs", "rm").alias("rho"),
+                                 F.var_pop("rs").alias("vs"), F.var_pop("rm").alias("vm"))
     return agg.select(*grp, "n_ads",
                       C.r6(F.when((F.col("vs") > 0) & (F.col("vm") > 0), F.col("rho")))
                       .alias("spearman_rho"))

@@ -41,16 +41,31 @@ def query(name: str, sql: str | None = None, deps: list[str] | None = None):
 
 
 # Shared derived frames --------------------------------------------------------
+def shared(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
+    """Build a derived (view) frame once per Lake: the DataFrame object, and
+    its analysed plan, are reused by every query that needs it."""
+    def get(lk: Lake) -> DataFrame:
+        memo = lk.__dict__.setdefault("_views", {})
+        if fn.__name__ not in memo:
+            memo[fn.__name__] = fn(lk)
+        return memo[fn.__name__]
+    get.__name__ = fn.__name__
+    get.__doc__ = fn.__doc__
+    return get
+
+
 def silver_wide(lk: Lake) -> DataFrame:
     """The Silver chunk table (stored, partitioned by client)."""
     return lk.store.table("silver_wide", lambda: SV.silver_chunk_wide(lk.bronze),
                           partition_by=["client_id"], cluster_by=["asset_id", "chunk_sequence"])
 
 
+@shared
 def fact_chunk(lk: Lake) -> DataFrame:
     return SV.fact_chunk(silver_wide(lk))
 
 
+@shared
 def compat(lk: Lake) -> DataFrame:
     return SV.compatibility_bridge(silver_wide(lk))
 
@@ -348,31 +363,38 @@ def _perf_latest(lk: Lake) -> DataFrame:
                           cluster_by=["ad_id", "perf_date"])
 
 
+@shared
 def perf_fact(lk: Lake) -> DataFrame:
     return P.fact_ad_performance(_perf_latest(lk), lk.dim_platform(), lk.map_ad_asset)
 
 
+@shared
 def perf_kpi(lk: Lake) -> DataFrame:
     return P.ad_kpi(perf_fact(lk))
 
 
+@shared
 def perf_bridge(lk: Lake) -> DataFrame:
     return P.bridge_ad_chunk(lk.edit_decision_list, lk.perf_chunks)
 
 
+@shared
 def perf_anchors(lk: Lake) -> DataFrame:
     return AL.anchors(perf_kpi(lk), lk.dim_platform(), lk.map_ad_asset, lk.perf_assets)
 
 
+@shared
 def perf_alignment(lk: Lake) -> DataFrame:
     return AL.metric_chunk_alignment(perf_anchors(lk), perf_bridge(lk), perf_kpi(lk),
                                      tolerance_sec=ALIGN_TOLERANCE)
 
 
+@shared
 def perf_metric_chunk(lk: Lake) -> DataFrame:
     return AL.ad_metric_chunk(perf_alignment(lk), perf_kpi(lk), lk.perf_chunks)
 
 
+@shared
 def perf_mart(lk: Lake) -> DataFrame:
     return CO.chunk_perf_correlation(perf_metric_chunk(lk))
 
@@ -775,6 +797,7 @@ CTE_PLAN = "plan"
 O.cte(CTE_PLAN, _PLAN_SQL, ["manifest", "dclient"])
 
 
+@shared
 def retention(lk: Lake) -> DataFrame:
     return RT.retention_plan(lk.landing_objects, lk.dim_client, lk.bronze, TD.RETENTION_NOW)
 
@@ -812,6 +835,7 @@ SELECT CAST(event_id AS VARCHAR) AS run_id, CAST(user_id AS VARCHAR) AS asset_id
 FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""")
 
 
+@shared
 def run_log(lk: Lake) -> DataFrame:
     return TM.parse_run_log(lk.run_log_json)
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from reelmart import schemas as S
 from reelmart.functions import columns as C
+from reelmart.functions.ranks import previous_in_group
 from reelmart.sources.store import LayerStore
 
 # ---------------------------------------------------------------- FIXED VALUES
@@ -123,9 +124,10 @@ class Lake:
              .withColumn("landing_key", key)
              .withColumn("source_uri", C.source_uri(WORKSPACE, LAKEHOUSE, key))
              .withColumn("ingested_at", F.col("modified_at")))
-        prev = F.lag("asset_id").over(Window.partitionBy("client_id", "lang").orderBy("doc_id"))
+        # previous asset of the same client and language (skew-safe lag)
+        m = previous_in_group(m, ["client_id", "lang"], "doc_id", "asset_id")
         return m.withColumn("parent_asset_id",
-                            F.when(F.col("asset_type") == "EDITED", prev))
+                            F.when(F.col("asset_type") == "EDITED", F.col("_prev"))).drop("_prev")
 
     @staticmethod
     def _chunk_struct(doc: Column, seq: Column, line: Column, score_shift: Column | None = None
@@ -373,7 +375,7 @@ class Lake:
 
     def dim_platform(self) -> DataFrame:
         """Platform seed: two literal rows (size bound is the literal)."""
-        return self.spark.createDataFrame(S.PLATFORM_SEED, S.SEED_SCHEMAS["dim_platform"])
+        return C.literal_table(self.spark, S.PLATFORM_SEED, S.SEED_SCHEMAS["dim_platform"])
 
     # -------------------------------------------------------------- other
     @cached_property
@@ -396,8 +398,9 @@ class Lake:
                         .alias("value"))
 
     def price_table(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            PRICE_TABLE, "model_version STRING, price_in_micro BIGINT, price_out_micro BIGINT")
+        return C.literal_table(
+            self.spark, PRICE_TABLE,
+            "model_version STRING, price_in_micro BIGINT, price_out_micro BIGINT")
 
     @cached_property
     def events(self) -> DataFrame:
