@@ -16,6 +16,9 @@ from reelmart import schemas as S
 
 PERF_METRICS = ["hook_rate", "hold_rate_25", "hold_rate_50", "retention_75", "retention_100",
                 "ctr_link"]
+# FIXED VALUES: metric owned by each hold milestone (percent of duration).
+MILESTONE_METRICS = {25: "hold_rate_25", 50: "hold_rate_50", 75: "retention_75",
+                     100: "retention_100"}
 
 
 def ad_platforms(fact: DataFrame) -> DataFrame:
@@ -26,21 +29,32 @@ def ad_platforms(fact: DataFrame) -> DataFrame:
     return fact.select("ad_id", "platform_id").distinct()
 
 
+def milestones(platforms: DataFrame) -> DataFrame:
+    """Platform seed's packed milestone list ("25,50,75,100") -> one row per
+    (platform, metric, share of duration)."""
+    names = F.create_map(*[x for pct, name in MILESTONE_METRICS.items()
+                           for x in (F.lit(pct), F.lit(name))])
+    ms = F.transform(F.split("hold_milestones", ","), lambda x: F.trim(x).cast("int"))
+    return (platforms.select("platform_id", F.explode(ms).alias("pct"))
+            .select("platform_id", F.try_element_at(names, F.col("pct")).alias("metric_name"),
+                    (F.col("pct") / 100.0).alias("share"))
+            .where(F.col("metric_name").isNotNull()))
+
+
 def anchors(fact: DataFrame, platforms: DataFrame, ad_map: DataFrame,
             assets: DataFrame) -> DataFrame:
-    """Anchor second per (ad, platform, metric): the hook window, or a share
-    of the edited asset's duration (metric list literal, exploded)."""
+    """Anchor second per (ad, platform, metric): the platform's hook window,
+    or a milestone share of the edited asset's duration. Both platform-side
+    inputs come from the literal platform seed (a bounded broadcast)."""
     ap = ad_platforms(fact)
     hook = ap.join(F.broadcast(platforms.select("platform_id", "hook_window_sec")),
                    "platform_id").select(
         "ad_id", "platform_id", F.lit("hook_rate").alias("metric_name"),
         F.col("hook_window_sec").cast("double").alias("anchor_sec"))
-    metrics = F.explode(F.array(*[F.struct(F.lit(n).alias("metric_name"), F.lit(p).alias("pct"))
-                                  for n, p in S.DURATION_METRICS]))
     dur = (ap.join(ad_map, "ad_id").join(assets.select("asset_id", "duration_sec"), "asset_id")
-           .select("ad_id", "platform_id", "duration_sec", metrics.alias("m"))
-           .select("ad_id", "platform_id", F.col("m.metric_name").alias("metric_name"),
-                   (F.col("m.pct") * F.col("duration_sec")).alias("anchor_sec")))
+           .join(F.broadcast(milestones(platforms)), "platform_id")
+           .select("ad_id", "platform_id", "metric_name",
+                   (F.col("share") * F.col("duration_sec")).alias("anchor_sec")))
     return hook.unionByName(dur)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmart.sources.scratch import can_checkpoint
+
 
 def lineage_edges(assets: DataFrame) -> DataFrame:
     """RAW/EDITED -> EDITED edges; navigation only, never carries metrics."""
@@ -25,7 +27,7 @@ def lineage_closure(assets: DataFrame, max_depth: int = 10, checkpoint_every: in
     frontier = edges.select(F.col("mid").alias("asset_id"), F.col("up").alias("ancestor_id"),
                             F.lit(1).alias("depth"))
     levels = [frontier]
-    can_cut = assets.sparkSession.sparkContext.getCheckpointDir() is not None
+    can_cut = can_checkpoint(assets.sparkSession)
     for d in range(2, max_depth + 1):
         frontier = (frontier.join(edges, frontier["ancestor_id"] == edges["mid"])
                     .select("asset_id", F.col("up").alias("ancestor_id"), F.lit(d).alias("depth")))

@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelmart import schemas as S
 from reelmart.operators import assemble as A
 from reelmart.operators import ingest as I
 from reelmart.operators import search as SR
 from reelmart.operators import silver as SV
 from reelmart.plans import oracle as O
+from reelmart.session import apply_core_conf
 from reelmart.sources.testdata import Lake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +29,7 @@ _LAKES: dict[tuple[int, str], Lake] = {}
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     key = (id(spark), sf_dir)
     if key not in _LAKES:
+        apply_core_conf(spark)   # UTC, ANSI, AQE on a session built elsewhere
         _LAKES[key] = Lake(spark, sf_dir)
     return _LAKES[key]
 
@@ -674,9 +677,11 @@ SELECT check_name, severity, CAST(n AS BIGINT) AS n_orphans, n = 0 AS passed FRO
   UNION ALL SELECT 'ad mapped to an asset', 'CRITICAL', count(DISTINCT ad_id)
   FROM perf_latest l WHERE l.ad_id NOT IN (SELECT ad_id FROM map_ad_asset)
   UNION ALL SELECT 'ad has at least one chunk', 'CRITICAL', count(DISTINCT ad_id)
-  FROM fact_perf f WHERE f.ad_id NOT IN (SELECT ad_id FROM bridge_ad_chunk))""",
+  FROM fact_perf f WHERE f.ad_id NOT IN (SELECT ad_id FROM bridge_ad_chunk)
+  UNION ALL SELECT 'pull with unknown platform tag', 'HIGH', count(*)
+  FROM perf_pulls WHERE platform_name NOT IN ('meta', 'tiktok'))""",
        ["fact_chunk", "manifest", "compat_bridge", "dclient", "edl", "pchunk", "fact_perf",
-        "passet", "perf_latest", "map_ad_asset", "bridge_ad_chunk"])
+        "passet", "perf_latest", "map_ad_asset", "bridge_ad_chunk", "perf_pulls"])
 def _referential_report(lk: Lake) -> DataFrame:
     fc, bridge, fact = fact_chunk(lk), perf_bridge(lk), perf_fact(lk)
     edited = lk.perf_assets.where(F.col("asset_type") == "EDITED")
@@ -695,6 +700,8 @@ def _referential_report(lk: Lake) -> DataFrame:
          Q.orphans(fact, "asset_id", edited)),
         ("ad mapped to an asset", "CRITICAL", unmapped),
         ("ad has at least one chunk", "CRITICAL", chunkless),
+        ("pull with unknown platform tag", "HIGH",
+         lk.perf_pulls.where(~F.col("platform_native").isin(*S.PLATFORMS))),
     ])
 
 

@@ -63,6 +63,23 @@ def bronze_append(new_rows: DataFrame, bronze_path: str) -> int:
     return n
 
 
+def manifest_append(new_assets: DataFrame, manifest_path: str) -> int:
+    """Append only assets the manifest does not know (left anti on asset_id),
+    so re-running an ingest adds nothing. Returns rows appended."""
+    spark = new_assets.sparkSession
+    try:
+        known = spark.read.parquet(manifest_path).select("asset_id")
+        fresh = new_assets.join(known, "asset_id", "left_anti")
+    except Exception:  # first run: no manifest yet
+        fresh = new_assets
+    fresh = fresh.persist()
+    n = fresh.count()
+    if n:
+        fresh.write.mode("append").parquet(manifest_path)
+    fresh.unpersist()
+    return n
+
+
 def write_silver(df: DataFrame, path: str) -> None:
     """Silver write: partitioned by client, dynamic partition overwrite (a run
     for one client never erases another), rows clustered by asset and

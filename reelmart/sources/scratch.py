@@ -13,10 +13,25 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` of the session (or the context's checkpoint
+    dir), None when unset or not reachable from this client."""
+    try:
+        return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+                or spark.sparkContext.getCheckpointDir())
+    except Exception:  # e.g. a Connect client has no SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def can_checkpoint(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.getCheckpointDir() is not None
+    except Exception:
+        return False
+
+
 def scratch_root(spark: SparkSession) -> str:
-    base = (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getCheckpointDir()
-            or spark.conf.get("spark.sql.warehouse.dir"))
+    base = configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
     return base.rstrip("/")
 
 

@@ -63,3 +63,32 @@ def test_stream_matches_batch_twin(spark):
     s = sorted(map(tuple, E.queries()["stream_daily_counts"](spark, SF_SMALL).collect()))
     b = sorted(map(tuple, E.queries()["daily_counts"](spark, SF_SMALL).collect()))
     assert s == b
+
+
+def test_manifest_append_is_idempotent(spark):
+    from reelmart.plans.registry import lake
+    from reelmart.operators import ingest as I
+    from reelmart.sources import files as FS
+    from reelmart.sources.scratch import new_scratch
+    lk = lake(spark, SF_SMALL)
+    path = new_scratch(spark, "manifest-test")
+    new = I.ingest_new_assets(lk.deliveries, lk.deliveries.limit(0))
+    n = FS.manifest_append(new, path)
+    assert n == lk.manifest.count()
+    assert FS.manifest_append(new, path) == 0
+
+
+def test_binaryfile_listing_and_hash(spark, tmp_path):
+    import hashlib
+    from reelmart.sources import files as FS
+    root = tmp_path / "landing" / "c1" / "video"
+    root.mkdir(parents=True)
+    blobs = {"a.mp4": b"abc", "b.mov": b"hello world"}
+    for name, data in blobs.items():
+        (root / name).write_bytes(data)
+    listing = FS.landing_listing(spark, str(tmp_path / "landing"))
+    assert "content" not in listing.columns
+    assert sorted(r.length for r in listing.collect()) == [3, 11]
+    got = {r.path.rsplit("/", 1)[1]: r.content_sha256
+           for r in FS.content_hashes(spark, str(tmp_path / "landing")).collect()}
+    assert got == {k: hashlib.sha256(v).hexdigest() for k, v in blobs.items()}
