@@ -87,23 +87,41 @@ def dim_asset(manifest: DataFrame, band: int = S.NEAR_DUP_BAND_SEC) -> DataFrame
 
 
 def near_dup_pairs(manifest: DataFrame, band: int = S.NEAR_DUP_BAND_SEC) -> DataFrame:
-    """Candidate near-duplicate pairs: same client, folder and stem, duration
-    within ``band`` s. Band join: equi keys plus a duration bucket of width
-    ``band``; the left side probes its own and the two neighbour buckets, so
-    no group is ever crossed with itself in full."""
+    """Near-duplicate candidates: for each asset, how many assets of the same
+    client, folder and name stem lie within ``band`` seconds of duration, and
+    which one is nearest (smallest gap, then shorter duration, then asset id).
+
+    Linear: the work runs over distinct durations per group (a range window
+    over per-duration counts and lag/lead for the neighbouring durations),
+    never over pairs, so a hot stem with thousands of equal durations costs
+    one row per duration, not one per pair.
+    """
+    keys = ["client_id", "folder", "stem"]
     m = (manifest.where(F.col("duration_sec").isNotNull())
-         .select("asset_id", "client_id", "folder", F.col("duration_sec").alias("d"),
-                 _stem(F.col("asset_name")).alias("stem"))
-         .withColumn("bucket", F.floor(F.col("d") / band)))
-    left = m.withColumn("probe", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"),
-                                                   F.col("bucket") + 1)))
-    a, b = left.alias("a"), m.alias("b")
-    cond = ((F.col("a.client_id") == F.col("b.client_id")) & (F.col("a.folder") == F.col("b.folder"))
-            & (F.col("a.stem") == F.col("b.stem")) & (F.col("a.probe") == F.col("b.bucket"))
-            & (F.col("a.asset_id") < F.col("b.asset_id"))
-            & (F.abs(F.col("a.d") - F.col("b.d")) <= band))
-    return a.join(b, cond).select(
-        F.col("a.client_id").alias("client_id"), F.col("a.folder").alias("folder"),
-        F.col("a.stem").alias("stem"),
-        F.col("a.asset_id").alias("asset_a"), F.col("b.asset_id").alias("asset_b"),
-        F.abs(F.col("a.d") - F.col("b.d")).alias("duration_gap_sec"))
+         .select("asset_id", "client_id", "folder", "duration_sec",
+                 _stem(F.col("asset_name")).alias("stem")))
+    kd = keys + ["duration_sec"]
+    per_d = m.groupBy(*kd).agg(F.count(F.lit(1)).alias("n"), F.min("asset_id").alias("a1"))
+    second = (m.join(per_d.select(*kd, "a1"), kd).where(F.col("asset_id") != F.col("a1"))
+              .groupBy(*kd).agg(F.min("asset_id").alias("a2")))
+    band_w = Window.partitionBy(*keys).orderBy("duration_sec").rangeBetween(-band, band)
+    order_w = Window.partitionBy(*keys).orderBy("duration_sec")
+    per_d = (per_d.join(second, kd, "left")
+             .withColumn("n_band", F.sum("n").over(band_w))
+             .withColumn("prev_d", F.lag("duration_sec").over(order_w))
+             .withColumn("prev_a", F.lag("a1").over(order_w))
+             .withColumn("next_d", F.lead("duration_sec").over(order_w))
+             .withColumn("next_a", F.lead("a1").over(order_w)))
+    r = m.join(per_d, kd)
+    same = F.when(F.col("asset_id") == F.col("a1"), F.col("a2")).otherwise(F.col("a1"))
+    gp = F.col("duration_sec") - F.col("prev_d")
+    gn = F.col("next_d") - F.col("duration_sec")
+    use_prev = gp.isNotNull() & (gn.isNull() | (gp <= gn))
+    nearest_a = F.when(same.isNotNull(), same).when(use_prev, F.col("prev_a")) \
+        .otherwise(F.col("next_a"))
+    nearest_gap = F.when(same.isNotNull(), F.lit(0)).when(use_prev, gp).otherwise(gn)
+    return (r.withColumn("n_near_dups", F.col("n_band") - 1)
+            .where(F.col("n_near_dups") > 0)
+            .select("asset_id", "client_id", "folder", "stem", "duration_sec", "n_near_dups",
+                    nearest_a.alias("nearest_asset_id"),
+                    nearest_gap.cast("int").alias("nearest_gap_sec")))

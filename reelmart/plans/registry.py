@@ -198,13 +198,17 @@ def _dim_asset(lk: Lake) -> DataFrame:
 
 
 @query("near_dup_pairs", """
-SELECT a.client_id, a.folder, split_part(a.asset_name, '-', 1) AS stem,
-       a.asset_id AS asset_a, b.asset_id AS asset_b,
-       abs(a.duration_sec - b.duration_sec) AS duration_gap_sec
-FROM manifest a JOIN manifest b
-  ON a.client_id = b.client_id AND a.folder = b.folder
- AND split_part(a.asset_name, '-', 1) = split_part(b.asset_name, '-', 1)
- AND a.asset_id < b.asset_id AND abs(a.duration_sec - b.duration_sec) <= 5""", ["manifest"])
+SELECT asset_id, client_id, folder, stem, duration_sec, count(*) AS n_near_dups,
+       first(b_id ORDER BY gap, b_d, b_id) AS nearest_asset_id,
+       CAST(min(gap) AS INTEGER) AS nearest_gap_sec
+FROM (SELECT a.asset_id, a.client_id, a.folder, split_part(a.asset_name, '-', 1) AS stem,
+             a.duration_sec, b.asset_id AS b_id, b.duration_sec AS b_d,
+             abs(a.duration_sec - b.duration_sec) AS gap
+      FROM manifest a JOIN manifest b
+        ON a.client_id = b.client_id AND a.folder = b.folder
+       AND split_part(a.asset_name, '-', 1) = split_part(b.asset_name, '-', 1)
+       AND a.asset_id <> b.asset_id AND abs(a.duration_sec - b.duration_sec) <= 5)
+GROUP BY 1, 2, 3, 4, 5""", ["manifest"])
 def _near_dup_pairs(lk: Lake) -> DataFrame:
     return I.near_dup_pairs(lk.manifest)
 
