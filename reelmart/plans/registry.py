@@ -358,10 +358,11 @@ from reelmart.operators import significance as SG  # noqa: E402
 ALIGN_TOLERANCE = O.ALIGN_TOLERANCE
 
 
+@shared
 def perf_unioned(lk: Lake) -> DataFrame:
-    """Silver int_ad_perf_unioned (stored)."""
-    return lk.store.table("perf_unioned", lambda: P.ad_perf_unioned(
-        lk.perf_native("meta"), lk.perf_native("tiktok")), cluster_by=["ad_id", "perf_date"])
+    """int_ad_perf_unioned: each platform's stored raw pulls conformed and
+    unioned (a view; the deduplicated form below is the stored Silver)."""
+    return P.ad_perf_unioned(lk.perf_native("meta"), lk.perf_native("tiktok"))
 
 
 def _perf_latest(lk: Lake) -> DataFrame:

@@ -83,9 +83,9 @@ def manifest_append(new_assets: DataFrame, manifest_path: str) -> int:
 def write_silver(df: DataFrame, path: str) -> None:
     """Silver write: partitioned by client, dynamic partition overwrite (a run
     for one client never erases another), rows clustered by asset and
-    sequence inside each task instead of a global sort. No shuffle: a hot
-    client is written by all tasks, not funnelled into one."""
-    (df.sortWithinPartitions("client_id", "asset_id", "chunk_sequence")
+    sequence inside each task instead of a global sort. ``REBALANCE`` lets
+    AQE size the write tasks and split a hot client over several of them."""
+    (df.hint("rebalance", "client_id").sortWithinPartitions("client_id", "asset_id", "chunk_sequence")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("client_id").parquet(path))
 

@@ -27,14 +27,15 @@ class LayerStore:
               cluster_by: list[str] | None = None) -> DataFrame:
         """Write ``build()`` once and return the stored table.
 
-        No shuffle on write: rows are clustered inside each task
-        (``sortWithinPartitions``) so each task writes one file per
-        partition value; a hot partition value is spread over all tasks
-        instead of landing on one.
+        The write goes through a ``REBALANCE`` on the partition columns: AQE
+        sizes the output tasks from the data (small tasks merge, a hot
+        client's partition is split across several tasks), so files are
+        neither tiny nor skewed; rows are clustered inside each task.
         """
         if name not in self.tables:
             df = build()
             schema = df.schema
+            df = df.hint("rebalance", *(partition_by or []))
             order = (partition_by or []) + (cluster_by or [])
             if order:
                 df = df.sortWithinPartitions(*order)

@@ -221,9 +221,7 @@ class Lake:
         ep = F.col("l_extendedprice")
         plays = ep * (F.lit(0.2) + F.col("l_discount"))
         fl = lambda c: F.floor(c).cast("bigint")
-        return (li.groupBy(F.col("l_suppkey").cast("string").alias("ad_id"),
-                           F.when(F.col("l_linestatus") == "O", "meta").otherwise("tiktok")
-                           .alias("platform_native"),
+        return (li.groupBy("l_suppkey", "l_linestatus",
                            F.to_date("l_shipdate").alias("perf_date"))
                 .agg(F.sum(fl(ep)).alias("impressions"),
                      F.sum(fl(plays)).alias("plays_3s"),
@@ -234,7 +232,11 @@ class Lake:
                      F.sum(fl(F.col("l_quantity")) * 60).alias("sum_watch_time_sec"),
                      F.sum(fl(ep * 0.02)).alias("link_clicks"),
                      F.count_if(F.col("l_returnflag") == "R").alias("results"),
-                     F.sum(fl(ep * F.col("l_tax"))).alias("spend")))
+                     F.sum(fl(ep * F.col("l_tax"))).alias("spend"))
+                .withColumn("ad_id", F.col("l_suppkey").cast("string"))
+                .withColumn("platform_native",
+                            F.when(F.col("l_linestatus") == "O", "meta").otherwise("tiktok"))
+                .drop("l_suppkey", "l_linestatus"))
 
     @stored_layer(cluster_by=["ad_id", "perf_date"])
     def perf_pulls(self) -> DataFrame:
