@@ -397,9 +397,13 @@ def perf_alignment(lk: Lake) -> DataFrame:
                                      tolerance_sec=ALIGN_TOLERANCE)
 
 
-@shared
 def perf_metric_chunk(lk: Lake) -> DataFrame:
-    return AL.ad_metric_chunk(perf_alignment(lk), perf_kpi(lk), lk.perf_chunks)
+    """fct_ad_metric_chunk, one row per (ad, platform, metric). Stored: the
+    mart, its median and the significance tests each read it several times,
+    and re-running the alignment lineage for every read costs more than
+    writing one row per ad and metric."""
+    return lk.store.table("perf_metric_chunk", lambda: AL.ad_metric_chunk(
+        perf_alignment(lk), perf_kpi(lk), lk.perf_chunks), cluster_by=["platform_id", "metric_name"])
 
 
 @shared
@@ -751,6 +755,12 @@ SELECT DISTINCT asset_id, item FROM (
   SELECT asset_id, 'k:' || kw FROM (SELECT asset_id, unnest(keywords) AS kw FROM {t}))"""
 
 
+def silver_run2(lk: Lake) -> DataFrame:
+    """Every parsed chunk of the second extraction run (stored, like Silver)."""
+    return lk.store.table("silver_run2", lambda: parsed_run(lk.bronze_run2),
+                          partition_by=["client_id"], cluster_by=["asset_id", "chunk_sequence"])
+
+
 @query("golden_gate", f"""
 , it1 AS ({_ITEMS.format(t='silver')}),
 it2 AS ({_ITEMS.format(t='silver2')}),
@@ -770,7 +780,7 @@ SELECT m.client_id, count(*) AS n_assets, round(avg(j.j), 6) AS mean_jaccard,
 FROM jac j LEFT JOIN sc ON sc.asset_id = j.asset_id JOIN manifest m ON m.asset_id = j.asset_id
 GROUP BY 1""", ["silver", "silver2", "manifest"])
 def _golden_gate(lk: Lake) -> DataFrame:
-    return Q.golden_gate(parsed_run(lk.bronze), parsed_run(lk.bronze_run2), lk.manifest)
+    return Q.golden_gate(silver_wide(lk), silver_run2(lk), lk.manifest)
 
 
 @query("drift_report", """
@@ -790,7 +800,7 @@ FROM (SELECT coalesce(a.asset_id, b.asset_id) AS asset_id, a.in1, b.in2, a.s1, b
         ON a.asset_id = b.asset_id AND a.chunk_sequence = b.chunk_sequence)
 GROUP BY 1""", ["silver", "silver2"])
 def _drift_report(lk: Lake) -> DataFrame:
-    return Q.drift_report(parsed_run(lk.bronze), parsed_run(lk.bronze_run2))
+    return Q.drift_report(silver_wide(lk), silver_run2(lk))
 
 
 _PLAN_SQL = """
@@ -1117,7 +1127,7 @@ def _stream_daily_counts(lk: Lake) -> DataFrame:
 def build_layers(lk: Lake) -> None:
     """Build every stored Bronze/Silver layer once (the transform step)."""
     for layer in (lambda: lk.manifest, lambda: lk.dim_client, lambda: silver_wide(lk),
-                  lambda: lk.bronze_run2, lambda: lk.bronze_damaged,
+                  lambda: silver_run2(lk), lambda: lk.bronze_damaged,
                   lambda: _perf_latest(lk), lambda: lk.edit_decision_list,
                   lambda: lk.perf_chunks, lambda: lk.perf_assets, lambda: lk.map_ad_asset):
         layer()
