@@ -183,7 +183,7 @@ class Lake:
         """Clean Bronze (run 1): the input of Silver."""
         return self._responses(1).drop("doc_id")
 
-    @stored_layer(partition_by=["client_id"], cluster_by=["asset_id"])
+    @cached_property
     def bronze_run2(self) -> DataFrame:
         return self._responses(2).drop("doc_id")
 
@@ -238,7 +238,7 @@ class Lake:
                             F.when(F.col("l_linestatus") == "O", "meta").otherwise("tiktok"))
                 .drop("l_suppkey", "l_linestatus"))
 
-    @stored_layer(cluster_by=["ad_id", "perf_date"])
+    @cached_property
     def perf_pulls(self) -> DataFrame:
         """Two pulls per day: a partial one (90 %, day + 1) and the final (day + 3).
 

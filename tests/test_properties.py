@@ -92,3 +92,26 @@ def test_binaryfile_listing_and_hash(spark, tmp_path):
     got = {r.path.rsplit("/", 1)[1]: r.content_sha256
            for r in FS.content_hashes(spark, str(tmp_path / "landing")).collect()}
     assert got == {k: hashlib.sha256(v).hexdigest() for k, v in blobs.items()}
+
+
+def test_stream_upsert_ignores_arrival_order(spark):
+    """A restatement that lands before the pull it restates still wins by
+    load time, not by arrival."""
+    from datetime import date, datetime
+    from reelmart.operators import perf as P
+    from reelmart.sources.scratch import new_scratch
+    from reelmart.streaming import streams as ST
+    cols = ("ad_id STRING, perf_date DATE, impressions BIGINT, plays_3s BIGINT, "
+            "plays_25 BIGINT, plays_50 BIGINT, plays_75 BIGINT, plays_100 BIGINT, "
+            "sum_watch_time_sec BIGINT, play_count BIGINT, link_clicks BIGINT, results BIGINT, "
+            "spend BIGINT, load_ts TIMESTAMP, platform_name STRING")
+    final = [("a", date(2024, 1, 1)) + (100,) * 11 + (datetime(2024, 1, 4), "meta")]
+    early = [("a", date(2024, 1, 1)) + (90,) * 11 + (datetime(2024, 1, 2), "meta"),
+             ("b", date(2024, 1, 1)) + (7,) * 11 + (datetime(2024, 1, 2), "meta")]
+    root = new_scratch(spark, "upsert-test")
+    spark.createDataFrame(final, cols).write.parquet(f"{root}/pulls/a")   # restatement first
+    spark.createDataFrame(early, cols).write.parquet(f"{root}/pulls/b")   # stale pull later
+    out = ST.stream_perf_upsert(spark, f"{root}/pulls/*", cols, f"{root}/t", f"{root}/_ck",
+                                P.latest_pull)
+    got = {r.ad_id: r.impressions for r in out.collect()}
+    assert got == {"a": 100, "b": 7}
