@@ -44,7 +44,7 @@ def mann_whitney(metric_chunk: DataFrame, mart: DataFrame | None = None,
     n1, n2, n = F.col("n1").cast("double"), (F.col("n_total") - F.col("n1")).cast("double"), \
         F.col("n_total").cast("double")
     u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
-    var = n1 * n2 / 12.0 * ((n + 1) - F.col("tie_sum") / (n * (n - 1)))
+    var = n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie_sum"), n * (n - 1)))
     sigma = F.when(var > 0, F.sqrt(var))
     z = F.greatest(F.abs(u1 - n1 * n2 / 2.0) - 0.5, F.lit(0.0)) / sigma
     tested = (F.col("evidence_regime") == "SUGGESTIVE") & (n2 >= S.BLOCK_BELOW) & sigma.isNotNull()
@@ -76,8 +76,11 @@ def spearman_directional(metric_chunk: DataFrame, mart: DataFrame | None = None,
                    grp + ["standalone_score"])
             .join(rm.select(*grp, "metric_value", average_rank(rm).alias("rm")),
                   grp + ["metric_value"]))
+    # Pearson on ranks written out (corr() raises under ANSI when a group's
+    # ranks are constant; here a zero spread gives NULL)
     agg = rows.groupBy(*grp).agg(F.count(F.lit(1)).alias("n_ads"),
-                                 F.corr("rs", "rm").alias("rho"),
+                                 F.try_divide(F.covar_pop("rs", "rm"),
+                                              F.stddev_pop("rs") * F.stddev_pop("rm")).alias("rho"),
                                  F.var_pop("rs").alias("vs"), F.var_pop("rm").alias("vm"))
     return agg.select(*grp, "n_ads",
                       C.r6(F.when((F.col("vs") > 0) & (F.col("vm") > 0), F.col("rho")))
