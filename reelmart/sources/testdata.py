@@ -115,7 +115,7 @@ class Lake:
     @stored_layer()
     def manifest(self) -> DataFrame:
         """Asset manifest (one row per asset), with lineage parents for EDITED."""
-        a = self.landed_assets
+        a = self.landed_assets.drop("text")   # bytes stay in the landing layer
         ext = C.extension(F.col("asset_name"))
         key = C.landing_key(F.col("client_id"), F.col("asset_id"), ext)
         m = (a.withColumn("asset_type", C.asset_type_from_folder(F.col("folder")))
