@@ -135,7 +135,7 @@ def _list_new_assets(lk: Lake) -> DataFrame:
 
 
 @query("cross_client_copies", """
-SELECT content_sha256, count(*) AS n_clients, sum(n) AS n_deliveries
+SELECT content_sha256, count(*) AS n_clients, CAST(sum(n) AS BIGINT) AS n_deliveries
 FROM (SELECT content_sha256, client_id, count(*) AS n FROM deliv GROUP BY 1, 2)
 GROUP BY 1 HAVING count(*) > 1""", ["deliv"])
 def _cross_client_copies(lk: Lake) -> DataFrame:
