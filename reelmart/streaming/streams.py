@@ -37,40 +37,61 @@ def stream_new_assets(spark: SparkSession, source_dir: str, schema: str, sink_di
     return spark.read.parquet(sink_dir)
 
 
-class VersionedTable:
-    """A table rewritten per micro-batch into a new version folder.
-
-    Each batch reads the previous version and writes the merged result to
-    ``<root>/v=<epoch>``; a failed batch leaves the previous version intact
-    and a replayed epoch rewrites the same folder (idempotent).
+class PartitionedUpsertTable:
+    """A table partitioned by the month of ``date_col`` that each micro-batch
+    merges into.
+
+    Per batch, only the months the batch touches are read (a semi join on the
+    batch's months, pruned at run time), merged with the batch, staged under
+    ``_staging/epoch=<n>`` and swapped in with dynamic partition overwrite.
+    Work per batch grows with the months a batch restates, not with the
+    table. A failed batch leaves the table as it was; a replayed epoch
+    restages and rewrites the same partitions with the same rows.
     """
 
-    def __init__(self, root: str):
-        self.root = root
-        self.current: str | None = None
+    part_col = "_month"
+
+    def __init__(self, root: str, date_col: str):
+        self.path = f"{root}/table"
+        self.staging = f"{root}/_staging"
+        self.month = F.date_format(F.col(date_col), "yyyy-MM")
+        self.schema = None
 
     def merge(self, batch: DataFrame, epoch: int,
               combine: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
         spark = batch.sparkSession
-        prev = spark.read.parquet(self.current) if self.current else None
-        out = f"{self.root}/v={epoch:08d}"
         batch.persist()
         try:
-            combine(prev, batch).write.mode("overwrite").parquet(out)
+            prev = None
+            if self.schema is not None:
+                touched = batch.select(self.month.alias(self.part_col)).distinct()
+                prev = (spark.read.schema(self.schema).parquet(self.path)
+                        .join(touched, self.part_col, "left_semi").drop(self.part_col))
+            merged = combine(prev, batch)
+            merged = merged.withColumn(self.part_col, self.month)
+            self.schema = self.schema or merged.schema
+            stage = f"{self.staging}/epoch={epoch:08d}"
+            merged.write.mode("overwrite").parquet(stage)
         finally:
             batch.unpersist()
-        self.current = out
+        (spark.read.schema(self.schema).parquet(stage).hint("rebalance", self.part_col)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.part_col).parquet(self.path))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path).drop(self.part_col)
 
 
 def upsert_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: str,
-                  combine: Callable[[DataFrame | None, DataFrame], DataFrame],
+                  combine: Callable[[DataFrame | None, DataFrame], DataFrame], date_col: str,
                   output_mode: str = "append", name: str = "upsert") -> DataFrame:
-    """Drive ``source`` through ``foreachBatch`` merges into a versioned table."""
-    table = VersionedTable(root)
+    """Drive ``source`` through ``foreachBatch`` merges into a table
+    partitioned by the month of ``date_col``."""
+    table = PartitionedUpsertTable(root, date_col)
     _run(source.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
          .foreachBatch(lambda df, epoch: table.merge(df, epoch, combine)),
          f"{name}_{abs(hash(root)) % 10**8}")
-    return spark.read.parquet(table.current)
+    return table.read(spark)
 
 
 def stream_perf_upsert(spark: SparkSession, source_dir: str, schema: str, root: str,
@@ -84,7 +105,7 @@ def stream_perf_upsert(spark: SparkSession, source_dir: str, schema: str, root:
     def combine(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
         return latest(batch if prev is None else prev.unionByName(batch))
 
-    return upsert_stream(spark, src, root, checkpoint, combine, name="perf_upsert")
+    return upsert_stream(spark, src, root, checkpoint, combine, "perf_date", name="perf_upsert")
 
 
 def stream_daily_counts(spark: SparkSession, events_dir: str, file_glob: str, schema: str,
@@ -109,7 +130,7 @@ def stream_daily_counts(spark: SparkSession, events_dir: str, file_glob: str, sc
             return batch
         return prev.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
 
-    return upsert_stream(spark, agg, root, checkpoint, combine, output_mode="update",
+    return upsert_stream(spark, agg, root, checkpoint, combine, "day", output_mode="update",
                          name="daily_counts")
 
 
