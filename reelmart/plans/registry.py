@@ -214,7 +214,7 @@ def _near_dup_pairs(lk: Lake) -> DataFrame:
 
 
 O.cte("bgate", """
-SELECT b.asset_id, b.client_id, 'm-flash-1' AS model_version,
+SELECT b.asset_id, b.client_id, 'model-a1' AS model_version,
        CAST(CASE WHEN b.asset_reason = 'unparsable' THEN NULL
                  WHEN b.asset_reason = 'empty' THEN 0
                  ELSE (SELECT count(*) FROM chunkall c WHERE c.asset_id = b.asset_id) END
@@ -1014,7 +1014,7 @@ def _perf_raw_capture(lk: Lake) -> DataFrame:
 
 
 @query("bronze_append", """
-SELECT a.asset_id, a.client_id, 'm-flash-1' AS model_version,
+SELECT a.asset_id, a.client_id, 'model-a1' AS model_version,
        CAST(count(c.chunk_id) AS INTEGER) AS chunk_count
 FROM asset1 a LEFT JOIN chunkall c ON c.asset_id = a.asset_id
 WHERE a.doc_id % 13 <> 0 GROUP BY 1, 2""", ["asset1", "chunkall"])

@@ -29,8 +29,8 @@ WORKSPACE, LAKEHOUSE = "creative-ws", "creative_lh"
 LANDING_EPOCH = "2024-01-01"
 RETENTION_NOW = "2024-02-15 00:00:00"
 PRIOR_RUN_CUTOFF = "2024-02-01 00:00:00"
-MODEL_V1, PROMPT_V1 = "m-flash-1", "p1"
-MODEL_V2, PROMPT_V2 = "m-flash-2", "p2"
+MODEL_V1, PROMPT_V1 = "model-a1", "p1"
+MODEL_V2, PROMPT_V2 = "model-a2", "p2"
 # micro-dollars per 1,000 tokens, by model version: (input, output)
 PRICE_TABLE = [("m0", 75, 300), ("m1", 150, 600), ("m2", 1250, 5000)]
 # ------------------------------------------------------------ end FIXED VALUES
