@@ -17,7 +17,8 @@ def search_clips(chunks: DataFrame, assets: DataFrame, theme: str | None = None,
 
     Equality filters are applied on the chunk side before the join so they
     reach the scan; the text test is a literal, case-insensitive substring.
-    Client scoping is a filter on the asset side of the join.
+    Client scoping filters the asset side and, when the chunk frame carries
+    the tenant (stored Silver does), prunes the chunk scan to that partition.
     """
     c = chunks
     if theme is not None:
@@ -31,6 +32,12 @@ def search_clips(chunks: DataFrame, assets: DataFrame, theme: str | None = None,
     a = assets.select("asset_id", "asset_name", "client_id")
     if client_id is not None:
         a = a.where(F.col("client_id") == client_id)
+        if "client_id" in c.columns:
+            # Silver is partitioned by client: scope the chunk side too, so the
+            # scan reads one client's partition instead of all of them
+            c = c.where(F.col("client_id") == client_id)
+    if "client_id" in c.columns:
+        c = c.drop("client_id")
     return (c.join(a, "asset_id")
             .select("chunk_id", "asset_id", "client_id", "asset_name", "start_sec", "end_sec",
                     "standalone_score", "chunk_theme", "sentiment", "transcript_segment")

@@ -45,3 +45,14 @@ def test_alignment_pick_is_an_aggregate_not_a_sort(spark):
 def test_pair_topk_prunes_before_the_join(spark):
     p = plan_of(E.queries()["compatible_pairs_topk"](spark, SF_SMALL))
     assert "WindowGroupLimit" in p
+
+
+def test_client_scope_prunes_silver_partitions(spark):
+    from reelmart.operators import search as SR
+    from reelmart.plans.registry import lake, silver_wide
+    lk = lake(spark, SF_SMALL)
+    df = SR.search_clips(silver_wide(lk), lk.manifest, theme="Hook", client_id="src0")
+    p = plan_of(df)
+    assert "PartitionFilters: [isnotnull(client_id" in p and "(client_id" in p and "= src0)" in p
+    assert df.count() == SR.search_clips(silver_wide(lk).drop("client_id"), lk.manifest,
+                                         theme="Hook", client_id="src0").count()
