@@ -68,8 +68,10 @@ def latest_pull(unioned: DataFrame) -> DataFrame:
     """
     keys = ["ad_id", "platform_name", "perf_date"]
     rest = [c for c in unioned.columns if c not in keys]
-    w = unioned.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.col("load_ts")).alias("w"))
+    # ties on load_ts (the same pull delivered twice) resolve on the row's
+    # own values, so the winner never depends on task order
+    order = F.struct(F.col("load_ts"), *[F.col(c) for c in rest if c != "load_ts"])
+    w = unioned.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("w"))
     return w.select(*keys, *[F.col(f"w.{c}").alias(c) for c in rest])
 
 
