@@ -95,12 +95,13 @@ def upsert_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint:
 
 
 def stream_perf_upsert(spark: SparkSession, source_dir: str, schema: str, root: str,
-                       checkpoint: str,
-                       latest: Callable[[DataFrame], DataFrame]) -> DataFrame:
+                       checkpoint: str, latest: Callable[[DataFrame], DataFrame],
+                       files_per_trigger: int = 8) -> DataFrame:
     """Restated daily pulls: each batch is merged with last-write-wins on
     load_ts (``latest`` = the batch rule), so late restatements replace the
     day they restate."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+           .parquet(source_dir))
 
     def combine(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
         return latest(batch if prev is None else prev.unionByName(batch))
