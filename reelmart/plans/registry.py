@@ -1125,9 +1125,23 @@ def _stream_daily_counts(lk: Lake) -> DataFrame:
 
 
 def build_layers(lk: Lake) -> None:
-    """Build every stored Bronze/Silver layer once (the transform step)."""
-    for layer in (lambda: lk.manifest, lambda: lk.dim_client, lambda: silver_wide(lk),
-                  lambda: silver_run2(lk), lambda: lk.bronze_damaged,
-                  lambda: _perf_latest(lk), lambda: lk.edit_decision_list,
-                  lambda: lk.perf_chunks, lambda: lk.perf_assets, lambda: lk.map_ad_asset):
-        layer()
+    """Build every stored Bronze/Silver layer once (the transform step).
+
+    The text leg and the performance leg share no layer, so they are built
+    as two concurrent chains of Spark jobs (one driver thread each); the
+    scheduler interleaves their tasks on the same executors.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    text = (lambda: lk.manifest, lambda: lk.dim_client, lambda: silver_wide(lk),
+            lambda: silver_run2(lk), lambda: lk.bronze_damaged)
+    perf = (lambda: _perf_latest(lk), lambda: lk.edit_decision_list, lambda: lk.perf_chunks,
+            lambda: lk.perf_assets, lambda: lk.map_ad_asset)
+
+    def run(chain):
+        for layer in chain:
+            layer()
+
+    lk.store  # create the store (and its folder) before the threads share it
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for f in [pool.submit(run, text), pool.submit(run, perf)]:
+            f.result()
