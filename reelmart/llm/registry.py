@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelmart.llm import mixing, repetition, sharding, url_rules
+from reelmart.llm import language, licenses, mixing, repetition, sharding, url_rules
 from reelmart.llm import oracle
 
 
@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(table(spark, sf_dir, "documents"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -31,5 +39,6 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_mix, op8_repetition, op9_shard, op10_url_rules)}
+    f.__name__: f for f in (
+        op2_licenses, op3_language, op6_mix, op8_repetition, op9_shard, op10_url_rules)}
 ORACLE: dict[str, str] = {"op6_mix": oracle.OP6, "op10_url_rules": oracle.OP10}
