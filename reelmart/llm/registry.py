@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelmart.llm import decontaminate, language, licenses, mixing, repetition, sharding, url_rules
+from reelmart.llm import decontaminate, kneser_ney, language, licenses, mixing, repetition, sharding, url_rules
 from reelmart.llm import oracle
 
 
@@ -22,6 +22,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("th")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"),
                                       table(spark, sf_dir, "benchmark"))
@@ -45,5 +49,5 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_licenses, op3_language, op5_decontaminate, op6_mix, op8_repetition, op9_shard, op10_url_rules)}
+        op2_licenses, op3_language, op4_quality, op5_decontaminate, op6_mix, op8_repetition, op9_shard, op10_url_rules)}
 ORACLE: dict[str, str] = {"op6_mix": oracle.OP6, "op10_url_rules": oracle.OP10}
