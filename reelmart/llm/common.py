@@ -53,25 +53,6 @@ def uniform(*cols: Column) -> Column:
     return (bits + 0.5) / F.lit(float(1 << 52))
 
 
-def rows_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """One row of ``docs``, all columns, for each (doc_id, text hash) of ``keys``.
-
-    ``keys``: (``_llm_id``, ``_llm_text``) as :func:`text_key` makes them. Rows
-    alike in both are merged to one by a map-side ``first``, so that a row
-    repeated very often does not gather anywhere.
-    """
-    keyed = docs.select("*", F.col("doc_id").alias("_llm_id"), text_key().alias("_llm_text"))
-    k = keys.select(F.col("_llm_id").alias("_k_id"), F.col("_llm_text").alias("_k_text"),
-                    F.col("_llm_rows").alias("_k_rows"))
-    hit = keyed.join(k, keyed["_llm_id"].eqNullSafe(k["_k_id"])
-                     & (keyed["_llm_text"] == k["_k_text"]))
-    single = hit.where("_k_rows = 1").select(*docs.columns)
-    merged = (hit.where("_k_rows > 1").groupBy("_llm_id", "_llm_text")
-              .agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("_r"))
-              .select("_r.*"))
-    return single.unionByName(merged)
-
-
 def runs(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Whole groups of a stream that is sorted by ``keys``, several at a time.
 

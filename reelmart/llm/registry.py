@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelmart.llm import decontaminate, kneser_ney, language, licenses, mixing, repetition, sharding, url_rules
+from reelmart.llm import decontaminate, jaccard, kneser_ney, language, licenses, mixing, repetition, sharding, url_rules
 from reelmart.llm import oracle
 
 
@@ -35,6 +35,10 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_licenses, op3_language, op4_quality, op5_decontaminate, op6_mix, op8_repetition, op9_shard, op10_url_rules)}
+        op2_licenses, op3_language, op4_quality, op5_decontaminate, op6_mix, op7_jaccard, op8_repetition, op9_shard, op10_url_rules)}
 ORACLE: dict[str, str] = {"op6_mix": oracle.OP6, "op10_url_rules": oracle.OP10}
