@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelmart.llm import decontaminate, jaccard, kneser_ney, language, licenses, mixing, repetition, sharding, url_rules
+from reelmart.llm import decontaminate, jaccard, kneser_ney, language, licenses, mixing, repetition, secret_scan
+from reelmart.llm import sharding, url_rules
 from reelmart.llm import oracle
 
 
@@ -14,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -53,5 +58,5 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_licenses, op3_language, op4_quality, op5_decontaminate, op6_mix, op7_jaccard, op8_repetition, op9_shard, op10_url_rules)}
+        op1_secrets, op2_licenses, op3_language, op4_quality, op5_decontaminate, op6_mix, op7_jaccard, op8_repetition, op9_shard, op10_url_rules)}
 ORACLE: dict[str, str] = {"op6_mix": oracle.OP6, "op10_url_rules": oracle.OP10}
