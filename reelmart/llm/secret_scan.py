@@ -10,8 +10,8 @@ Labelled findings come from the texts themselves (:func:`label`): tokens in a
 provider's fixed format, or assigned to a credential name and random-looking,
 are secrets; addresses, numbers, dates, UUIDs, urls and words with digits are
 not; all other candidates are unlabelled. Formats are no features, so the
-forest generalises beyond them. Training takes at most ``TRAIN`` findings of
-each kind, by hash, from documents whose crc32(doc_id) mod 4 is not 2.
+forest generalises beyond them. Training takes about ``TRAIN`` findings of each
+kind at most, by hash, from documents whose crc32(doc_id) mod 4 is not 2.
 
 All work is DataFrame expressions and Spark's own forest; no Python on
 executors. The dictionary is counted over all documents, for the letter runs of
@@ -32,7 +32,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import cut, maybe_broadcast
+from reelmart.llm.common import cut, maybe_broadcast, uniform
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 SHORTEST = 12
@@ -138,10 +138,13 @@ def trained(rows: DataFrame):
     known = rows.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull()
                        & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
     each = known.groupBy("label", *FEATURES).agg(F.min("value").alias("value"))
-    parts = [each.where(F.col("label") == kind).orderBy(F.xxhash64("value"), "value", *FEATURES)
-             .limit(TRAIN) for kind in (0.0, 1.0)]
-    sample = cut(parts[0].unionByName(parts[1]).orderBy("label", "value", *FEATURES).coalesce(1))
-    if sample.select("label").distinct().count() < 2:
+    sizes = {r["label"]: r["count"] for r in each.groupBy("label").count().collect()}
+    share = F.when(F.col("label") == 1.0, min(1.0, TRAIN / sizes.get(1.0, 1))).otherwise(
+        min(1.0, TRAIN / sizes.get(0.0, 1)))
+    # one small partition in a fixed order, so that every run grows the same trees
+    sample = cut(each.where(uniform(F.col("value")) < share)
+                 .orderBy("label", "value", *FEATURES).coalesce(1))
+    if len(sizes) < 2:
         return None
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(sample)
     return RandomForestClassifier(labelCol="label", featuresCol="_features", numTrees=TREES,

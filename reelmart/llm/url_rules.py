@@ -28,11 +28,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import bounds_of, runs
+from reelmart.llm.common import bounds_of, runs, uniform
 
 #: rules of the registered query: verdict, host, path
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+#: keys sampled for the splitters
 SAMPLE = 4096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -115,8 +116,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
                      F.lpad(F.coalesce(F.col("page_id").cast("string"), F.lit("")), 20, "0"))
     urls = urls.withColumn("key", place)
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    drawn = sorted(r["key"] for r in urls.select("key", F.xxhash64("key").alias("e"))
-                   .orderBy("e").limit(SAMPLE).collect())
+    share = SAMPLE / max(1, pages.count())  # about SAMPLE keys come to the driver
+    drawn = sorted(r["key"] for r in urls.where(uniform(F.col("key")) < share).select("key").collect())
     marks = sorted({drawn[i * len(drawn) // parts] for i in range(1, parts)}) if drawn else []
     urls = urls.select(part_of(marks, F.col("key")).alias("part"), "key", F.lit(1).alias("kind"),
                        "host_key", "host", "path", "page_id",
