@@ -172,18 +172,31 @@ class Search:
         width = n + 3 * slack
         base = np.maximum(starts - slack, 0)
         region = ids[np.minimum(base[:, None] + np.arange(width), len(ids) - 1)]
-        line = np.arange(width + 1)
-        row = np.zeros((len(starts), width + 1), np.int32)
-        for i in range(n):
+        row = self._edits(region, word, np.zeros(width + 1, np.int32))
+        best = row.argmin(axis=1)
+        return row[np.arange(len(starts)), best], base + best
+
+    def begin(self, ids: np.ndarray, item: int, end: int) -> int:
+        """Where the best stretch that ends before word ``end`` begins."""
+        word = self.items[item]
+        back = ids[max(0, end - len(word) - int(self.most_edits * len(word)) - 1):end][::-1]
+        row = self._edits(back[None, :], word[::-1], np.arange(len(back) + 1, dtype=np.int32))
+        return end - int(row[0].argmin())
+
+    @staticmethod
+    def _edits(region: np.ndarray, word: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Word edits between ``word`` and each region's stretches, by their end."""
+        line = np.arange(region.shape[1] + 1)
+        row = np.tile(row, (len(region), 1))
+        for i in range(len(word)):
             new = np.empty_like(row)
             new[:, 0] = i + 1
             new[:, 1:] = np.minimum(row[:, :-1] + (region != word[i]), row[:, 1:] + 1)
             row = np.minimum.accumulate(new - line, axis=1) + line
-        best = row.argmin(axis=1)
-        return row[np.arange(len(starts)), best], base + best
+        return row
 
     def matches(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
-        """(text number, item number, first word of the window, distance, end word)."""
+        """(text number, item number, first word of the stretch, distance, end word)."""
         if not self.items:
             return []
         out: list[tuple] = []
@@ -218,9 +231,11 @@ class Search:
             for a in range(0, len(starts), 4000):
                 few = starts[a:a + 4000]
                 distance, ends = self.verified(ids, item, few)
-                for k in np.flatnonzero(distance <= limit).tolist():
-                    doc = int(np.searchsorted(begins, few[k], "right")) - 1
-                    got = (int(distance[k]), int(few[k]) - begin[doc], int(ends[k]) - begin[doc])
+                for d, end in sorted(set(zip(distance.tolist(), ends.tolist()))):
+                    if d > limit:
+                        continue
+                    doc = int(np.searchsorted(begins, end - 1, "right")) - 1
+                    got = (d, self.begin(ids, item, end) - begin[doc], end - begin[doc])
                     if got < best.get((doc, item), (1 << 30,)):
                         best[doc, item] = got
         return [(held[doc], item, start, distance, end)

@@ -41,10 +41,11 @@ def order_of() -> tuple[Column, Column]:
             F.xxhash64(F.col("doc_id"), F.lit(7)).alias("_tie"))
 
 
-def sampled(rows: DataFrame, n: int) -> list[tuple[int, int]]:
-    """At most ``n`` keys, drawn with probability by size, in order."""
+def sampled(rows: DataFrame, n: int, size: int) -> list[tuple[int, int]]:
+    """About ``n`` keys of rows of ``size`` bytes together, in order, each drawn
+    with probability by its size: exponential keys under a threshold."""
     drawn = -F.log(uniform(F.col("doc_id"), F.col("_key"))) / F.col("size")
-    got = rows.select("_key", "_tie", drawn.alias("_e")).orderBy("_e", "_key", "_tie").limit(n)
+    got = rows.where(drawn < n / max(1, size)).select("_key", "_tie")
     return sorted((r["_key"], r["_tie"]) for r in got.collect())
 
 
@@ -71,17 +72,18 @@ def range_of(marks: list[tuple[int, int]]) -> Column:
 
 def ranges(rows: DataFrame, total: int) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
     """Boundaries, and (range, bytes, rows) of each range."""
-    marks = splitters(sampled(rows, SAMPLE), SAMPLE / RANGES)
+    drawn = sampled(rows, SAMPLE, total)
+    marks = splitters(drawn, max(1.0, len(drawn) / RANGES))
     while True:
         sized = sorted(tuple(r) for r in rows.groupBy(range_of(marks).alias("r")).agg(
             F.sum("size"), F.count("*")).collect())
-        over = [r for r, b, n in sized if b > 4 * total / RANGES and n > 1]
+        over = [(r, b) for r, b, n in sized if b > 4 * total / RANGES and n > 1]
         if not over:
             return marks, sized
         # at most RANGES / 4 ranges are overfull; each is sampled on its own
         more = set(marks)
-        for r in over:
-            own = sampled(rows.where(range_of(marks) == r), SAMPLE // 8)
+        for r, b in over:
+            own = sampled(rows.where(range_of(marks) == r), SAMPLE // 8, b)
             more |= set(splitters(own, max(1.0, len(own) / 8)))
         if len(more) == len(marks):  # rows all alike: nothing to divide
             return marks, sized

@@ -10,7 +10,7 @@ pages is dealt over many ranges.
 
 A rule fits if its host is the url's host or a parent of it and the url's path
 starts with the rule's path. The longest rule (characters of host and path)
-wins; of equally long ones ``block`` wins. Without a rule the verdict is
+wins; of equally long ones ``block``, then the longer host. Without a rule the verdict is
 ``default``.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path
@@ -75,12 +75,12 @@ def sweep(default: str):
         urls = frame[frame["kind"] == 1]
         if not len(urls):
             return None
-        fits = sorted(((len(rule) , verdict == "block", path, rule, verdict)
+        fits = sorted(((len(rule), verdict == "block", len(rule) - len(path), path, rule, verdict)
                        for _, rules in stack for path, rule, verdict in rules))
         rule = np.full(len(urls), None, object)
         verdict = np.full(len(urls), default, object)
         paths = urls["path"]
-        for _, _, prefix, text, say in fits:  # the longest is written last
+        for _, _, _, prefix, text, say in fits:  # the longest is written last
             hit = paths.str.startswith(prefix).to_numpy(bool)
             rule[hit], verdict[hit] = text, say
         return pd.DataFrame({"page_id": urls["page_id"], "host": urls["host"],
