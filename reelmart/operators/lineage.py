@@ -1,11 +1,11 @@
-"""Asset lineage: parent edges and their bounded transitive closure."""
+"""Asset lineage: parent edges, and each asset's root by pointer doubling."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.sources.scratch import can_checkpoint
+from reelmart.sources.scratch import cut_lineage
 
 
 def lineage_edges(assets: DataFrame) -> DataFrame:
@@ -14,27 +14,29 @@ def lineage_edges(assets: DataFrame) -> DataFrame:
         .select("parent_asset_id", F.col("asset_id").alias("child_asset_id"))
 
 
-def lineage_closure(assets: DataFrame, max_depth: int = 10, checkpoint_every: int = 5
-                    ) -> DataFrame:
-    """(asset, ancestor, depth) up to ``max_depth`` hops.
+def lineage_roots(assets: DataFrame) -> DataFrame:
+    """(asset_id, root_asset_id, depth): one row per asset, chains of any depth.
 
-    A fixed number of equi-joins on the ancestor key (frontier-only, so each
-    level's work is the size of that level). With a checkpoint folder named
-    by the session the lineage is cut every ``checkpoint_every`` levels.
+    Every asset points to its parent (a root to itself). A round replaces each
+    pointer by its target's pointer and adds up the depths, so a chain of n
+    assets is resolved in log2(n) rounds; the output stays one row per asset.
+    A parent outside ``assets`` counts as the root. Cycles are an error.
     """
-    edges = assets.where(F.col("parent_asset_id").isNotNull()) \
-        .select(F.col("asset_id").alias("mid"), F.col("parent_asset_id").alias("up"))
-    frontier = edges.select(F.col("mid").alias("asset_id"), F.col("up").alias("ancestor_id"),
-                            F.lit(1).alias("depth"))
-    levels = [frontier]
-    can_cut = can_checkpoint(assets.sparkSession)
-    for d in range(2, max_depth + 1):
-        frontier = (frontier.join(edges, frontier["ancestor_id"] == edges["mid"])
-                    .select("asset_id", F.col("up").alias("ancestor_id"), F.lit(d).alias("depth")))
-        if can_cut and checkpoint_every and d % checkpoint_every == 0:
-            frontier = frontier.checkpoint()
-        levels.append(frontier)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    up = F.coalesce("parent_asset_id", "asset_id")
+    table = cut_lineage(assets.select(
+        "asset_id", up.alias("root_asset_id"),
+        F.when(F.col("parent_asset_id").isNull(), 0).otherwise(1).cast("bigint").alias("depth")))
+    rounds = max(1, table.count()).bit_length() + 1
+    reached = None
+    for _ in range(rounds):
+        to = table.select(F.col("asset_id").alias("at"), F.col("root_asset_id").alias("next"),
+                          F.col("depth").alias("more"))
+        table = cut_lineage(
+            table.join(to, table["root_asset_id"] == to["at"], "left")
+            .select("asset_id", F.coalesce("next", "root_asset_id").alias("root_asset_id"),
+                    (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
+        total = table.agg(F.sum("depth")).first()[0]
+        if total == reached:
+            return table
+        reached = total
+    raise ValueError("asset lineage has a cycle")

@@ -121,12 +121,16 @@ def run_suite(name: str, df: DataFrame) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.count_if(_row_fail(k, c, a)).alias(f"f{i}") for i, (k, c, a, _) in
              enumerate(row_rules)]
-    stats = df.agg(*aggs)
+    lines = [(k, c, a, sev, F.col(f"f{i}")) for i, (k, c, a, sev) in enumerate(row_rules)]
+    lines += [(k, c, a, sev, F.when(F.col("n") < a, 1).otherwise(0).cast("bigint"))
+              for k, c, a, sev in rules if k == "row_count"]
     parts = []
-    for i, (k, c, a, sev) in enumerate(row_rules):
-        parts.append(stats.select(F.lit(name).alias("suite"), F.lit(_label(k, c, a)).alias("expectation"),
-                                  F.lit(sev).alias("severity"), F.col("n").alias("n_checked"),
-                                  F.col(f"f{i}").alias("n_failed")))
+    if lines:
+        # the one aggregate row is turned into a row per rule: the table is read once
+        each = F.array(*[F.struct(F.lit(_label(k, c, a)).alias("expectation"), F.lit(sev).alias("severity"),
+                                  F.col("n").alias("n_checked"), failed.cast("bigint").alias("n_failed"))
+                         for k, c, a, sev, failed in lines])
+        parts.append(df.agg(*aggs).select(F.inline(each)).select(F.lit(name).alias("suite"), "*"))
     for k, c, a, sev in rules:
         if k in ("unique", "compound_unique"):
             cols = c if isinstance(c, list) else [c]
@@ -137,11 +141,6 @@ def run_suite(name: str, df: DataFrame) -> DataFrame:
                 F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("n_checked"),
                 F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).cast("bigint")
                 .alias("n_failed")))
-        elif k == "row_count":
-            parts.append(stats.select(
-                F.lit(name).alias("suite"), F.lit(_label(k, c, a)).alias("expectation"),
-                F.lit(sev).alias("severity"), F.col("n").alias("n_checked"),
-                F.when(F.col("n") < a, 1).otherwise(0).cast("bigint").alias("n_failed")))
     return reduce(DataFrame.unionByName, parts)
 
 

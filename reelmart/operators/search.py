@@ -44,10 +44,9 @@ def search_clips(chunks: DataFrame, assets: DataFrame, theme: str | None = None,
             .orderBy(F.col("standalone_score").desc(), "start_sec", "chunk_id"))
 
 
-def search_keyword(chunks: DataFrame, keywords: DataFrame, keyword: str) -> DataFrame:
-    """Clips tagged with ``keyword``; a semi join keeps the chunk grain."""
-    tagged = keywords.where(F.col("keyword") == keyword.lower())
-    return chunks.join(tagged, "chunk_id", "left_semi") \
+def search_keyword(wide: DataFrame, keyword: str) -> DataFrame:
+    """Clips tagged with ``keyword``: a filter on Silver's array column."""
+    return wide.where(F.array_contains("keywords", keyword.lower())) \
         .select("chunk_id", "asset_id", "chunk_theme", "standalone_score")
 
 

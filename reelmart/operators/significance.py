@@ -18,6 +18,7 @@ from reelmart.functions.ranks import average_rank, value_ranks
 from reelmart.operators.correlate import evidence_regime, mart_base
 
 FAMILY = ["platform_id", "metric_name", "feature_dim"]
+RANKED = ["platform_id", "metric_name"]
 ALPHA = 0.05
 
 
@@ -29,18 +30,19 @@ def mann_whitney(metric_chunk: DataFrame, mart: DataFrame | None = None,
     Ranks come from ``value_ranks`` (two-level, skew-safe): a family is never
     sorted on one task. R1 = sum over (value, count) of count x average rank.
     """
-    base = mart_base(metric_chunk)
-    rk = value_ranks(base, FAMILY, "metric_value", buckets)
-    fam = rk.groupBy(*FAMILY).agg(F.max("n").alias("n_total"),
-                                  F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t"))
-                                  .alias("tie_sum"))
-    per_val = base.groupBy(*FAMILY, "feature_value", "metric_value") \
+    # every feature dimension holds the same rows, so ranks and ties are those
+    # of (platform, metric): one rank pass instead of one per dimension
+    values = metric_chunk.where(F.col("metric_value").isNotNull())
+    rk = value_ranks(values, RANKED, "metric_value", buckets)
+    t = F.col("t").cast("double")
+    fam = rk.groupBy(*RANKED).agg(F.max("n").alias("n_total"), F.sum(t * t * t - t).alias("tie_sum"))
+    per_val = mart_base(metric_chunk).groupBy(*FAMILY, "feature_value", "metric_value") \
         .agg(F.count(F.lit(1)).alias("c"))
-    grp = (per_val.join(rk.select(*FAMILY, "metric_value", average_rank(rk).alias("ar")),
-                        FAMILY + ["metric_value"])
+    grp = (per_val.join(rk.select(*RANKED, "metric_value", average_rank(rk).alias("ar")),
+                        RANKED + ["metric_value"])
            .groupBy(*FAMILY, "feature_value")
            .agg(F.sum("c").alias("n1"), F.sum(F.col("c") * F.col("ar")).alias("r1")))
-    g = grp.join(fam, FAMILY).withColumn("evidence_regime", evidence_regime(F.col("n1")))
+    g = grp.join(fam, RANKED).withColumn("evidence_regime", evidence_regime(F.col("n1")))
     n1, n2, n = F.col("n1").cast("double"), (F.col("n_total") - F.col("n1")).cast("double"), \
         F.col("n_total").cast("double")
     u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
@@ -61,21 +63,21 @@ def mann_whitney(metric_chunk: DataFrame, mart: DataFrame | None = None,
                       F.coalesce(p_bonf < ALPHA, F.lit(False)).alias("is_significant"))
 
 
-def spearman_directional(metric_chunk: DataFrame, mart: DataFrame | None = None,
-                         buckets: int = 64) -> DataFrame:
+def spearman_directional(metric_chunk: DataFrame, mart: DataFrame | None = None) -> DataFrame:
     """Spearman rho between standalone score and metric in DIRECTIONAL groups:
-    Pearson correlation of skew-safe average ranks."""
+    Pearson correlation of average ranks. Such a group holds fewer rows than
+    ``S.DIRECTIONAL_BELOW``, so plain windows rank it."""
     grp = FAMILY + ["feature_value"]
     base = mart_base(metric_chunk)
     sizes = base.groupBy(*grp).agg(F.count(F.lit(1)).alias("n_grp")) \
         .where(evidence_regime(F.col("n_grp")) == "DIRECTIONAL").select(*grp)
     b = base.join(sizes, grp, "left_semi")
-    rs = value_ranks(b, grp, "standalone_score", buckets)
-    rm = value_ranks(b, grp, "metric_value", buckets)
-    rows = (b.join(rs.select(*grp, "standalone_score", average_rank(rs).alias("rs")),
-                   grp + ["standalone_score"])
-            .join(rm.select(*grp, "metric_value", average_rank(rm).alias("rm")),
-                  grp + ["metric_value"]))
+
+    def ranks(value: str) -> F.Column:  # a DIRECTIONAL group has a few rows
+        ties = F.count(F.lit(1)).over(Window.partitionBy(*grp, value))
+        return F.rank().over(Window.partitionBy(*grp).orderBy(value)) + (ties - 1) / 2.0
+
+    rows = b.select(*grp, ranks("standalone_score").alias("rs"), ranks("metric_value").alias("rm"))
     # Pearson on ranks written out (corr() raises under ANSI when a group's
     # ranks are constant; here a zero spread gives NULL)
     agg = rows.groupBy(*grp).agg(F.count(F.lit(1)).alias("n_ads"),

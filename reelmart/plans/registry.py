@@ -23,11 +23,11 @@ from reelmart.sources.testdata import Lake
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-_LAKES: dict[tuple[int, str], Lake] = {}
+_LAKES: dict[tuple[str, str], Lake] = {}
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         apply_core_conf(spark)   # UTC, ANSI, AQE on a session built elsewhere
         _LAKES[key] = Lake(spark, sf_dir)
@@ -81,12 +81,12 @@ TOPK = 3
 
 # Wave 0/1: ingest and Silver ---------------------------------------------------
 @query("search_clips", """
-SELECT c.chunk_id, c.asset_id, m.client_id, m.asset_name, c.start_sec, c.end_sec,
-       c.standalone_score, c.chunk_theme, c.sentiment, c.transcript_segment
-FROM fact_chunk c JOIN manifest m ON m.asset_id = c.asset_id
-WHERE c.chunk_theme = 'Hook' AND c.sentiment = 'energetic' AND c.standalone_score >= 4
-  AND c.transcript_segment ILIKE '%the%' ESCAPE '\\'
-ORDER BY c.standalone_score DESC, c.start_sec, c.chunk_id""", ["fact_chunk", "manifest"])
+SELECT clip.chunk_id, asset_id, client_id, asset_name, clip.start_sec, clip.end_sec,
+       clip.standalone_score, clip.chunk_theme, clip.sentiment, clip.transcript_segment
+FROM (FROM fact_chunk WHERE standalone_score > 3 AND chunk_theme || '/' || sentiment = 'Hook/energetic'
+                        AND contains(lower(transcript_segment), 'the')) AS clip
+JOIN (SELECT asset_id, client_id, asset_name FROM manifest) USING (asset_id)
+ORDER BY -clip.standalone_score, clip.start_sec, clip.chunk_id""", ["fact_chunk", "manifest"])
 def _search_clips(lk: Lake) -> DataFrame:
     return SR.search_clips(fact_chunk(lk), lk.manifest, **SEARCH)
 
@@ -131,7 +131,7 @@ SELECT asset_id, client_id, source_uri,
        'bronze/' || client_id || '/asset_raw/' || asset_id || '.parquet' AS bronze_key
 FROM manifest WHERE doc_id % 13 = 0""", ["manifest"])
 def _list_new_assets(lk: Lake) -> DataFrame:
-    return I.list_new_assets(lk.manifest, lk.bronze)
+    return I.list_new_assets(lk.manifest, lk.extracted_so_far)
 
 
 @query("cross_client_copies", """
@@ -258,7 +258,7 @@ SELECT c.chunk_id, c.asset_id, c.chunk_theme, c.standalone_score FROM fact_chunk
 WHERE c.chunk_id IN (SELECT chunk_id FROM kw_bridge WHERE keyword = 'thanedble')""",
        ["fact_chunk", "kw_bridge"])
 def _search_keyword(lk: Lake) -> DataFrame:
-    return SR.search_keyword(fact_chunk(lk), SV.keyword_bridge(silver_wide(lk)), KEYWORD)
+    return SR.search_keyword(silver_wide(lk), KEYWORD)
 
 
 @query("clip_provenance", """
@@ -311,7 +311,7 @@ JOIN (SELECT client_id, chunk_theme, count(*) AS n FROM elig GROUP BY 1, 2) t
 WHERE t.n - CASE WHEN h.hook_theme = h.next_theme THEN 1 ELSE 0 END > 0""",
        ["hook_edges", "elig"])
 def _compatible_pairs(lk: Lake) -> DataFrame:
-    return A.compatible_pairs(fact_chunk(lk), lk.manifest, compat(lk))
+    return A.compatible_pairs(silver_wide(lk), lk.manifest, compat(lk))
 
 
 @query("compatible_pairs_topk", f"""
@@ -325,7 +325,7 @@ SELECT * FROM (
     ON n.client_id = h.client_id AND n.chunk_theme = h.next_theme AND n.chunk_id <> h.hook_chunk)
 WHERE next_rank <= {TOPK}""", ["hook_edges", "elig"])
 def _compatible_pairs_topk(lk: Lake) -> DataFrame:
-    return A.compatible_pairs_topk(fact_chunk(lk), lk.manifest, compat(lk), TOPK)
+    return A.compatible_pairs_topk(silver_wide(lk), lk.manifest, compat(lk), TOPK)
 
 
 ASSEMBLE_K = 2
@@ -336,14 +336,16 @@ SELECT client_id, path[1] AS hook_chunk, array_to_string(path, '>') AS sequence,
        array_to_string(themes, '>') AS themes, score AS sequence_score FROM asm{d}"""
 
 
-@query("assemble_3step", _ASM_OUT.format(d=3), ["asm3"])
+@query("assemble_3step", _ASM_OUT.format(d="3_cta"), ["asm3_cta"])
 def _assemble_3step(lk: Lake) -> DataFrame:
-    return A.assemble(fact_chunk(lk), lk.manifest, compat(lk), depth=3, k=ASSEMBLE_K)
+    """Hook, body, call to action: the best sequences of each hook."""
+    return A.assemble(silver_wide(lk), lk.manifest, compat(lk), depth=3, k=ASSEMBLE_K,
+                      last_theme="CTA")
 
 
 @query("assemble_nstep", _ASM_OUT.format(d=5), ["asm5"])
 def _assemble_nstep(lk: Lake) -> DataFrame:
-    return A.assemble(fact_chunk(lk), lk.manifest, compat(lk), depth=5, k=ASSEMBLE_K,
+    return A.assemble(silver_wide(lk), lk.manifest, compat(lk), depth=5, k=ASSEMBLE_K,
                       checkpoint_every=2)
 
 
@@ -477,9 +479,8 @@ def _chunk_perf_correlation(lk: Lake) -> DataFrame:
 @query("winning_hook_themes", """
 SELECT platform_id, feature_value AS hook_theme, n_ads, round(median_metric, 3) AS median_hook_rate,
        rank_in_platform, evidence_regime, honesty_note
-FROM mart WHERE metric_name = 'hook_rate' AND feature_dim = 'chunk_theme'
-  AND evidence_regime <> 'BLOCK'
-ORDER BY platform_id, median_hook_rate DESC, hook_theme""", ["mart"])
+FROM (FROM mart WHERE n_ads >= 5) WHERE (metric_name, feature_dim) = ('hook_rate', 'chunk_theme')
+ORDER BY ALL""", ["mart"])
 def _winning_hook_themes(lk: Lake) -> DataFrame:
     return CO.winning_hook_themes(perf_mart(lk))
 
@@ -487,22 +488,21 @@ def _winning_hook_themes(lk: Lake) -> DataFrame:
 @query("cta_sentiment", """
 SELECT platform_id, feature_value AS cta_sentiment, n_ads, round(median_metric, 4) AS median_ctr_link,
        evidence_regime
-FROM mart WHERE metric_name = 'ctr_link' AND feature_dim = 'sentiment'
-  AND evidence_regime <> 'BLOCK'
-ORDER BY platform_id, median_ctr_link DESC, cta_sentiment""", ["mart"])
+FROM (FROM mart WHERE n_ads >= 5) WHERE (metric_name, feature_dim) = ('ctr_link', 'sentiment')
+ORDER BY ALL""", ["mart"])
 def _cta_sentiment(lk: Lake) -> DataFrame:
     return CO.cta_sentiment(perf_mart(lk))
 
 
 @query("mine_library", """
-SELECT fc.chunk_id, fc.asset_id, fc.chunk_theme, fc.standalone_score, fc.transcript_segment
-FROM pchunk fc JOIN passet a ON a.asset_id = fc.asset_id AND a.asset_type = 'RAW'
-WHERE fc.chunk_theme IN (SELECT DISTINCT feature_value FROM mart
-                         WHERE metric_name = 'hook_rate' AND feature_dim = 'chunk_theme'
-                           AND evidence_regime <> 'BLOCK' AND rank_in_platform <= 3)
-  AND fc.standalone_score >= 4
-  AND NOT EXISTS (SELECT 1 FROM bridge_ad_chunk b WHERE b.chunk_id = fc.chunk_id)
-ORDER BY fc.standalone_score DESC, fc.chunk_id""", ["pchunk", "passet", "mart", "bridge_ad_chunk"])
+FROM (FROM pchunk WHERE standalone_score > 3) AS lib
+SEMI JOIN (FROM passet WHERE asset_type = 'RAW') AS raw USING (asset_id)
+SEMI JOIN (SELECT feature_value AS chunk_theme FROM mart
+           WHERE n_ads >= 5 AND rank_in_platform < 4
+             AND (metric_name, feature_dim) = ('hook_rate', 'chunk_theme')) AS top USING (chunk_theme)
+ANTI JOIN bridge_ad_chunk AS used USING (chunk_id)
+SELECT chunk_id, asset_id, chunk_theme, standalone_score, transcript_segment
+ORDER BY -standalone_score, chunk_id""", ["pchunk", "passet", "mart", "bridge_ad_chunk"])
 def _mine_library(lk: Lake) -> DataFrame:
     return CO.mine_library(perf_mart(lk), lk.perf_chunks, lk.perf_assets, perf_bridge(lk))
 
@@ -539,7 +539,7 @@ _FAM = "platform_id, metric_name, feature_dim"
   FROM mart_base),
 mw_fam AS (SELECT {_FAM}, count(*) AS n_total FROM mw_base GROUP BY 1, 2, 3),
 mw_ties AS (SELECT {_FAM}, sum(t * t * t - t) AS tie_sum
-            FROM (SELECT {_FAM}, metric_value, count(*) AS t FROM mw_base GROUP BY 1, 2, 3, 4)
+            FROM (SELECT {_FAM}, metric_value, CAST(count(*) AS DOUBLE) AS t FROM mw_base GROUP BY 1, 2, 3, 4)
             GROUP BY 1, 2, 3),
 mw_grp AS (SELECT {_FAM}, feature_value, count(*) AS n1, sum(r) AS r1 FROM mw_base
            GROUP BY 1, 2, 3, 4),
@@ -609,16 +609,22 @@ from reelmart.sources import testdata as TD  # noqa: E402
 NOW_ISO = "2024-02-15T00:00:00+00:00"
 
 
+@query("asset_lineage_edges", """
+SELECT parent_asset_id, asset_id AS child_asset_id FROM manifest
+WHERE parent_asset_id IS NOT NULL""", ["manifest"])
+def _asset_lineage_edges(lk: Lake) -> DataFrame:
+    return LN.lineage_edges(lk.manifest)
+
+
 @query("asset_lineage_closure", """RECURSIVE
-, clos(asset_id, ancestor_id, depth) AS (
-  SELECT asset_id, parent_asset_id, 1 FROM manifest WHERE parent_asset_id IS NOT NULL
+, down(asset_id, root_asset_id, depth) AS (
+  SELECT asset_id, asset_id, 0 FROM manifest WHERE parent_asset_id IS NULL
   UNION ALL
-  SELECT c.asset_id, m.parent_asset_id, c.depth + 1 FROM clos c
-  JOIN manifest m ON m.asset_id = c.ancestor_id
-  WHERE m.parent_asset_id IS NOT NULL AND c.depth < 10)
-SELECT asset_id, ancestor_id, CAST(depth AS INTEGER) AS depth FROM clos""", ["manifest"])
+  SELECT m.asset_id, d.root_asset_id, d.depth + 1 FROM down d
+  JOIN manifest m ON m.parent_asset_id = d.asset_id)
+SELECT asset_id, root_asset_id, CAST(depth AS BIGINT) AS depth FROM down""", ["manifest"])
 def _asset_lineage_closure(lk: Lake) -> DataFrame:
-    return LN.lineage_closure(lk.manifest, max_depth=10)
+    return LN.lineage_roots(lk.manifest)
 
 
 def manifest_log(lk: Lake) -> DataFrame:
@@ -631,10 +637,9 @@ def manifest_log(lk: Lake) -> DataFrame:
                     C.source_uri(TD.WORKSPACE, TD.LAKEHOUSE, key).alias("source_uri"))
 
 
-_HEX = "'^[0-9a-f]{64}$'"
-_URI = ("'^abfss://([^@]+)@onelake\\.dfs\\.fabric\\.microsoft\\.com/([^/]+)\\.Lakehouse/Files/"
-        "landing/([^/]+)/video/([0-9a-f]{64})\\.\\w+$'")
-_PLACE = "('', 'demo_client', 'test', 'tbd', 'todo', 'unknown', 'client', 'na', 'none')"
+_HEX = f"'{S.HEX64_PATTERN}'"
+_URI = f"'{S.URI_PATTERN}'"
+_PLACE = "(" + ", ".join(f"'{c}'" for c in S.PLACEHOLDER_CLIENTS) + ")"
 
 
 @query("lineage_contract", f"""
@@ -684,7 +689,7 @@ SELECT check_name, severity, CAST(n AS BIGINT) AS n_orphans, n = 0 AS passed FRO
   UNION ALL SELECT 'fact_ad_performance.asset_id->EDITED asset', 'CRITICAL', count(*)
   FROM fact_perf f WHERE f.asset_id NOT IN (SELECT asset_id FROM passet WHERE asset_type = 'EDITED')
   UNION ALL SELECT 'ad mapped to an asset', 'CRITICAL', count(DISTINCT ad_id)
-  FROM perf_latest l WHERE l.ad_id NOT IN (SELECT ad_id FROM map_ad_asset)
+  FROM perf_latest l WHERE l.ad_id NOT IN (SELECT ad_id FROM map_ad_asset WHERE CAST(ad_id AS BIGINT) % 31 <> 0)
   UNION ALL SELECT 'ad has at least one chunk', 'CRITICAL', count(DISTINCT ad_id)
   FROM fact_perf f WHERE f.ad_id NOT IN (SELECT ad_id FROM bridge_ad_chunk)
   UNION ALL SELECT 'pull with unknown platform tag', 'HIGH', count(*)
@@ -694,7 +699,7 @@ SELECT check_name, severity, CAST(n AS BIGINT) AS n_orphans, n = 0 AS passed FRO
 def _referential_report(lk: Lake) -> DataFrame:
     fc, bridge, fact = fact_chunk(lk), perf_bridge(lk), perf_fact(lk)
     edited = lk.perf_assets.where(F.col("asset_type") == "EDITED")
-    unmapped = _perf_latest(lk).select("ad_id").join(lk.map_ad_asset, "ad_id", "left_anti") \
+    unmapped = _perf_latest(lk).select("ad_id").join(lk.map_ad_asset_gaps, "ad_id", "left_anti") \
         .distinct()
     chunkless = fact.select("ad_id").join(bridge, "ad_id", "left_anti").distinct()
     return Q.referential_report([
@@ -821,7 +826,8 @@ O.cte(CTE_PLAN, _PLAN_SQL, ["manifest", "dclient"])
 
 @shared
 def retention(lk: Lake) -> DataFrame:
-    return RT.retention_plan(lk.landing_objects, lk.dim_client, lk.bronze, TD.RETENTION_NOW)
+    return RT.retention_plan(lk.landing_objects, lk.dim_client, lk.extracted_so_far,
+                             TD.RETENTION_NOW)
 
 
 @query("retention_plan", "SELECT * FROM plan", ["plan"])
@@ -937,7 +943,7 @@ _EXP_SQL = ("SELECT suite, expectation, severity, n_checked, n_failed, n_failed
 
 @query("expectations_report", _EXP_SQL, sorted(set(_SUITE_TABLES.values())))
 def _expectations_report(lk: Lake) -> DataFrame:
-    seqs = A.assemble(fact_chunk(lk), lk.manifest, compat(lk), depth=3, k=ASSEMBLE_K)
+    seqs = A.assemble(silver_wide(lk), lk.manifest, compat(lk), depth=3, k=ASSEMBLE_K)
     asm = seqs.select(F.explode(F.split("sequence", ">")).alias("chunk_id")) \
         .join(fact_chunk(lk).select("chunk_id", "standalone_score"), "chunk_id")
     return Q.expectations_report({
@@ -997,27 +1003,108 @@ def _seed_tables(lk: Lake) -> DataFrame:
     return out
 
 
-_TIKTOK_CSV = ("ad_id STRING, stat_time_day DATE, impressions BIGINT, video_views_p_3s BIGINT, "
-               "video_views_p25 BIGINT, video_views_p50 BIGINT, video_views_p75 BIGINT, "
-               "video_views_p100 BIGINT, total_watch_time BIGINT, video_views BIGINT, "
-               "clicks_destination BIGINT, conversions BIGINT, spend BIGINT, load_ts TIMESTAMP, "
-               "platform_native STRING")
+_EXPORT_CSV = {
+    "meta": "ad_id STRING, date DATE, impressions BIGINT, video_3_sec_watched_actions BIGINT, "
+            "video_p25_watched_actions BIGINT, video_p50_watched_actions BIGINT, "
+            "video_p75_watched_actions BIGINT, video_p100_watched_actions BIGINT, "
+            "video_total_time_watched BIGINT, video_avg_time_watched_actions DOUBLE, "
+            "video_play_actions BIGINT, inline_link_clicks BIGINT, actions STRING, spend BIGINT, "
+            "load_ts TIMESTAMP, platform_native STRING",
+    "tiktok": "ad_id STRING, stat_time_day DATE, impressions BIGINT, video_views_p_3s BIGINT, "
+              "video_views_p25 BIGINT, video_views_p50 BIGINT, video_views_p75 BIGINT, "
+              "video_views_p100 BIGINT, total_watch_time BIGINT, video_views BIGINT, "
+              "clicks_destination BIGINT, conversions BIGINT, spend BIGINT, load_ts TIMESTAMP, "
+              "platform_native STRING",
+}
 
 
-@query("perf_raw_capture")
+@query("perf_raw_capture", f"SELECT {_UNIONED_COLS} FROM perf_pulls", ["perf_pulls"])
 def _perf_raw_capture(lk: Lake) -> DataFrame:
-    """Verbatim platform CSV exports captured with file, row hash and load time."""
+    """Both platforms' CSV exports captured verbatim (file, row hash, capture
+    time), stored, and conformed from the stored captures."""
     root = new_scratch(lk.spark, "perf-raw")
-    lk.perf_native("tiktok").write.mode("overwrite").option("header", True) \
-        .csv(f"{root}/tiktok")
-    return FS.capture_raw_csv(lk.spark, f"{root}/tiktok", _TIKTOK_CSV)
+    raw = {}
+    for name, schema in _EXPORT_CSV.items():
+        native = lk.perf_native(name)
+        flat = native.withColumn("actions", F.to_json("actions")) if name == "meta" else native
+        flat.write.option("header", True).option("escape", '"').csv(f"{root}/export/{name}")
+        raw[name] = FS.capture_raw_csv(lk.spark, f"{root}/export/{name}", schema, f"{root}/bronze/{name}")
+        if name == "meta":
+            kind = native.schema["actions"].dataType
+            raw[name] = raw[name].withColumn("actions", F.from_json("actions", kind))
+    return P.ad_perf_unioned(raw["meta"], raw["tiktok"])
+
+
+@query("manifest_append", "SELECT asset_id, client_id, content_sha256, asset_type FROM manifest",
+       ["manifest"])
+def _manifest_append(lk: Lake) -> DataFrame:
+    """Two ingests into one manifest: the second adds what the first lacked."""
+    path = new_scratch(lk.spark, "manifest")
+    rows = lk.manifest.select("asset_id", "client_id", "content_sha256", "asset_type")
+    FS.manifest_append(rows.where(F.crc32("asset_id") % 2 == 0), path)
+    FS.manifest_append(rows.unionByName(rows), path)
+    return lk.spark.read.parquet(path)
+
+
+@query("silver_store", "SELECT *, client_id FROM fact_chunk JOIN (SELECT asset_id, client_id FROM manifest) "
+       "USING (asset_id)".replace("*, client_id", "fact_chunk.*, client_id"), ["fact_chunk", "manifest"])
+def _silver_store(lk: Lake) -> DataFrame:
+    """Silver overwritten by client: a rerun of one client leaves the others."""
+    path = new_scratch(lk.spark, "silver")
+    rows = silver_wide(lk).select(*SV.FACT_CHUNK_COLS, "client_id")
+    FS.write_silver(rows, path)
+    FS.write_silver(rows.where(F.col("client_id") == "src0"), path)
+    return lk.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+@query("quarantine_store", ORACLE["quarantine_rows"])
+def _quarantine_store(lk: Lake) -> DataFrame:
+    path = new_scratch(lk.spark, "quarantine")
+    rows = SV.quarantine_rows(lk.bronze_damaged)
+    FS.write_quarantine(rows, path)
+    return lk.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+@query("run_log_scan", "SELECT * FROM runlog", ["runlog"])
+def _run_log_scan(lk: Lake) -> DataFrame:
+    """Run records appended as JSON lines and read back by a typed JSON scan."""
+    path = new_scratch(lk.spark, "runs")
+    FS.write_json_records(lk.run_log_json, path)
+    return FS.read_run_log(lk.spark, path)
+
+
+@query("frozen_log_store", """
+SELECT asset_id, client_id, landing_key AS deleted_key, age_days FROM plan
+WHERE action = 'delete_candidate'""", ["plan"])
+def _frozen_log_store(lk: Lake) -> DataFrame:
+    """Freeze records appended as JSON lines and read back."""
+    path = new_scratch(lk.spark, "frozen")
+    FS.write_json_records(RT.frozen_log(retention(lk), NOW_ISO).select(F.col("record").alias("value")), path)
+    return lk.spark.read.schema("asset_id string, client_id string, deleted_key string, age_days bigint").json(path)
+
+
+@query("landing_scan", """
+SELECT client_id, asset_id, CAST(strlen(text) + 1 AS BIGINT) AS length,
+       sha256(text || chr(10)) AS content_sha256 FROM asset1""", ["asset1"])
+def _landing_scan(lk: Lake) -> DataFrame:
+    """Landed objects listed and hashed from their bytes."""
+    path = new_scratch(lk.spark, "landing")
+    FS.write_landing(lk.landed_assets, path)
+    return FS.scan_landing(lk.spark, path)
+
+
+@query("search_clips_client", ORACLE["search_clips"].replace(
+    "'Hook/energetic'", "'Hook/energetic' AND asset_id IN (SELECT asset_id FROM manifest WHERE client_id = 'src0')"))
+def _search_clips_client(lk: Lake) -> DataFrame:
+    """Search inside one tenant: Silver is partitioned by client."""
+    return SR.search_clips(silver_wide(lk), lk.manifest, client_id="src0", **SEARCH)
 
 
 @query("bronze_append", """
 SELECT a.asset_id, a.client_id, 'model-a1' AS model_version,
        CAST(count(c.chunk_id) AS INTEGER) AS chunk_count
 FROM asset1 a LEFT JOIN chunkall c ON c.asset_id = a.asset_id
-WHERE a.doc_id % 13 <> 0 GROUP BY 1, 2""", ["asset1", "chunkall"])
+GROUP BY 1, 2""", ["asset1", "chunkall"])
 def _bronze_append(lk: Lake) -> DataFrame:
     """Write-once Bronze: the second append of the same responses adds nothing."""
     path = new_scratch(lk.spark, "bronze")
@@ -1063,7 +1150,7 @@ SELECT m.asset_id, m.client_id, CAST(count(c.chunk_id) AS INTEGER) AS chunk_coun
 FROM manifest m LEFT JOIN chunkall c ON c.asset_id = m.asset_id
 WHERE m.doc_id % 13 = 0 GROUP BY 1, 2""", ["manifest", "chunkall"])
 def _extract_stage(lk: Lake) -> DataFrame:
-    todo = I.list_new_assets(lk.manifest, lk.bronze).select("asset_id") \
+    todo = I.list_new_assets(lk.manifest, lk.extracted_so_far).select("asset_id") \
         .join(lk.landed_assets.select("asset_id", "client_id", "content_sha256", "text"),
               "asset_id")
     return extract_stage(todo, line_segmenter, concurrency=2) \

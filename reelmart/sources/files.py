@@ -3,7 +3,7 @@ listings and run logs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart import schemas as S
@@ -19,17 +19,24 @@ def write_seed(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def capture_raw_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Verbatim capture of platform CSV exports: every row keeps its source
-    file, a content hash of the row and the load time (append-only)."""
-    raw = spark.read.schema(schema).option("header", True).csv(path)
-    cols = raw.columns
-    return raw.select(
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of the file system that holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def capture_raw_csv(spark: SparkSession, path: str, schema: str, target: str) -> DataFrame:
+    """Verbatim capture of platform CSV exports, appended to ``target``: every
+    row keeps its source file, a content hash of the row and the capture time."""
+    raw = spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    (raw.select(
         "*",
         F.col("_metadata.file_path").alias("source_file"),
-        F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]),
+        F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns]),
                256).alias("content_hash"),
-        F.current_timestamp().alias("load_ts"))
+        F.current_timestamp().alias("captured_at"))
+     .write.mode("append").parquet(target))
+    return spark.read.parquet(target)
 
 
 def landing_listing(spark: SparkSession, root: str) -> DataFrame:
@@ -45,39 +52,29 @@ def content_hashes(spark: SparkSession, root: str) -> DataFrame:
             .select("path", F.sha2(F.col("content"), 256).alias("content_sha256")))
 
 
+def append_new(rows: DataFrame, path: str, partition_by: list[str]) -> int:
+    """Append the rows whose asset_id is not stored yet, once each; returns how
+    many. The count is taken while writing."""
+    spark = rows.sparkSession
+    fresh = rows.dropDuplicates(["asset_id"])
+    if path_exists(spark, path):
+        fresh = fresh.join(spark.read.parquet(path).select("asset_id"), "asset_id", "left_anti")
+    seen = Observation()
+    (fresh.select(*rows.columns).observe(seen, F.count(F.lit(1)).alias("n"))
+     .write.mode("append").partitionBy(*partition_by).parquet(path))
+    return seen.get["n"]
+
+
 def bronze_append(new_rows: DataFrame, bronze_path: str) -> int:
-    """Write-once Bronze append: rows whose asset_id is already present are
-    skipped (left anti against what is on disk), then appended partitioned by
-    client. Returns the number of rows appended."""
-    spark = new_rows.sparkSession
-    try:
-        have = spark.read.schema(S.BRONZE_ASSET_RAW).parquet(bronze_path).select("asset_id")
-        fresh = new_rows.join(have, "asset_id", "left_anti")
-    except Exception:  # first write: nothing there yet
-        fresh = new_rows
-    fresh = fresh.select(*[f.name for f in S.BRONZE_ASSET_RAW.fields]).persist()
-    n = fresh.count()
-    if n:
-        fresh.write.mode("append").partitionBy("client_id").parquet(bronze_path)
-    fresh.unpersist()
-    return n
+    """Write-once Bronze: one response per asset, partitioned by client."""
+    return append_new(new_rows.select(*[f.name for f in S.BRONZE_ASSET_RAW.fields]), bronze_path,
+                      ["client_id"])
 
 
 def manifest_append(new_assets: DataFrame, manifest_path: str) -> int:
-    """Append only assets the manifest does not know (left anti on asset_id),
-    so re-running an ingest adds nothing. Returns rows appended."""
-    spark = new_assets.sparkSession
-    try:
-        known = spark.read.parquet(manifest_path).select("asset_id")
-        fresh = new_assets.join(known, "asset_id", "left_anti")
-    except Exception:  # first run: no manifest yet
-        fresh = new_assets
-    fresh = fresh.persist()
-    n = fresh.count()
-    if n:
-        fresh.write.mode("append").parquet(manifest_path)
-    fresh.unpersist()
-    return n
+    """Append only assets the manifest does not know, so that re-running an
+    ingest adds nothing."""
+    return append_new(new_assets, manifest_path, [])
 
 
 def write_silver(df: DataFrame, path: str) -> None:
@@ -90,5 +87,31 @@ def write_silver(df: DataFrame, path: str) -> None:
      .partitionBy("client_id").parquet(path))
 
 
-def write_run_log(runs_json: DataFrame, path: str) -> None:
-    runs_json.write.mode("append").text(path)
+def write_json_records(records: DataFrame, path: str) -> None:
+    """Append JSON records (column ``value``), a line each."""
+    records.select("value").write.mode("append").text(path)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(S.RUN_LOG).json(path, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+
+
+def write_quarantine(rows: DataFrame, path: str) -> None:
+    """Append rejected rows, by client."""
+    rows.write.mode("append").partitionBy("client_id").parquet(path)
+
+
+def write_landing(objects: DataFrame, path: str) -> None:
+    """Landed objects (client_id, asset_id, text), a file each."""
+    (objects.select("client_id", "asset_id", F.col("text").alias("value"))
+     .repartition("asset_id").write.partitionBy("client_id", "asset_id").text(path))
+
+
+def scan_landing(spark: SparkSession, path: str) -> DataFrame:
+    """(client_id, asset_id, length, content_sha256) of landed objects, hashed
+    on executors from their bytes."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .option("pathGlobFilter", "part-*").load(path))
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1).alias(name)
+    return listed.select(part("client_id"), part("asset_id"), "length",
+                         F.sha2(F.col("content"), 256).alias("content_sha256"))

@@ -1,40 +1,40 @@
-"""Shared scratch space for jobs that must write (sinks, streams, seeds).
+"""Shared folder for jobs that write or cut lineage (layers, sinks, streams).
 
-The folder comes from the session: ``spark.checkpoint.dir`` (the cluster's
-shared checkpoint folder), else the context's checkpoint dir, else the SQL
-warehouse. A job never invents a machine-local temp folder; tests set
-``spark.checkpoint.dir`` to their own scratch folder.
+The folder is ``spark.checkpoint.dir``, which every executor of a cluster can
+reach. Without that setting a job fails, unless the session is a single local
+JVM, whose own disk is shared by definition (tests, a laptop).
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-
-def configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    """``spark.checkpoint.dir`` of the session (or the context's checkpoint
-    dir), None when unset or not reachable from this client."""
-    try:
-        return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-                or spark.sparkContext.getCheckpointDir())
-    except Exception:  # e.g. a Connect client has no SparkContext
-        return spark.conf.get("spark.checkpoint.dir", None)
-
-
-def can_checkpoint(spark: SparkSession) -> bool:
-    try:
-        return spark.sparkContext.getCheckpointDir() is not None
-    except Exception:
-        return False
+_LOCAL: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    base = configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not base:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is not set: jobs write there")
+        if sc.applicationId not in _LOCAL:
+            _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="reelmart-")
+        base = _LOCAL[sc.applicationId]
     return base.rstrip("/")
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder per run; never reused, never cleared in place."""
     return f"{scratch_root(spark)}/reelmart-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder once and go on from there."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint(eager=True)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from reelmart import schemas as S
 from reelmart.functions import columns as C
 from reelmart.functions.ranks import previous_in_group
+from reelmart.sources.scratch import cut_lineage
 from reelmart.sources.store import LayerStore
 
 # ---------------------------------------------------------------- FIXED VALUES
@@ -34,6 +35,8 @@ MODEL_V2, PROMPT_V2 = "model-a2", "p2"
 # micro-dollars per 1,000 tokens, by model version: (input, output)
 PRICE_TABLE = [("m0", 75, 300), ("m1", 150, 600), ("m2", 1250, 5000)]
 # ------------------------------------------------------------ end FIXED VALUES
+#: ids that may be broadcast; beyond that the join is a shuffle
+BROADCAST_IDS = 1_000_000
 
 
 def stored_layer(partition_by: list[str] | None = None, cluster_by: list[str] | None = None):
@@ -103,14 +106,20 @@ class Lake:
     def landed_assets(self) -> DataFrame:
         """Deliveries collapsed to assets; the earliest delivery (min doc_id) wins.
 
-        min over a struct is a partial (map-side) aggregate, so a hot asset
-        (many copies) is combined before the shuffle.
+        Only (asset_id, doc_id) is aggregated; the few losing deliveries are
+        then taken out of the scan, so the text is neither sorted nor grouped.
         """
         keep = ["doc_id", "text", "lang", "client_id", "content_sha256", "asset_name", "folder",
                 "duration_ms", "modified_at", "n_chars"]
-        w = (self.deliveries.groupBy("asset_id")
-             .agg(F.min(F.struct(*keep)).alias("w")))
-        return w.select("asset_id", *[F.col(f"w.{c}").alias(c) for c in keep])
+        ids = self.deliveries.select("asset_id", "doc_id")
+        first = ids.groupBy("asset_id").agg(F.min("doc_id").alias("first"),
+                                            F.count(F.lit(1)).alias("n")).where("n > 1")
+        losers = cut_lineage(ids.join(first.select("asset_id", "first"), "asset_id")
+                             .where(F.col("doc_id") > F.col("first")).select("doc_id"))
+        if losers.count() <= BROADCAST_IDS:
+            losers = F.broadcast(losers)
+        return (self.deliveries.join(losers, "doc_id", "left_anti")
+                .select("asset_id", *keep))
 
     @stored_layer()
     def manifest(self) -> DataFrame:
@@ -152,7 +161,7 @@ class Lake:
         )
 
     def _responses(self, run: int) -> DataFrame:
-        """Model responses as verbatim JSON, one row per asset with Bronze.
+        """Model responses as verbatim JSON, one row per asset.
 
         run 1 is the clean extraction; run 2 re-extracts the same assets
         (score + 1 on every 7th chunk, every 11th chunk missing).
@@ -169,7 +178,6 @@ class Lake:
             chunks = F.filter(tagged, lambda c, i: (i + 1) % 11 != 0)
         model, prompt = (MODEL_V1, PROMPT_V1) if run == 1 else (MODEL_V2, PROMPT_V2)
         return (self.landed_assets
-                .where(F.col("doc_id") % 13 != 0)
                 .select("asset_id", "client_id", "content_sha256", "doc_id",
                         F.to_json(F.struct(chunks.alias("chunks"))).alias("raw_response"),
                         F.lit(model).alias("model_version"),
@@ -183,6 +191,12 @@ class Lake:
         """Clean Bronze (run 1): the input of Silver."""
         return self._responses(1).drop("doc_id")
 
+    @cached_property
+    def extracted_so_far(self) -> DataFrame:
+        """(asset_id, client_id) with a response at the time of an unfinished
+        run: the state that listing new assets and the TTL plan are about."""
+        return self.manifest.where(F.col("doc_id") % 13 != 0).select("asset_id", "client_id")
+
     @cached_property
     def bronze_run2(self) -> DataFrame:
         return self._responses(2).drop("doc_id")
@@ -294,13 +308,12 @@ class Lake:
 
     @stored_layer()
     def cut(self) -> DataFrame:
-        """Editor's cut per ad: up to 5 distinct parts, laid end to end."""
+        """Editor's cut per ad: all its distinct parts, laid end to end."""
         li = self.table("lineitem").select("l_suppkey", "l_partkey", "l_quantity")
         pairs = li.groupBy("l_suppkey", "l_partkey").agg(F.min("l_quantity").alias("len"))
         order = (F.col("l_partkey") * 31 + F.col("l_suppkey") * 17) % 997
         w = Window.partitionBy("l_suppkey").orderBy(order, "l_partkey")
-        ranked = pairs.withColumn("position_in_ad", F.row_number().over(w)) \
-            .where(F.col("position_in_ad") <= 5)
+        ranked = pairs.withColumn("position_in_ad", F.row_number().over(w))
         run = Window.partitionBy("l_suppkey").orderBy("position_in_ad") \
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return (ranked.withColumn("end_sec", F.sum("len").over(run))
@@ -369,12 +382,16 @@ class Lake:
 
     @stored_layer()
     def map_ad_asset(self) -> DataFrame:
-        ads = self.table("lineitem").select("l_suppkey").distinct()
-        return (ads.where(F.col("l_suppkey") % 31 != 0)
+        return (self.table("lineitem").select("l_suppkey").distinct()
                 .select(F.col("l_suppkey").cast("string").alias("ad_id"),
                         F.concat(F.lit("ed"), F.col("l_suppkey").cast("string"))
                         .alias("asset_id")))
 
+    @cached_property
+    def map_ad_asset_gaps(self) -> DataFrame:
+        """A map that lacks some ads: input of the unmapped-ad check only."""
+        return self.map_ad_asset.where(F.col("ad_id").cast("bigint") % 31 != 0)
+
     def dim_platform(self) -> DataFrame:
         """Platform seed: two literal rows (size bound is the literal)."""
         return C.literal_table(self.spark, S.PLATFORM_SEED, S.SEED_SCHEMAS["dim_platform"])

@@ -7,11 +7,23 @@ State and checkpoints live in the shared scratch folder named by the session.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelmart.sources.files import path_exists
+
+
+#: files of one micro-batch; a batch is a Spark job, so it should be large
+FILES_PER_TRIGGER = 1000
+
+
+def query_name(kind: str, root: str) -> str:
+    """The same name for the same target in every run."""
+    return f"{kind}_{zlib.crc32(root.encode()):08x}"
+
 
 def _run(writer, name: str) -> None:
     q = writer.queryName(name).trigger(availableNow=True).start()
@@ -20,7 +32,7 @@ def _run(writer, name: str) -> None:
 
 def stream_new_assets(spark: SparkSession, source_dir: str, schema: str, sink_dir: str,
                       checkpoint: str, delay: str = "365 days",
-                      files_per_trigger: int = 1) -> DataFrame:
+                      files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Append-only arrival with skip-existing: a landed asset is emitted once.
 
     ``dropDuplicatesWithinWatermark`` keeps per-asset state only as long as
@@ -33,7 +45,7 @@ def stream_new_assets(spark: SparkSession, source_dir: str, schema: str, sink_di
              .select("asset_id", "client_id", "content_sha256", "modified_at"))
     _run(dedup.writeStream.format("parquet").option("path", sink_dir)
          .option("checkpointLocation", checkpoint).outputMode("append"),
-         f"new_assets_{abs(hash(sink_dir)) % 10**8}")
+         query_name("new_assets", sink_dir))
     return spark.read.parquet(sink_dir)
 
 
@@ -42,11 +54,12 @@ class PartitionedUpsertTable:
     merges into.
 
     Per batch, only the months the batch touches are read (a semi join on the
-    batch's months, pruned at run time), merged with the batch, staged under
-    ``_staging/epoch=<n>`` and swapped in with dynamic partition overwrite.
-    Work per batch grows with the months a batch restates, not with the
-    table. A failed batch leaves the table as it was; a replayed epoch
-    restages and rewrites the same partitions with the same rows.
+    batch's months, pruned at run time), merged with the batch, staged and
+    swapped in with dynamic partition overwrite. Work per batch grows with the
+    months a batch restates, not with the table. Whether the table exists is
+    decided from its path, so a restarted stream goes on where it stopped; a
+    replayed epoch merges the same rows again, which last-write-wins absorbs.
+    Two staging folders take turns.
     """
 
     part_col = "_month"
@@ -55,48 +68,42 @@ class PartitionedUpsertTable:
         self.path = f"{root}/table"
         self.staging = f"{root}/_staging"
         self.month = F.date_format(F.col(date_col), "yyyy-MM")
-        self.schema = None
 
     def merge(self, batch: DataFrame, epoch: int,
               combine: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
         spark = batch.sparkSession
-        batch.persist()
-        try:
-            prev = None
-            if self.schema is not None:
-                touched = batch.select(self.month.alias(self.part_col)).distinct()
-                prev = (spark.read.schema(self.schema).parquet(self.path)
-                        .join(touched, self.part_col, "left_semi").drop(self.part_col))
-            merged = combine(prev, batch)
-            merged = merged.withColumn(self.part_col, self.month)
-            self.schema = self.schema or merged.schema
-            stage = f"{self.staging}/epoch={epoch:08d}"
-            merged.write.mode("overwrite").parquet(stage)
-        finally:
-            batch.unpersist()
-        (spark.read.schema(self.schema).parquet(stage).hint("rebalance", self.part_col)
+        prev = None
+        if path_exists(spark, self.path):
+            touched = batch.select(self.month.alias(self.part_col)).distinct()
+            have = spark.read.parquet(self.path)
+            prev = (have.withColumn(self.part_col, F.col(self.part_col).cast("string"))
+                    .join(touched, self.part_col, "left_semi").drop(self.part_col))
+        merged = combine(prev, batch).withColumn(self.part_col, self.month)
+        stage = f"{self.staging}/{epoch % 2}"
+        merged.write.mode("overwrite").parquet(stage)
+        (spark.read.schema(merged.schema).parquet(stage).hint("rebalance", self.part_col)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.part_col).parquet(self.path))
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(self.path).drop(self.part_col)
+        return spark.read.parquet(self.path).drop(self.part_col)
 
 
 def upsert_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: str,
                   combine: Callable[[DataFrame | None, DataFrame], DataFrame], date_col: str,
-                  output_mode: str = "append", name: str = "upsert") -> DataFrame:
+                  name: str = "upsert") -> DataFrame:
     """Drive ``source`` through ``foreachBatch`` merges into a table
     partitioned by the month of ``date_col``."""
     table = PartitionedUpsertTable(root, date_col)
-    _run(source.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    _run(source.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda df, epoch: table.merge(df, epoch, combine)),
-         f"{name}_{abs(hash(root)) % 10**8}")
+         query_name(name, root))
     return table.read(spark)
 
 
 def stream_perf_upsert(spark: SparkSession, source_dir: str, schema: str, root: str,
                        checkpoint: str, latest: Callable[[DataFrame], DataFrame],
-                       files_per_trigger: int = 8) -> DataFrame:
+                       files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Restated daily pulls: each batch is merged with last-write-wins on
     load_ts (``latest`` = the batch rule), so late restatements replace the
     day they restate."""
@@ -110,29 +117,26 @@ def stream_perf_upsert(spark: SparkSession, source_dir: str, schema: str, root:
 
 
 def stream_daily_counts(spark: SparkSession, events_dir: str, file_glob: str, schema: str,
-                        root: str, checkpoint: str, delay: str = "1 day") -> DataFrame:
+                        root: str, checkpoint: str, files_per_trigger: int = FILES_PER_TRIGGER
+                        ) -> DataFrame:
     """Daily event counts per user and type from a growing event folder.
 
-    Watermark + 1-day tumbling window; update mode emits changed windows and
-    each batch's rows replace their window in the target.
+    Each micro-batch is aggregated and written under its own epoch, which a
+    replay overwrites; reading sums the epochs. Files may come in any order:
+    there is no watermark, so no late row is dropped, and no state to keep.
     """
     ev = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-          .option("maxFilesPerTrigger", 1).parquet(events_dir)
+          .option("maxFilesPerTrigger", files_per_trigger).parquet(events_dir)
           .withColumn("ts", F.col("ts").cast("timestamp")))
-    agg = (ev.withWatermark("ts", delay)
-           .groupBy(F.window("ts", "1 day"), "user_id", "event_type")
-           .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("sum_value"))
-           .select(F.to_date(F.col("window.start")).alias("day"), "user_id", "event_type",
-                   "n_events", "sum_value"))
-    keys = ["day", "user_id", "event_type"]
+    parts = f"{root}/parts"
 
-    def combine(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
-        if prev is None:
-            return batch
-        return prev.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+    def add(batch: DataFrame, epoch: int) -> None:
+        daily_counts_batch(batch).write.mode("overwrite").parquet(f"{parts}/epoch={epoch:08d}")
 
-    return upsert_stream(spark, agg, root, checkpoint, combine, "day", output_mode="update",
-                         name="daily_counts")
+    _run(ev.writeStream.option("checkpointLocation", checkpoint).foreachBatch(add),
+         query_name("daily_counts", root))
+    return (spark.read.parquet(parts).groupBy("day", "user_id", "event_type")
+            .agg(F.sum("n_events").alias("n_events"), F.sum("sum_value").alias("sum_value")))
 
 
 def daily_counts_batch(events: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+# the training-data queries have their own tests in tests/llm
+from reelmart.plans.registry import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +15,12 @@ def con():
     return duck(SF_SMALL)
 
 
+def test_every_key_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_key_matches_oracle(spark, con, key):
-    if key not in ORACLE:
-        df = QUERIES[key](spark, SF_SMALL)
-        assert df.count() >= 0
-        return
     compare(spark, con, key, QUERIES[key], ORACLE[key], SF_SMALL)
 
 

@@ -4,6 +4,7 @@ relational keys, partial aggregation where a hot key may land."""
 import pytest
 
 import __spark_entry__ as E
+from reelmart.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 PY_OK = {"extract_stage"}  # the pluggable model call is the one Python stage
@@ -13,9 +14,12 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if not k.startswith("stream_")
-                                       and k not in ("seed_tables", "perf_raw_capture",
-                                                     "bronze_append")))
+WRITES = {"seed_tables", "perf_raw_capture", "bronze_append", "manifest_append", "silver_store",
+          "quarantine_store", "run_log_scan", "frozen_log_store", "landing_scan"}
+
+
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if not k.startswith("stream_")
+                                       and k not in WRITES))
 def test_no_cartesian_and_no_python(spark, key):
     p = plan_of(E.queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in p
@@ -47,6 +51,16 @@ def test_pair_topk_prunes_before_the_join(spark):
     assert "WindowGroupLimit" in p
 
 
+def test_a_suite_reads_its_table_once(spark):
+    from reelmart.operators import quality as Q
+    from reelmart.plans.registry import fact_chunk, lake
+    df = Q.run_suite("fact_chunk", fact_chunk(lake(spark, SF_SMALL)))
+    rows = [k for k in Q.SUITES["fact_chunk"] if k[0] not in ("unique", "compound_unique")]
+    assert len(rows) > 1
+    # one scan for all row rules, one for each uniqueness rule
+    assert plan_of(df).count("FileScan") == 1 + len(Q.SUITES["fact_chunk"]) - len(rows)
+
+
 def test_client_scope_prunes_silver_partitions(spark):
     from reelmart.operators import search as SR
     from reelmart.plans.registry import lake, silver_wide
