@@ -161,6 +161,11 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str | Non
     return child.where(F.col(key).isNotNull()).join(p, key, "left_anti")
 
 
+def unknown_tags(rows: DataFrame, column: str, known: list[str]) -> DataFrame:
+    """Rows whose tag is missing or not one of ``known``."""
+    return rows.where(F.col(column).isNull() | ~F.col(column).isin(*known))
+
+
 def referential_report(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
     """``checks``: (name, severity, frame of offending rows)."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_orphans"))

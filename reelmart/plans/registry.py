@@ -681,7 +681,8 @@ SELECT check_name, severity, CAST(n AS BIGINT) AS n_orphans, n = 0 AS passed FRO
   SELECT 'fact_chunk.asset_id->dim_asset' AS check_name, 'CRITICAL' AS severity, count(*) AS n
   FROM fact_chunk c WHERE c.asset_id NOT IN (SELECT asset_id FROM manifest)
   UNION ALL SELECT 'bridge_chunk_compatibility.chunk_id->fact_chunk', 'HIGH', count(*)
-  FROM compat_bridge b WHERE b.chunk_id NOT IN (SELECT chunk_id FROM fact_chunk)
+  FROM compat_bridge b WHERE b.chunk_id NOT IN
+    (SELECT chunk_id FROM dmg_chunks WHERE standalone_score BETWEEN 1 AND 5)
   UNION ALL SELECT 'dim_asset.client_id->dim_client', 'CRITICAL', count(*)
   FROM manifest m WHERE m.client_id NOT IN (SELECT client_id FROM dclient)
   UNION ALL SELECT 'edit_decision_list.chunk_id->fact_chunk', 'CRITICAL', count(*)
@@ -693,8 +694,8 @@ SELECT check_name, severity, CAST(n AS BIGINT) AS n_orphans, n = 0 AS passed FRO
   UNION ALL SELECT 'ad has at least one chunk', 'CRITICAL', count(DISTINCT ad_id)
   FROM fact_perf f WHERE f.ad_id NOT IN (SELECT ad_id FROM bridge_ad_chunk)
   UNION ALL SELECT 'pull with unknown platform tag', 'HIGH', count(*)
-  FROM perf_pulls WHERE platform_name NOT IN ('meta', 'tiktok'))""",
-       ["fact_chunk", "manifest", "compat_bridge", "dclient", "edl", "pchunk", "fact_perf",
+  FROM perf_pulls WHERE CAST(ad_id AS BIGINT) % 7 = 0)""",
+       ["fact_chunk", "dmg_chunks", "manifest", "compat_bridge", "dclient", "edl", "pchunk", "fact_perf",
         "passet", "perf_latest", "map_ad_asset", "bridge_ad_chunk", "perf_pulls"])
 def _referential_report(lk: Lake) -> DataFrame:
     fc, bridge, fact = fact_chunk(lk), perf_bridge(lk), perf_fact(lk)
@@ -705,7 +706,7 @@ def _referential_report(lk: Lake) -> DataFrame:
     return Q.referential_report([
         ("fact_chunk.asset_id->dim_asset", "CRITICAL", Q.orphans(fc, "asset_id", lk.manifest)),
         ("bridge_chunk_compatibility.chunk_id->fact_chunk", "HIGH",
-         Q.orphans(compat(lk), "chunk_id", fc)),
+         Q.orphans(compat(lk), "chunk_id", SV.silver_chunk_wide(lk.bronze_damaged))),
         ("dim_asset.client_id->dim_client", "CRITICAL",
          Q.orphans(lk.manifest, "client_id", lk.dim_client)),
         ("edit_decision_list.chunk_id->fact_chunk", "CRITICAL",
@@ -715,7 +716,7 @@ def _referential_report(lk: Lake) -> DataFrame:
         ("ad mapped to an asset", "CRITICAL", unmapped),
         ("ad has at least one chunk", "CRITICAL", chunkless),
         ("pull with unknown platform tag", "HIGH",
-         lk.perf_pulls.where(~F.col("platform_native").isin(*S.PLATFORMS))),
+         Q.unknown_tags(lk.perf_pulls_mistagged, "platform_native", S.PLATFORMS)),
     ])
 
 
@@ -732,15 +733,17 @@ SELECT '{name}' AS check_name, (SELECT count(*) FROM {base}) AS n_base,
 @query("reconcile_keys", "SELECT *, n_base_only = 0 AND n_view_only = 0 AS reconciled FROM ("
        + _reconcile_sql("edl_vs_bridge_ad_chunk", "edl", "bridge_ad_chunk",
                         "ad_id, chunk_id, position_in_ad")
-       + "\nUNION ALL" + _reconcile_sql("silver_vs_fact_chunk", "silver", "fact_chunk", "chunk_id")
+       + "\nUNION ALL" + _reconcile_sql("damaged_delivery_vs_fact_chunk", "dmg_chunks", "fact_chunk",
+                                        "chunk_id")
        + "\nUNION ALL" + _reconcile_sql("latest_pull_vs_fact_ad_performance", "perf_latest",
                                         "fact_perf", "ad_id, perf_date") + ")",
-       ["edl", "bridge_ad_chunk", "silver", "fact_chunk", "perf_latest", "fact_perf"])
+       ["edl", "bridge_ad_chunk", "dmg_chunks", "fact_chunk", "perf_latest", "fact_perf"])
 def _reconcile_keys(lk: Lake) -> DataFrame:
     parts = [
         Q.reconcile("edl_vs_bridge_ad_chunk", lk.edit_decision_list, perf_bridge(lk),
                     ["ad_id", "chunk_id", "position_in_ad"]),
-        Q.reconcile("silver_vs_fact_chunk", silver_wide(lk), fact_chunk(lk), ["chunk_id"]),
+        Q.reconcile("damaged_delivery_vs_fact_chunk", parsed_run(lk.bronze_damaged), fact_chunk(lk),
+                    ["chunk_id"]),
         Q.reconcile("latest_pull_vs_fact_ad_performance", _perf_latest(lk), perf_fact(lk),
                     ["ad_id", "perf_date"]),
     ]

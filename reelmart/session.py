@@ -43,7 +43,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("REELMART_DRIVER_MEMORY", "16g"))
+    memory = os.environ.get("REELMART_DRIVER_MEMORY")
+    if memory or (master or "").startswith("local"):  # one JVM does all the work
+        builder = builder.config("spark.driver.memory", memory or "8g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -59,18 +61,3 @@ def apply_core_conf(spark: SparkSession) -> None:
                 spark.conf.set(key, value)
             except Exception:  # static conf in a foreign session: leave it
                 pass
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by the cluster, if any.
-
-    Jobs read ``spark.checkpoint.dir`` from the session; they never invent a
-    machine-local folder. Tests set it to a scratch folder before calling.
-    """
-    value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if value:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(value)
-        return value
-    return spark.sparkContext.getCheckpointDir()

@@ -272,6 +272,13 @@ class Lake:
                         F.date_add("perf_date", F.col("pull.lag")).cast("timestamp")
                         .alias("load_ts"))
 
+    @cached_property
+    def perf_pulls_mistagged(self) -> DataFrame:
+        """Pulls with a wrong platform tag here and there: input of the tag check only."""
+        wrong = F.col("ad_id").cast("bigint") % 7 == 0
+        return self.perf_pulls.withColumn(
+            "platform_native", F.when(wrong, "other").otherwise(F.col("platform_native")))
+
     def perf_native(self, platform: str) -> DataFrame:
         """A platform's export under its own column names."""
         p = self.perf_pulls.where(F.col("platform_native") == platform)

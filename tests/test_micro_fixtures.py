@@ -254,3 +254,19 @@ def test_17_search_wildcards_are_literal(spark):
                                    "client_id string")
     assert [r.chunk_id for r in SR.search_clips(ch, assets, contains="0% F").collect()] == ["k1"]
     assert [r.chunk_id for r in SR.search_clips(ch, assets, contains="E_C").collect()] == ["k3"]
+
+
+def test_watch_time_from_average_and_plays(spark):
+    """Only the average exists: total = average x plays."""
+    row = {"ad_id": "a", "date": None, "impressions": 10, "video_3_sec_watched_actions": 5,
+           "video_p25_watched_actions": 4, "video_p50_watched_actions": 3, "video_p75_watched_actions": 2,
+           "video_p100_watched_actions": 1, "video_total_time_watched": None,
+           "video_avg_time_watched_actions": 2.5, "video_play_actions": 7, "inline_link_clicks": 1,
+           "actions": [("purchase", 2), ("lead", 1), ("link_click", 9)], "spend": 3, "load_ts": None,
+           "platform_native": "meta"}
+    kinds = {"ad_id": "string", "date": "date", "video_avg_time_watched_actions": "double",
+             "actions": "array<struct<action_type:string,value:long>>", "load_ts": "timestamp",
+             "platform_native": "string"}
+    raw = spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} {kinds.get(c, 'long')}" for c in row))
+    got = P.conform_meta(raw).first()
+    assert (got.sum_watch_time_sec, got.results) == (17, 3)
