@@ -966,8 +966,6 @@ def _expectations_report(lk: Lake) -> DataFrame:
 
 
 # Wave 6: sources, sinks, extraction stage, streams -------------------------------------
-import pandas as pd  # noqa: E402
-
 from reelmart import schemas as S  # noqa: E402
 from reelmart.sources import files as FS  # noqa: E402
 from reelmart.sources.scratch import new_scratch  # noqa: E402
@@ -1120,32 +1118,23 @@ def _bronze_append(lk: Lake) -> DataFrame:
                                               "chunk_count")
 
 
-def line_segmenter(batches):
-    """Stand-in extractor (the model call is the caller's function): one chunk
-    per non-blank line, 5 s each. Per-row Python stays this small helper."""
-    import json
-    for pdf in batches:
-        out = []
-        for r in pdf.itertuples(index=False):
-            lines = [x.strip(" ") for x in r.text.split("\n")]
-            lines = [x for x in lines if x != ""]
-            chunks = [{"start_sec": 5.0 * i, "end_sec": 5.0 * (i + 1), "transcript_segment": x,
-                       "chunk_theme": "Body", "sentiment": "neutral", "standalone_score": 3}
-                      for i, x in enumerate(lines)]
-            out.append((r.asset_id, r.client_id, json.dumps({"chunks": chunks}), "stand-in",
-                        "p0", r.content_sha256, len(chunks)))
-        yield pd.DataFrame(out, columns=["asset_id", "client_id", "raw_response",
-                                         "model_version", "prompt_version", "content_sha256",
-                                         "chunk_count"])
-
-
-def extract_stage(new_assets: DataFrame, extractor, concurrency: int) -> DataFrame:
-    """Run the extractor over assets without Bronze. The partition count caps
-    how many model calls run at once (the rate limit); rows never leave the
-    executors."""
-    schema = ("asset_id string, client_id string, raw_response string, model_version string, "
-              "prompt_version string, content_sha256 string, chunk_count int")
-    return new_assets.repartition(concurrency, "asset_id").mapInPandas(extractor, schema)
+def line_segments(text: F.Column) -> F.Column:
+    """Stand-in for the model: one chunk per non-blank line, 5 s each."""
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.transform(lines, lambda x, i: F.struct(
+        (i * 5.0).alias("start_sec"), ((i + 1) * 5.0).alias("end_sec"),
+        x.alias("transcript_segment"), F.lit("Body").alias("chunk_theme"),
+        F.lit("neutral").alias("sentiment"), F.lit(3).alias("standalone_score")))
+
+
+def extract_stage(new_assets: DataFrame, segments: Callable[[F.Column], F.Column]) -> DataFrame:
+    """Responses for assets without Bronze: ``segments`` turns an asset's text
+    into an array of chunks. A model call would take its place as a column
+    function; rows never leave the executors."""
+    return new_assets.withColumn("chunks", segments(F.col("text"))).select(
+        "asset_id", "client_id", F.to_json(F.struct("chunks")).alias("raw_response"),
+        F.lit("stand-in").alias("model_version"), F.lit("p0").alias("prompt_version"),
+        "content_sha256", F.size("chunks").alias("chunk_count"))
 
 
 @query("extract_stage", """
@@ -1156,8 +1145,7 @@ def _extract_stage(lk: Lake) -> DataFrame:
     todo = I.list_new_assets(lk.manifest, lk.extracted_so_far).select("asset_id") \
         .join(lk.landed_assets.select("asset_id", "client_id", "content_sha256", "text"),
               "asset_id")
-    return extract_stage(todo, line_segmenter, concurrency=2) \
-        .select("asset_id", "client_id", "chunk_count")
+    return extract_stage(todo, line_segments).select("asset_id", "client_id", "chunk_count")
 
 
 _DELIVERY_SCHEMA = ("asset_id STRING, client_id STRING, content_sha256 STRING, doc_id BIGINT, "

@@ -7,7 +7,6 @@ import __spark_entry__ as E
 from reelmart.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
-PY_OK = {"extract_stage"}  # the pluggable model call is the one Python stage
 
 
 def plan_of(df) -> str:
@@ -24,8 +23,7 @@ def test_no_cartesian_and_no_python(spark, key):
     p = plan_of(E.queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p, key
-    if key not in PY_OK:
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, key
+    assert "Python" not in p and "InPandas" not in p and "InArrow" not in p, key
 
 
 def test_search_pushes_filters_and_prunes(spark):
