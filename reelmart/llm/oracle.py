@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from reelmart.llm.jaccard import GRAM, SIMILARITY
+from reelmart.llm.repetition import (
+    BASE_LENGTH, BASE_PERCENT, DUPLICATE_LIMITS, LINE_CHAR_LIMIT, LINE_LIMIT, MIN_WORDS)
 from reelmart.llm.url_rules import RULES
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,3 +55,63 @@ b AS (SELECT s.n, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
       GROUP BY s.n)
 SELECT s.page_id, s.host, s.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
 FROM s LEFT JOIN b ON s.n = b.n"""
+
+_lengths = sorted({BASE_LENGTH, *DUPLICATE_LIMITS})
+
+
+def _gram(n: int) -> str:
+    parts = ["w", *(f"lead(w, {k}) OVER o" for k in range(1, n))]
+    return f"CASE WHEN n - i >= {n - 1} THEN " + " || ' ' || ".join(parts) + f" END AS g{n}"
+
+
+_limits = " OR ".join(f"share_{n} > {limit}" for n, limit in DUPLICATE_LIMITS.items())
+OP8 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, regexp_extract_all(text, '{WORD}') AS ws FROM d),
+w AS (SELECT r, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM t),
+g AS (SELECT r, i, length(w) AS size, {", ".join(_gram(n) for n in _lengths)}
+      FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+f AS (SELECT r, i, size, {", ".join(
+    f"CAST(g{n} IS NOT NULL AND count(g{n}) OVER (PARTITION BY r, g{n}) > 1 AS INTEGER) AS f{n}" for n in _lengths)}
+      FROM g),
+c AS (SELECT r, size, {", ".join(
+    f"max(f{n}) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS c{n}" for n in _lengths)}
+      FROM f),
+s AS (SELECT r, count(*) AS n_words, sum(size) AS word_chars, sum(c{BASE_LENGTH}) AS n_repeat_words,
+             {", ".join(f"sum(c{n} * size)::DOUBLE AS dup_{n}" for n in DUPLICATE_LIMITS)}
+      FROM c GROUP BY r),
+l AS (SELECT r, line, idx, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS size,
+             row_number() OVER (PARTITION BY r, line ORDER BY idx) > 1 AS dup
+      FROM (SELECT r, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS idx FROM d)
+      WHERE regexp_matches(line, '{WORD}')),
+x AS (SELECT r, sum(dup::INTEGER) AS n_dup, sum(dup::INTEGER)::DOUBLE / count(*) AS line_share,
+             sum(CASE WHEN dup THEN size ELSE 0 END)::DOUBLE / sum(size) AS line_char_share FROM l GROUP BY r),
+a AS (SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words,
+             CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+             coalesce(line_share, 0::DOUBLE) AS line_share, coalesce(line_char_share, 0::DOUBLE) AS line_char_share,
+             {", ".join(f"coalesce(dup_{n} / word_chars, 0::DOUBLE) AS share_{n}" for n in DUPLICATE_LIMITS)}
+      FROM d LEFT JOIN s USING (r) LEFT JOIN x USING (r)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {BASE_PERCENT} * n_words AS base_failed FROM a)
+SELECT *, NOT base_failed AND NOT (line_share > {LINE_LIMIT} OR line_char_share > {LINE_CHAR_LIMIT}
+                                   OR {_limits}) AS kept
+FROM b"""
+
+OP7 = rf"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+sets AS (SELECT DISTINCT r, unnest(CASE
+    WHEN len(ws) >= {GRAM} THEN list_transform(range(1, len(ws) - {GRAM - 2}), lambda i: array_to_string(ws[i:i + {GRAM - 1}], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+size AS (SELECT r, count(*) AS n FROM sets GROUP BY r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS n FROM sets a JOIN sets b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
+link AS (SELECT x, y FROM pairs JOIN size p ON p.r = x JOIN size q ON q.r = y
+         WHERE pairs.n >= {SIMILARITY} * (p.n + q.n - pairs.n) - 1e-9),
+near AS (SELECT r, r AS m FROM w UNION SELECT near.r, link.y FROM near JOIN link ON link.x = near.m)
+SELECT any_value(w.doc_id) AS doc_id, min(o.doc_id) AS class_id,
+       (SELECT count(*) FROM link WHERE link.x = w.r) AS n_links
+FROM near JOIN w ON w.r = near.r JOIN w o ON o.r = near.m
+GROUP BY w.r"""

@@ -59,4 +59,5 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secrets, op2_licenses, op3_language, op4_quality, op5_decontaminate, op6_mix, op7_jaccard, op8_repetition, op9_shard, op10_url_rules)}
-ORACLE: dict[str, str] = {"op6_mix": oracle.OP6, "op10_url_rules": oracle.OP10}
+ORACLE: dict[str, str] = {"op6_mix": oracle.OP6, "op7_jaccard": oracle.OP7,
+                          "op8_repetition": oracle.OP8, "op10_url_rules": oracle.OP10}
