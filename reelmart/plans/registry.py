@@ -1202,6 +1202,33 @@ def _stream_daily_counts(lk: Lake) -> DataFrame:
     return out.withColumn("sum_value", C.r6(F.col("sum_value")))
 
 
+# Gold: views by name over the stored layers, never a second copy.
+GOLD_VIEWS = {
+    "gold_ad_perf_unioned": (perf_unioned, "perf_pulls"),
+    "gold_fact_ad_performance": (perf_fact, "fact_perf"),
+    "gold_ad_kpi": (perf_kpi, "kpi"),
+    "gold_bridge_ad_chunk": (perf_bridge, "bridge_ad_chunk"),
+    "gold_chunk_perf_correlation": (perf_mart, "mart"),
+    "gold_chunk": (fact_chunk, "fact_chunk"),
+    "gold_chunk_compatibility": (compat, "compat_bridge"),
+}
+
+
+def register_gold(lk: Lake) -> list[str]:
+    """Register every Gold view in the session, for use from SQL."""
+    for name, (frame, _) in GOLD_VIEWS.items():
+        frame(lk).createOrReplaceTempView(name)
+    return list(GOLD_VIEWS)
+
+
+@query("gold_views", "\nUNION ALL ".join(f"SELECT '{name}' AS view_name, count(*) AS n_rows FROM {base}"
+                                         for name, (_, base) in GOLD_VIEWS.items()),
+       [base for _, base in GOLD_VIEWS.values()])
+def _gold_views(lk: Lake) -> DataFrame:
+    return lk.spark.sql("\nUNION ALL ".join(
+        f"SELECT '{name}' AS view_name, count(*) AS n_rows FROM {name}" for name in register_gold(lk)))
+
+
 def build_layers(lk: Lake) -> None:
     """Build every stored Bronze/Silver layer once (the transform step).
 
