@@ -126,8 +126,8 @@ def bucket_of(buckets: int) -> Column:
 
 def copies(buckets: int) -> Column:
     """How often a row joined with its source's cutoff is taken."""
-    chosen = F.when(F.col("_cut").isNull(), F.col("_rest") > 0).otherwise(
-        (F.col("_bucket") < F.col("_cut"))
+    chosen = (F.col("_rest") > 0) & (
+        F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut"))
         | ((F.col("_bucket") == F.col("_cut"))
            & F.coalesce(F.struct("_key", F.struct("doc_id")) <= F.col("_last"), F.lit(False))))
     return (F.col("_epochs") + chosen.cast("long")).cast("long")
