@@ -2,9 +2,9 @@
 chunk of the edited cut.
 
 Time-anchored metrics use a range test on the ad's timeline; the join is an
-equi-join on ad_id (an ad has a handful of chunks) with the range as a
-residual, and the pick is a ``min_by`` over a sort key - a partial aggregate,
-no window sort.
+equi-join on ad_id with the range as a
+residual. The pick finds the least distance by a hash aggregate, then the owner
+among its ties by ``min_by`` - partial aggregates, no window sort.
 """
 
 from __future__ import annotations
@@ -74,17 +74,17 @@ def metric_chunk_alignment(anc: DataFrame, bridge: DataFrame, fact: DataFrame,
     if tolerance_sec is not None:
         cov = cov.when(-overlap > F.lit(float(tolerance_sec)), "LOW")
     cov = cov.otherwise("MEDIUM")
-    # min_by over an ascending sort key == row_number() ... = 1
-    sort_key = F.struct(
-        F.when(inside, 0).otherwise(1).alias("k1"),
-        F.coalesce(-overlap, F.lit(float("inf"))).alias("k2"),
-        F.col("position_in_ad").alias("k3"), F.col("chunk_id").alias("k4"))
+    # the distance of the owner first: a hash aggregate of one double; only its
+    # ties then meet min_by, whose struct buffers would need a sort of all rows
+    away = F.when(inside, -1.0).otherwise(F.coalesce(-overlap, F.lit(float("inf"))))
+    keys = ["ad_id", "platform_id", "metric_name"]
     b = bridge.select("ad_id", "chunk_id", "chunk_role", "position_in_ad", "start_sec", "end_sec")
-    timed = (anc.join(b, "ad_id")
-             .groupBy("ad_id", "platform_id", "metric_name")
-             .agg(F.min_by(F.struct("chunk_id", "chunk_role", cov.alias("cov")), sort_key)
-                  .alias("p"))
-             .select("ad_id", "platform_id", "metric_name", F.col("p.chunk_id").alias("chunk_id"),
+    near = anc.join(b, "ad_id").groupBy(*keys).agg(F.min(away).alias("nearest"))
+    timed = (anc.join(near, keys).join(b, "ad_id").where(away == F.col("nearest"))
+             .groupBy(*keys)
+             .agg(F.min_by(F.struct("chunk_id", "chunk_role", cov.alias("cov")),
+                           F.struct("position_in_ad", "chunk_id")).alias("p"))
+             .select(*keys, F.col("p.chunk_id").alias("chunk_id"),
                      F.col("p.chunk_role").alias("chunk_role"),
                      F.col("p.cov").alias("coverage_confidence")))
     cta = b.where(F.col("chunk_role") == "cta")
