@@ -3,7 +3,8 @@
 Records are ordered by the hash of their text, then of their id, so equal texts
 lie together. A size-weighted sample of these keys gives quantile boundaries; a
 range that turns out overfull is sampled again and subdivided, inside one
-text's copies too if they are many. The exact bytes of the ranges, and a running
+text's copies too if they are many. A sample is what falls under a threshold of
+the keys' exponential, so about ``SAMPLE`` keys come to the driver at any size. The exact bytes of the ranges, and a running
 sum inside each range, then place the cut points between shards.
 
 A group of equal texts inside a range stays in one shard if it has at most
