@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import cut, maybe_broadcast, text_key
+from reelmart.llm.common import cut, maybe_broadcast, slices, text_key
 
 ORDER = 4
 BITS = 12
@@ -50,7 +50,10 @@ HIGH = 0.99
 MARGIN = 0.1
 #: width of a step of log perplexity in the quantile tables
 STEP = 0.001
-CHUNK = 2_000_000
+#: characters worked on together, rows of a blob, n-grams gathered before merging
+CHUNK = 250_000
+BLOB_ROWS = 256
+GATHERED = 1_000_000
 MOST_IDS = 1_000_000
 
 
@@ -90,7 +93,7 @@ def tagged(lang: int, length: int, key):
 
 def count_batches(langs: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             frame = pd.DataFrame({"lang": batch.column("lang").to_pylist(),
                                   "text": batch.column("text").to_pylist()})
             for lang, part in frame.groupby("lang", sort=True):
@@ -172,16 +175,17 @@ def model(counts: DataFrame) -> DataFrame:
 
 # scoring ----------------------------------------------------------------------
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a scan partition as compressed blobs."""
+    """Rows of a scan partition as compressed blobs of a few hundred rows."""
     for batch in batches:
-        sink = io.BytesIO()
-        rows = pa.Table.from_batches([batch]).drop_columns(["batch"])
-        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(
-                compression="zstd")) as out:
-            out.write_table(rows)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("batch").slice(0, 1), pa.array([sink.getvalue()], pa.binary())],
-            ["batch", "blob"])
+        for a in range(0, batch.num_rows, BLOB_ROWS):
+            sink = io.BytesIO()
+            rows = pa.Table.from_batches([batch.slice(a, BLOB_ROWS)]).drop_columns(["batch"])
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(
+                    compression="zstd")) as out:
+                out.write_table(rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("batch").slice(a, 1), pa.array([sink.getvalue()], pa.binary())],
+                ["batch", "blob"])
 
 
 def unpacked(blobs: pa.Table) -> Iterator[tuple[pa.Table, dict[str, list[int]]]]:
@@ -206,17 +210,19 @@ def asked(lang: int, keys: np.ndarray) -> np.ndarray:
 
 def requester(langs: dict[str, int]):
     def run(blobs: pa.Table) -> pa.Table:
-        found: dict[int, np.ndarray] = {}
+        found: dict[int, list[np.ndarray]] = {}
         for rows, by in unpacked(blobs):
             texts = rows.column("text").to_pylist()
             for lang, own in by.items():
                 if lang not in langs:
                     continue
                 for some in chunks([texts[i] or "" for i in own]):
-                    keys = pd.unique(codes_of(some)[0])
-                    k = langs[lang]
-                    found[k] = pd.unique(np.concatenate([found[k], keys])) if k in found else keys
-        codes = np.concatenate([asked(k, found[k]) for k in sorted(found)] or [np.zeros(0, np.int64)])
+                    held = found.setdefault(langs[lang], [])
+                    held.append(pd.unique(codes_of(some)[0]))
+                    if sum(map(len, held[1:])) > GATHERED:
+                        held[:] = [pd.unique(np.concatenate(held))]
+        codes = np.concatenate([asked(k, np.concatenate(found[k])) for k in sorted(found)]
+                               or [np.zeros(0, np.int64)])
         batch = np.full(len(codes), blobs.column("batch")[0].as_py(), np.int32)
         return pa.table({"batch": pa.array(batch), "code": pa.array(codes)})
     return run
