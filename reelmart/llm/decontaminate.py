@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmart.llm.common import slices
+
 MIN_ITEM = 5
 MOST_EDITS = 0.2
 #: steps sampled in a run, and runs; see ``runs_for``
@@ -253,7 +255,7 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
 
 def found_in(search: Search):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = search.matches(batch.column("text").to_pylist())
             size = [len(search.items[g[1]]) for g in got]
             yield pa.RecordBatch.from_arrays(
@@ -288,7 +290,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_E
     """The rows of ``docs``, all columns, whose text holds no item."""
     def run(search: Search):
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
                 bad = {g[0] for g in search.matches(texts)}
                 yield batch.filter(pa.array([i not in bad for i in range(len(texts))], pa.bool_()))

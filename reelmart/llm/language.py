@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import cut, uniform
+from reelmart.llm.common import cut, slices, uniform
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 TRAIN_DOCS = 1000
@@ -126,7 +126,7 @@ class Lattice:
 
 
 def word_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         counts: dict[tuple[str, bytes], int] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             for w in words_of(text):
@@ -191,7 +191,7 @@ def scorer(langs: list[str], prob: np.ndarray, pieces: dict[bytes, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         scores = np.zeros((0, len(langs)))
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             said, sure = [], np.zeros(len(texts))
             for a in range(0, len(texts), 256):

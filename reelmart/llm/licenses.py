@@ -28,6 +28,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmart.llm.common import slices
+
 #: fixed values: usual short notices of common licenses
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -128,7 +130,7 @@ class Scanner:
 def scan_batches(templates):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 for a, b in blocks_of(text):

@@ -24,6 +24,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from reelmart.llm.common import slices
+
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 10
@@ -140,7 +142,7 @@ COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         for a, b in blocks(texts):
             m = verdict(measure(texts[a:b]))
