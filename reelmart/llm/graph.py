@@ -1,9 +1,10 @@
-"""Connected components of a link table, by alternating stars.
+"""Connected components of a link table, by hooking and pointer jumping.
 
-Each round first ties every node's larger neighbours to its smallest one, then
-its smaller neighbours; both are a minimum by key and a join, so a hub's links
-are pre-aggregated, and the join may be split where a hub is skewed. Rounds go
-on until no link changes, which takes about the logarithm of the diameter.
+Each round, every node hooks to its smallest smaller neighbour; pointers are
+doubled until they end at roots; links are then drawn between roots, and only
+those that still join two of them go into the next round. Links from a hub to
+its leaves are gone after one round. All joins are between stored tables, one
+side with unique keys, so Spark may split a hub's side.
 """
 
 from __future__ import annotations
@@ -14,23 +15,33 @@ from pyspark.sql import functions as F
 from reelmart.llm.common import cut
 
 
+def ordered(links: DataFrame) -> DataFrame:
+    return cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"),
+                                            F.least("a", "b").alias("b")).distinct())
+
+
+def followed(table: DataFrame, column: str, up: DataFrame) -> DataFrame:
+    """``table`` with ``column`` replaced by what it points to in ``up``, if anything."""
+    to = up.select(F.col("a").alias("_at"), F.col("p").alias("_to"))
+    return table.join(to, F.col(column) == F.col("_at"), "left").withColumn(
+        column, F.coalesce("_to", column)).drop("_at")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links between longs -> (node, root): every node that has a link,
     and the smallest node of its component. Self-links and nulls are ignored."""
-    edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"),
-                                             F.least("a", "b").alias("b")).distinct())
-    state = None
+    edges, roots = ordered(links), None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        edges = cut(small)
-        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == state:
-            roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            return cut(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots))
-        state = seen
+        up = cut(edges.groupBy("a").agg(F.min("b").alias("p")))
+        while True:
+            jumped = cut(followed(up, "p", up))
+            up = jumped.select("a", "p")
+            if jumped.where("_to is not null").isEmpty():
+                break
+        new = up.select(F.col("a").alias("node"), F.col("p").alias("root"))
+        roots = new if roots is None else cut(
+            followed(roots, "root", up).drop("_to").unionByName(new))
+        edges = ordered(followed(followed(edges, "a", up).drop("_to"), "b", up))
+        if edges.isEmpty():
+            tops = roots.select(F.col("root").alias("node"), "root").distinct()
+            return cut(roots.unionByName(tops))

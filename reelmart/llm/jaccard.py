@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import bounds_of, cut, forest, maybe_broadcast, runs, text_key
+from reelmart.llm.common import bounds_of, cut, forest, maybe_broadcast, runs, slices, text_key
 from reelmart.llm.graph import components
 
 GRAM = 5
@@ -109,7 +109,7 @@ def multipliers() -> np.ndarray:
 def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, th, fp (fingerprint of the set; null if empty), tokens."""
     times = multipliers()
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         for a in range(0, len(texts), 200):
             sets = gram_sets(texts[a:a + 200])
@@ -145,8 +145,9 @@ def children() -> Column:
 
 
 def sized(nodes: DataFrame) -> DataFrame:
-    """Rows of (path, fp) in buckets of two or more, with the bucket's size."""
-    n = nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
+    """Rows of (path, fp) in buckets of two or more, with the bucket's size. The
+    sizes are stored first, so that Spark may split a large bucket's side."""
+    n = cut(nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"))
     return cut(nodes.join(n, "path"))
 
 
