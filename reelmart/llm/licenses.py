@@ -1,8 +1,10 @@
 """License scans by conditional compression.
 
-Candidate blocks are lines around words that license notices use. Each block is
+Candidate blocks are stretches of about a template's length around a word that
+no notice of this template can lack, cut to the words that match it. Each block is
 compressed on its own and with every template as zstandard raw dictionary; the
-template that reduces the size most is the winner by rank. It is confirmed by
+template that reduces the size most is the winner by rank. There is no least
+reduction, as it would depend on the prose around. The winner is confirmed by
 the exact wording: the block's best-matching words are compared with the
 template's, word by word, and nothing that tells licenses apart (a number, a
 name, ``NC``, ``Lesser``) may differ.
@@ -55,8 +57,8 @@ FILLER = set("a an and are as at by code copy file files form hereby in is it li
              " of released source software subject terms the this to under use work".split())
 TRIGGER = re.compile(r"licen[sc]e|permission is hereby|public domain|creative commons|\bCC BY", re.I)
 TOKEN = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-#: least share of a block's compressed size that a template must save
-LEAST_REDUCTION = 0.15
+#: words by which a notice's parts may be out of place
+REACH = 3
 #: most of a template's words that may differ
 MOST_DIFFERING = 0.2
 #: characters kept on each side of a trigger in a long line
@@ -83,21 +85,30 @@ def words(text: str) -> list[str]:
     return [w.lower() for w in TOKEN.findall(text)]
 
 
-def differing(template: str, block: str) -> tuple[list[str], list[str]]:
-    """(template words missing in the block, block words put between matched ones)."""
-    want, have = words(template), words(block)
+def differing(want: list[str], have: list[str]) -> tuple[list[str], list[str], int, int]:
+    """(template words missing in the block, block words put between matched
+    ones, first and last + 1 word of the stretch that matches)."""
     same = difflib.SequenceMatcher(None, want, have, autojunk=False)
     parts = [m for m in same.get_matching_blocks() if m.size]
     if not parts:
-        return want, []
+        return want, [], 0, 0
     # the densest stretch: begins and ends with the longest part and its neighbours in reach
     main = max(parts, key=lambda m: m.size)
-    low, high = main.b - main.a - 3, main.b - main.a + len(want) + 3
+    low, high = main.b - main.a - REACH, main.b - main.a + len(want) + REACH
     parts = [m for m in parts if low <= m.b and m.b + m.size <= high]
     hit = {i for m in parts for i in range(m.a, m.a + m.size)}
     missing = [w for i, w in enumerate(want) if i not in hit]
     inserted = [w for m, n in zip(parts, parts[1:]) for w in have[m.b + m.size:n.b]]
-    return missing, inserted
+    return missing, inserted, parts[0].b, parts[-1].b + parts[-1].size
+
+
+def confirmed(want: list[str], have: list[str]) -> tuple[int, int, int] | None:
+    """(words differing, first, last + 1 word) if the wording is the template's."""
+    missing, inserted, first, last = differing(want, have)
+    if (len(missing) + len(inserted) > MOST_DIFFERING * len(want)
+            or any(w not in FILLER for w in (*missing, *inserted))):
+        return None
+    return len(missing) + len(inserted), first, last
 
 
 class Scanner:
@@ -109,23 +120,48 @@ class Scanner:
                 text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
             for _, text in self.templates]
         self.look = lru_cache(maxsize=20_000)(self._look)
+        self.want = [words(text) for _, text in self.templates]
+        #: words that a confirmed notice can't lack
+        self.needed = [{w for w in want if w not in FILLER} for want in self.want]
+        #: word -> templates of which a notice must hold it, and its place there
+        self.anchors: dict[str, list[tuple[int, int]]] = {}
+        for t, want in enumerate(self.want):
+            sure = [k for k, w in enumerate(want) if w not in FILLER][:1]
+            for k in sure or range(min(len(want), int(MOST_DIFFERING * len(want)) + 1)):
+                self.anchors.setdefault(want[k], []).append((t, k))
 
     def _look(self, block: str) -> tuple | None:
-        """The best confirmed (license, reduction, runner-up, missing, inserted)."""
-        raw = block.encode("utf-8", "replace")
+        """The best confirmed (license, reduction, runner-up, its reduction, words differing)."""
+        raw, have = block.encode("utf-8", "replace"), words(block)
         alone = len(self.plain.compress(raw))
-        ranked = sorted(((1 - len(c.compress(raw)) / alone, name, text) for c, (name, text)
-                         in zip(self.with_dict, self.templates)), key=lambda x: (-x[0], x[1], x[2]))
-        for k, (gain, name, text) in enumerate(ranked):
-            if gain < LEAST_REDUCTION:
-                return None
-            missing, inserted = differing(text, block)
-            odd = [w for w in (*missing, *inserted) if w not in FILLER]
-            if not odd and len(missing) + len(inserted) <= MOST_DIFFERING * len(words(text)):
+        ranked = sorted(((1 - len(c.compress(raw)) / alone, name, t) for t, (c, (name, _)) in enumerate(
+            zip(self.with_dict, self.templates))), key=lambda x: (-x[0], *x[1:]))
+        for gain, name, t in ranked:
+            if self.needed[t] <= set(have) and (got := confirmed(self.want[t], have)):
                 other = next((r for r in ranked if r[1] != name), (0.0, None, None))
-                return name, gain, other[1], other[0], len(missing) + len(inserted)
+                return name, gain, other[1], other[0], got[0]
         return None
 
+    def notices(self, text: str) -> list[tuple]:
+        """(first character, block, *look) of each notice, in the text's order."""
+        found: set[tuple[int, int, int]] = set()
+        spans = [m.span() for m in TOKEN.finditer(text)]
+        have = [text[a:b].lower() for a, b in spans]
+        for at, word in enumerate(have):
+            for t, k in self.anchors.get(word, ()):
+                low = max(0, at - k - 2 * REACH)
+                near = have[low:at - k + len(self.want[t]) + 2 * REACH]
+                if self.needed[t].issubset(near) and (got := confirmed(self.want[t], near)):
+                    _, first, last = got
+                    found.add((first - last, spans[low + first][0], spans[low + last - 1][1]))
+        out: list[tuple] = []
+        taken: list[tuple[int, int]] = []
+        for _, a, b in sorted(found):  # of overlapping stretches the one of most words
+            if all(b <= c or d <= a for c, d in taken) and (got := self.look(text[a:b])):
+                taken.append((a, b))
+                out.append((a, text[a:b], *got))
+        return sorted(out)
+
 
 def scan_batches(templates):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +170,8 @@ def scan_batches(templates):
             rows = []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 for a, b in blocks_of(text):
-                    got = scanner.look(text[a:b])
-                    if got:
-                        rows.append((i, a, text[a:b], *got))
+                    for start, *got in scanner.notices(text[a:b])[:1]:
+                        rows.append((i, a + start, *got))
             cols = list(zip(*rows)) if rows else [[]] * 8
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int64()),

@@ -105,6 +105,19 @@ def test_all_license_lines_are_found(small, odd, empty):
     assert licenses.scan(odd).count() >= 0 and licenses.scan(empty).count() == 0
 
 
+PROSE = ("The morning boat had left before anyone noticed that the parcel was still lying on the bench. "
+         "Later in the week the clerk asked for the key, wrote a line in the book and walked home along the river. ")
+
+
+def test_license_inside_ordinary_prose(spark):
+    rows = [(i, PROSE * 2 + text + " " + PROSE * 2, name) for i, (name, text) in enumerate(licenses.TEMPLATES)]
+    rows += [(100, PROSE * 2 + "She lost her license in " + PROSE * 2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    got = {r["doc_id"]: (r["license"], r["char_start"]) for r in licenses.scan(docs).collect()}
+    assert {i: name for i, (name, _) in got.items()} == {i: name for i, _, name in rows if name}
+    assert all(at == len(PROSE * 2) for _, at in got.values())
+
+
 # language ---------------------------------------------------------------------
 def test_forward_sums_all_segmentations():
     pieces = {p: i for i, p in enumerate([b" ", b"a", b"b", b"ab", b" a", b"ba", b"aba"])}
