@@ -9,11 +9,12 @@ the exact wording: the block's best-matching words are compared with the
 template's, word by word, and nothing that tells licenses apart (a number, a
 name, ``NC``, ``Lesser``) may differ.
 
-The work is a map over whole texts; nothing is shuffled. A row is given for
-every block in which a template was confirmed.
+The work is a map over whole texts; nothing is shuffled. Lines don't matter: a
+notice may be wrapped, and several may stand in one line. A row is given for
+every notice; of overlapping ones only for that of most words.
 
-Defined cases: null and blank texts have no block; a very long line is searched
-in windows around each trigger word; equal reductions are ranked by license
+Defined cases: null and blank texts have no block; a very long text is searched
+in overlapping pieces; equal reductions are ranked by license
 name; repeated rows each give their findings; null doc_id stays null; an empty
 table gives an empty result; other columns are not looked at.
 """
@@ -55,30 +56,29 @@ TEMPLATES = [
 #: words of templates that may differ: anything but these tells licenses apart
 FILLER = set("a an and are as at by code copy file files form hereby in is it licensed license may"
              " of released source software subject terms the this to under use work".split())
-TRIGGER = re.compile(r"licen[sc]e|permission is hereby|public domain|creative commons|\bCC BY", re.I)
+#: what a text with a notice holds, for Spark; a notice may be wrapped anywhere
+TRIGGER = ("(?i)licen[sc]e|permission[\\W_]+is[\\W_]+hereby|public[\\W_]+domain"
+           "|creative[\\W_]+commons|\\bCC[\\W_]+BY")
 TOKEN = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 #: words by which a notice's parts may be out of place
 REACH = 3
 #: most of a template's words that may differ
 MOST_DIFFERING = 0.2
-#: characters kept on each side of a trigger in a long line
-AROUND = 300
+#: words of a text looked at together
+PIECE = 50_000
 LEVEL = 3
 
 
-def blocks_of(text: str) -> list[tuple[int, int]]:
-    """Spans of the lines (or of windows in long lines) around trigger words."""
-    spans: list[tuple[int, int]] = []
-    for m in TRIGGER.finditer(text):
-        a = max(text.rfind("\n", max(0, m.start() - AROUND), m.start()) + 1,
-                0 if m.start() <= AROUND else m.start() - AROUND)
-        end = text.find("\n", m.end(), m.end() + AROUND)
-        b = end if end >= 0 else min(len(text), m.end() + AROUND)
-        if spans and a <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-        else:
-            spans.append((a, b))
-    return spans
+def pieces(text: str, overlap: int) -> Iterator[list[tuple[int, int]]]:
+    """Spans of the words, ``PIECE`` at a time, each piece from ``overlap`` words
+    before the last one's end on."""
+    held: list[tuple[int, int]] = []
+    for m in TOKEN.finditer(text):
+        held.append(m.span())
+        if len(held) >= PIECE + overlap:
+            yield held
+            held = held[-overlap:]
+    yield held
 
 
 def words(text: str) -> list[str]:
@@ -121,6 +121,7 @@ class Scanner:
             for _, text in self.templates]
         self.look = lru_cache(maxsize=20_000)(self._look)
         self.want = [words(text) for _, text in self.templates]
+        self.longest = max(map(len, self.want), default=0)
         #: words that a confirmed notice can't lack
         self.needed = [{w for w in want if w not in FILLER} for want in self.want]
         #: word -> templates of which a notice must hold it, and its place there
@@ -145,15 +146,15 @@ class Scanner:
     def notices(self, text: str) -> list[tuple]:
         """(first character, block, *look) of each notice, in the text's order."""
         found: set[tuple[int, int, int]] = set()
-        spans = [m.span() for m in TOKEN.finditer(text)]
-        have = [text[a:b].lower() for a, b in spans]
-        for at, word in enumerate(have):
-            for t, k in self.anchors.get(word, ()):
-                low = max(0, at - k - 2 * REACH)
-                near = have[low:at - k + len(self.want[t]) + 2 * REACH]
-                if self.needed[t].issubset(near) and (got := confirmed(self.want[t], near)):
-                    _, first, last = got
-                    found.add((first - last, spans[low + first][0], spans[low + last - 1][1]))
+        for spans in pieces(text, 2 * (self.longest + 2 * REACH)):
+            have = [text[a:b].lower() for a, b in spans]
+            for at, word in enumerate(have):
+                for t, k in self.anchors.get(word, ()):
+                    low = max(0, at - k - 2 * REACH)
+                    near = have[low:at - k + len(self.want[t]) + 2 * REACH]
+                    if self.needed[t].issubset(near) and (got := confirmed(self.want[t], near)):
+                        _, first, last = got
+                        found.add((first - last, spans[low + first][0], spans[low + last - 1][1]))
         out: list[tuple] = []
         taken: list[tuple[int, int]] = []
         for _, a, b in sorted(found):  # of overlapping stretches the one of most words
@@ -169,9 +170,7 @@ def scan_batches(templates):
         for batch in slices(batches):
             rows = []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                for a, b in blocks_of(text):
-                    for start, *got in scanner.notices(text[a:b])[:1]:
-                        rows.append((i, a + start, *got))
+                rows += [(i, *got) for got in scanner.notices(text)]
             cols = list(zip(*rows)) if rows else [[]] * 8
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int64()),
@@ -184,10 +183,9 @@ def scan_batches(templates):
 
 
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """A row for each block of each text in which a license was confirmed."""
+    """A row for each notice of each text in which a license was confirmed."""
     kind = dict(docs.dtypes)["doc_id"]
-    marked = docs.select("doc_id", "text").where(F.col("text").rlike(
-        "(?i)licen[sc]e|permission is hereby|public domain|creative commons|\\bCC BY"))
+    marked = docs.select("doc_id", "text").where(F.col("text").rlike(TRIGGER))
     return marked.mapInArrow(scan_batches(templates), (
         f"doc_id {kind}, char_start long, block string, license string, reduction double,"
         " runner_up string, runner_up_reduction double, words_differing long"))

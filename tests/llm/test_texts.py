@@ -3,6 +3,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -118,6 +119,25 @@ def test_license_inside_ordinary_prose(spark):
     assert all(at == len(PROSE * 2) for _, at in got.values())
 
 
+def test_wrapped_and_neighbouring_licenses(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "PIECE", 70)
+    rows = []
+    for i, (name, text) in enumerate(licenses.TEMPLATES):
+        for k, (width, sign) in enumerate([(30, "# "), (75, " * "), (12, "")]):
+            wrapped = textwrap.fill(text, width, initial_indent=sign, subsequent_indent=sign,
+                                    break_long_words=False, break_on_hyphens=False)
+            rows.append((3 * i + k, PROSE * 2 + "\n" + wrapped + "\n" + PROSE * 2, [name]))
+    both = [("Released under the MIT License.", "MIT"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+            ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Released under the MIT License.", "MIT")]
+    rows += [(900, " ".join(t for t, _ in both), [n for _, n in both])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, names array<string>")
+    got = collections.defaultdict(list)
+    for r in licenses.scan(docs).orderBy("doc_id", "char_start").collect():
+        got[r["doc_id"]].append(r["license"])
+        assert rows[min(r["doc_id"], len(rows) - 1)][1][r["char_start"]:].startswith(r["block"])
+    assert got == {i: names for i, _, names in rows}
+
+
 # language ---------------------------------------------------------------------
 def test_forward_sums_all_segmentations():
     pieces = {p: i for i, p in enumerate([b" ", b"a", b"b", b"ab", b" a", b"ba", b"aba"])}
