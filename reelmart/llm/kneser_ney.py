@@ -1,20 +1,22 @@
-"""Quality classifier: interpolated modified Kneser-Ney over characters.
+"""Quality classifier: interpolated modified Kneser-Ney over characters and words.
 
-For each language, a character model of order ``ORDER`` is trained on trusted
-text (labelled quality 1 and not toxic, half of it); the other half calibrates:
-a document goes if its per-character perplexity lies above its language's
-quantile there by more than a margin. There is no lower bound: trusted text that
-trained the model, and its copies, are rightly easy.
+For each language, a character model of order ``ORDER`` and a word model of
+order ``WORD_ORDER`` are trained on trusted text (labelled quality 1 and not
+toxic, half of it); the other half calibrates: a document goes if its
+perplexity per character or per word lies above its language's quantile there
+by more than a margin. There is no lower bound: trusted text that trained the
+models, and its copies, are rightly easy.
 
-Counts are tables of (code, count), a code being language, length and
-characters in one long; all discounts, contexts and lower orders come from
+Counts are tables of (code, count), a code being language, kind of model,
+length and characters (or the hashes of words) in one long; all discounts, contexts and lower orders come from
 joins and sums of these tables, sharded by code. To score, each scan partition
 is a batch: it asks for every distinct n-gram in it once, the requests meet the
 model in a sharded join, and the answers go back to the batch, which holds the
 texts packed. So no task holds the model, and texts move once.
 
-Characters beyond code 3071 are folded into 1024 codes; texts begin with
-``ORDER - 1`` start signs and end with an end sign.
+Characters beyond code 3071 are folded into 1024 codes, words into
+``WORD_BITS`` bits; texts begin with start signs, one less than the order, and
+end with an end sign.
 
 Defined cases: null text is scored as empty text; null lang is the language
 ``und``; a language without trusted text (or beyond the ``MOST_LANGUAGES`` most
@@ -28,7 +30,9 @@ looked at (``good_rows`` carries them through).
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -41,8 +45,18 @@ from reelmart.llm.common import cut, maybe_broadcast, slices, text_key
 ORDER = 4
 BITS = 12
 FOLDED = 3072
+#: the word model: its order, and bits of a word's hash
+WORD_ORDER = 2
+WORD_BITS = 24
 START, END = 2, 3
-UNIT = ORDER * BITS  # bits of the characters' part of a code
+UNIT = ORDER * BITS  # bits of the units' part of a code, in both models
+#: (order, bits of a unit) of the character model and of the word model
+KINDS = ((ORDER, BITS), (WORD_ORDER, WORD_BITS))
+#: a word: a run of letters and signs without blanks, or one letter of a script without spaces
+TOKEN = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+                   "\U00020000-\U0003ffff]"
+                   "|[^\\s\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+                   "\U00020000-\U0003ffff]+")
 MOST_LANGUAGES = 200
 #: quantile of the calibration half that bounds what is kept
 HIGH = 0.99
@@ -57,9 +71,30 @@ GATHERED = 1_000_000
 MOST_IDS = 1_000_000
 
 
-# characters to codes ----------------------------------------------------------
-def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram key at each character and end sign, number of these by text)."""
+# units to codes ---------------------------------------------------------------
+def word_codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(n-gram key at each word and end sign, number of these by text)."""
+    each = [TOKEN.findall(t) for t in texts]
+    n = np.array([len(w) + 1 for w in each], np.int64)
+    flat = [w for ws in each for w in ws]
+    ids, distinct = pd.factorize(np.array(flat + [None], object)[:-1]) if flat else (np.zeros(0, int), [])
+    hashes = np.array([int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest())
+                       % ((1 << WORD_BITS) - 4) + 4 for w in distinct], np.int64)
+    ends = np.cumsum(n) - 1
+    c = np.full(len(flat) + len(texts), END, np.int64)
+    inner = np.ones(len(c), bool)
+    inner[ends] = False
+    c[inner] = hashes[ids] if flat else 0
+    before = np.concatenate([[START], c[:-1]])
+    before[ends[:-1] + 1] = START
+    return (before << WORD_BITS) | c, n
+
+
+def codes_of(texts: list[str], kind: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(n-gram key at each unit and end sign, number of these by text); ``kind``
+    0: characters, 1: words."""
+    if kind:
+        return word_codes_of(texts)
     pad = chr(START) * (ORDER - 1)
     raw = "".join(pad + t + chr(END) for t in texts)
     c = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -87,11 +122,16 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
+def number(lang: int, kind: int) -> int:
+    """Languages are numbered for each kind of model."""
+    return 2 * lang + kind
+
+
 def tagged(lang: int, length: int, key):
     return ((lang << 3 | length) << UNIT) | key
 
 
-def count_batches(langs: dict[str, int]):
+def count_batches(langs: dict[str, int], kind: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             frame = pd.DataFrame({"lang": batch.column("lang").to_pylist(),
@@ -100,10 +140,10 @@ def count_batches(langs: dict[str, int]):
                 if lang not in langs:
                     continue
                 for texts in chunks([t or "" for t in part["text"]]):
-                    at, keys = pd.factorize(codes_of(texts)[0])
+                    at, keys = pd.factorize(codes_of(texts, kind)[0])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(tagged(langs[lang], ORDER, keys)), pa.array(np.bincount(at))],
-                        ["code", "n"])
+                        [pa.array(tagged(number(langs[lang], kind), KINDS[kind][0], keys)),
+                         pa.array(np.bincount(at))], ["code", "n"])
     return run
 
 
@@ -112,28 +152,28 @@ def tag() -> Column:
     return F.shiftright("code", UNIT)
 
 
-def suffix(length: int) -> Column:
-    """The code without its first character."""
-    mask = (1 << BITS * (length - 1)) - 1
+def suffix(length: int, bits: int) -> Column:
+    """The code without its first unit."""
+    mask = (1 << bits * (length - 1)) - 1
     return F.shiftleft(tag() - 1, UNIT).bitwiseOR(F.col("code").bitwiseAND(F.lit(mask)))
 
 
-def context() -> Column:
-    """The code without its last character."""
+def context(bits: int) -> Column:
+    """The code without its last unit."""
     mask = (1 << UNIT) - 1
     return F.shiftleft(tag() - 1, UNIT).bitwiseOR(
-        F.shiftright(F.col("code").bitwiseAND(F.lit(mask)), BITS))
+        F.shiftright(F.col("code").bitwiseAND(F.lit(mask)), bits))
 
 
-def model(counts: DataFrame) -> DataFrame:
+def model(counts: DataFrame, order: int = ORDER, bits: int = BITS) -> DataFrame:
     """(code, p, g): interpolated probability of each n-gram met, and the
     back-off weight of each context, from (code, n) of the highest order."""
-    level = {ORDER: cut(counts.groupBy("code").agg(F.sum("n").alias("c")))}
-    for k in range(ORDER, 1, -1):  # continuation counts: distinct characters before
-        level[k - 1] = level[k].select(suffix(k).alias("code")).groupBy("code").agg(
+    level = {order: cut(counts.groupBy("code").agg(F.sum("n").alias("c")))}
+    for k in range(order, 1, -1):  # continuation counts: distinct units before
+        level[k - 1] = level[k].select(suffix(k, bits).alias("code")).groupBy("code").agg(
             F.count("*").alias("c"))
     every = level[1]
-    for k in range(2, ORDER + 1):
+    for k in range(2, order + 1):
         every = every.unionByName(level[k])
     every = cut(every)
 
@@ -148,23 +188,23 @@ def model(counts: DataFrame) -> DataFrame:
         value = i - (i + 1) * y * high / F.when(low > 0, low)
         return F.greatest(F.lit(0.05), F.least(F.lit(i - 0.05), F.coalesce(value, F.lit(i / 2.0))))
 
-    # at most MOST_LANGUAGES x ORDER rows
+    # at most languages x order rows
     law = F.broadcast(cut(seen.select("tag", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)])))
     taken = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     grams = (every.withColumn("tag", tag()).join(law, "tag").select(
-        "code", "c", context().alias("ctx"), taken.alias("d")))
+        "code", "c", context(bits).alias("ctx"), taken.alias("d")))
     contexts = grams.groupBy("ctx").agg(
         F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("g"))
     grams = cut(grams.join(contexts, "ctx").select(
         "code", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "g"))
     done = None
-    for k in range(1, ORDER + 1):
+    for k in range(1, order + 1):
         here = grams.where(tag().bitwiseAND(F.lit(7)) == k)
         if k == 1:
-            p = here.select("code", (F.col("own") + F.col("g") / (1 << BITS)).alias("p"))
+            p = here.select("code", (F.col("own") + F.col("g") / (1 << bits)).alias("p"))
         else:
             lower = last.select(F.col("code").alias("low"), F.col("p").alias("p_low"))
-            p = here.withColumn("low", suffix(k)).join(lower, "low").select(
+            p = here.withColumn("low", suffix(k, bits)).join(lower, "low").select(
                 "code", (F.col("own") + F.col("g") * F.col("p_low")).alias("p"))
         last = cut(p)
         done = last if done is None else done.unionByName(last)
@@ -198,13 +238,13 @@ def unpacked(blobs: pa.Table) -> Iterator[tuple[pa.Table, dict[str, list[int]]]]
         yield rows, by
 
 
-def asked(lang: int, keys: np.ndarray) -> np.ndarray:
+def asked(lang: int, keys: np.ndarray, order: int, bits: int) -> np.ndarray:
     """Codes of all orders and contexts that scoring these n-grams looks at."""
     out, keys = [], np.unique(keys)
-    for k in range(ORDER, 0, -1):
-        own = np.unique(keys & ((1 << BITS * k) - 1))
+    for k in range(order, 0, -1):
+        own = np.unique(keys & ((1 << bits * k) - 1))
         out.append(tagged(lang, k, own))
-        out.append(tagged(lang, k - 1, own >> BITS))
+        out.append(tagged(lang, k - 1, own >> bits))
     return np.unique(np.concatenate(out))
 
 
@@ -217,11 +257,12 @@ def requester(langs: dict[str, int]):
                 if lang not in langs:
                     continue
                 for some in chunks([texts[i] or "" for i in own]):
-                    held = found.setdefault(langs[lang], [])
-                    held.append(pd.unique(codes_of(some)[0]))
-                    if sum(map(len, held[1:])) > GATHERED:
-                        held[:] = [pd.unique(np.concatenate(held))]
-        codes = np.concatenate([asked(k, np.concatenate(found[k])) for k in sorted(found)]
+                    for kind in range(len(KINDS)):
+                        held = found.setdefault(number(langs[lang], kind), [])
+                        held.append(pd.unique(codes_of(some, kind)[0]))
+                        if sum(map(len, held[1:])) > GATHERED:
+                            held[:] = [pd.unique(np.concatenate(held))]
+        codes = np.concatenate([asked(k, np.concatenate(found[k]), *KINDS[k % 2]) for k in sorted(found)]
                                or [np.zeros(0, np.int64)])
         batch = np.full(len(codes), blobs.column("batch")[0].as_py(), np.int32)
         return pa.table({"batch": pa.array(batch), "code": pa.array(codes)})
@@ -245,12 +286,12 @@ class Answers:
         at = np.minimum(np.searchsorted(self.code, codes), len(self.code) - 1)
         return np.where(self.code[at] == codes, values[at], np.nan)
 
-    def log_p(self, lang: int, keys: np.ndarray) -> np.ndarray:
-        p = np.full(len(keys), 1.0 / (1 << BITS))
-        for k in range(1, ORDER + 1):
-            own = keys & ((1 << BITS * k) - 1)
+    def log_p(self, lang: int, keys: np.ndarray, order: int, bits: int) -> np.ndarray:
+        p = np.full(len(keys), 1.0 / (1 << bits))
+        for k in range(1, order + 1):
+            own = keys & ((1 << bits * k) - 1)
             met = self.find(tagged(lang, k, own), self.p)
-            g = self.find(tagged(lang, k - 1, own >> BITS), self.g)
+            g = self.find(tagged(lang, k - 1, own >> bits), self.g)
             p = np.where(np.isnan(met), np.where(np.isnan(g), 1.0, g) * p, met)
         return np.log(p)
 
@@ -260,19 +301,23 @@ def score_batch(langs: dict[str, int]):
         table, out = Answers(answers), []
         for rows, by in unpacked(blobs):
             texts = rows.column("text").to_pylist()
-            log_ppl = np.full(len(texts), np.nan)
+            log_ppl = np.full((len(KINDS), len(texts)), np.nan)
             for lang, own in by.items():
                 if lang not in langs:
                     continue
                 done = 0
                 for some in chunks([texts[i] or "" for i in own]):
-                    keys, n = codes_of(some)
-                    at, unique = pd.factorize(keys)
-                    total = np.add.reduceat(table.log_p(langs[lang], unique)[at], np.cumsum(n) - n)
-                    log_ppl[own[done:done + len(some)]] = -total / n
+                    for kind, law in enumerate(KINDS):
+                        keys, n = codes_of(some, kind)
+                        at, unique = pd.factorize(keys)
+                        log_p = table.log_p(number(langs[lang], kind), unique, *law)[at]
+                        log_ppl[kind, own[done:done + len(some)]] = -np.add.reduceat(
+                            log_p, np.cumsum(n) - n) / n
                     done += len(some)
-            out.append(rows.drop_columns(["text"]).append_column(
-                "log_ppl", pa.array(log_ppl, from_pandas=True)))
+            rows = rows.drop_columns(["text"])
+            for name, values in zip(("log_ppl", "word_log_ppl"), log_ppl):
+                rows = rows.append_column(name, pa.array(values, from_pandas=True))
+            out.append(rows)
         return pa.concat_tables(out)
     return run
 
@@ -286,7 +331,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, th, lang, fold, log_ppl): narrow, one row for each document."""
+    """(doc_id, th, lang, fold, log_ppl, word_log_ppl): narrow, one row for each document."""
     ids = cut(trusted_ids(labels))
     ids = maybe_broadcast(ids, ids.count(), MOST_IDS)
     lang = F.coalesce(F.col("lang"), F.lit("und"))
@@ -295,9 +340,13 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     common = (docs.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang")
               .limit(MOST_LANGUAGES).collect())
     langs = {r["lang"]: i for i, r in enumerate(sorted(common, key=lambda r: r["lang"]))}
-    table = model(rows.where("fold = 0").mapInArrow(count_batches(langs), "code long, n long"))
+    table = None
+    for kind, law in enumerate(KINDS):
+        part = model(rows.where("fold = 0").mapInArrow(
+            count_batches(langs, kind), "code long, n long"), *law)
+        table = part if table is None else table.unionByName(part)
     trained = {r[0] for r in table.where("p is not null").select(
-        F.shiftright(tag(), 3)).distinct().collect()}  # at most MOST_LANGUAGES
+        F.shiftright(tag(), 4)).distinct().collect()}  # at most MOST_LANGUAGES
     langs = {lang: i for lang, i in langs.items() if i in trained}
     kind = dict(docs.dtypes)["doc_id"]
     packed = rows.withColumn("batch", F.spark_partition_id()).mapInArrow(
@@ -305,14 +354,15 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     requests = packed.groupBy("batch").applyInArrow(requester(langs), "batch int, code long")
     answers = requests.join(table, "code").select("batch", "code", "p", "g")
     return packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        score_batch(langs), f"doc_id {kind}, th long, lang string, fold int, log_ppl double")
+        score_batch(langs), f"doc_id {kind}, th long, lang string, fold int, log_ppl double, word_log_ppl double")
 
 
-def limits(scored: DataFrame, high: float = HIGH, margin: float = MARGIN) -> DataFrame:
+def limits(scored: DataFrame, high: float = HIGH, margin: float = MARGIN,
+           score: str = "log_ppl") -> DataFrame:
     """(lang, ceiling) in log perplexity: the quantile of the calibration half,
     on a grid of STEP, so that it doesn't depend on the order of rows."""
-    steps = scored.where("fold = 1 and log_ppl is not null").groupBy(
-        "lang", F.round(F.col("log_ppl") / STEP).cast("int").alias("step")).agg(F.count("*").alias("n"))
+    steps = scored.where((F.col("fold") == 1) & F.col(score).isNotNull()).groupBy(
+        "lang", F.round(F.col(score) / STEP).cast("int").alias("step")).agg(F.count("*").alias("n"))
     line = Window.partitionBy("lang").orderBy("step")
     ranked = steps.withColumn("upto", F.sum("n").over(line)).withColumn(
         "all", F.sum("n").over(Window.partitionBy("lang")))
@@ -321,14 +371,18 @@ def limits(scored: DataFrame, high: float = HIGH, margin: float = MARGIN) -> Dat
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, lang, perplexity, ceiling, kept, th) of every row."""
+    """(doc_id, lang, perplexity, ceiling, word_perplexity, word_ceiling, kept,
+    th) of every row."""
     scored = cut(scores(docs, labels))
-    bounds = cut(limits(scored))
+    words = limits(scored, score="word_log_ppl").withColumnRenamed("ceiling", "word_ceiling")
+    bounds = cut(limits(scored).join(words, "lang", "full_outer"))
     bounds = maybe_broadcast(bounds.withColumnRenamed("lang", "_l"), bounds.count())
-    kept = F.col("log_ppl") <= F.col("ceiling")
+    low = [F.coalesce(F.col(a) <= F.col(b), F.lit(True))
+           for a, b in (("log_ppl", "ceiling"), ("word_log_ppl", "word_ceiling"))]
     return scored.join(bounds, F.col("lang") == F.col("_l"), "left").select(
-        "doc_id", "lang", F.exp("log_ppl").alias("perplexity"),
-        F.exp("ceiling").alias("ceiling"), F.coalesce(kept, F.lit(True)).alias("kept"), "th")
+        "doc_id", "lang", F.exp("log_ppl").alias("perplexity"), F.exp("ceiling").alias("ceiling"),
+        F.exp("word_log_ppl").alias("word_perplexity"), F.exp("word_ceiling").alias("word_ceiling"),
+        (low[0] & low[1]).alias("kept"), "th")
 
 
 def good_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -80,6 +80,27 @@ def test_quality_cases(spark, odd, empty):
     assert kneser_ney.judge(odd, labels.limit(0)).where("not kept").count() == 0
 
 
+def test_word_scores_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "WORD_BITS", 12)
+    monkeypatch.setattr(kneser_ney, "KINDS", ((kneser_ney.ORDER, kneser_ney.BITS), (2, 12)))
+    rng = random.Random(6)
+    phrases = [f"w{i}a w{i}b w{i}c w{i}d" for i in range(12)]
+    texts = [" ".join(rng.choices(phrases, k=15)) for _ in range(60)]
+    shuffled = texts[50].split()
+    rng.shuffle(shuffled)
+    rows = list(enumerate([*texts, " ".join(shuffled), "", None, "not seen at all", " ".join(["w3a"] * 60)]))
+    docs = spark.createDataFrame([(*r, "l1") for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    fold = {r["_id"]: r["fold"] for r in kneser_ney.trusted_ids(labels).collect()}
+    letter = collections.defaultdict(lambda: chr(0xE000 + len(letter)))
+    as_letters = ["".join(letter[w] for w in (t or "").split()) for _, t in rows]
+    want = brute_log_ppl([as_letters[i] for i in range(50) if fold[i] == 0], as_letters, 2)
+    got = {r["doc_id"]: r["word_log_ppl"] for r in kneser_ney.scores(docs.repartition(3), labels).collect()}
+    assert [got[i] for i, _ in rows] == [pytest.approx(w, rel=1e-5) for w in want]
+    kept = {r["doc_id"]: r["kept"] for r in kneser_ney.judge(docs, labels).collect()}
+    assert kept[50] and kept[51] and not kept[60] and not kept[64]
+
+
 # Jaccard ----------------------------------------------------------------------
 def brute_classes(rows):
     """{row number: (class's smallest id, links)}"""
