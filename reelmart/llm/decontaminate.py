@@ -1,6 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, edit verification.
 
-Texts and items are sequences of words (lower-cased, ASCII signs part them).
+Texts and items are sequences of words (lower-cased, all but letters, marks and
+digits parts them; in scripts without spaces each letter is a word).
 The CGK random walk copies a word to the output and moves on, or stays, by a
 random bit of (step, word); sequences a few edits apart then have outputs a
 small Hamming distance apart. Each run samples a few output steps; a window of
@@ -17,9 +18,11 @@ The work is a map over whole texts; nothing is shuffled. Items go to the tasks
 in blocks of at most ``BLOCK_ITEMS``, one pass each, so that what is sent never
 grows with the benchmark.
 
-Defined cases: null and blank texts match nothing; items that are null or of
-fewer than ``MIN_ITEM`` words can't be told from chance and are not searched;
-items of equal text are found each; repeated rows each give their matches;
+Items of fewer than ``MIN_ITEM`` words are too short for edits and are searched
+exactly: their whole sequence of words, without an edit.
+
+Defined cases: null and blank texts match nothing; items that are null or hold
+no word at all match nothing; items of equal text are found each; repeated rows each give their matches;
 doc_id and item_id may be null; empty tables give an empty result; other
 columns are not looked at (``clean_rows`` carries them through).
 """
@@ -27,6 +30,8 @@ columns are not looked at (``clean_rows`` carries them through).
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -51,6 +56,24 @@ BLOCK_ITEMS = 2000
 CHUNK = 400_000
 SIGNS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 SEED = 20_240_817
+#: scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han
+UNSPACED = ((0x0e00, 0x0eff), (0x1000, 0x109f), (0x1780, 0x17ff), (0x3005, 0x3007), (0x3041, 0x30ff),
+            (0x31f0, 0x31ff), (0x3400, 0x9fff), (0xf900, 0xfaff), (0xff66, 0xff9f), (0x20000, 0x3ffff))
+
+
+def _class(unspaced: bool) -> str:
+    """The letters, marks and digits in or outside of UNSPACED, for a regular expression."""
+    out, last = [], None
+    for c in range(0x40000):
+        if (unicodedata.category(chr(c))[0] in "LMN"
+                and any(a <= c <= b for a, b in UNSPACED) == unspaced):
+            if last is None or c != last + 1:
+                out.append([c, c])
+            out[-1][1] = last = c
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+TOKEN = re.compile(f"[{_class(True)}]|[{_class(False)}]+")
 
 
 def runs_for(recall: float = RECALL, agree: float = AGREE, sampled: int = SAMPLED) -> int:
@@ -58,7 +81,12 @@ def runs_for(recall: float = RECALL, agree: float = AGREE, sampled: int = SAMPLE
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").translate(SIGNS).split() if text else []
+    if not text:
+        return []
+    text = text.lower()
+    if text.isascii():
+        return text.encode().translate(SIGNS).split()
+    return [w.encode() for w in TOKEN.findall(text)]
 
 
 class Search:
@@ -67,7 +95,7 @@ class Search:
     def __init__(self, items: list[tuple], most_edits: float = MOST_EDITS, runs: int | None = None):
         self.most_edits = most_edits
         known = [(key, words_of(text)) for key, text in items]
-        known = sorted(((key, w) for key, w in known if len(w) >= MIN_ITEM), key=lambda x: len(x[1]))
+        known = sorted(((key, w) for key, w in known if w), key=lambda x: len(x[1]))
         self.vocabulary: dict[bytes, int] = {}
         for _, w in known:
             for word in w:
@@ -78,7 +106,8 @@ class Search:
         self.items = [np.array([self.vocabulary[x] for x in w], np.int32) for _, w in known]
         self.longest = max((len(i) for i in self.items), default=0)
         self.classes = []
-        number = 0
+        number = sum(len(i) < MIN_ITEM for i in self.items)
+        self.short = self._short(number, size)
         while number < len(self.items):
             low = len(self.items[number])
             last = number
@@ -91,6 +120,33 @@ class Search:
             self.classes.append((low, own, member, self._runs(low, own, size, number, runs)))
             number = last
 
+    def _short(self, number: int, size: int) -> list[tuple[np.ndarray, dict[int, list[int]]]]:
+        """For each length: the (beginning, word) codes that go on, sorted, and
+        the items that end with a beginning, numbered by its place among them."""
+        out, held = [], {i: 0 for i in range(number)}
+        for k in range(max((len(self.items[i]) for i in held), default=0)):
+            held = {i: b * size + int(self.items[i][k]) for i, b in held.items() if len(self.items[i]) > k}
+            codes = np.unique(np.array(list(held.values()), np.int64))
+            held = {i: int(np.searchsorted(codes, c)) for i, c in held.items()}
+            ends: dict[int, list[int]] = {}
+            for i, b in held.items():
+                if len(self.items[i]) == k + 1:
+                    ends.setdefault(b, []).append(i)
+            out.append((codes, ends))
+        return out
+
+    def exact(self, ids: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(short item, starts of its whole sequence of words)."""
+        at, begun = np.arange(n if self.short else 0), np.zeros(n if self.short else 0, np.int64)
+        for k, (codes, ends) in enumerate(self.short):
+            code = begun * (self.end + 1) + ids[at + k]
+            begun = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            met = codes[begun] == code
+            at, begun = at[met], begun[met]
+            for b in np.intersect1d(begun, np.array(list(ends), np.int64)).tolist():
+                for item in ends[b]:
+                    yield item, at[begun == b]
+
     def _runs(self, low: int, own: list[int], size: int, salt: int, runs: int | None) -> list:
         rng = np.random.default_rng([SEED, salt])
         span = max(SAMPLED, int(1.5 * low))
@@ -240,6 +296,11 @@ class Search:
                     got = (d, self.begin(ids, item, end) - begin[doc], end - begin[doc])
                     if got < best.get((doc, item), (1 << 30,)):
                         best[doc, item] = got
+        for item, starts in self.exact(ids, total - gap):
+            docs, first = np.unique(np.searchsorted(begins, starts, "right") - 1, return_index=True)
+            for doc, start in zip(docs.tolist(), starts[first].tolist()):
+                start -= begin[doc]
+                best[doc, item] = (0, start, start + len(self.items[item]))
         return [(held[doc], item, start, distance, end)
                 for (doc, item), (distance, start, end) in sorted(best.items())]
 

@@ -254,6 +254,20 @@ def test_decontamination_of_tables(spark, odd, small, bench, empty, monkeypatch)
     assert {r["item_id"] for r in decontaminate.contaminated(docs, nulls).collect()} == {None}
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = ["Photosynthesis", "the Blue Danube", "的中文句子没有空格也要能找到。", "日本", "ประเทศไทยสวยงาม", "«tête‑bêche»　naïve！café été hiver",
+             "???", "Blue Danube"]
+    texts = ["On photosynthesis, twice: photosynthesis.", "by the blue,　Danube river", "前面的中文句子没有空格也要能找到，后面",
+             "the blue and the Danube", "ไปประเทศไทยสวยงามมาก", "une Tête bêche（Naïve）— Café; Été, hiver.", "???", "本日", "前面的中文句孑没有空格也要能找到，后面"]
+    want = {(0, 0, 0, 1, 2), (1, 1, 0, 1, 4), (1, 7, 0, 2, 4), (2, 2, 0, 2, 16), (4, 4, 0, 2, 17), (5, 5, 0, 1, 7), (8, 2, 1, 2, 16)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["edits"], r["first_word"], r["end_word"])
+           for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == want
+    assert {r["doc_id"] for r in decontaminate.clean_rows(docs, bench).collect()} == {3, 6, 7}
+
+
 # secrets ----------------------------------------------------------------------
 def test_secret_scan(spark, odd, empty):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
