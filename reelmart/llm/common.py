@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: a word: a run of characters other than space, tab, LF, VT, FF, CR
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: the characters that part words
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,6 +39,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and go on from there."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.partitionBy(partition_by or []).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def maybe_broadcast(df: DataFrame, rows: int, most: int = 100_000) -> DataFrame:
     """Broadcast hint for a side of ``rows`` narrow rows if that is at most
     ``most``; beyond it the plain side, which Spark joins by shuffle."""

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelmart.llm import decontaminate, jaccard, kneser_ney, language, licenses, mixing, repetition, secret_scan
-from reelmart.llm import sharding, url_rules
+from reelmart.llm import conversation_repair, decontaminate, filter_audit, jaccard, kneser_ney, language, licenses
+from reelmart.llm import line_dedup, mixing, repetition, secret_scan, sharding, url_rules
 from reelmart.llm import oracle
 
 
@@ -56,8 +57,24 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rules_frame(spark))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(table(spark, sf_dir, "conversations"))
+
+
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_secrets, op2_licenses, op3_language, op4_quality, op5_decontaminate, op6_mix, op7_jaccard, op8_repetition, op9_shard, op10_url_rules)}
+        op1_secrets, op2_licenses, op3_language, op4_quality, op5_decontaminate, op6_mix, op7_jaccard, op8_repetition, op9_shard, op10_url_rules,
+        op11_conversations, op12_lines, op13_filter_audit)}
 ORACLE: dict[str, str] = {"op6_mix": oracle.OP6, "op7_jaccard": oracle.OP7,
-                          "op8_repetition": oracle.OP8, "op10_url_rules": oracle.OP10}
+                          "op8_repetition": oracle.OP8, "op10_url_rules": oracle.OP10,
+                          "op11_conversations": oracle.OP11, "op12_lines": oracle.OP12,
+                          "op13_filter_audit": oracle.OP13}
