@@ -6,10 +6,11 @@ The helpers below work in two levels instead:
 
 1. counts per (group, value) - a partial aggregate, so a hot value collapses
    map-side;
-2. approximate quantile boundaries per group split its distinct values into
-   ``buckets`` ranges (equal values always share a bucket);
-3. running sums go over bucket totals (``buckets`` rows per group) and,
-   inside a bucket, over its distinct values (about 1/``buckets`` of them).
+2. approximate quantile boundaries split a group's distinct values into
+   ranges, and ranges that still hold more than ``most`` values are split
+   again, until none does (equal values always share a range);
+3. running sums go over range totals and, inside a range, over its distinct
+   values (``most`` of them at most).
 
 Results are exact: boundaries only decide where work is split, never what
 is counted.
@@ -20,20 +21,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelmart.sources.scratch import counted
 
-def value_ranks(df: DataFrame, part: list[str], value: str, buckets: int = 64) -> DataFrame:
+#: distinct values that one task may sort
+MOST_VALUES = 200_000
+
+
+def split_ranges(counts: DataFrame, n: int, part: list[str], value: str, buckets: int,
+                 most: int) -> DataFrame:
+    """``counts`` (``n`` rows, values distinct in each part) with a column
+    ``_bucket``: ranges in the order of the values, of ``most`` rows at most."""
+    probs = [i / buckets for i in range(1, buckets)]
+    rows = counts.withColumn("_bucket", F.lit(0).cast("decimal(38,0)"))
+    while n > most:
+        keys = [*part, "_bucket"]
+        big = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).drop("_n")
+        bounds, n_big = counted(
+            rows.join(big, keys, "left_semi").groupBy(*keys)
+            .agg(F.percentile_approx(value, probs, 10 * buckets).alias("_bounds")), "bounds")
+        if not n_big:
+            break
+        v = F.col(value)
+        place = F.coalesce(F.size(F.filter("_bounds", lambda b: b < v)), F.lit(0))
+        split = rows.join(bounds, keys, "left").withColumn(
+            "_bucket", (F.col("_bucket") * buckets + place).cast("decimal(38,0)")).drop("_bounds")
+        rows, n = counted(split, "ranges")
+    return rows
+
+
+def value_ranks(df: DataFrame, part: list[str], value: str, buckets: int = 64,
+                most: int = MOST_VALUES) -> DataFrame:
     """Per (part, value): ``t`` rows with this value, ``less`` rows with a
     smaller value, ``n`` rows in the group. Rows with a NULL value are
     ignored."""
     d = df.where(F.col(value).isNotNull())
-    counts = d.groupBy(*part, value).agg(F.count(F.lit(1)).alias("t"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = counts.groupBy(*part).agg(
-        F.percentile_approx(value, probs, 10 * buckets).alias("_bounds"))
-    v = F.col(value)
-    cb = (counts.join(bounds, part)
-          .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < v)))
-          .drop("_bounds"))
+    counts, n = counted(d.groupBy(*part, value).agg(F.count(F.lit(1)).alias("t")), "values")
+    cb = split_ranges(counts, n, part, value, buckets, most)
     tot = cb.groupBy(*part, "_bucket").agg(F.sum("t").alias("_bt"))
     before = Window.partitionBy(*part).orderBy("_bucket") \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -51,11 +74,12 @@ def average_rank(ranks: DataFrame) -> F.Column:
     return F.col("less") + (F.col("t") + 1) / 2.0
 
 
-def exact_median(df: DataFrame, part: list[str], value: str, buckets: int = 64) -> DataFrame:
+def exact_median(df: DataFrame, part: list[str], value: str, buckets: int = 64,
+                 most: int = MOST_VALUES) -> DataFrame:
     """Exact median per group (linear interpolation between the two middle
     order statistics), from ``value_ranks``: no group is ever sorted or held
     in one aggregation buffer."""
-    r = value_ranks(df, part, value, buckets)
+    r = value_ranks(df, part, value, buckets, most)
     lo = F.floor((F.col("n") - 1) / 2)
     hi = F.ceil((F.col("n") - 1) / 2)
     at = lambda pos: (F.col("less") <= pos) & (pos < F.col("less") + F.col("t"))

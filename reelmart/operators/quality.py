@@ -8,9 +8,10 @@ collected to the driver except the final small report.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelmart import schemas as S
@@ -89,8 +90,100 @@ SUITES: dict[str, list[tuple]] = {
         ("between", "standalone_score", (4, None), "CRITICAL"),
     ],
 }
+#: expectation types of suite files: (rule kind, arguments required, arguments allowed beside)
+SUITE_FILE_TYPES = {
+    "expect_column_values_to_not_be_null": ("not_null", {"column"}, set()),
+    "expect_column_values_to_be_between": ("between", {"column"}, {"min_value", "max_value"}),
+    "expect_column_values_to_be_in_set": ("in_set", {"column", "value_set"}, set()),
+    "expect_column_values_to_be_unique": ("unique", {"column"}, set()),
+    "expect_compound_columns_to_be_unique": ("compound_unique", {"column_list"}, set()),
+    "expect_table_row_count_to_be_between": ("row_count", {"min_value"}, set()),
+}
+SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM"]
 # ------------------------------------------------------------ end FIXED VALUES
 
+ROW_KINDS = ("not_null", "between", "in_set")
+
+
+def suite_of(file: dict) -> tuple[str, list[tuple]]:
+    """(name, rules) of one suite file. What a rule can't express is an error,
+    never skipped: a gate that is not understood would pass."""
+    name = file["expectation_suite_name"]
+    rules = []
+    for e in file["expectations"]:
+        kind, need, may = SUITE_FILE_TYPES.get(e["expectation_type"], (None, set(), set()))
+        args, severity = e.get("kwargs", {}), e.get("meta", {}).get("severity")
+        if kind is None:
+            raise ValueError(f"suite {name}: unknown expectation {e['expectation_type']}")
+        if not need <= set(args) <= need | may or may and not may & set(args):
+            raise ValueError(f"suite {name}: {e['expectation_type']} can't take {sorted(args)}")
+        if severity not in SEVERITIES:
+            raise ValueError(f"suite {name}: severity {severity} of {e['expectation_type']}")
+        wanted = {"between": (args.get("min_value"), args.get("max_value")), "in_set": args.get("value_set"),
+                  "row_count": args.get("min_value")}.get(kind)
+        rules.append((kind, args.get("column") or args.get("column_list"), wanted, severity))
+    return name, rules
+
+
+def file_of(name: str, rules: list[tuple]) -> dict:
+    """The suite file of rules: what ``suite_of`` reads."""
+    types = {kind: t for t, (kind, _, _) in SUITE_FILE_TYPES.items()}
+    out = []
+    for kind, cols, args, severity in rules:
+        kwargs = {"column_list" if kind == "compound_unique" else "column": cols} if cols else {}
+        if kind == "between":
+            kwargs |= {k: v for k, v in zip(("min_value", "max_value"), args) if v is not None}
+        elif kind in ("in_set", "row_count"):
+            kwargs["value_set" if kind == "in_set" else "min_value"] = args
+        out.append({"expectation_type": types[kind], "kwargs": kwargs, "meta": {"severity": severity}})
+    return {"expectation_suite_name": name, "expectations": out}
+
+
+def read_suites(spark: SparkSession, folder: str) -> dict[str, list[tuple]]:
+    """Suites from the JSON files of a folder, a suite each."""
+    files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
+    suites = [suite_of(json.loads(r[0])) for r in files.collect()]
+    twice = {n for i, (n, _) in enumerate(suites) if n in [m for m, _ in suites[:i]]}
+    if twice:
+        raise ValueError(f"suites in two files: {sorted(twice)}")
+    return dict(sorted(suites))
+
+
+def checked_columns(name: str, df: DataFrame, rules: list[tuple]) -> None:
+    named = {c for _, cols, _, _ in rules if cols for c in (cols if isinstance(cols, list) else [cols])}
+    if named - set(df.columns):
+        raise ValueError(f"suite {name}: the table has no column {sorted(named - set(df.columns))}")
+
+
+def failing_rows(name: str, df: DataFrame, key: list[str], most: int = 20,
+                 rules: list[tuple] | None = None) -> DataFrame:
+    """Up to ``most`` offending rows of each rule (the first by ``key``), for
+    whoever has to mend them: suite, expectation, severity, sample_rank, the key
+    and the whole row as JSON. One pass for all row rules; each task keeps
+    ``most`` rows a rule before the shuffle. A value that is not unique gives
+    one row for each of its rows."""
+    rules = SUITES[name] if rules is None else rules
+    checked_columns(name, df, rules)
+    label = lambda i: (F.lit(i).alias("rule"), F.lit(_label(*rules[i][:3])).alias("expectation"),
+                       F.lit(rules[i][3]).alias("severity"))
+    row = F.to_json(F.struct(*df.columns)).alias("row")
+    hits = [F.when(_row_fail(*rules[i][:3]), F.struct(*label(i)))
+            for i, r in enumerate(rules) if r[0] in ROW_KINDS]
+    parts = []
+    if hits:
+        parts.append(df.select(*key, row, F.explode(F.array_compact(F.array(*hits))).alias("h"))
+                     .select("h.*", *key, "row"))
+    for i, (kind, cols, _, _) in enumerate(rules):
+        if kind in ("unique", "compound_unique"):
+            cols = cols if isinstance(cols, list) else [cols]
+            again = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+            parts.append(df.withColumn("_row", row).join(again, cols, "left_semi")
+                         .select(*label(i), *key, F.col("_row").alias("row")))
+    w = Window.partitionBy("rule").orderBy(*key, "row")
+    return (reduce(DataFrame.unionByName, parts).withColumn("sample_rank", F.row_number().over(w))
+            .where(F.col("sample_rank") <= most)
+            .select(F.lit(name).alias("suite"), "expectation", "severity", "sample_rank", *key, "row"))
+
 
 def _label(kind: str, cols, args) -> str:
     c = ",".join(cols) if isinstance(cols, list) else (cols or "")
@@ -114,10 +207,11 @@ def _row_fail(kind: str, col: str, args) -> F.Column:
     raise ValueError(kind)
 
 
-def run_suite(name: str, df: DataFrame) -> DataFrame:
+def run_suite(name: str, df: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     """Evaluate one suite: one aggregate for row rules, one per uniqueness rule."""
-    rules = SUITES[name]
-    row_rules = [r for r in rules if r[0] in ("not_null", "between", "in_set")]
+    rules = SUITES[name] if rules is None else rules
+    checked_columns(name, df, rules)
+    row_rules = [r for r in rules if r[0] in ROW_KINDS]
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.count_if(_row_fail(k, c, a)).alias(f"f{i}") for i, (k, c, a, _) in
              enumerate(row_rules)]
@@ -135,18 +229,23 @@ def run_suite(name: str, df: DataFrame) -> DataFrame:
         if k in ("unique", "compound_unique"):
             cols = c if isinstance(c, list) else [c]
             keyed = df.where(reduce(lambda x, y: x & y, [F.col(x).isNotNull() for x in cols]))
-            parts.append(keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("k")).agg(
+            parts.append(keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).agg(
                 F.lit(name).alias("suite"), F.lit(_label(k, c, a)).alias("expectation"),
                 F.lit(sev).alias("severity"),
-                F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("n_checked"),
-                F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).cast("bigint")
+                F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_checked"),
+                F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint")
                 .alias("n_failed")))
     return reduce(DataFrame.unionByName, parts)
 
 
-def expectations_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """All suites; ``blocks_promotion`` when a CRITICAL expectation fails."""
-    rep = reduce(DataFrame.unionByName, [run_suite(n, df) for n, df in tables.items()])
+def expectations_report(tables: dict[str, DataFrame], suites: dict[str, list[tuple]] | None = None
+                        ) -> DataFrame:
+    """All suites (of files, if given); ``blocks_promotion`` when a CRITICAL
+    expectation fails. A suite without its table is an error."""
+    suites = {n: SUITES[n] for n in tables} if suites is None else suites
+    if set(suites) - set(tables):
+        raise ValueError(f"no table for suites {sorted(set(suites) - set(tables))}")
+    rep = reduce(DataFrame.unionByName, [run_suite(n, tables[n], r) for n, r in suites.items() if r])
     return rep.select("suite", "expectation", "severity", "n_checked", "n_failed",
                       (F.col("n_failed") == 0).alias("success"),
                       ((F.col("n_failed") > 0) & (F.col("severity") == "CRITICAL"))

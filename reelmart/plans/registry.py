@@ -6,7 +6,9 @@ wiring is all that lives here; semantics live in ``reelmart.operators``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -333,17 +335,17 @@ ASSEMBLE_K = 2
 
 _ASM_OUT = """
 SELECT client_id, path[1] AS hook_chunk, array_to_string(path, '>') AS sequence,
-       array_to_string(themes, '>') AS themes, score AS sequence_score FROM asm{d}"""
+       array_to_string(themes, '>') AS themes, score AS sequence_score FROM best{d}"""
 
 
-@query("assemble_3step", _ASM_OUT.format(d="3_cta"), ["asm3_cta"])
+@query("assemble_3step", _ASM_OUT.format(d="3_cta"), ["best3_cta"])
 def _assemble_3step(lk: Lake) -> DataFrame:
     """Hook, body, call to action: the best sequences of each hook."""
     return A.assemble(silver_wide(lk), lk.manifest, compat(lk), depth=3, k=ASSEMBLE_K,
                       last_theme="CTA")
 
 
-@query("assemble_nstep", _ASM_OUT.format(d=5), ["asm5"])
+@query("assemble_nstep", _ASM_OUT.format(d=5), ["best5"])
 def _assemble_nstep(lk: Lake) -> DataFrame:
     return A.assemble(silver_wide(lk), lk.manifest, compat(lk), depth=5, k=ASSEMBLE_K,
                       checkpoint_every=2)
@@ -899,8 +901,8 @@ _SUITE_TABLES = {
     "assembled_sequence": "asm_chunks",
 }
 O.cte("asm_chunks", """
-SELECT c.standalone_score FROM (SELECT unnest(path) AS chunk_id FROM asm3) s
-JOIN fact_chunk c ON c.chunk_id = s.chunk_id""", ["asm3", "fact_chunk"])
+SELECT c.standalone_score FROM (SELECT unnest(path) AS chunk_id FROM best3) s
+JOIN fact_chunk c ON c.chunk_id = s.chunk_id""", ["best3", "fact_chunk"])
 
 
 def _sql_lit(v) -> str:
@@ -946,10 +948,14 @@ _EXP_SQL = ("SELECT suite, expectation, severity, n_checked, n_failed, n_failed
 
 @query("expectations_report", _EXP_SQL, sorted(set(_SUITE_TABLES.values())))
 def _expectations_report(lk: Lake) -> DataFrame:
+    return Q.expectations_report(_suite_frames(lk))
+
+
+def _suite_frames(lk: Lake) -> dict[str, DataFrame]:
     seqs = A.assemble(silver_wide(lk), lk.manifest, compat(lk), depth=3, k=ASSEMBLE_K)
     asm = seqs.select(F.explode(F.split("sequence", ">")).alias("chunk_id")) \
         .join(fact_chunk(lk).select("chunk_id", "standalone_score"), "chunk_id")
-    return Q.expectations_report({
+    return {
         "bronze_asset_raw": SV.bronze_gate(lk.bronze_damaged),
         "dim_asset": I.dim_asset(lk.manifest),
         "dim_client": lk.dim_client,
@@ -962,13 +968,16 @@ def _expectations_report(lk: Lake) -> DataFrame:
         "fct_ad_kpi": perf_kpi(lk),
         "fct_ad_metric_chunk": perf_metric_chunk(lk),
         "assembled_sequence": asm,
-    })
+    }
 
 
 # Wave 6: sources, sinks, extraction stage, streams -------------------------------------
 from reelmart import schemas as S  # noqa: E402
+from reelmart.operators import extract as EX  # noqa: E402
 from reelmart.sources import files as FS  # noqa: E402
 from reelmart.sources.scratch import new_scratch  # noqa: E402
+from reelmart.sources.paths import write_text  # noqa: E402
+from reelmart.sources.versioned import VersionedTable  # noqa: E402
 from reelmart.streaming import streams as ST  # noqa: E402
 
 
@@ -1029,13 +1038,34 @@ def _perf_raw_capture(lk: Lake) -> DataFrame:
         native = lk.perf_native(name)
         flat = native.withColumn("actions", F.to_json("actions")) if name == "meta" else native
         flat.write.option("header", True).option("escape", '"').csv(f"{root}/export/{name}")
-        raw[name] = FS.capture_raw_csv(lk.spark, f"{root}/export/{name}", schema, f"{root}/bronze/{name}")
+        for _ in range(2):  # a replayed capture adds nothing
+            raw[name] = FS.capture_raw_csv(lk.spark, f"{root}/export/{name}", schema, f"{root}/bronze/{name}")
         if name == "meta":
             kind = native.schema["actions"].dataType
             raw[name] = raw[name].withColumn("actions", F.from_json("actions", kind))
     return P.ad_perf_unioned(raw["meta"], raw["tiktok"])
 
 
+@query("perf_capture_audit", """
+SELECT platform_name, count(*) AS n_rows, 0 AS n_without_time, 0 AS n_before_run, 1 AS n_times
+FROM perf_pulls GROUP BY 1""", ["perf_pulls"])
+def _perf_capture_audit(lk: Lake) -> DataFrame:
+    """Capture times of the raw exports, by platform: one for each capture, none
+    missing, none before the run."""
+    began, root, parts = datetime.now(timezone.utc), new_scratch(lk.spark, "perf-audit"), []
+    for name, schema in _EXPORT_CSV.items():
+        native = lk.perf_native(name)
+        flat = native.withColumn("actions", F.to_json("actions")) if name == "meta" else native
+        flat.write.option("header", True).option("escape", '"').csv(f"{root}/export/{name}")
+        rows = FS.capture_raw_csv(lk.spark, f"{root}/export/{name}", schema, f"{root}/bronze/{name}")
+        by_file = FS.capture_audit(rows, began)
+        parts.append(by_file.agg(
+            F.lit(name).alias("platform_name"), F.sum("n_rows").alias("n_rows"),
+            F.sum("n_without_time").cast("int").alias("n_without_time"),
+            F.sum("n_before_run").cast("int").alias("n_before_run"), F.max("n_times").cast("int").alias("n_times")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("manifest_append", "SELECT asset_id, client_id, content_sha256, asset_type FROM manifest",
        ["manifest"])
 def _manifest_append(lk: Lake) -> DataFrame:
@@ -1044,7 +1074,7 @@ def _manifest_append(lk: Lake) -> DataFrame:
     rows = lk.manifest.select("asset_id", "client_id", "content_sha256", "asset_type")
     FS.manifest_append(rows.where(F.crc32("asset_id") % 2 == 0), path)
     FS.manifest_append(rows.unionByName(rows), path)
-    return lk.spark.read.parquet(path)
+    return FS.stored_rows(lk.spark, path)
 
 
 @query("silver_store", "SELECT *, client_id FROM fact_chunk JOIN (SELECT asset_id, client_id FROM manifest) "
@@ -1114,8 +1144,7 @@ def _bronze_append(lk: Lake) -> DataFrame:
     again = FS.bronze_append(rows, path)
     if again:
         raise RuntimeError(f"bronze append is not write-once: {again} rows re-appended")
-    return lk.spark.read.parquet(path).select("asset_id", "client_id", "model_version",
-                                              "chunk_count")
+    return FS.stored_rows(lk.spark, path).select("asset_id", "client_id", "model_version", "chunk_count")
 
 
 def line_segments(text: F.Column) -> F.Column:
@@ -1148,6 +1177,51 @@ def _extract_stage(lk: Lake) -> DataFrame:
     return extract_stage(todo, line_segments).select("asset_id", "client_id", "chunk_count")
 
 
+#: of the stand-in below: assets whose calls always fail, and whose first call fails
+_FAILS, _FAILS_ONCE = "01", "2345"
+
+
+def line_model() -> Callable[[dict], dict]:
+    """Stand-in for a model client: a chunk per non-blank line; fails for some
+    assets. A local function, so that it is sent to executors with the job."""
+    fails, fails_once = _FAILS, _FAILS_ONCE
+
+    def call(asset: dict) -> dict:
+        first = asset["asset_id"][0]
+        if first in fails or first in fails_once and asset["attempt"] == 1:
+            raise TimeoutError(f"no answer for {asset['asset_id']}")
+        lines = [x for x in (y.strip(" ") for y in asset["text"].split("\n")) if x]
+        chunks = [{"start_sec": 5.0 * i, "transcript_segment": x} for i, x in enumerate(lines)]
+        return {"raw_response": json.dumps({"chunks": chunks}), "model_version": "stand-in",
+                "prompt_version": "p0", "tokens_in": len(asset["text"]), "tokens_out": len(chunks)}
+    return call
+
+
+@query("extraction_rounds", f"""
+SELECT m.asset_id, m.client_id, CAST(r.n AS BIGINT) AS n_calls, CAST(r.e AS BIGINT) AS n_errors,
+       CAST(r.n AS INTEGER) AS last_attempt, r.n > r.e AS extracted,
+       CASE WHEN r.n > r.e THEN CAST(k.n_chunks AS INTEGER) END AS chunk_count
+FROM manifest m
+JOIN (SELECT asset_id, CASE WHEN contains('{_FAILS}', left(asset_id, 1)) THEN 3
+                            WHEN contains('{_FAILS_ONCE}', left(asset_id, 1)) THEN 2 ELSE 1 END AS n,
+             CASE WHEN contains('{_FAILS}', left(asset_id, 1)) THEN 3
+                  WHEN contains('{_FAILS_ONCE}', left(asset_id, 1)) THEN 1 ELSE 0 END AS e FROM manifest) r USING (asset_id)
+LEFT JOIN (SELECT asset_id, count(chunk_id) AS n_chunks FROM manifest LEFT JOIN chunkall USING (asset_id) GROUP BY 1) k
+  USING (asset_id)""", ["manifest", "chunkall"])
+def _extraction_rounds(lk: Lake) -> DataFrame:
+    """Every landed asset extracted by a function on executors, in rounds: three
+    attempts each, errors in the run log, and a rerun that calls nothing twice."""
+    root = new_scratch(lk.spark, "extraction")
+    bronze = VersionedTable(lk.spark, f"{root}/bronze", ["client_id"])
+    runs = VersionedTable(lk.spark, f"{root}/runs")
+    assets = lk.landed_assets.select("asset_id", "client_id", "content_sha256", "text")
+    EX.extract(assets, line_model(), bronze, runs, attempts=3, slices=2, concurrent=4, pause_sec=0.0)
+    answered = assets.join(bronze.read().select("asset_id"), "asset_id", "left_semi")
+    EX.extract(answered, line_model(), bronze, runs, attempts=1, pause_sec=0.0)
+    return (EX.run_summary(runs.read()).join(bronze.read().select("asset_id", "chunk_count"), "asset_id", "left")
+            .select("asset_id", "client_id", "n_calls", "n_errors", "last_attempt", "extracted", "chunk_count"))
+
+
 _DELIVERY_SCHEMA = ("asset_id STRING, client_id STRING, content_sha256 STRING, doc_id BIGINT, "
                     "modified_at TIMESTAMP")
 
@@ -1187,6 +1261,10 @@ SELECT CAST(date_trunc('day', ts) AS DATE) AS day, user_id, event_type, count(*)
 FROM events GROUP BY 1, 2, 3"""
 
 
+_EVENT_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                 "value DOUBLE, props STRING")
+
+
 @query("daily_counts", _DAILY_SQL)
 def _daily_counts(lk: Lake) -> DataFrame:
     return ST.daily_counts_batch(lk.events).withColumn("sum_value", C.r6(F.col("sum_value")))
@@ -1195,13 +1273,89 @@ def _daily_counts(lk: Lake) -> DataFrame:
 @query("stream_daily_counts", _DAILY_SQL)
 def _stream_daily_counts(lk: Lake) -> DataFrame:
     root = new_scratch(lk.spark, "events-stream")
-    schema = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
-              "value DOUBLE, props STRING")
-    out = ST.stream_daily_counts(lk.spark, lk.sf_dir, "events.parquet", schema,
+    out = ST.stream_daily_counts(lk.spark, lk.sf_dir, "events.parquet", _EVENT_SCHEMA,
                                  f"{root}/target", f"{root}/_checkpoint")
     return out.withColumn("sum_value", C.r6(F.col("sum_value")))
 
 
+_LATE_DELAY = timedelta(days=2)
+
+
+@query("stream_daily_late", """
+WITH e AS (SELECT *, CAST(ts AS DATE) AS day, CASE WHEN event_id % 10 = 0 THEN 3
+              WHEN ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) THEN 1 ELSE 2 END AS arrival FROM events),
+w AS (SELECT arrival, (SELECT max(ts) FROM e b WHERE b.arrival < a.arrival) AS seen
+      FROM (SELECT DISTINCT arrival FROM e) a)
+SELECT day, count(*) FILTER (WHERE NOT late) AS n_counted, count(*) FILTER (WHERE late) AS n_late
+FROM (SELECT day, coalesce(day < CAST(seen - INTERVAL 2 DAY AS DATE), false) AS late FROM e JOIN w USING (arrival))
+GROUP BY 1""")
+def _stream_daily_late(lk: Lake) -> DataFrame:
+    """Events in event time, a tenth of them delivered after the rest: those of
+    days closed by then are late, all others counted."""
+    root = new_scratch(lk.spark, "late-stream")
+    ev = lk.events
+    low, high = ev.agg(F.min("ts"), F.max("ts")).first()
+    arrival = F.when(F.col("event_id") % 10 == 0, 3).when(
+        F.col("ts") < F.lit(str(low + (high - low) / 2)).cast("timestamp_ntz"), 1).otherwise(2)
+    for i in (1, 2, 3):
+        ev.where(arrival == i).write.mode("append").parquet(f"{root}/events")
+        counts = ST.stream_daily_counts(lk.spark, f"{root}/events", "*.parquet", _EVENT_SCHEMA, f"{root}/target",
+                                        f"{root}/_checkpoint", delay=_LATE_DELAY)
+    late = ST.late_events(lk.spark, f"{root}/target").groupBy(F.to_date("ts").alias("day")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return (counts.groupBy("day").agg(F.sum("n_events").alias("n"))
+            .join(late.withColumnRenamed("n", "n_late"), "day", "full")
+            .select("day", F.coalesce("n", F.lit(0)).alias("n_counted"), F.coalesce("n_late", F.lit(0)).alias("n_late")))
+
+
+# Silver tables that the text leg's bridges and the performance leg store.
+@query("silver_compatibility_store", ORACLE["bridge_chunk_compatibility"])
+def _silver_compatibility_store(lk: Lake) -> DataFrame:
+    path = new_scratch(lk.spark, "silver-compatibility")
+    rows = QUERIES["bridge_chunk_compatibility"](lk.spark, lk.sf_dir)
+    return FS.overwritten(rows, path, ["chunk_id"])
+
+
+@query("silver_keyword_store", ORACLE["keyword_bridge"])
+def _silver_keyword_store(lk: Lake) -> DataFrame:
+    path = new_scratch(lk.spark, "silver-keyword")
+    return FS.overwritten(QUERIES["keyword_bridge"](lk.spark, lk.sf_dir), path, ["chunk_id"])
+
+
+@query("perf_unioned_store", ORACLE["ad_perf_unioned"])
+def _perf_unioned_store(lk: Lake) -> DataFrame:
+    path = new_scratch(lk.spark, "ad-perf-unioned")
+    return FS.overwritten(QUERIES["ad_perf_unioned"](lk.spark, lk.sf_dir), path, ["ad_id"])
+
+
+@query("suite_files_report", _EXP_SQL, sorted(set(_SUITE_TABLES.values())))
+def _suite_files_report(lk: Lake) -> DataFrame:
+    """The expectation report from suite files, read back from a folder."""
+    folder = new_scratch(lk.spark, "suites")
+    for name, rules in Q.SUITES.items():
+        write_text(lk.spark, f"{folder}/{name}.json", json.dumps(Q.file_of(name, rules)))
+    return Q.expectations_report(_suite_frames(lk), Q.read_suites(lk.spark, folder))
+
+
+FAILING_SAMPLE = 5
+
+
+@query("failing_rows", f"""
+SELECT 'silver_chunk' AS suite, expectation, severity, CAST(r AS INTEGER) AS sample_rank, chunk_id, standalone_score
+FROM (SELECT *, row_number() OVER (PARTITION BY expectation ORDER BY chunk_id) AS r FROM (
+  SELECT 'between(standalone_score)' AS expectation, 'CRITICAL' AS severity, chunk_id, standalone_score
+  FROM dmg_chunks WHERE standalone_score NOT BETWEEN 1 AND 5
+  UNION ALL SELECT 'not_null(chunk_theme)', 'CRITICAL', chunk_id, standalone_score FROM dmg_chunks WHERE chunk_theme IS NULL
+  UNION ALL SELECT 'in_set(sentiment)', 'HIGH', chunk_id, standalone_score FROM dmg_chunks
+  WHERE sentiment NOT IN ('energetic', 'frustrated', 'aspirational', 'neutral', 'urgent', 'calm')))
+WHERE r <= {FAILING_SAMPLE}""", ["dmg_chunks"])
+def _failing_rows(lk: Lake) -> DataFrame:
+    """The first offending rows of each rule of the damaged Silver chunks."""
+    return Q.failing_rows("silver_chunk", parsed_run(lk.bronze_damaged), ["chunk_id"], FAILING_SAMPLE).select(
+        "suite", "expectation", "severity", "sample_rank", "chunk_id",
+        F.get_json_object("row", "$.standalone_score").cast("int").alias("standalone_score"))
+
+
 # Gold: views by name over the stored layers, never a second copy.
 GOLD_VIEWS = {
     "gold_ad_perf_unioned": (perf_unioned, "perf_pulls"),
@@ -1214,6 +1368,34 @@ GOLD_VIEWS = {
 }
 
 
+#: the warehouse's views by their names, and the query that each one is
+WAREHOUSE_VIEWS = {
+    "dim_asset": "dim_asset", "dim_keyword_bridge": "keyword_bridge", "dim_theme_bridge": "theme_bridge",
+    "bridge_asset_lineage": "asset_lineage_edges", "bridge_chunk_compatibility": "bridge_chunk_compatibility",
+    "fact_chunk": "silver_chunk", "fact_extraction_run": "extraction_run", "bridge_ad_chunk": "bridge_ad_chunk",
+    "fact_ad_performance": "fact_ad_performance", "fct_ad_kpi": "ad_kpi", "fct_ad_metric_chunk": "ad_metric_chunk",
+    "int_metric_chunk_alignment": "metric_chunk_alignment",
+    "mart_chunk_perf_correlation": "chunk_perf_correlation",
+}
+
+
+def register_warehouse(lk: Lake, names: list[str] | None = None) -> None:
+    """Register the warehouse's views in the session: no second copy is stored."""
+    for name in names or WAREHOUSE_VIEWS:
+        QUERIES[WAREHOUSE_VIEWS[name]](lk.spark, lk.sf_dir).createOrReplaceTempView(name)
+
+
+def _by_name(name: str):
+    def run(lk: Lake) -> DataFrame:
+        register_warehouse(lk, [name])
+        return lk.spark.sql(f"SELECT * FROM {name}")
+    return run
+
+
+for _name, _key in WAREHOUSE_VIEWS.items():
+    query(f"view_{_name}", ORACLE[_key])(_by_name(_name))
+
+
 def register_gold(lk: Lake) -> list[str]:
     """Register every Gold view in the session, for use from SQL."""
     for name, (frame, _) in GOLD_VIEWS.items():

@@ -38,3 +38,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(scratch_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write ``df`` to the shared folder once and go on from there, knowing its
+    number of rows (from the files' footers)."""
+    path = new_scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back, back.count()

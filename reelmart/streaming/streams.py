@@ -2,18 +2,24 @@
 
 All three run with ``trigger(availableNow=True)``: process what has arrived,
 then stop - the same code runs continuously with a processing-time trigger.
-State and checkpoints live in the shared scratch folder named by the session.
+Each micro-batch changes a ``VersionedTable`` in one commit, so a batch is
+wholly in a table or not at all, and a replayed batch changes nothing. Tables
+and checkpoints live in the shared scratch folder named by the session.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.sources.files import path_exists
+from reelmart.sources.files import append_new, stored_rows
+from reelmart.sources.paths import read_text
+from reelmart.sources.versioned import VersionedTable
 
 
 #: files of one micro-batch; a batch is a Spark job, so it should be large
@@ -30,75 +36,43 @@ def _run(writer, name: str) -> None:
     q.awaitTermination()
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps as long as its checkpoint: epochs count within it."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
 def stream_new_assets(spark: SparkSession, source_dir: str, schema: str, sink_dir: str,
-                      checkpoint: str, delay: str = "365 days",
-                      files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+                      checkpoint: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Append-only arrival with skip-existing: a landed asset is emitted once.
 
-    ``dropDuplicatesWithinWatermark`` keeps per-asset state only as long as
-    the watermark delay, so state stays bounded on an endless stream.
+    Each batch is joined against the stored manifest, whatever its age: there is
+    no horizon after which an asset counts as new again, no late row, and no
+    state beside the manifest itself.
     """
     s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-         .parquet(source_dir))
-    dedup = (s.withWatermark("modified_at", delay)
-             .dropDuplicatesWithinWatermark(["asset_id"])
-             .select("asset_id", "client_id", "content_sha256", "modified_at"))
-    _run(dedup.writeStream.format("parquet").option("path", sink_dir)
-         .option("checkpointLocation", checkpoint).outputMode("append"),
+         .parquet(source_dir).select("asset_id", "client_id", "content_sha256", "modified_at"))
+    _run(s.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda batch, epoch: append_new(batch, sink_dir, [])),
          query_name("new_assets", sink_dir))
-    return spark.read.parquet(sink_dir)
-
-
-class PartitionedUpsertTable:
-    """A table partitioned by the month of ``date_col`` that each micro-batch
-    merges into.
-
-    Per batch, only the months the batch touches are read (a semi join on the
-    batch's months, pruned at run time), merged with the batch, staged and
-    swapped in with dynamic partition overwrite. Work per batch grows with the
-    months a batch restates, not with the table. Whether the table exists is
-    decided from its path, so a restarted stream goes on where it stopped; a
-    replayed epoch merges the same rows again, which last-write-wins absorbs.
-    Two staging folders take turns.
-    """
-
-    part_col = "_month"
-
-    def __init__(self, root: str, date_col: str):
-        self.path = f"{root}/table"
-        self.staging = f"{root}/_staging"
-        self.month = F.date_format(F.col(date_col), "yyyy-MM")
-
-    def merge(self, batch: DataFrame, epoch: int,
-              combine: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
-        spark = batch.sparkSession
-        prev = None
-        if path_exists(spark, self.path):
-            touched = batch.select(self.month.alias(self.part_col)).distinct()
-            have = spark.read.parquet(self.path)
-            prev = (have.withColumn(self.part_col, F.col(self.part_col).cast("string"))
-                    .join(touched, self.part_col, "left_semi").drop(self.part_col))
-        merged = combine(prev, batch).withColumn(self.part_col, self.month)
-        stage = f"{self.staging}/{epoch % 2}"
-        merged.write.mode("overwrite").parquet(stage)
-        (spark.read.schema(merged.schema).parquet(stage).hint("rebalance", self.part_col)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.part_col).parquet(self.path))
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop(self.part_col)
+    return stored_rows(spark, sink_dir)
 
 
 def upsert_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: str,
                   combine: Callable[[DataFrame | None, DataFrame], DataFrame], date_col: str,
                   name: str = "upsert") -> DataFrame:
-    """Drive ``source`` through ``foreachBatch`` merges into a table
-    partitioned by the month of ``date_col``."""
-    table = PartitionedUpsertTable(root, date_col)
-    _run(source.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, epoch: table.merge(df, epoch, combine)),
+    """Drive ``source`` into a versioned table in parts by the month of
+    ``date_col``: a batch reads and replaces the months that it touches, and no
+    other; readers see the months before it or after it, never between."""
+    table = VersionedTable(spark, f"{root}/table")
+    month = F.date_format(date_col, "yyyy-MM")
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        table.merge(batch, month, combine, (query_id(spark, checkpoint), epoch))
+        table.vacuum()
+
+    _run(source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put),
          query_name(name, root))
-    return table.read(spark)
+    return table.read()
 
 
 def stream_perf_upsert(spark: SparkSession, source_dir: str, schema: str, root: str,
@@ -117,30 +91,57 @@ def stream_perf_upsert(spark: SparkSession, source_dir: str, schema: str, root:
 
 
 def stream_daily_counts(spark: SparkSession, events_dir: str, file_glob: str, schema: str,
-                        root: str, checkpoint: str, files_per_trigger: int = FILES_PER_TRIGGER
-                        ) -> DataFrame:
-    """Daily event counts per user and type from a growing event folder.
-
-    Each micro-batch is aggregated and written under its own epoch, which a
-    replay overwrites; reading sums the epochs. Files may come in any order:
-    there is no watermark, so no late row is dropped, and no state to keep.
+                        root: str, checkpoint: str, files_per_trigger: int = FILES_PER_TRIGGER,
+                        delay: timedelta | None = None) -> DataFrame:
+    """Daily event counts per user and type, in event time, from a growing
+    event folder.
+
+    A day is closed once a committed batch has seen an event ``delay`` or more
+    after its end. Events of closed days are late: they go to a side table
+    (``late_events``) and are counted nowhere else, so events read = events
+    counted + events late. Open days are updated in place, a month at a time;
+    a closed month is one folder that is never written again. Without
+    ``delay`` no day closes. The watermark is committed with the counts it
+    belongs to, so a replayed batch finds the same days closed.
     """
     ev = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
           .option("maxFilesPerTrigger", files_per_trigger).parquet(events_dir)
-          .withColumn("ts", F.col("ts").cast("timestamp")))
-    parts = f"{root}/parts"
+          .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    counts, late = VersionedTable(spark, f"{root}/counts"), VersionedTable(spark, f"{root}/late")
+
+    def add(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
+        rows = batch if prev is None else prev.unionByName(batch)
+        return rows.groupBy("day", "user_id", "event_type").agg(
+            F.sum("n_events").alias("n_events"), F.sum("sum_value").alias("sum_value"))
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        seen = counts.state()["notes"].get("max_ts")
+        top = batch.agg(F.max("ts")).first()[0]
+        top = max([t for t in (seen and datetime.fromisoformat(seen), top) if t], default=None)
+        closed = F.lit(False)
+        if delay is not None and seen:  # the first day still open
+            open_day = (datetime.fromisoformat(seen) - delay).date()
+            closed = F.coalesce(F.to_date("ts") < F.lit(open_day), F.lit(False))
+        stream = (query_id(spark, checkpoint), epoch)
+        if delay is not None:
+            late.append(lambda have: batch.where(closed), stream)
+        counts.merge(daily_counts_batch(batch.where(~closed)), F.date_format("day", "yyyy-MM"), add, stream,
+                     {"max_ts": top.isoformat()} if top else None)
+        counts.vacuum()
+        batch.unpersist()
+
+    _run(ev.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put),
+         query_name("daily_counts", root))
+    return counts.read()
 
-    def add(batch: DataFrame, epoch: int) -> None:
-        daily_counts_batch(batch).write.mode("overwrite").parquet(f"{parts}/epoch={epoch:08d}")
 
-    _run(ev.writeStream.option("checkpointLocation", checkpoint).foreachBatch(add),
-         query_name("daily_counts", root))
-    return (spark.read.parquet(parts).groupBy("day", "user_id", "event_type")
-            .agg(F.sum("n_events").alias("n_events"), F.sum("sum_value").alias("sum_value")))
+def late_events(spark: SparkSession, root: str) -> DataFrame | None:
+    """Events that ``stream_daily_counts`` met after their day had closed."""
+    return VersionedTable(spark, f"{root}/late").read()
 
 
 def daily_counts_batch(events: DataFrame) -> DataFrame:
     """Batch twin of ``stream_daily_counts``."""
-    return (events.groupBy(F.to_date(F.window("ts", "1 day").start).alias("day"),
-                           "user_id", "event_type")
+    return (events.groupBy(F.to_date("ts").alias("day"), "user_id", "event_type")
             .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("sum_value")))
