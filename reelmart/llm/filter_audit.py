@@ -82,12 +82,14 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     rows = stored(docs.select("doc_id", F.coalesce("source", F.lit("")).alias("part"), "text").mapInArrow(
         narrow, f"doc_id {kind}, part string, fails int, h1 long, h2 long"), "failures")
-    first = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
+    # stored, so that both sides of the join come by plain exchanges and Spark may split a hot text
+    first = stored(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").drop("n"), "copies")
     marks = labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).cast("int")
-    return (rows.join(first, ["h1", "h2"]).join(marks, "doc_id", "left")
+    return (rows.join(first, ["h1", "h2"], "left").join(marks, "doc_id", "left")
             .select("part", (F.col("fails") + 16 * copy).alias("fails"),
                     F.coalesce("good", F.lit(False)).alias("good"),
                     F.coalesce("toxic", F.lit(False)).alias("toxic")))

@@ -118,7 +118,8 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATC
     for b in range(batches):
         held = rows.where(F.col("batch") == b).select(*KEY, "doc_id").distinct()
         runs.add(held.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("holder")))
-    hot = merge(runs.all()).where(F.col("n") >= min_docs)
+    # stored, so that both sides of the join come by plain exchanges and Spark may split a hot line
+    hot = stored(merge(runs.all()).where(F.col("n") >= min_docs), "frequent-lines")
     return (rows.join(hot, KEY).where(~F.col("doc_id").eqNullSafe(F.col("holder")))
             .groupBy("doc_id", "t").agg(F.collect_set("pos").alias("gone")))
 
