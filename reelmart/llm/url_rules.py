@@ -6,7 +6,8 @@ intervals of nested hosts nest. Urls and rule intervals are dealt to ranges of
 the key by sampled splitters (a rule goes to every range that it overlaps) and
 sorted; one pass over a range keeps the rules that are open on a stack. The
 key of a url ends with its path and page id, so that a host with a third of all
-pages is dealt over many ranges.
+pages is dealt over many ranges; rows of one key share all ranges that begin
+with it.
 
 A rule fits if its host is the url's host or a parent of it and the url's path
 starts with the rule's path. The longest rule (characters of host and path)
@@ -15,12 +16,14 @@ wins; of equally long ones ``block``, then the longer host. Without a rule the v
 
 Defined cases: a null url, or one without ``://``, has an empty host and path
 and no rule; a null page_id stays null; repeated rows each give a row; rules of
-the same host and path count once, ``block`` first; an empty table gives an
-empty result; other columns are not looked at.
+the same host and path count once, ``block`` first; very long urls and characters
+of any plane are taken whole; an empty table gives an empty result; other
+columns are not looked at.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +31,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import bounds_of, runs, uniform
+from reelmart.llm.common import bounds_of, runs
 
 #: rules of the registered query: verdict, host, path
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 #: keys sampled for the splitters
 SAMPLE = 4096
+SEED = 29
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,11 +58,17 @@ def reversed_host(host: Column) -> Column:
         F.concat(F.concat_ws("\x01", labels), F.lit("\x01")))
 
 
-def part_of(marks: list[str], key: Column) -> Column:
-    """The range of a key: how many splitters are at or before it."""
+def parts_of(marks: list[str], key: Column, upto: bool) -> Column:
+    """How many splitters are before a key (``upto``: at or before it), by two
+    short searches: the block of splitters, then the place in it."""
     if not marks:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(m) for m in marks]), lambda m: m <= key))
+    wide = max(1, math.isqrt(len(marks)))
+    blocks = [marks[i:i + wide] for i in range(0, len(marks), wide)]
+    passed = (lambda m: m <= key) if upto else (lambda m: m < key)
+    heads = F.size(F.filter(F.array(*[F.lit(b[0]) for b in blocks]), passed))
+    block = F.get(F.array(*[F.array(*[F.lit(m) for m in b]) for b in blocks]), heads - 1)
+    return F.when(heads == 0, 0).otherwise((heads - 1) * wide + F.size(F.filter(block, passed)))
 
 
 def sweep(default: str):
@@ -116,19 +126,25 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
                      F.lpad(F.coalesce(F.col("page_id").cast("string"), F.lit("")), 20, "0"))
     urls = urls.withColumn("key", place)
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = SAMPLE / max(1, pages.count())  # about SAMPLE keys come to the driver
-    drawn = sorted(r["key"] for r in urls.where(uniform(F.col("key")) < share).select("key").collect())
-    marks = sorted({drawn[i * len(drawn) // parts] for i in range(1, parts)}) if drawn else []
-    urls = urls.select(part_of(marks, F.col("key")).alias("part"), "key", F.lit(1).alias("kind"),
+    # about SAMPLE rows come to the driver; equal rows are drawn one by one, so a
+    # key of many rows stands at several splitters and its rows share those ranges
+    share = SAMPLE / max(1, pages.count())
+    drawn = sorted(r["key"] for r in urls.where(F.rand(SEED) < share).select("key").collect())
+    marks = [drawn[i * len(drawn) // parts] for i in range(1, parts)] if drawn else []
+    low_part, high_part = (parts_of(marks, F.col("key"), upto) for upto in (False, True))
+    part = low_part + F.floor(F.rand(SEED + 1) * (high_part - low_part + 1)).cast("int")
+    urls = urls.select(part.alias("part"), "key", F.lit(1).alias("kind"),
                        "host_key", "host", "path", "page_id",
                        F.lit(None).cast("string").alias("rule"),
                        F.lit(None).cast("string").alias("verdict"))
     kinds = dict(pages.dtypes)["page_id"]
     once = rules.where("host <> ''").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     low = reversed_host(F.col("host"))
-    opened = once.select(
-        F.explode(F.sequence(part_of(marks, low),
-                             part_of(marks, F.concat(low, F.lit("￿"))))).alias("part"),
+    # its subdomains' keys begin with ``low``; the next sign after its last one ends them
+    end = F.concat(F.expr("substring(low, 1, length(low) - 1)"), F.lit("\x02"))
+    opened = once.withColumn("low", low).withColumn("end", end).select(
+        F.explode(F.sequence(parts_of(marks, F.col("low"), False),
+                             parts_of(marks, F.col("end"), True))).alias("part"),
         low.alias("key"), F.lit(0).alias("kind"), low.alias("host_key"), "host", "path",
         F.lit(None).cast(kinds).alias("page_id"), F.concat("host", "path").alias("rule"), "verdict")
     events = (urls.unionByName(opened).repartition(parts, "part")
