@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelmart.sources.paths import delete
+
 #: a word: a run of characters other than space, tab, LF, VT, FF, CR
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: the characters that part words
@@ -43,10 +45,42 @@ def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     """Write ``df`` once as Parquet to the shared folder and go on from there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
-    df.write.partitionBy(partition_by or []).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(partition_by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Intermediate tables of one job, in the shared folder until it is done."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.name = spark, f"{label}_{uuid.uuid4().hex[:12]}"
+        self.folder = f"{shared_folder(spark).rstrip('/')}/{self.name}"
+        self.tables: list[str] = []
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table once and go on from there."""
+        df.write.option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def put_bucketed(self, df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+        """Write a table dealt by the hash of a column, so that grouping by it moves no row."""
+        table = f"{self.name}_{name}"
+        (df.write.bucketBy(buckets, by).option("path", f"{self.folder}/{name}")
+         .option("compression", "zstd").saveAsTable(table))
+        self.tables.append(table)
+        return self.spark.table(table)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more."""
+        for name in names:
+            delete(self.spark, f"{self.folder}/{name}")
+
+    def close(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        delete(self.spark, self.folder)
+
+
 def maybe_broadcast(df: DataFrame, rows: int, most: int = 100_000) -> DataFrame:
     """Broadcast hint for a side of ``rows`` narrow rows if that is at most
     ``most``; beyond it the plain side, which Spark joins by shuffle."""

@@ -10,9 +10,10 @@ models, and its copies, are rightly easy.
 Counts are tables of (code, count), a code being language, kind of model,
 length and characters (or the hashes of words) in one long; all discounts, contexts and lower orders come from
 joins and sums of these tables, sharded by code. To score, each scan partition
-is a batch: it asks for every distinct n-gram in it once, the requests meet the
-model in a sharded join, and the answers go back to the batch, which holds the
-texts packed. So no task holds the model, and texts move once.
+is a batch, whose texts are stored packed: it asks once for every distinct
+n-gram in it that a Bloom filter over the model's codes doesn't refuse, the
+requests meet the model in a sharded join, and the answers go to the batch. So
+no task holds the model, and texts are written once and never shuffled.
 
 Characters beyond code 3071 are folded into 1024 codes, words into
 ``WORD_BITS`` bits; texts begin with start signs, one less than the order, and
@@ -32,6 +33,7 @@ from __future__ import annotations
 import io
 import re
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import cut, maybe_broadcast, slices, text_key
+from reelmart.llm.common import Workspace, cut, maybe_broadcast, slices, stored, text_key
 
 ORDER = 4
 BITS = 12
@@ -69,6 +71,8 @@ CHUNK = 250_000
 BLOB_ROWS = 256
 GATHERED = 1_000_000
 MOST_IDS = 1_000_000
+#: bits of the filter over the model's codes (16 MB)
+FILTER_BITS = 1 << 27
 
 
 # units to codes ---------------------------------------------------------------
@@ -165,17 +169,16 @@ def context(bits: int) -> Column:
         F.shiftright(F.col("code").bitwiseAND(F.lit(mask)), bits))
 
 
-def model(counts: DataFrame, order: int = ORDER, bits: int = BITS) -> DataFrame:
+def model(counts: DataFrame, work: Workspace, order: int = ORDER, bits: int = BITS) -> DataFrame:
     """(code, p, g): interpolated probability of each n-gram met, and the
-    back-off weight of each context, from (code, n) of the highest order."""
-    level = {order: cut(counts.groupBy("code").agg(F.sum("n").alias("c")))}
+    back-off weight of each context, from (code, n) of the highest order. Each
+    level is stored once; what later steps no longer read is deleted."""
+    name = lambda part: f"{part}-{order}"
+    level = {order: work.put(counts.groupBy("code").agg(F.sum("n").alias("c")), name(f"level{order}"))}
     for k in range(order, 1, -1):  # continuation counts: distinct units before
-        level[k - 1] = level[k].select(suffix(k, bits).alias("code")).groupBy("code").agg(
-            F.count("*").alias("c"))
-    every = level[1]
-    for k in range(2, order + 1):
-        every = every.unionByName(level[k])
-    every = cut(every)
+        level[k - 1] = work.put(level[k].select(suffix(k, bits).alias("code")).groupBy("code").agg(
+            F.count("*").alias("c")), name(f"level{k - 1}"))
+    every = reduce(DataFrame.unionByName, level.values())
 
     def n(i: int) -> Column:
         return F.sum(F.when(F.col("c") == i, 1.0).otherwise(0.0))
@@ -189,14 +192,15 @@ def model(counts: DataFrame, order: int = ORDER, bits: int = BITS) -> DataFrame:
         return F.greatest(F.lit(0.05), F.least(F.lit(i - 0.05), F.coalesce(value, F.lit(i / 2.0))))
 
     # at most languages x order rows
-    law = F.broadcast(cut(seen.select("tag", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)])))
+    law = F.broadcast(work.put(seen.select("tag", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)]), name("law")))
     taken = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     grams = (every.withColumn("tag", tag()).join(law, "tag").select(
         "code", "c", context(bits).alias("ctx"), taken.alias("d")))
-    contexts = grams.groupBy("ctx").agg(
-        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("g"))
-    grams = cut(grams.join(contexts, "ctx").select(
-        "code", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "g"))
+    contexts = work.put(grams.groupBy("ctx").agg(
+        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("g")), name("contexts"))
+    grams = work.put(grams.join(contexts, "ctx").select(
+        "code", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "g"), name("grams"))
+    work.drop(*[name(f"level{k}") for k in level])
     done = None
     for k in range(1, order + 1):
         here = grams.where(tag().bitwiseAND(F.lit(7)) == k)
@@ -206,11 +210,52 @@ def model(counts: DataFrame, order: int = ORDER, bits: int = BITS) -> DataFrame:
             lower = last.select(F.col("code").alias("low"), F.col("p").alias("p_low"))
             p = here.withColumn("low", suffix(k, bits)).join(lower, "low").select(
                 "code", (F.col("own") + F.col("g") * F.col("p_low")).alias("p"))
-        last = cut(p)
+        last = work.put(p, name(f"p{k}"))
         done = last if done is None else done.unionByName(last)
     g = contexts.select(F.col("ctx").alias("code"), "g")
-    return cut(done.join(g, "code", "full_outer").select(
-        "code", F.col("p").cast("float").alias("p"), F.col("g").cast("float").alias("g")))
+    table = work.put(done.join(g, "code", "full_outer").select(
+        "code", F.col("p").cast("float").alias("p"), F.col("g").cast("float").alias("g")), name("model"))
+    work.drop(name("grams"), name("contexts"), *[name(f"p{k}") for k in range(1, order + 1)])
+    return table
+
+
+# which codes the model may have ------------------------------------------------
+def places(codes: np.ndarray) -> list[np.ndarray]:
+    """The bits of a code in the filter."""
+    with np.errstate(over="ignore"):
+        h = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD1342543DE82EF95)
+        h ^= h >> np.uint64(29)
+    mask = np.uint64(FILTER_BITS - 1)
+    return [h & mask, (h >> np.uint64(20)) & mask, (h >> np.uint64(37)) & mask]
+
+
+def filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, bits) of the filter, as far as a batch of codes sets them."""
+    for batch in batches:
+        at = np.concatenate(places(batch.column("code").to_numpy()))
+        word, row = np.unique((at >> np.uint64(6)).astype(np.int64), return_inverse=True)
+        bits = np.zeros(len(word), np.uint64)
+        np.bitwise_or.at(bits, row, np.uint64(1) << (at & np.uint64(63)))
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits.view(np.int64))], ["word", "bits"])
+
+
+def code_filter(table: DataFrame) -> np.ndarray:
+    """A Bloom filter over the model's codes, of a fixed size whatever the
+    model's: a code that it refuses is not in the model."""
+    words = (table.select("code").mapInArrow(filter_words, "word long, bits long")
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
+    out = np.zeros(FILTER_BITS >> 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def maybe_met(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The codes that the filter doesn't refuse."""
+    keep = np.ones(len(codes), bool)
+    for at in places(codes):
+        keep &= (known[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return codes[keep]
 
 
 # scoring ----------------------------------------------------------------------
@@ -248,24 +293,36 @@ def asked(lang: int, keys: np.ndarray, order: int, bits: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def requester(langs: dict[str, int]):
-    def run(blobs: pa.Table) -> pa.Table:
+def requester(langs: dict[str, int], known: np.ndarray):
+    """Packed texts -> (batch, code): once each, what scoring a batch looks up."""
+    def wanted(found: dict[int, list[np.ndarray]], batch: int) -> pa.RecordBatch:
+        codes = np.concatenate([maybe_met(known, asked(k, np.concatenate(found[k]), *KINDS[k % 2]))
+                                for k in sorted(found)] or [np.zeros(0, np.int64)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(codes), batch, np.int32)), pa.array(codes)], ["batch", "code"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[np.ndarray]] = {}
-        for rows, by in unpacked(blobs):
-            texts = rows.column("text").to_pylist()
-            for lang, own in by.items():
-                if lang not in langs:
-                    continue
-                for some in chunks([texts[i] or "" for i in own]):
-                    for kind in range(len(KINDS)):
-                        held = found.setdefault(number(langs[lang], kind), [])
-                        held.append(pd.unique(codes_of(some, kind)[0]))
-                        if sum(map(len, held[1:])) > GATHERED:
-                            held[:] = [pd.unique(np.concatenate(held))]
-        codes = np.concatenate([asked(k, np.concatenate(found[k]), *KINDS[k % 2]) for k in sorted(found)]
-                               or [np.zeros(0, np.int64)])
-        batch = np.full(len(codes), blobs.column("batch")[0].as_py(), np.int32)
-        return pa.table({"batch": pa.array(batch), "code": pa.array(codes)})
+        now = None
+        for blobs in batches:
+            for i, batch in enumerate(blobs.column("batch").to_pylist()):
+                if batch != now and now is not None:  # the blobs of a batch stand together
+                    yield wanted(found, now)
+                    found = {}
+                now = batch
+                for rows, by in unpacked(pa.Table.from_batches([blobs.slice(i, 1)])):
+                    texts = rows.column("text").to_pylist()
+                    for lang, own in by.items():
+                        if lang not in langs:
+                            continue
+                        for some in chunks([texts[j] or "" for j in own]):
+                            for kind in range(len(KINDS)):
+                                held = found.setdefault(number(langs[lang], kind), [])
+                                held.append(pd.unique(codes_of(some, kind)[0]))
+                                if sum(map(len, held[1:])) > GATHERED:
+                                    held[:] = [pd.unique(np.concatenate(held))]
+        if now is not None:
+            yield wanted(found, now)
     return run
 
 
@@ -331,8 +388,11 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, th, lang, fold, log_ppl, word_log_ppl): narrow, one row for each document."""
-    ids = cut(trusted_ids(labels))
+    """(doc_id, th, lang, fold, log_ppl, word_log_ppl): narrow, one row for each
+    document, stored. All else that is written on the way is deleted."""
+    spark = docs.sparkSession
+    work = Workspace(spark, "kneser_ney")
+    ids = work.put(trusted_ids(labels), "ids")
     ids = maybe_broadcast(ids, ids.count(), MOST_IDS)
     lang = F.coalesce(F.col("lang"), F.lit("und"))
     rows = docs.select("doc_id", text_key().alias("th"), lang.alias("lang"), "text").join(
@@ -340,21 +400,23 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     common = (docs.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang")
               .limit(MOST_LANGUAGES).collect())
     langs = {r["lang"]: i for i, r in enumerate(sorted(common, key=lambda r: r["lang"]))}
-    table = None
-    for kind, law in enumerate(KINDS):
-        part = model(rows.where("fold = 0").mapInArrow(
-            count_batches(langs, kind), "code long, n long"), *law)
-        table = part if table is None else table.unionByName(part)
+    table = reduce(DataFrame.unionByName, [model(rows.where("fold = 0").mapInArrow(
+        count_batches(langs, kind), "code long, n long"), work, *law) for kind, law in enumerate(KINDS)])
     trained = {r[0] for r in table.where("p is not null").select(
         F.shiftright(tag(), 4)).distinct().collect()}  # at most MOST_LANGUAGES
     langs = {lang: i for lang, i in langs.items() if i in trained}
     kind = dict(docs.dtypes)["doc_id"]
-    packed = rows.withColumn("batch", F.spark_partition_id()).mapInArrow(
-        pack, "batch int, blob binary")
-    requests = packed.groupBy("batch").applyInArrow(requester(langs), "batch int, code long")
+    # stored once, by batch: whoever asks and whoever scores sees the same batches, and scoring moves no text
+    packed = work.put_bucketed(
+        rows.withColumn("batch", F.spark_partition_id()).mapInArrow(pack, "batch int, blob binary"),
+        "packed", "batch", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    requests = packed.mapInArrow(requester(langs, code_filter(table)), "batch int, code long")
     answers = requests.join(table, "code").select("batch", "code", "p", "g")
-    return packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        score_batch(langs), f"doc_id {kind}, th long, lang string, fold int, log_ppl double, word_log_ppl double")
+    scored = stored(packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        score_batch(langs), f"doc_id {kind}, th long, lang string, fold int, log_ppl double, word_log_ppl double"),
+        "scores")
+    work.close()
+    return scored
 
 
 def limits(scored: DataFrame, high: float = HIGH, margin: float = MARGIN,
@@ -373,7 +435,7 @@ def limits(scored: DataFrame, high: float = HIGH, margin: float = MARGIN,
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, lang, perplexity, ceiling, word_perplexity, word_ceiling, kept,
     th) of every row."""
-    scored = cut(scores(docs, labels))
+    scored = scores(docs, labels)
     words = limits(scored, score="word_log_ppl").withColumnRenamed("ceiling", "word_ceiling")
     bounds = cut(limits(scored).join(words, "lang", "full_outer"))
     bounds = maybe_broadcast(bounds.withColumnRenamed("lang", "_l"), bounds.count())
@@ -386,9 +448,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that are kept."""
+    """The rows of ``docs``, all columns, that are kept. A row is known by its
+    id, text and language, so equal texts of one id may fare unlike."""
     bad = cut(judge(docs, labels).where("not kept").select(
-        F.col("doc_id").alias("_b_id"), F.col("th").alias("_b_th")).distinct())
+        F.col("doc_id").alias("_b_id"), F.col("th").alias("_b_th"), F.col("lang").alias("_b_lang")).distinct())
     bad = maybe_broadcast(bad, bad.count(), MOST_IDS)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_b_id"]) & (text_key() == bad["_b_th"]),
-                     "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_b_id"]) & (text_key() == bad["_b_th"])
+                     & (F.coalesce(docs["lang"], F.lit("und")) == bad["_b_lang"]), "left_anti")
