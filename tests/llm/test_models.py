@@ -221,3 +221,28 @@ def test_pipeline(spark, small):
     assert kept["sharding"] == kept["mixing"]
     assert np.ptp(list(collections.Counter(r["shard"] for r in docs.collect()))) == 7
     assert corpus_pipeline.run(spark, SF_SMALL).count() == sum(kept["sharding"].values())
+
+
+def test_good_rows_know_a_row_by_its_language_too(spark, monkeypatch):
+    """One id and text under two languages: what is rejected under one stays under the other."""
+    from pyspark.sql import functions as F
+
+    from reelmart.llm.common import text_key
+    docs = spark.createDataFrame([(1, "same", "de", 0), (1, "same", "en", 1), (1, "same", None, 2), (1, "other", "de", 3),
+                                  (None, None, "de", 4), (2, "same", "de", 5)],
+                                 "doc_id long, text string, lang string, row int")
+    verdict = docs.select("doc_id", text_key().alias("th"), F.coalesce("lang", F.lit("und")).alias("lang"),
+                          (~F.col("row").isin(0, 4)).alias("kept"))
+    monkeypatch.setattr(kneser_ney, "judge", lambda docs, labels: verdict)
+    assert sorted(r["row"] for r in kneser_ney.good_rows(docs, None).collect()) == [1, 2, 3, 5]
+
+
+def test_the_filter_refuses_no_code_of_the_model(spark):
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 1 << 60, 50_000))
+    table = spark.createDataFrame([(int(c),) for c in codes], "code long").repartition(5)
+    known = kneser_ney.code_filter(table)
+    assert (kneser_ney.maybe_met(known, codes) == codes).all()
+    other = np.setdiff1d(rng.integers(0, 1 << 60, 50_000), codes)
+    assert len(kneser_ney.maybe_met(known, other)) < 500
+    assert not len(kneser_ney.maybe_met(known, codes[:0]))

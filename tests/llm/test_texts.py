@@ -7,6 +7,7 @@ import textwrap
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelmart.llm import decontaminate, language, licenses, repetition, secret_scan, url_rules
 from tests.conftest import SF_MID
@@ -42,6 +43,29 @@ def test_url_rules(spark):
     assert url_rules.judge(pages.limit(0), url_rules.rules_frame(spark)).count() == 0
 
 
+def test_url_rules_on_all_planes_and_many_equal_rows(spark):
+    """Hosts beyond U+FFFF near many splitters, and a third of the rows alike."""
+    rng = random.Random(6)
+    signs = ["a", "z", "~", "é", "漢", "\ue000", "\uffff", "😀", "\U0010fffd"]
+    urls = [f"https://{rng.choice(signs)}{rng.choice(signs)}{i}.{rng.choice(['net', 'example.net', 'com', '😀.org'])}"
+            f"{rng.choice(['/', '/x', '/en/', '/fr/é😀'])}" for i in range(3000)]
+    urls += ["https://\uffff.net/one"] * 1500
+    rules = url_rules.RULES + [("block", "😀.org", "/"), ("allow", "\uffff.net", "/one")]
+    pages = spark.createDataFrame([(None if i % 7 == 0 else i, u) for i, u in enumerate(urls)],
+                                  "page_id long, url string").repartition(6)
+    got = sorted((tuple(r) for r in url_rules.judge(pages, url_rules.rules_frame(spark, rules)).collect()), key=repr)
+    assert got == sorted(((None if i % 7 == 0 else i, *brute_judge(u, rules)) for i, u in enumerate(urls)), key=repr)
+
+
+def test_splitters_are_found_in_two_steps(spark):
+    marks = sorted(["b"] * 5 + ["a", "c", "d", "dd", "é", "😀"] + [f"m{i:02}" for i in range(30)])
+    keys = ["", "a", "aa", "b", "d", "m07", "m29", "zzz", "é", "\uffff", "😀", "😀z"]
+    rows = spark.createDataFrame([(k,) for k in keys], "k string").select(
+        "k", *[url_rules.parts_of(marks, F.col("k"), upto).alias(f"p{upto}") for upto in (False, True)]).collect()
+    assert [tuple(r) for r in rows] == [(k, sum(m < k for m in marks), sum(m <= k for m in marks)) for k in keys]
+    assert url_rules.parts_of([], F.col("k"), True) is not None
+
+
 # repetition -------------------------------------------------------------------
 def brute_repetition(text):
     text = text or ""
@@ -274,8 +298,11 @@ def test_secret_scan(spark, odd, empty):
     got = secret_scan.scan(docs).where("crc32(cast(doc_id as string)) % 4 = 2 and label is not null").collect()
     assert len(got) >= 10 and len({r["label"] for r in got}) == 2
     assert sum(r["secret"] == (r["label"] == 1) for r in got) / len(got) >= 0.95
-    rows = secret_scan.scan(odd)
-    assert rows.count() >= 0 and secret_scan.scan(empty).count() == 0
+    rows = [r for r in odd.select("doc_id", "text").collect() if r["text"]]
+    want = collections.Counter((r["doc_id"], i) for r in rows for i, w in enumerate(re.split("[\x20\x09-\x0D]+", r["text"]))
+                               if len(w) >= 12 and re.search("[0-9]", w) and len(w.strip("().,;:'\"")) >= 8)
+    odd_rows = collections.Counter((r["doc_id"], r["word_no"]) for r in secret_scan.scan(odd).collect())
+    assert want <= odd_rows and secret_scan.scan(empty).count() == 0
     extra = spark.createDataFrame(
         [(500_000, 'and the token = "0123456789abcdef0123456789abcdef01234567" is here'),
          (500_001, "write to someone.42@mail7.example.com or see 123.123.123.123 now"),
@@ -283,3 +310,33 @@ def test_secret_scan(spark, odd, empty):
     judged = {r["doc_id"]: r["secret"] for r in secret_scan.scan(
         docs.select("doc_id", "text").unionByName(extra)).where("doc_id >= 500000").collect()}
     assert judged == {500_000: True, 500_001: False, 500_002: True}
+
+
+def test_secret_candidates_of_any_length(spark):
+    """Values after credential names, without digits or short; key headers."""
+    texts = ["set password=correcthorsebatterystaple now", "pwd: S3cr3tPw! today", "the token = abcd1234 here",
+             "-----BEGIN RSA PRIVATE KEY----- MIIE", "api_key='k' is short", "a password is a word", "secret: hunter"]
+    docs = spark.createDataFrame([(i, t, "v", 1.0) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, value string, label double")
+    got = {(r["doc_id"], r["value"]) for r in secret_scan.parted(secret_scan.candidates(docs)).collect()}
+    assert got == {(0, "correcthorsebatterystaple"), (1, "S3cr3tPw"), (2, "abcd1234"), (3, "PRIVATE KEY"),
+                   (6, "hunter")}
+    rows = {r["doc_id"]: r["label"] for r in secret_scan.scan(docs).collect()}
+    assert rows[3] == 1.0 and rows[0] is None  # a passphrase is not labelled: the forest judges it
+
+
+def test_dictionary_and_coverage_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "DICTIONARY_SPREAD", 4)
+    rng = random.Random(12)
+    common = ["alpha", "beta", "gamma", "Delta", "straße"]
+    docs = [" ".join(rng.choices(common, k=4)) + f" filler{i} x9alpha{i}key" for i in range(80)]
+    docs += ["copied text with rareword and alpha only"] * 50 + ["rare1key" * 3, None, ""]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)
+    got = {r["run"] for r in secret_scan.dictionary(frame).collect()}
+    assert got == {w.lower() for w in common}  # not "rareword": fifty copies are one text
+    found = spark.createDataFrame([("alphaXq1betagammaZZ",), ("rareword1key",), ("0011",), ("alpha1alpha1",)], "value string")
+    cover = {r["value"]: r["dictionary"] for r in secret_scan.coverage(found, frame).collect()}
+
+    def brute(value):
+        return sum(len(x) for x in re.findall("[a-z]{3,}", value.lower()) if x in got) / len(value)
+    assert cover == {v: brute(v) for v in cover} and cover["alpha1alpha1"] == 10 / 12
