@@ -35,14 +35,18 @@ from reelmart.llm.common import cut, slices, uniform
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 TRAIN_DOCS = 1000
-MOST_LANGUAGES = 200
+#: languages learned, the most frequent first: probabilities are languages x vocabulary numbers
+MOST_LANGUAGES = 1000
 ROUNDS = 3
 #: added to every piece's expected count
 SMOOTH = 0.01
 LONGEST_WORD = 32
 LONGEST_PIECE = 16
-#: words whose scores one worker keeps
-REMEMBERED = 300_000
+#: scores (words x languages) that one worker keeps, and places x languages that it fills at a time
+REMEMBERED = 12_000_000
+AT_ONCE = 4_000_000
+#: bits by which a byte's probability is raised, so that no word's is too small for a double
+RAISED = 16
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes other than letters part words; all other bytes stay
 PARTS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -188,6 +192,15 @@ def maximised(words: DataFrame, langs: list[str], pieces: dict[bytes, int], prob
 def scorer(langs: list[str], prob: np.ndarray, pieces: dict[bytes, int]):
     """Map over batches: language and posterior of whole texts."""
 
+    size = np.array([len(p) for p in pieces])
+    raised = prob * 2.0 ** (RAISED * size)
+    few = max(1, AT_ONCE // ((LONGEST_WORD + 2) * len(langs)))
+
+    def log_probability(words: list[bytes]) -> np.ndarray:
+        lattice = Lattice(words, pieces)
+        total = np.maximum(lattice.total(lattice.forward(raised)), 1e-300)
+        return np.log(total) - lattice.size[:, None] * (RAISED * np.log(2.0))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         scores = np.zeros((0, len(langs)))
@@ -198,14 +211,13 @@ def scorer(langs: list[str], prob: np.ndarray, pieces: dict[bytes, int]):
                 found = [words_of(t) if t and LETTER.search(t) else [] for t in texts[a:a + 256]]
                 flat = [w for ws in found for w in ws]
                 codes, unique = pd.factorize(np.array([*flat, None], object)[:-1])
-                if len(known) > REMEMBERED:
+                if len(known) * len(langs) > REMEMBERED:
                     known, scores = {}, scores[:0]
                 new = [w for w in unique if w not in known]
-                for b in range(0, len(new), 5000):
-                    lattice = Lattice(new[b:b + 5000], pieces)
-                    z = np.log(np.maximum(lattice.total(lattice.forward(prob)), 1e-300))
-                    known.update(zip(new[b:b + 5000], range(len(scores), len(scores) + len(z))))
-                    scores = np.concatenate([scores, z])
+                if new:
+                    z = [log_probability(new[b:b + few]) for b in range(0, len(new), few)]
+                    known.update(zip(new, range(len(scores), len(scores) + len(new))))
+                    scores = np.concatenate([scores, *z])
                 rows = np.array([known[w] for w in unique], np.int64)
                 n = np.array([len(ws) for ws in found])
                 doc = np.repeat(np.arange(len(found)), n)

@@ -204,6 +204,33 @@ def test_language_cases(odd, empty):
     assert language.language_id(empty).count() == 0
 
 
+def test_language_of_long_unseen_words_is_no_tie():
+    """Thirty-one unseen bytes, each far less likely in one language: no floor."""
+    pieces = {bytes([b]): b for b in range(256)} | {b"ab": 256}
+    prob = np.full((2, 257), 1e-11)
+    prob[1] *= 1e-3
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "held_out": [True, True],
+                                        "text": ["q" * 31 + " z", ("é" * 15 + " ") * 40]})
+    out = next(language.scorer(["a", "b"], prob, pieces)(iter([batch])))
+    assert out.column("lang_pred").to_pylist() == ["a", "a"] and min(out.column("score").to_pylist()) > 0.99
+    one = language.scorer(["b", "a"], prob[::-1], pieces)
+    assert next(one(iter([batch]))).column("lang_pred").to_pylist() == ["a", "a"]
+
+
+def test_three_hundred_languages(spark):
+    """Each language has words of its own; none is left out."""
+    rng = random.Random(7)
+    docs = []
+    for k in range(300):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)]
+        docs += [(k * 10 + j, " ".join(rng.choices(words, k=12)), f"l{k:03}") for j in range(8)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    got = {r["doc_id"]: r for r in language.language_id(frame).collect()}
+    held = [(d, lang) for d, _, lang in docs if got[d]["held_out"]]
+    assert len(held) > 400 and sum(got[d]["lang_pred"] == lang for d, lang in held) / len(held) >= 0.97
+
+
 # decontamination --------------------------------------------------------------
 def edited(rng, words, edits, vocabulary):
     words = list(words)
