@@ -23,8 +23,9 @@ exactly: their whole sequence of words, without an edit.
 
 Defined cases: null and blank texts match nothing; items that are null or hold
 no word at all match nothing; items of equal text are found each; repeated rows each give their matches;
-doc_id and item_id may be null; empty tables give an empty result; other
-columns are not looked at (``clean_rows`` carries them through).
+of stretches with equally few edits the first is told; very long texts are
+searched whole; doc_id and item_id may be null; empty tables give an empty
+result; other columns are not looked at (``clean_rows`` carries them through).
 """
 
 from __future__ import annotations

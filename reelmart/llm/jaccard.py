@@ -19,7 +19,8 @@ Defined cases: null, empty and blank texts have no 5-grams, no link, and are a
 class each; a text of 1 to 4 words is one n-gram of all its words; copies are
 linked to each other; a null doc_id stays null, and a class of null ids only
 has a null class_id; repeated rows are links too, and of rows alike in doc_id
-and text ``one_of_each`` keeps one; an empty table gives an empty result; other
+and text ``one_of_each`` keeps one; a class is named by its least doc_id, so
+ties don't matter; very long texts give all their 5-grams; an empty table gives an empty result; other
 columns are not looked at (``one_of_each`` carries them through).
 """
 

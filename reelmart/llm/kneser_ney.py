@@ -24,7 +24,8 @@ Defined cases: null text is scored as empty text; null lang is the language
 frequent) has no model: its documents are kept, with null perplexity; labels
 that contradict each other count as not trusted, repeated ones once; labels
 without a document and null doc_ids are no trusted text; repeated rows are
-scored each; an empty table gives an empty result; other columns are not
+scored each; a score that equals the ceiling is kept; very long texts are
+scored whole; an empty table gives an empty result; other columns are not
 looked at (``good_rows`` carries them through).
 """
 

@@ -12,8 +12,9 @@ give every bucket its offset, and only the one bucket in which the budget ends
 is sorted. What remains is a cutoff for each source, applied as a map.
 
 Defined cases: null text has size 0 and full weight; null source is a source of
-its own, last in order; null doc_id hashes as the empty text; rows with the same
-doc_id and source share their key and are taken together; a document without
+its own, last in order; null doc_id hashes as the empty text; rows of one doc_id
+and source whose texts weigh the same share their key and are taken together,
+other ties go by doc_id; very long texts are measured whole; a document without
 words is taken as any other and counts 0; an empty table gives an empty result;
 other columns are not looked at.
 """

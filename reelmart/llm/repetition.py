@@ -10,7 +10,8 @@ The work is a map over whole texts; nothing is shuffled.
 
 Defined cases: null, empty and blank texts have no words and fail the base
 rules; a text of fewer words than an n-gram has none of that length; repeated
-rows and equal doc_ids are judged row by row; null doc_id stays null; an empty
+rows and equal doc_ids are judged row by row; there are no ties to break; very
+long texts are measured whole, one at a time; null doc_id stays null; an empty
 table gives an empty result; other columns are not looked at (``kept_rows``
 carries them through).
 """

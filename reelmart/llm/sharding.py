@@ -11,7 +11,9 @@ A group of equal texts inside a range stays in one shard if it has at most
 ``WHOLE`` of a shard's bytes; a larger group is divided record by record.
 
 Defined cases: null text counts as empty (size 1, CRC 0); null doc_id hashes as
-null; rows alike in doc_id and text have one key and stay together; an empty
+null; rows alike in doc_id and text have one key and stay together; unlike texts
+of one hash lie as if they were equal; a very long text is one row of its size,
+never divided; an empty
 table gives an empty result; other columns are not looked at.
 """
 
