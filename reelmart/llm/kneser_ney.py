@@ -40,6 +40,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +75,8 @@ GATHERED = 1_000_000
 MOST_IDS = 1_000_000
 #: bits of the filter over the model's codes (16 MB)
 FILTER_BITS = 1 << 27
+#: 64-bit words of the filter that are united together
+FILTER_CHUNK = 1 << 13
 
 
 # units to codes ---------------------------------------------------------------
@@ -231,23 +234,47 @@ def places(codes: np.ndarray) -> list[np.ndarray]:
     return [h & mask, (h >> np.uint64(20)) & mask, (h >> np.uint64(37)) & mask]
 
 
-def filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, bits) of the filter, as far as a batch of codes sets them."""
+def filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, bits) of the filter as far as one task's codes set them."""
+    words = np.zeros(FILTER_BITS >> 6, np.uint64)
     for batch in batches:
-        at = np.concatenate(places(batch.column("code").to_numpy()))
-        word, row = np.unique((at >> np.uint64(6)).astype(np.int64), return_inverse=True)
-        bits = np.zeros(len(word), np.uint64)
-        np.bitwise_or.at(bits, row, np.uint64(1) << (at & np.uint64(63)))
-        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits.view(np.int64))], ["word", "bits"])
+        for at in places(batch.column("code").to_numpy()):
+            np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    pack = zstandard.ZstdCompressor(level=1)
+    for i in range(0, len(words), FILTER_CHUNK):
+        if words[i:i + FILTER_CHUNK].any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i // FILTER_CHUNK], pa.int32()),
+                 pa.array([pack.compress(words[i:i + FILTER_CHUNK].tobytes())], pa.binary())], ["chunk", "bits"])
+
+
+def filter_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts sorted by chunk -> a row for each chunk, all its parts united."""
+    unpack, now, words = zstandard.ZstdDecompressor(), None, None
+
+    def done() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([words.tobytes()], pa.binary())],
+                                          ["chunk", "bits"])
+    for batch in batches:
+        for chunk, bits in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist()):
+            if chunk != now:
+                if now is not None:
+                    yield done()
+                now, words = chunk, np.zeros(FILTER_CHUNK, np.uint64)
+            words |= np.frombuffer(unpack.decompress(bits), np.uint64)
+    if now is not None:
+        yield done()
 
 
 def code_filter(table: DataFrame) -> np.ndarray:
     """A Bloom filter over the model's codes, of a fixed size whatever the
     model's: a code that it refuses is not in the model."""
-    words = (table.select("code").mapInArrow(filter_words, "word long, bits long")
-             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
+    kind = "chunk int, bits binary"
+    chunks = (table.select("code").mapInArrow(filter_parts, kind).repartition("chunk")
+              .sortWithinPartitions("chunk").mapInArrow(filter_chunks, kind).collect())
     out = np.zeros(FILTER_BITS >> 6, np.uint64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    for r in chunks:
+        out[r["chunk"] * FILTER_CHUNK:][:FILTER_CHUNK] = np.frombuffer(r["bits"], np.uint64)
     return out
 
 
@@ -284,23 +311,25 @@ def unpacked(blobs: pa.Table) -> Iterator[tuple[pa.Table, dict[str, list[int]]]]
         yield rows, by
 
 
-def asked(lang: int, keys: np.ndarray, order: int, bits: int) -> np.ndarray:
-    """Codes of all orders and contexts that scoring these n-grams looks at."""
-    out, keys = [], np.unique(keys)
-    for k in range(order, 0, -1):
-        own = np.unique(keys & ((1 << bits * k) - 1))
-        out.append(tagged(lang, k, own))
-        out.append(tagged(lang, k - 1, own >> bits))
-    return np.unique(np.concatenate(out))
+def asked(lang: int, keys: np.ndarray, order: int, bits: int) -> Iterator[np.ndarray]:
+    """Codes of all orders and contexts that scoring these n-grams looks at, the
+    codes of one length at a time, each once."""
+    for length in range(order, -1, -1):
+        own = [keys & ((1 << bits * length) - 1)] if length else []
+        contexts = [(keys & ((1 << bits * (length + 1)) - 1)) >> bits] if length < order else []
+        yield tagged(lang, length, np.unique(np.concatenate(own + contexts)))
 
 
 def requester(langs: dict[str, int], known: np.ndarray):
     """Packed texts -> (batch, code): once each, what scoring a batch looks up."""
-    def wanted(found: dict[int, list[np.ndarray]], batch: int) -> pa.RecordBatch:
-        codes = np.concatenate([maybe_met(known, asked(k, np.concatenate(found[k]), *KINDS[k % 2]))
-                                for k in sorted(found)] or [np.zeros(0, np.int64)])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(codes), batch, np.int32)), pa.array(codes)], ["batch", "code"])
+    def wanted(found: dict[int, list[np.ndarray]], batch: int) -> Iterator[pa.RecordBatch]:
+        for k in sorted(found):
+            keys = np.unique(np.concatenate(found.pop(k)))
+            for codes in asked(k, keys, *KINDS[k % 2]):
+                for a in range(0, len(codes), CHUNK):
+                    met = maybe_met(known, codes[a:a + CHUNK])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(met), batch, np.int32)), pa.array(met)], ["batch", "code"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[np.ndarray]] = {}
@@ -308,8 +337,7 @@ def requester(langs: dict[str, int], known: np.ndarray):
         for blobs in batches:
             for i, batch in enumerate(blobs.column("batch").to_pylist()):
                 if batch != now and now is not None:  # the blobs of a batch stand together
-                    yield wanted(found, now)
-                    found = {}
+                    yield from wanted(found, now)
                 now = batch
                 for rows, by in unpacked(pa.Table.from_batches([blobs.slice(i, 1)])):
                     texts = rows.column("text").to_pylist()
@@ -323,7 +351,7 @@ def requester(langs: dict[str, int], known: np.ndarray):
                                 if sum(map(len, held[1:])) > GATHERED:
                                     held[:] = [pd.unique(np.concatenate(held))]
         if now is not None:
-            yield wanted(found, now)
+            yield from wanted(found, now)
     return run
 
 
