@@ -30,6 +30,8 @@ from reelmart.sources import paths
 WHOLE = ""
 #: folders of one part that are rewritten into one when it has more
 MOST_FOLDERS = 64
+#: commit files kept by ``vacuum``: a writer that is late by fewer commits finds its name taken
+KEPT_COMMITS = 100
 _PART = "_part"
 
 
@@ -64,6 +66,8 @@ class VersionedTable:
         state = {"version": base["version"] + 1, "schema": schema.json(),
                  "folders": {k: v for k, v in (base["folders"] | folders).items() if v},
                  "streams": base["streams"] | (streams or {}), "notes": base["notes"] | (notes or {})}
+        if (self.versions() or [0])[-1] != base["version"]:
+            raise CommitConflict(f"{self.root}, version {state['version']}")
         draft = f"{self.root}/_commits/.{uuid.uuid4().hex}"
         paths.write_text(self.spark, draft, json.dumps(state))
         try:
@@ -159,14 +163,14 @@ class VersionedTable:
             self.commit(base, rows.schema, {part: [new[WHOLE]]})
 
     def vacuum(self, keep: int = 2) -> int:
-        """Delete commits before the last ``keep``, and data folders older than
-        those that none of them names (also of writers that died)."""
+        """Delete data folders older than the last ``keep`` versions that none of
+        these names (also those of writers that died), and old commit files."""
         kept = self.versions()[-keep:]
         if not kept:
             return 0
         named = {f.split("/")[1] for v in kept for fs in self.state(v)["folders"].values() for f in fs}
         gone = [f"data/{n}" for n in self.names("data") if n not in named and int(n[:10]) < kept[0]]
-        gone += [f"_commits/{v:010d}.json" for v in self.versions() if v < kept[0]]
+        gone += [f"_commits/{v:010d}.json" for v in self.versions()[:-max(keep, KEPT_COMMITS)]]
         for name in gone:
             paths.delete(self.spark, f"{self.root}/{name}")
         return len(gone)

@@ -66,6 +66,19 @@ def test_rival_writer_makes_a_writer_look_again(spark):
         mine.commit(base, rows("x").schema, {})
 
 
+def test_a_writer_late_by_many_commits_is_refused(spark):
+    """Old versions are vacuumed, yet a late commit never slips in beneath the last."""
+    table = VersionedTable(spark, new_scratch(spark, "late-writer"))
+    table.append(lambda have: spark.range(1))
+    base = table.state()
+    for i in range(4):
+        table.append(lambda have: spark.range(1))
+        table.vacuum(1)
+    with pytest.raises(CommitConflict):
+        table.commit(base, spark.range(1).schema, {"": ["data/lost"]})
+    assert len(rows_of(table)) == 5
+
+
 def test_an_epoch_is_added_once(spark):
     table = VersionedTable(spark, new_scratch(spark, "epochs"))
     for epoch in (0, 1, 1, 0):
