@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart import schemas as S
-from reelmart.sources.landing import hash_objects, list_prefixes
+from reelmart.sources.landing import folders, hash_objects, list_prefixes, put_objects
+from reelmart.sources.scratch import counted
 from reelmart.sources.versioned import VersionedTable
 
 
@@ -137,14 +138,14 @@ def write_quarantine(rows: DataFrame, path: str) -> None:
 
 def write_landing(objects: DataFrame, path: str) -> None:
     """Landed objects (client_id, asset_id, text), a file each."""
-    (objects.select("client_id", "asset_id", F.col("text").alias("value"))
-     .repartition("asset_id").write.partitionBy("client_id", "asset_id").text(path))
+    put_objects(objects, ["client_id", "asset_id"], "text", path)
 
 
 def scan_landing(spark: SparkSession, path: str) -> DataFrame:
     """(client_id, asset_id, length, content_sha256) of landed objects, listed
-    and hashed from their bytes inside tasks."""
-    clients = spark.createDataFrame([(path,)], "prefix string")
-    listed = list_prefixes(clients).where(F.element_at(F.split("path", "/"), -1).startswith("part-"))
+    and hashed from their bytes inside tasks: clients first, then the assets of
+    each, then the objects of each asset."""
+    assets = folders(folders(spark.createDataFrame([(path,)], "prefix string")))
+    listed = list_prefixes(assets).where(F.element_at(F.split("path", "/"), -1).startswith("part-"))
     part = lambda name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1).alias(name)
     return hash_objects(listed).select(part("client_id"), part("asset_id"), "length", "content_sha256")

@@ -104,6 +104,68 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.append_column("content_sha256", pa.array(sums, pa.string()))
 
 
+def _folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for prefix in batch.column(0).to_pylist():
+            store, top, head = opened(prefix.rstrip("/") or "/")
+            if isinstance(store, fs.LocalFileSystem):
+                with os.scandir(top) as entries:
+                    found = [head + e.path for e in entries if e.is_dir()]
+            else:
+                found = [head + e.path for e in store.get_file_info(fs.FileSelector(top, allow_not_found=True))
+                         if e.type == fs.FileType.Directory]
+            for a in range(0, len(found), BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array(found[a:a + BATCH], pa.string())], ["prefix"])
+
+
+def folders(prefixes: DataFrame) -> DataFrame:
+    """``prefix`` column -> the folders right under each, as prefixes, so that the
+    next listing has a row for each and is shared out among tasks."""
+    return prefixes.select("prefix").distinct().mapInArrow(_folders, "prefix string")
+
+
+#: characters that Spark escapes in the folder names of partitions, and its name for a missing value
+_ESCAPED = frozenset([*map(chr, range(1, 32)), *"\"#%'*/:=?\\{[]^", "\x7f"])
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def part_folder(name: str, value: str | None) -> str:
+    """``name=value`` as Spark's partitioned writers call the folder."""
+    safe = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value or NO_VALUE)
+    return f"{name}={safe}"
+
+
+def _written(root: str, keys: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top, _ = opened(root)
+        local, at, stream = isinstance(store, fs.LocalFileSystem), None, None
+        try:
+            for batch in batches:
+                for *values, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    folder = "/".join([top, *map(part_folder, keys, values)])
+                    if folder != at:
+                        if stream:
+                            stream.close()
+                        if local:  # other stores have no folders to make
+                            os.makedirs(folder, exist_ok=True)
+                        at, stream = folder, store.open_output_stream(f"{folder}/part-00000.txt")
+                    stream.write((text or "").encode() + b"\n")
+        finally:
+            if stream:
+                stream.close()
+        yield from ()
+    return run
+
+
+def put_objects(objects: DataFrame, keys: list[str], text: str, root: str) -> None:
+    """Write the ``text`` of each object, a line end after it, into a folder by
+    its ``keys`` (the last one tells objects apart; rows of equal keys share an
+    object). Tasks write the objects where they belong: there is no commit that
+    moves them one by one on the driver, and a repeated task writes them anew."""
+    (objects.select(*keys, text).repartition(keys[-1]).sortWithinPartitions(*keys)
+     .mapInArrow(_written(root.rstrip("/"), keys), "done boolean").write.format("noop").mode("overwrite").save())
+
+
 def list_prefixes(prefixes: DataFrame, tasks: int | None = None) -> DataFrame:
     """``prefix`` column -> path, length and modification time of every object
     under it. Names that begin with a dot or an underscore are not objects."""
