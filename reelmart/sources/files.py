@@ -116,11 +116,13 @@ def write_silver(df: DataFrame, path: str) -> None:
      .partitionBy("client_id").parquet(path))
 
 
-def overwritten(rows: DataFrame, path: str, cluster_by: list[str]) -> DataFrame:
+def overwritten(rows: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
     """Silver bridge or union as a stored table: replaced in one commit, so a
-    reader sees the table before a rebuild or after it, never half of one."""
+    reader sees the table before a rebuild or after it, never half of one. The
+    tasks that compute the rows write them; ``cluster_by`` sorts inside each, if
+    the rows don't come in that order already."""
     table = VersionedTable(rows.sparkSession, path)
-    table.replace(rows.hint("rebalance").sortWithinPartitions(*cluster_by))
+    table.replace(rows.sortWithinPartitions(*cluster_by) if cluster_by else rows)
     return table.read()
 
 
