@@ -51,13 +51,18 @@ def search_keyword(wide: DataFrame, keyword: str) -> DataFrame:
 
 
 def clip_provenance(chunks: DataFrame, assets: DataFrame) -> DataFrame:
-    """Clip -> its asset -> the asset's lineage parent (if any)."""
+    """Clip -> its asset -> the asset's lineage parent (if any). Parents are
+    looked up by asset, and only by assets that have one: chunks are joined
+    once, by their asset, and no key is missing in a join."""
     a = assets.select("asset_id", "client_id", "asset_name", "asset_type", "parent_asset_id")
     p = assets.select(F.col("asset_id").alias("parent_asset_id"),
                       F.col("asset_name").alias("parent_asset_name"),
                       F.col("asset_type").alias("parent_asset_type"))
-    return (chunks.select("chunk_id", "asset_id", "chunk_sequence")
-            .join(a, "asset_id").join(p, "parent_asset_id", "left")
+    child = F.col("parent_asset_id").isNotNull()
+    roots = a.where(~child).select("*", F.lit(None).cast("string").alias("parent_asset_name"),
+                                   F.lit(None).cast("string").alias("parent_asset_type"))
+    known = a.where(child).join(p, "parent_asset_id", "left").unionByName(roots)
+    return (chunks.select("chunk_id", "asset_id", "chunk_sequence").join(known, "asset_id")
             .select("chunk_id", "asset_id", "chunk_sequence", "client_id", "asset_name",
                     "asset_type", "parent_asset_id", "parent_asset_name", "parent_asset_type"))
 
