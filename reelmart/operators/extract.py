@@ -109,21 +109,23 @@ def extract(assets: DataFrame, call: Callable[[dict], dict], bronze: VersionedTa
     and whatever it needs) that Bronze lacks; returns how many assets still lack
     a response. At most ``concurrent`` calls run at a time. A task that Spark
     repeats calls again for its assets; Bronze keeps one response each."""
-    once = assets.dropDuplicates(["asset_id"])
+    ids = assets.select("asset_id").distinct()
     recover(bronze, runs)
     for attempt in range(1, attempts + 1):
         if attempt > 1:
-            if _lacking(once, bronze.read()).isEmpty():
+            if _lacking(ids, bronze.read()).isEmpty():
                 break
             time.sleep(pause_sec)
         for i in range(slices):
-            todo = _lacking(once, bronze.read()).where(F.pmod(F.xxhash64("asset_id"), F.lit(slices)) == i)
+            # only what is left to call for is dealt out with its bytes
+            todo = _lacking(assets.where(F.pmod(F.xxhash64("asset_id"), F.lit(slices)) == i), bronze.read()) \
+                .dropDuplicates(["asset_id"])
             name = uuid.uuid4().hex
             # as many tasks as calls may run at a time
             (todo.repartition(concurrent, "asset_id").mapInArrow(_called(call, attempt), OUTCOME)
              .write.parquet(f"{runs.root}/{OUTCOMES}/{name}"))
             commit_outcomes(name, bronze, runs)
-    return _lacking(once, bronze.read()).count()
+    return _lacking(ids, bronze.read()).count()
 
 
 def run_summary(runs: DataFrame) -> DataFrame:
