@@ -35,6 +35,8 @@ def test_hooks_of_one_class_are_walked_once(spark):
     classes = A.hook_classes(elig, cand, e)
     assert classes.count() == n
     assert classes.select("client_id", "themes", "own").distinct().count() == 5  # 4 candidates, all the rest
+    again = elig.unionByName(elig.where("chunk_id = 'h0400'"))  # a hook of two rows goes its own way
+    assert A.hook_classes(again, cand, e).where("own = 'h0400'").count() == 1
     got = {(r.hook_chunk, r.sequence, r.sequence_score) for r in A.assemble(c, None, e, depth=3, k=2).collect()}
     assert got == {(f"h{i:04d}", f"h{i:04d}>{x}>{y}", 13) for i in range(n) for x, y in (("n1", "n2"), ("n2", "n1"))}
 
