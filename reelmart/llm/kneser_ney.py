@@ -7,13 +7,16 @@ perplexity per character or per word lies above its language's quantile there
 by more than a margin. There is no lower bound: trusted text that trained the
 models, and its copies, are rightly easy.
 
-Counts are tables of (code, count), a code being language, kind of model,
-length and characters (or the hashes of words) in one long; all discounts, contexts and lower orders come from
-joins and sums of these tables, sharded by code. To score, each scan partition
-is a batch, whose texts are stored packed: it asks once for every distinct
-n-gram in it that a Bloom filter over the model's codes doesn't refuse, the
-requests meet the model in a sharded join, and the answers go to the batch. So
-no task holds the model, and texts are written once and never shuffled.
+A code is language, kind of model, length and characters (or the hashes of
+words) in one long. The model is counts by code, and sums of counts by context;
+both are dealt out by the code's hash into as many shards as the session has
+shuffle partitions, and travel as ascending arrays, compressed. Lower orders
+and contexts are derived shard by shard and dealt anew. To score, each scan
+partition is a batch, whose texts are stored packed: it asks once for every
+distinct n-gram in it that a Bloom filter over the model's codes doesn't
+refuse, a shard's requests meet its part of the model, and what is found goes
+to the batch, which interpolates. So no task holds the model, and texts are
+written once and never shuffled.
 
 Characters beyond code 3071 are folded into 1024 codes, words into
 ``WORD_BITS`` bits; texts begin with start signs, one less than the order, and
@@ -32,16 +35,16 @@ looked at (``good_rows`` carries them through).
 from __future__ import annotations
 
 import io
-import re
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Iterable, Iterator
+from functools import cache, reduce
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelmart.llm.common import Workspace, cut, maybe_broadcast, slices, stored, text_key
@@ -57,10 +60,8 @@ UNIT = ORDER * BITS  # bits of the units' part of a code, in both models
 #: (order, bits of a unit) of the character model and of the word model
 KINDS = ((ORDER, BITS), (WORD_ORDER, WORD_BITS))
 #: a word: a run of letters and signs without blanks, or one letter of a script without spaces
-TOKEN = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
-                   "\U00020000-\U0003ffff]"
-                   "|[^\\s\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
-                   "\U00020000-\U0003ffff]+")
+ALONE = ((0xe00, 0xeff), (0x1000, 0x109f), (0x1780, 0x17ff), (0x3040, 0x30ff), (0x3400, 0x9fff), (0xf900, 0xfaff),
+         (0x20000, 0x3ffff))
 MOST_LANGUAGES = 200
 #: quantile of the calibration half that bounds what is kept
 HIGH = 0.99
@@ -69,10 +70,14 @@ MARGIN = 0.1
 #: width of a step of log perplexity in the quantile tables
 STEP = 0.001
 #: characters worked on together, rows of a blob, n-grams gathered before merging
-CHUNK = 250_000
+CHUNK = 2_000_000
 BLOB_ROWS = 256
 GATHERED = 1_000_000
 MOST_IDS = 1_000_000
+#: n-grams are numbered by a table of so many places, beyond it by hash
+MOST_SPAN = 1 << 24
+#: how hard texts are compressed
+LEVEL = 6
 #: bits of the filter over the model's codes (16 MB)
 FILTER_BITS = 1 << 27
 #: 64-bit words of the filter that are united together
@@ -80,42 +85,102 @@ FILTER_CHUNK = 1 << 13
 
 
 # units to codes ---------------------------------------------------------------
-def word_codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def code_points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+@cache
+def shapes() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether it is blank, and whether it is a word alone."""
+    signs = [chr(i) for i in range(0x110000)]
+    blank = np.fromiter((c.isspace() for c in signs), bool, len(signs))
+    alone = np.zeros(len(signs), bool)
+    for low, high in ALONE:
+        alone[low:high + 1] = True
+    return blank, alone
+
+
+def hashes_of(words: pa.LargeBinaryArray, bits: int) -> np.ndarray:
+    """Codes of words that are given as code points."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    _, offsets, data = words.buffers()
+    places = np.frombuffer(offsets, np.int64)[:len(words) + 1] // 4
+    c = np.frombuffer(data, np.uint32)[:places[-1]]
+    size = 1 + (c >= 0x80).astype(np.int64) + (c >= 0x800) + (c >= 0x10000)
+    ends = np.append(0, np.cumsum(size))[places].tolist()
+    spelt = str(c.tobytes(), "utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    digests = b"".join([blake2b(spelt[a:b], digest_size=8).digest() for a, b in zip(ends, ends[1:])])
+    return (np.frombuffer(digests, ">u8") % np.uint64((1 << bits) - 4)).astype(np.int64) + 4
+
+
+def word_codes_of(texts: list[str], bits: int = WORD_BITS) -> tuple[np.ndarray, np.ndarray]:
     """(n-gram key at each word and end sign, number of these by text)."""
-    each = [TOKEN.findall(t) for t in texts]
-    n = np.array([len(w) + 1 for w in each], np.int64)
-    flat = [w for ws in each for w in ws]
-    ids, distinct = pd.factorize(np.array(flat + [None], object)[:-1]) if flat else (np.zeros(0, int), [])
-    hashes = np.array([int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest())
-                       % ((1 << WORD_BITS) - 4) + 4 for w in distinct], np.int64)
+    c = code_points([t + "\n" for t in texts])
+    close = np.cumsum([len(t) + 1 for t in texts]) - 1
+    blank, alone = (table[c] for table in shapes())
+    begins = ~blank
+    begins[1:] &= blank[:-1] | alone[:-1] | alone[1:]
+    words = np.add.reduceat(begins, np.concatenate([[0], close[:-1] + 1]), dtype=np.int64)
+    inner = ~blank
+    offsets = np.append(np.flatnonzero(begins[inner]), inner.sum()).astype(np.int64) * 4
+    spelt = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [
+        None, pa.py_buffer(offsets), pa.py_buffer(c[inner])]).dictionary_encode()
+    hashes = hashes_of(spelt.dictionary, bits)
+    n = words + 1
     ends = np.cumsum(n) - 1
-    c = np.full(len(flat) + len(texts), END, np.int64)
-    inner = np.ones(len(c), bool)
-    inner[ends] = False
-    c[inner] = hashes[ids] if flat else 0
-    before = np.concatenate([[START], c[:-1]])
+    out = np.full(int(n.sum()), END, np.int64)
+    own = np.ones(len(out), bool)
+    own[ends] = False
+    out[own] = hashes[spelt.indices.to_numpy()]
+    before = np.concatenate([[START], out[:-1]])
     before[ends[:-1] + 1] = START
-    return (before << WORD_BITS) | c, n
+    return (before << bits) | out, n
 
 
-def codes_of(texts: list[str], kind: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram key at each unit and end sign, number of these by text); ``kind``
-    0: characters, 1: words."""
-    if kind:
-        return word_codes_of(texts)
+def numbered(x: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place among the distinct values, distinct values) of numbers below ``span``."""
+    if span > MOST_SPAN:
+        return pd.factorize(x)
+    met = np.zeros(span, bool)
+    met[x] = True
+    distinct = np.flatnonzero(met)
+    place = np.empty(span, np.int32)
+    place[distinct] = np.arange(len(distinct), dtype=np.int32)
+    return place[x], distinct
+
+
+def char_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``grams``, of characters: n-grams are numbered a length at a time, so
+    that no key is looked up that is longer than the texts' alphabet needs."""
     pad = chr(START) * (ORDER - 1)
-    raw = "".join(pad + t + chr(END) for t in texts)
-    c = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    c = np.where(c < FOLDED, c, FOLDED + c % 1024)
-    key = np.zeros(len(c), np.int64)
-    for k in range(ORDER):
-        key[ORDER - 1:] = (key[ORDER - 1:] << BITS) | c[k:len(c) - ORDER + 1 + k]
+    c = code_points([pad + t + chr(END) for t in texts]).astype(np.int32)
+    far = np.flatnonzero(c >= FOLDED)
+    c[far] = FOLDED + c[far] % 1024
     n = np.array([len(t) + 1 for t in texts], np.int64)
     begin = np.cumsum(n + ORDER - 1) - (n + ORDER - 1)
     own = np.ones(len(c), bool)
     for k in range(ORDER - 1):
         own[begin + k] = False
-    return key[own], n
+    signs, alphabet = numbered(c, 1 << BITS)
+    at, keys = signs, alphabet
+    for k in range(1, ORDER):
+        span = len(keys) * len(alphabet)
+        wide = at[:-1].astype(np.int32 if span < 1 << 31 else np.int64) * len(alphabet) + signs[k:]
+        if k == ORDER - 1:
+            wide = wide[own[k:]]
+        at, distinct = numbered(wide, span)
+        keys = (keys[distinct // len(alphabet)] << BITS) | alphabet[distinct % len(alphabet)]
+    return at, keys, n
+
+
+def grams(texts: list[str], kind: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of each unit's and end sign's n-gram among the keys, distinct keys,
+    number of these units by text); ``kind`` 0: characters, 1: words."""
+    if not kind:
+        return char_grams(texts)
+    keys, n = word_codes_of(texts, bits)
+    return *pd.factorize(keys), n
 
 
 def chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -139,8 +204,64 @@ def tagged(lang: int, length: int, key):
     return ((lang << 3 | length) << UNIT) | key
 
 
-def count_batches(langs: dict[str, int], kind: int):
+# tables of codes ---------------------------------------------------------------
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of longs, the first ascending, as compressed planes of bytes."""
+    columns = [np.diff(columns[0], prepend=0), *columns[1:]]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(
+        np.ascontiguousarray(c.astype(np.int64, copy=False)).view(np.uint8).reshape(-1, 8).T.tobytes()
+        for c in columns))
+
+
+def columns_of(blob: bytes, width: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(width, 8, -1)
+    first, *rest = [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
+    return [np.cumsum(first), *rest]
+
+
+def summed(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Distinct codes, ascending, and the sums of their other columns."""
+    order = np.argsort(columns[0], kind="stable")
+    code = columns[0][order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, int)
+    return [code[first], *[np.add.reduceat(c[order], first) if len(first) else c for c in columns[1:]]]
+
+
+def dealt(columns: list[np.ndarray], shards: int) -> tuple[list[int], list[bytes]]:
+    """Ascending codes dealt out by their hash: the shards that get some, and a
+    blob for each."""
+    with np.errstate(over="ignore"):
+        h = (columns[0].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    shard = ((h >> np.uint64(33)) % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.int64)
+    order = np.argsort(shard, kind="stable")
+    found, first = np.unique(shard[order], return_index=True)
+    moved = [c[order] for c in columns]
+    last = [*first[1:], len(order)]
+    return found.tolist(), [packed([c[a:b] for c in moved]) for a, b in zip(first, last)]
+
+
+def shard_rows(columns: list[np.ndarray], shards: int) -> pa.RecordBatch:
+    found, blobs = dealt(columns, shards)
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
+
+
+def joined(blobs: Iterable[bytes], width: int) -> list[np.ndarray]:
+    each = [columns_of(b, width) for b in blobs]
+    return [np.concatenate(c) for c in zip(*each)] if each else [np.zeros(0, np.int64)] * width
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """(shard, blob) of codes and counts -> one row a shard, counts of a code summed."""
+    def run(table: pa.Table) -> pa.Table:
+        return pa.table({"shard": table.column("shard")[:1], "blob": pa.array(
+            [packed(summed(joined(table.column("blob").to_pylist(), 2)))], pa.binary())})
+    return parts.groupBy("shard").applyInArrow(run, "shard int, blob binary")
+
+
+def count_batches(langs: dict[str, int], kinds: tuple, shards: int):
+    """Texts -> (shard, blob): counts of the n-grams of the highest orders."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
         for batch in slices(batches):
             frame = pd.DataFrame({"lang": batch.column("lang").to_pylist(),
                                   "text": batch.column("text").to_pylist()})
@@ -148,79 +269,92 @@ def count_batches(langs: dict[str, int], kind: int):
                 if lang not in langs:
                     continue
                 for texts in chunks([t or "" for t in part["text"]]):
-                    at, keys = pd.factorize(codes_of(texts, kind)[0])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(tagged(number(langs[lang], kind), KINDS[kind][0], keys)),
-                         pa.array(np.bincount(at))], ["code", "n"])
+                    for kind, (order, bits) in enumerate(kinds):
+                        at, keys, _ = grams(texts, kind, bits)
+                        held.append([tagged(number(langs[lang], kind), order, keys), np.bincount(at)])
+            if sum(len(h[0]) for h in held) > GATHERED:
+                held = [summed([np.concatenate(c) for c in zip(*held)])]
+                if len(held[0][0]) > GATHERED // 2:
+                    yield shard_rows(held.pop(), shards)
+        if held:
+            yield shard_rows(summed([np.concatenate(c) for c in zip(*held)]), shards)
     return run
 
 
 # the model --------------------------------------------------------------------
-def tag() -> Column:
-    return F.shiftright("code", UNIT)
-
-
-def suffix(length: int, bits: int) -> Column:
-    """The code without its first unit."""
-    mask = (1 << bits * (length - 1)) - 1
-    return F.shiftleft(tag() - 1, UNIT).bitwiseOR(F.col("code").bitwiseAND(F.lit(mask)))
-
-
-def context(bits: int) -> Column:
-    """The code without its last unit."""
-    mask = (1 << UNIT) - 1
-    return F.shiftleft(tag() - 1, UNIT).bitwiseOR(
-        F.shiftright(F.col("code").bitwiseAND(F.lit(mask)), bits))
-
-
-def model(counts: DataFrame, work: Workspace, order: int = ORDER, bits: int = BITS) -> DataFrame:
-    """(code, p, g): interpolated probability of each n-gram met, and the
-    back-off weight of each context, from (code, n) of the highest order. Each
-    level is stored once; what later steps no longer read is deleted."""
-    name = lambda part: f"{part}-{order}"
-    level = {order: work.put(counts.groupBy("code").agg(F.sum("n").alias("c")), name(f"level{order}"))}
-    for k in range(order, 1, -1):  # continuation counts: distinct units before
-        level[k - 1] = work.put(level[k].select(suffix(k, bits).alias("code")).groupBy("code").agg(
-            F.count("*").alias("c")), name(f"level{k - 1}"))
-    every = reduce(DataFrame.unionByName, level.values())
-
-    def n(i: int) -> Column:
-        return F.sum(F.when(F.col("c") == i, 1.0).otherwise(0.0))
-
-    seen = every.groupBy(tag().alias("tag")).agg(*[n(i).alias(f"n{i}") for i in (1, 2, 3, 4)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-
-    def discount(i: int) -> Column:
-        low, high = F.col(f"n{i}"), F.col(f"n{i + 1}")
-        value = i - (i + 1) * y * high / F.when(low > 0, low)
-        return F.greatest(F.lit(0.05), F.least(F.lit(i - 0.05), F.coalesce(value, F.lit(i / 2.0))))
-
-    # at most languages x order rows
-    law = F.broadcast(work.put(seen.select("tag", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)]), name("law")))
-    taken = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    grams = (every.withColumn("tag", tag()).join(law, "tag").select(
-        "code", "c", context(bits).alias("ctx"), taken.alias("d")))
-    contexts = work.put(grams.groupBy("ctx").agg(
-        F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("g")), name("contexts"))
-    grams = work.put(grams.join(contexts, "ctx").select(
-        "code", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "g"), name("grams"))
-    work.drop(*[name(f"level{k}") for k in level])
-    done = None
-    for k in range(1, order + 1):
-        here = grams.where(tag().bitwiseAND(F.lit(7)) == k)
-        if k == 1:
-            p = here.select("code", (F.col("own") + F.col("g") / (1 << bits)).alias("p"))
-        else:
-            lower = last.select(F.col("code").alias("low"), F.col("p").alias("p_low"))
-            p = here.withColumn("low", suffix(k, bits)).join(lower, "low").select(
-                "code", (F.col("own") + F.col("g") * F.col("p_low")).alias("p"))
-        last = work.put(p, name(f"p{k}"))
-        done = last if done is None else done.unionByName(last)
-    g = contexts.select(F.col("ctx").alias("code"), "g")
-    table = work.put(done.join(g, "code", "full_outer").select(
-        "code", F.col("p").cast("float").alias("p"), F.col("g").cast("float").alias("g")), name("model"))
-    work.drop(name("grams"), name("contexts"), *[name(f"p{k}") for k in range(1, order + 1)])
-    return table
+def spread(codes: np.ndarray, kinds: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(tag, length, bits of a unit, key) of codes."""
+    tag = codes >> UNIT
+    return tag, tag & 7, np.array([bits for _, bits in kinds])[(tag >> 3) & 1], codes & ((1 << UNIT) - 1)
+
+
+def by_blob(kinds: tuple, shards: int, width: int, change):
+    """Applies ``change`` to the columns of each blob and deals the result out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column("blob").to_pylist():
+                yield shard_rows(change(columns_of(blob, width), kinds), shards)
+    return run
+
+
+def lower(columns: list[np.ndarray], kinds: tuple) -> list[np.ndarray]:
+    """Continuation counts: the distinct units before each code without its first unit."""
+    code = columns[0]
+    tag, length, bits, key = spread(code[((code >> UNIT) & 7) > 1], kinds)
+    short = ((tag - 1) << UNIT) | (key & ((1 << bits * (length - 1)) - 1))
+    return list(np.unique(short, return_counts=True))
+
+
+def contexts(columns: list[np.ndarray], kinds: tuple) -> list[np.ndarray]:
+    """Of the codes without their last unit: sum of counts, and how many counts
+    are 1, 2 and more."""
+    code, c = columns
+    tag, _, bits, key = spread(code, kinds)
+    return summed([((tag - 1) << UNIT) | (key >> bits), c,
+                   *[(f).astype(np.int64) for f in (c == 1, c == 2, c > 2)]])
+
+
+def counts_of_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blob in batch.column("blob").to_pylist():
+            code, c = columns_of(blob, 2)
+            tag, *n = summed([code >> UNIT, *[(c == i).astype(np.int64) for i in (1, 2, 3, 4)]])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tag, *n)], ["tag", "n1", "n2", "n3", "n4"])
+
+
+def discounts(n: list[int]) -> list[float]:
+    """From how many codes were counted once to four times."""
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.0
+    return [max(0.05, min(i - 0.05, i - (i + 1) * y * n[i] / n[i - 1] if n[i - 1] else i / 2.0)) for i in (1, 2, 3)]
+
+
+def model(texts: DataFrame, langs: dict[str, int], work: Workspace) -> tuple[DataFrame, DataFrame, dict[int, list[float]]]:
+    """Trusted texts -> the counts of all orders, the sums of all contexts (each
+    as rows of a shard of codes and a blob), and the discounts of each tag. Each
+    level is stored once; probabilities come from these when a batch is scored."""
+    kinds, shards = KINDS, shard_count(texts.sparkSession)
+    rows = "shard int, blob binary"
+    level = [work.put(merged(texts.mapInArrow(count_batches(langs, kinds, shards), rows)), "level0")]
+    for k in range(1, max(order for order, _ in kinds)):
+        level.append(work.put(merged(level[-1].mapInArrow(by_blob(kinds, shards, 2, lower), rows)), f"level{k}"))
+    every = reduce(DataFrame.unionByName, level)
+    seen = every.mapInArrow(counts_of_counts, "tag long, n1 long, n2 long, n3 long, n4 long").groupBy("tag").agg(
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in (1, 2, 3, 4)])
+    law = {r[0]: discounts(list(r)[1:]) for r in seen.collect()}  # at most languages x orders
+    sums = work.put(every.mapInArrow(by_blob(kinds, shards, 2, contexts), rows), "contexts")
+    return every, sums, law
+
+
+def shard_count(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def codes_in(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column("blob").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(columns_of(blob, width)[0])], ["code"])
+    return run
 
 
 # which codes the model may have ------------------------------------------------
@@ -294,7 +428,7 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sink = io.BytesIO()
             rows = pa.Table.from_batches([batch.slice(a, BLOB_ROWS)]).drop_columns(["batch"])
             with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(
-                    compression="zstd")) as out:
+                    compression=pa.Codec("zstd", compression_level=LEVEL))) as out:
                 out.write_table(rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("batch").slice(a, 1), pa.array([sink.getvalue()], pa.binary())],
@@ -320,16 +454,20 @@ def asked(lang: int, keys: np.ndarray, order: int, bits: int) -> Iterator[np.nda
         yield tagged(lang, length, np.unique(np.concatenate(own + contexts)))
 
 
-def requester(langs: dict[str, int], known: np.ndarray):
-    """Packed texts -> (batch, code): once each, what scoring a batch looks up."""
+def requester(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: int):
+    """Packed texts -> (shard, batch, blob): once each, the codes that scoring a
+    batch looks up."""
     def wanted(found: dict[int, list[np.ndarray]], batch: int) -> Iterator[pa.RecordBatch]:
+        met = []
         for k in sorted(found):
             keys = np.unique(np.concatenate(found.pop(k)))
-            for codes in asked(k, keys, *KINDS[k % 2]):
-                for a in range(0, len(codes), CHUNK):
-                    met = maybe_met(known, codes[a:a + CHUNK])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(met), batch, np.int32)), pa.array(met)], ["batch", "code"])
+            for codes in asked(k, keys, *kinds[k % 2]):
+                met += [maybe_met(known, codes[a:a + CHUNK]) for a in range(0, len(codes), CHUNK)]
+        if met:
+            to, blobs = dealt([np.sort(np.concatenate(met))], shards)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(to, pa.int32()), pa.array(np.full(len(to), batch, np.int32)), pa.array(blobs, pa.binary())],
+                ["shard", "batch", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[np.ndarray]] = {}
@@ -345,9 +483,9 @@ def requester(langs: dict[str, int], known: np.ndarray):
                         if lang not in langs:
                             continue
                         for some in chunks([texts[j] or "" for j in own]):
-                            for kind in range(len(KINDS)):
+                            for kind, (_, bits) in enumerate(kinds):
                                 held = found.setdefault(number(langs[lang], kind), [])
-                                held.append(pd.unique(codes_of(some, kind)[0]))
+                                held.append(grams(some, kind, bits)[1])
                                 if sum(map(len, held[1:])) > GATHERED:
                                     held[:] = [pd.unique(np.concatenate(held))]
         if now is not None:
@@ -355,48 +493,82 @@ def requester(langs: dict[str, int], known: np.ndarray):
     return run
 
 
+def answer(requests: pa.Table, parts: pa.Table) -> pa.Table:
+    """One shard's requests and its part of the model -> (batch, blob): the counts
+    and contexts of the codes it has."""
+    sums = pc.field("sums")
+    grams_, of = joined(parts.filter(~sums).column("blob").to_pylist(), 2)
+    order = np.argsort(grams_, kind="stable")
+    tables = [[grams_[order], of[order]], summed(joined(parts.filter(sums).column("blob").to_pylist(), 5))]
+    batch, out = [], []
+    for b, blob in zip(requests.column("batch").to_pylist(), requests.column("blob").to_pylist()):
+        code, = columns_of(blob, 1)
+        columns = []
+        for own, *values in tables:
+            at = np.minimum(np.searchsorted(own, code), max(0, len(own) - 1))
+            hit = own[at] == code if len(own) else np.zeros(len(code), bool)
+            columns += [np.where(hit, v[at], 0) if len(own) else np.zeros(len(code), np.int64) for v in values]
+        some = (columns[0] > 0) | (columns[1] > 0)
+        if some.any():
+            batch.append(b)
+            out.append(packed([c[some] for c in (code, *columns)]))
+    return pa.table({"batch": pa.array(batch, pa.int32()), "blob": pa.array(out, pa.binary())})
+
+
 class Answers:
     """The part of the model that one batch asked for."""
 
-    def __init__(self, answers: pa.Table):
-        code = answers.column("code").to_numpy()
-        order = np.argsort(code)
-        self.code = code[order]
-        self.p = answers.column("p").to_numpy()[order].astype(float)
-        self.g = answers.column("g").to_numpy()[order].astype(float)
+    def __init__(self, answers: pa.Table, law: dict[int, list[float]]):
+        columns = joined(answers.column("blob").to_pylist(), 6)
+        order = np.argsort(columns[0], kind="stable")
+        self.code, self.c, self.total, *self.n = [c[order] for c in columns]
+        self.law = law
 
     def find(self, codes: np.ndarray, values: np.ndarray) -> np.ndarray:
-        """Values of codes; NaN where the model has none."""
+        """Values of codes; 0 where the model has none."""
         if not len(self.code):
-            return np.full(len(codes), np.nan)
+            return np.zeros((*values.shape[:-1], len(codes)), np.int64)
         at = np.minimum(np.searchsorted(self.code, codes), len(self.code) - 1)
-        return np.where(self.code[at] == codes, values[at], np.nan)
+        return np.where(self.code[at] == codes, values[..., at], 0)
 
     def log_p(self, lang: int, keys: np.ndarray, order: int, bits: int) -> np.ndarray:
-        p = np.full(len(keys), 1.0 / (1 << bits))
+        """Interpolated from the shortest n-gram up; in single precision where a
+        model's table would hold it, so that a met n-gram's own lower orders alone
+        are exact."""
+        p = exact = np.full(len(keys), 1.0 / (1 << bits))
+        sums = np.stack([self.total, *self.n])
         for k in range(1, order + 1):
-            own = keys & ((1 << bits * k) - 1)
-            met = self.find(tagged(lang, k, own), self.p)
-            g = self.find(tagged(lang, k - 1, own >> bits), self.g)
-            p = np.where(np.isnan(met), np.where(np.isnan(g), 1.0, g) * p, met)
+            law = self.law.get(lang << 3 | k)
+            if law is None:
+                continue
+            own, place = np.unique(keys & ((1 << bits * k) - 1), return_inverse=True)
+            c = self.find(tagged(lang, k, own), self.c)[place]
+            total, *n = self.find(tagged(lang, k - 1, own >> bits), sums)[:, place]
+            behind = np.maximum(total, 1)
+            g = np.where(total > 0, sum(d * x for d, x in zip(law, n)) / behind, 1.0)
+            exact = (c - np.array([0.0, *law])[np.minimum(c, 3)]) / behind + g * exact
+            p = np.where(c > 0, single(exact), single(g) * p)
         return np.log(p)
 
 
-def score_batch(langs: dict[str, int]):
+def single(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.float32).astype(float)
+
+
+def score_batch(langs: dict[str, int], kinds: tuple, law: dict[int, list[float]]):
     def run(blobs: pa.Table, answers: pa.Table) -> pa.Table:
-        table, out = Answers(answers), []
+        table, out = Answers(answers, law), []
         for rows, by in unpacked(blobs):
             texts = rows.column("text").to_pylist()
-            log_ppl = np.full((len(KINDS), len(texts)), np.nan)
+            log_ppl = np.full((len(kinds), len(texts)), np.nan)
             for lang, own in by.items():
                 if lang not in langs:
                     continue
                 done = 0
                 for some in chunks([texts[i] or "" for i in own]):
-                    for kind, law in enumerate(KINDS):
-                        keys, n = codes_of(some, kind)
-                        at, unique = pd.factorize(keys)
-                        log_p = table.log_p(number(langs[lang], kind), unique, *law)[at]
+                    for kind, (order, bits) in enumerate(kinds):
+                        at, unique, n = grams(some, kind, bits)
+                        log_p = table.log_p(number(langs[lang], kind), unique, order, bits)[at]
                         log_ppl[kind, own[done:done + len(some)]] = -np.add.reduceat(
                             log_p, np.cumsum(n) - n) / n
                     done += len(some)
@@ -429,21 +601,23 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     common = (docs.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang")
               .limit(MOST_LANGUAGES).collect())
     langs = {r["lang"]: i for i, r in enumerate(sorted(common, key=lambda r: r["lang"]))}
-    table = reduce(DataFrame.unionByName, [model(rows.where("fold = 0").mapInArrow(
-        count_batches(langs, kind), "code long, n long"), work, *law) for kind, law in enumerate(KINDS)])
-    trained = {r[0] for r in table.where("p is not null").select(
-        F.shiftright(tag(), 4)).distinct().collect()}  # at most MOST_LANGUAGES
+    counts, sums, law = model(rows.where("fold = 0"), langs, work)
+    trained = {tag >> 4 for tag in law}  # at most MOST_LANGUAGES
     langs = {lang: i for lang, i in langs.items() if i in trained}
-    kind = dict(docs.dtypes)["doc_id"]
+    kind, kinds, shards = dict(docs.dtypes)["doc_id"], KINDS, shard_count(spark)
+    known = code_filter(counts.mapInArrow(codes_in(2), "code long").unionByName(
+        sums.mapInArrow(codes_in(5), "code long")))
     # stored once, by batch: whoever asks and whoever scores sees the same batches, and scoring moves no text
-    packed = work.put_bucketed(
+    texts = work.put_bucketed(
         rows.withColumn("batch", F.spark_partition_id()).mapInArrow(pack, "batch int, blob binary"),
-        "packed", "batch", int(spark.conf.get("spark.sql.shuffle.partitions")))
-    requests = packed.mapInArrow(requester(langs, code_filter(table)), "batch int, code long")
-    answers = requests.join(table, "code").select("batch", "code", "p", "g")
-    scored = stored(packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        score_batch(langs), f"doc_id {kind}, th long, lang string, fold int, log_ppl double, word_log_ppl double"),
-        "scores")
+        "packed", "batch", shards)
+    requests = texts.mapInArrow(requester(langs, kinds, known, shards), "shard int, batch int, blob binary")
+    parts = counts.withColumn("sums", F.lit(False)).unionByName(sums.withColumn("sums", F.lit(True)))
+    answers = requests.groupBy("shard").cogroup(parts.groupBy("shard")).applyInArrow(
+        answer, "batch int, blob binary")
+    scored = stored(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        score_batch(langs, kinds, law),
+        f"doc_id {kind}, th long, lang string, fold int, log_ppl double, word_log_ppl double"), "scores")
     work.close()
     return scored
 

@@ -246,3 +246,29 @@ def test_the_filter_refuses_no_code_of_the_model(spark):
     other = np.setdiff1d(rng.integers(0, 1 << 60, 50_000), codes)
     assert len(kneser_ney.maybe_met(known, other)) < 500
     assert not len(kneser_ney.maybe_met(known, codes[:0]))
+
+
+def test_codes_travel_as_few_bytes():
+    rng = np.random.default_rng(5)
+    codes = np.unique(rng.integers(0, 1 << 48, 200_000))
+    counts = rng.integers(1, 4, len(codes))
+    shards, blobs = kneser_ney.dealt([codes, counts], 7)
+    assert shards == list(range(7)) and sum(map(len, blobs)) < 5.5 * len(codes)
+    back = kneser_ney.summed(kneser_ney.joined(blobs + blobs, 2))
+    assert (back[0] == codes).all() and (back[1] == 2 * counts).all()
+    assert kneser_ney.dealt([codes[:0]], 7) == ([], [])
+
+
+def test_word_and_character_grams_by_hand():
+    texts = ["", " ", "a bc d\n", "漢字x y\x00 y", "a bc"]
+    keys, n = kneser_ney.word_codes_of(texts)
+    assert n.tolist() == [1, 1, 4, 6, 3]
+    ends = np.cumsum(n)
+    one = {t: kneser_ney.word_codes_of([t])[0].tolist() for t in texts}
+    assert [keys[e - k:e].tolist() for e, k in zip(ends, n)] == [one[t] for t in texts]
+    assert keys[-3] == keys[2] and keys[-2] == keys[3] and len(set(one["漢字x y\x00 y"])) == 6
+    at, distinct, n = kneser_ney.grams(texts, 0, kneser_ney.BITS)
+    assert n.tolist() == [len(t) + 1 for t in texts] and len(set(distinct.tolist())) == len(distinct)
+    for t, part in zip(texts, np.split(distinct[at], np.cumsum(n)[:-1])):
+        c = [2] * 3 + [ord(x) if ord(x) < 3072 else 3072 + ord(x) % 1024 for x in t] + [3]
+        assert part.tolist() == [sum(x << 12 * (3 - j) for j, x in enumerate(c[i:i + 4])) for i in range(len(c) - 3)]
