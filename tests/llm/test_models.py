@@ -272,3 +272,21 @@ def test_word_and_character_grams_by_hand():
     for t, part in zip(texts, np.split(distinct[at], np.cumsum(n)[:-1])):
         c = [2] * 3 + [ord(x) if ord(x) < 3072 else 3072 + ord(x) % 1024 for x in t] + [3]
         assert part.tolist() == [sum(x << 12 * (3 - j) for j, x in enumerate(c[i:i + 4])) for i in range(len(c) - 3)]
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_few_links_go_to_few_tasks(spark, monkeypatch, few):
+    """Before, each round dealt even a few links to all shuffle partitions."""
+    from reelmart.llm import graph
+    monkeypatch.setattr(graph, "FEW_LINKS", few)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        links = [(i, i + 1) for i in range(20)] + [(50, 60), (60, 55), (7, 7), (None, 3), (50, 60)]
+        got = components(spark.createDataFrame(links, "a long, b long").repartition(3))
+        assert sorted(map(tuple, got.collect())) == [(i, 0) for i in range(21)] + [(50, 50), (55, 50), (60, 50)]
+        assert (got.rdd.getNumPartitions() <= graph.FEW_TASKS) == (few > 0)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
