@@ -8,15 +8,17 @@ by more than a margin. There is no lower bound: trusted text that trained the
 models, and its copies, are rightly easy.
 
 A code is language, kind of model, length and characters (or the hashes of
-words) in one long. The model is counts by code, and sums of counts by context;
-both are dealt out by the code's hash into as many shards as the session has
-shuffle partitions, and travel as ascending arrays, compressed. Lower orders
-and contexts are derived shard by shard and dealt anew. To score, each scan
-partition is a batch, whose texts are stored packed: it asks once for every
-distinct n-gram in it that a Bloom filter over the model's codes doesn't
-refuse, a shard's requests meet its part of the model, and what is found goes
-to the batch, which interpolates. So no task holds the model, and texts are
-written once and never shuffled.
+words) in one long; the last part is scattered, so that a range of it is a shard
+of any n-grams, and its differences are small. The model is counts by code, and
+sums of counts by context; both are dealt out into as many shards as the session
+has shuffle partitions, and travel as ascending arrays, compressed. Lower orders
+and contexts are derived shard by shard and dealt anew; the whole is stored by
+shard. To score, each scan partition is a batch, whose texts are stored packed:
+it asks once for every distinct n-gram in it that a Bloom filter over the
+model's codes doesn't refuse, a shard's requests meet its part of the model, and
+what is found goes to the batch, in the order in which it asked, without the
+codes: the batch knows them from its texts, and interpolates. So no task holds
+the model, and texts are written once and never shuffled.
 
 Characters beyond code 3071 are folded into 1024 codes, words into
 ``WORD_BITS`` bits; texts begin with start signs, one less than the order, and
@@ -38,6 +40,7 @@ import io
 from collections.abc import Iterable, Iterator
 from functools import cache, reduce
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -57,6 +60,9 @@ WORD_ORDER = 2
 WORD_BITS = 24
 START, END = 2, 3
 UNIT = ORDER * BITS  # bits of the units' part of a code, in both models
+#: the factor that scatters keys, and the one that takes them back
+SCATTER = np.uint64(0x9E3779B97F4A7C15)
+GATHER = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: (order, bits of a unit) of the character model and of the word model
 KINDS = ((ORDER, BITS), (WORD_ORDER, WORD_BITS))
 #: a word: a run of letters and signs without blanks, or one letter of a script without spaces
@@ -69,15 +75,15 @@ HIGH = 0.99
 MARGIN = 0.1
 #: width of a step of log perplexity in the quantile tables
 STEP = 0.001
-#: characters worked on together, rows of a blob, n-grams gathered before merging
-CHUNK = 2_000_000
-BLOB_ROWS = 256
+#: characters worked on together, bytes of a blob before packing, n-grams gathered before merging
+CHUNK = 1_000_000
+BLOB_BYTES = 6_000_000
 GATHERED = 1_000_000
 MOST_IDS = 1_000_000
 #: n-grams are numbered by a table of so many places, beyond it by hash
 MOST_SPAN = 1 << 24
 #: how hard texts are compressed
-LEVEL = 6
+LEVEL = 9
 #: bits of the filter over the model's codes (16 MB)
 FILTER_BITS = 1 << 27
 #: 64-bit words of the filter that are united together
@@ -92,9 +98,8 @@ def code_points(texts: list[str]) -> np.ndarray:
 @cache
 def shapes() -> tuple[np.ndarray, np.ndarray]:
     """By code point: whether it is blank, and whether it is a word alone."""
-    signs = [chr(i) for i in range(0x110000)]
-    blank = np.fromiter((c.isspace() for c in signs), bool, len(signs))
-    alone = np.zeros(len(signs), bool)
+    blank = np.fromiter((chr(i).isspace() for i in range(0x110000)), bool, 0x110000)
+    alone = np.zeros(0x110000, bool)
     for low, high in ALONE:
         alone[low:high + 1] = True
     return blank, alone
@@ -200,22 +205,53 @@ def number(lang: int, kind: int) -> int:
     return 2 * lang + kind
 
 
-def tagged(lang: int, length: int, key):
-    return ((lang << 3 | length) << UNIT) | key
+def coded(tag, key: np.ndarray, width) -> np.ndarray:
+    """Codes of keys of so many bits (at most ``UNIT``): the keys, scattered, are
+    the leading bits behind the tag."""
+    width = np.asarray(width).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        key = key.astype(np.uint64) * SCATTER & (np.uint64(1) << width) - np.uint64(1)
+    return (key << np.uint64(UNIT) - width).astype(np.int64) | tag << UNIT
+
+
+def tagged(lang: int, length: int, key: np.ndarray, bits: int) -> np.ndarray:
+    return coded(lang << 3 | length, key, bits * length)
+
+
+def distinct_of(x: np.ndarray) -> np.ndarray:
+    """Like ``np.unique``, by sorting: its hash table takes ten times as long."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+def found_in(table: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Like ``np.searchsorted``, for many values in any order: ascending ones find their place sooner."""
+    order = np.argsort(x)
+    out = np.empty(len(x), np.int64)
+    out[order] = np.searchsorted(table, x[order])
+    return out
 
 
 # tables of codes ---------------------------------------------------------------
-def packed(columns: list[np.ndarray]) -> bytes:
-    """Columns of longs, the first ascending, as compressed planes of bytes."""
-    columns = [np.diff(columns[0], prepend=0), *columns[1:]]
+def planes(columns: Iterable[np.ndarray]) -> bytes:
+    """Columns of longs as compressed planes of bytes."""
     return zstandard.ZstdCompressor(level=1).compress(b"".join(
         np.ascontiguousarray(c.astype(np.int64, copy=False)).view(np.uint8).reshape(-1, 8).T.tobytes()
         for c in columns))
 
 
+def values_of(blob: bytes, width: int) -> list[np.ndarray]:
+    each = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(width, 8, -1)
+    return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in each]
+
+
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of longs, the first ascending."""
+    return planes([np.diff(columns[0], prepend=0), *columns[1:]])
+
+
 def columns_of(blob: bytes, width: int) -> list[np.ndarray]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(width, 8, -1)
-    first, *rest = [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
+    first, *rest = values_of(blob, width)
     return [np.cumsum(first), *rest]
 
 
@@ -227,17 +263,18 @@ def summed(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [code[first], *[np.add.reduceat(c[order], first) if len(first) else c for c in columns[1:]]]
 
 
-def dealt(columns: list[np.ndarray], shards: int) -> tuple[list[int], list[bytes]]:
-    """Ascending codes dealt out by their hash: the shards that get some, and a
-    blob for each."""
-    with np.errstate(over="ignore"):
-        h = (columns[0].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    shard = ((h >> np.uint64(33)) % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.int64)
+def places_by_shard(codes: np.ndarray, shards: int) -> dict[int, np.ndarray]:
+    """The places of the codes of each shard, which is a range of scattered keys."""
+    shard = ((codes >> UNIT - 32 & 0xFFFFFFFF) * shards >> 32).astype(np.uint16 if shards < 1 << 16 else np.int64)
     order = np.argsort(shard, kind="stable")
     found, first = np.unique(shard[order], return_index=True)
-    moved = [c[order] for c in columns]
-    last = [*first[1:], len(order)]
-    return found.tolist(), [packed([c[a:b] for c in moved]) for a, b in zip(first, last)]
+    return dict(zip(found.tolist(), np.split(order, first[1:])))
+
+
+def dealt(columns: list[np.ndarray], shards: int) -> tuple[list[int], list[bytes]]:
+    """Ascending codes dealt out: the shards that get some, and a blob for each."""
+    by = places_by_shard(columns[0], shards)
+    return list(by), [packed([c[at] for c in columns]) for at in by.values()]
 
 
 def shard_rows(columns: list[np.ndarray], shards: int) -> pa.RecordBatch:
@@ -271,7 +308,7 @@ def count_batches(langs: dict[str, int], kinds: tuple, shards: int):
                 for texts in chunks([t or "" for t in part["text"]]):
                     for kind, (order, bits) in enumerate(kinds):
                         at, keys, _ = grams(texts, kind, bits)
-                        held.append([tagged(number(langs[lang], kind), order, keys), np.bincount(at)])
+                        held.append([tagged(number(langs[lang], kind), order, keys, bits), np.bincount(at)])
             if sum(len(h[0]) for h in held) > GATHERED:
                 held = [summed([np.concatenate(c) for c in zip(*held)])]
                 if len(held[0][0]) > GATHERED // 2:
@@ -285,7 +322,11 @@ def count_batches(langs: dict[str, int], kinds: tuple, shards: int):
 def spread(codes: np.ndarray, kinds: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(tag, length, bits of a unit, key) of codes."""
     tag = codes >> UNIT
-    return tag, tag & 7, np.array([bits for _, bits in kinds])[(tag >> 3) & 1], codes & ((1 << UNIT) - 1)
+    length, bits = tag & 7, np.array([bits for _, bits in kinds])[(tag >> 3) & 1]
+    width = (bits * length).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        key = ((codes & ((1 << UNIT) - 1)).astype(np.uint64) >> np.uint64(UNIT) - width) * GATHER
+    return tag, length, bits, (key & (np.uint64(1) << width) - np.uint64(1)).astype(np.int64)
 
 
 def by_blob(kinds: tuple, shards: int, width: int, change):
@@ -301,16 +342,16 @@ def lower(columns: list[np.ndarray], kinds: tuple) -> list[np.ndarray]:
     """Continuation counts: the distinct units before each code without its first unit."""
     code = columns[0]
     tag, length, bits, key = spread(code[((code >> UNIT) & 7) > 1], kinds)
-    short = ((tag - 1) << UNIT) | (key & ((1 << bits * (length - 1)) - 1))
-    return list(np.unique(short, return_counts=True))
+    width = bits * (length - 1)
+    return list(np.unique(coded(tag - 1, key & ((1 << width) - 1), width), return_counts=True))
 
 
 def contexts(columns: list[np.ndarray], kinds: tuple) -> list[np.ndarray]:
     """Of the codes without their last unit: sum of counts, and how many counts
     are 1, 2 and more."""
     code, c = columns
-    tag, _, bits, key = spread(code, kinds)
-    return summed([((tag - 1) << UNIT) | (key >> bits), c,
+    tag, length, bits, key = spread(code, kinds)
+    return summed([coded(tag - 1, key >> bits, bits * (length - 1)), c,
                    *[(f).astype(np.int64) for f in (c == 1, c == 2, c > 2)]])
 
 
@@ -328,35 +369,47 @@ def discounts(n: list[int]) -> list[float]:
     return [max(0.05, min(i - 0.05, i - (i + 1) * y * n[i] / n[i - 1] if n[i - 1] else i / 2.0)) for i in (1, 2, 3)]
 
 
-def model(texts: DataFrame, langs: dict[str, int], work: Workspace) -> tuple[DataFrame, DataFrame, dict[int, list[float]]]:
-    """Trusted texts -> the counts of all orders, the sums of all contexts (each
-    as rows of a shard of codes and a blob), and the discounts of each tag. Each
-    level is stored once; probabilities come from these when a batch is scored."""
+def whole(longest: pa.Table, rest: pa.Table) -> pa.Table:
+    """A shard of the model as one blob: of each code its count, and the sums of
+    the counts behind it."""
+    sums = pc.field("sums")
+    counted, c = summed(joined(longest.column("blob").to_pylist() + rest.filter(~sums).column("blob").to_pylist(), 2))
+    before, *sums_of = summed(joined(rest.filter(sums).column("blob").to_pylist(), 5))
+    code = distinct_of(np.concatenate([counted, before]))
+    columns = np.zeros((5, len(code)), np.int64)
+    columns[0, np.searchsorted(code, counted)] = c
+    columns[1:, np.searchsorted(code, before)] = sums_of
+    shard = (longest if len(longest) else rest).column("shard")[:1]
+    return pa.table({"shard": shard, "blob": pa.array([packed([code, *columns])], pa.binary())})
+
+
+def model(texts: DataFrame, langs: dict[str, int], work: Workspace) -> tuple[DataFrame, dict[int, list[float]]]:
+    """Trusted texts -> the counts of all orders and the sums of all contexts (a
+    blob for each shard, stored by shard), and the discounts of each tag. Each
+    level is stored once, until the whole is; the longest n-grams, nearly all of
+    it, stay in their shard. Probabilities come from these when a batch is scored."""
     kinds, shards = KINDS, shard_count(texts.sparkSession)
     rows = "shard int, blob binary"
-    level = [work.put(merged(texts.mapInArrow(count_batches(langs, kinds, shards), rows)), "level0")]
+    level = [work.put_bucketed(merged(texts.mapInArrow(count_batches(langs, kinds, shards), rows)), "level0", "shard", shards)]
     for k in range(1, max(order for order, _ in kinds)):
         level.append(work.put(merged(level[-1].mapInArrow(by_blob(kinds, shards, 2, lower), rows)), f"level{k}"))
     every = reduce(DataFrame.unionByName, level)
     seen = every.mapInArrow(counts_of_counts, "tag long, n1 long, n2 long, n3 long, n4 long").groupBy("tag").agg(
         *[F.sum(f"n{i}").alias(f"n{i}") for i in (1, 2, 3, 4)])
     law = {r[0]: discounts(list(r)[1:]) for r in seen.collect()}  # at most languages x orders
-    sums = work.put(every.mapInArrow(by_blob(kinds, shards, 2, contexts), rows), "contexts")
-    return every, sums, law
+    rest = every.mapInArrow(by_blob(kinds, shards, 2, contexts), rows).withColumn("sums", F.lit(True))
+    for shorter in level[1:]:
+        rest = rest.unionByName(shorter.withColumn("sums", F.lit(False)))
+    table = work.put_bucketed(level[0].groupBy("shard").cogroup(rest.groupBy("shard")).applyInArrow(whole, rows),
+                              "model", "shard", shards)
+    work.drop(*[f"level{k}" for k in range(len(level))])
+    return table, law
 
 
 def shard_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def codes_in(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in batch.column("blob").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(columns_of(blob, width)[0])], ["code"])
-    return run
-
-
 # which codes the model may have ------------------------------------------------
 def places(codes: np.ndarray) -> list[np.ndarray]:
     """The bits of a code in the filter."""
@@ -368,11 +421,19 @@ def places(codes: np.ndarray) -> list[np.ndarray]:
     return [h & mask, (h >> np.uint64(20)) & mask, (h >> np.uint64(37)) & mask]
 
 
+def codes_in(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The codes in a column of codes, or in blobs of the model."""
+    if "code" in batch.schema.names:
+        yield batch.column("code").to_numpy()
+    else:
+        yield from (columns_of(blob, 6)[0] for blob in batch.column("blob").to_pylist())
+
+
 def filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(chunk, bits) of the filter as far as one task's codes set them."""
     words = np.zeros(FILTER_BITS >> 6, np.uint64)
-    for batch in batches:
-        for at in places(batch.column("code").to_numpy()):
+    for codes in (codes for batch in batches for codes in codes_in(batch)):
+        for at in places(codes):
             np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
     pack = zstandard.ZstdCompressor(level=1)
     for i in range(0, len(words), FILTER_CHUNK):
@@ -404,7 +465,7 @@ def code_filter(table: DataFrame) -> np.ndarray:
     """A Bloom filter over the model's codes, of a fixed size whatever the
     model's: a code that it refuses is not in the model."""
     kind = "chunk int, bits binary"
-    chunks = (table.select("code").mapInArrow(filter_parts, kind).repartition("chunk")
+    chunks = (table.mapInArrow(filter_parts, kind).repartition("chunk")
               .sortWithinPartitions("chunk").mapInArrow(filter_chunks, kind).collect())
     out = np.zeros(FILTER_BITS >> 6, np.uint64)
     for r in chunks:
@@ -422,11 +483,12 @@ def maybe_met(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 # scoring ----------------------------------------------------------------------
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a scan partition as compressed blobs of a few hundred rows."""
+    """Rows of a scan partition as compressed blobs of a few megabytes of rows."""
     for batch in batches:
-        for a in range(0, batch.num_rows, BLOB_ROWS):
+        step = max(1, batch.num_rows * BLOB_BYTES // max(1, batch.nbytes))
+        for a in range(0, batch.num_rows, step):
             sink = io.BytesIO()
-            rows = pa.Table.from_batches([batch.slice(a, BLOB_ROWS)]).drop_columns(["batch"])
+            rows = pa.Table.from_batches([batch.slice(a, step)]).drop_columns(["batch"])
             with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(
                     compression=pa.Codec("zstd", compression_level=LEVEL))) as out:
                 out.write_table(rows)
@@ -451,84 +513,82 @@ def asked(lang: int, keys: np.ndarray, order: int, bits: int) -> Iterator[np.nda
     for length in range(order, -1, -1):
         own = [keys & ((1 << bits * length) - 1)] if length else []
         contexts = [(keys & ((1 << bits * (length + 1)) - 1)) >> bits] if length < order else []
-        yield tagged(lang, length, np.unique(np.concatenate(own + contexts)))
+        yield tagged(lang, length, distinct_of(np.concatenate(own + contexts)), bits)
 
 
-def requester(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: int):
-    """Packed texts -> (shard, batch, blob): once each, the codes that scoring a
-    batch looks up."""
-    def wanted(found: dict[int, list[np.ndarray]], batch: int) -> Iterator[pa.RecordBatch]:
-        met = []
-        for k in sorted(found):
-            keys = np.unique(np.concatenate(found.pop(k)))
-            for codes in asked(k, keys, *kinds[k % 2]):
-                met += [maybe_met(known, codes[a:a + CHUNK]) for a in range(0, len(codes), CHUNK)]
-        if met:
-            to, blobs = dealt([np.sort(np.concatenate(met))], shards)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(to, pa.int32()), pa.array(np.full(len(to), batch, np.int32)), pa.array(blobs, pa.binary())],
-                ["shard", "batch", "blob"])
+def tokens(rows: pa.Table, by: dict[str, list[int]], langs: dict[str, int], kinds: tuple, which: tuple[int, ...]):
+    """A blob's n-grams by language, of some kinds, a chunk of texts at a time:
+    (number of the model, row numbers, place of each n-gram, keys, n-grams by text)."""
+    texts = rows.column("text").to_pylist()
+    for lang, own in by.items():
+        done = 0
+        for some in chunks([texts[i] or "" for i in own]) if lang in langs else ():
+            for kind in which:
+                yield number(langs[lang], kind), own[done:done + len(some)], *grams(some, kind, kinds[kind][1])
+            done += len(some)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def gather(found: dict[int, list[np.ndarray]], k: int, keys: np.ndarray) -> None:
+    held = found.setdefault(k, [])
+    held.append(keys)
+    if sum(map(len, held[1:])) > GATHERED:
+        held[:] = [distinct_of(np.concatenate(held))]
+
+
+def wanted(found: dict[int, list[np.ndarray]], kinds: tuple, known: np.ndarray) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """A batch's distinct n-grams by model, and the codes that scoring them looks
+    up, ascending, once each."""
+    keys = {k: distinct_of(np.concatenate(found[k])) for k in sorted(found)}
+    met = [np.zeros(0, np.int64)]
+    for k, own in keys.items():
+        for codes in asked(k, own, *kinds[k % 2]):
+            met += [maybe_met(known, codes[a:a + CHUNK]) for a in range(0, len(codes), CHUNK)]
+    return keys, np.sort(np.concatenate(met))
+
+
+def requester(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: int):
+    """A batch's packed texts -> (shard, batch, blob): the codes it asks for."""
+    def run(blobs: pa.Table) -> pa.Table:
         found: dict[int, list[np.ndarray]] = {}
-        now = None
-        for blobs in batches:
-            for i, batch in enumerate(blobs.column("batch").to_pylist()):
-                if batch != now and now is not None:  # the blobs of a batch stand together
-                    yield from wanted(found, now)
-                now = batch
-                for rows, by in unpacked(pa.Table.from_batches([blobs.slice(i, 1)])):
-                    texts = rows.column("text").to_pylist()
-                    for lang, own in by.items():
-                        if lang not in langs:
-                            continue
-                        for some in chunks([texts[j] or "" for j in own]):
-                            for kind, (_, bits) in enumerate(kinds):
-                                held = found.setdefault(number(langs[lang], kind), [])
-                                held.append(grams(some, kind, bits)[1])
-                                if sum(map(len, held[1:])) > GATHERED:
-                                    held[:] = [pd.unique(np.concatenate(held))]
-        if now is not None:
-            yield from wanted(found, now)
+        for rows, by in unpacked(blobs):
+            for k, _, _, keys, _ in tokens(rows, by, langs, kinds, (0, 1)):
+                gather(found, k, keys)
+        to, codes = dealt([wanted(found, kinds, known)[1]], shards)
+        return pa.table({"shard": pa.array(to, pa.int32()),
+                         "batch": pa.array([blobs.column("batch")[0].as_py()] * len(to), pa.int32()),
+                         "blob": pa.array(codes, pa.binary())})
     return run
 
 
-def answer(requests: pa.Table, parts: pa.Table) -> pa.Table:
-    """One shard's requests and its part of the model -> (batch, blob): the counts
-    and contexts of the codes it has."""
-    sums = pc.field("sums")
-    grams_, of = joined(parts.filter(~sums).column("blob").to_pylist(), 2)
-    order = np.argsort(grams_, kind="stable")
-    tables = [[grams_[order], of[order]], summed(joined(parts.filter(sums).column("blob").to_pylist(), 5))]
-    batch, out = [], []
-    for b, blob in zip(requests.column("batch").to_pylist(), requests.column("blob").to_pylist()):
+def answer(requests: pa.Table, part: pa.Table) -> pa.Table:
+    """One shard's requests and its part of the model -> (batch, shard, blob): the
+    counts and contexts of the codes, in the order of the request, 0 if unknown."""
+    own, *values = joined(part.column("blob").to_pylist(), 6)
+    out = []
+    for blob in requests.column("blob").to_pylist():
         code, = columns_of(blob, 1)
-        columns = []
-        for own, *values in tables:
-            at = np.minimum(np.searchsorted(own, code), max(0, len(own) - 1))
-            hit = own[at] == code if len(own) else np.zeros(len(code), bool)
-            columns += [np.where(hit, v[at], 0) if len(own) else np.zeros(len(code), np.int64) for v in values]
-        some = (columns[0] > 0) | (columns[1] > 0)
-        if some.any():
-            batch.append(b)
-            out.append(packed([c[some] for c in (code, *columns)]))
-    return pa.table({"batch": pa.array(batch, pa.int32()), "blob": pa.array(out, pa.binary())})
+        at = np.minimum(np.searchsorted(own, code), max(0, len(own) - 1))
+        hit = own[at] == code if len(own) else np.zeros(len(code), bool)
+        out.append(planes([np.where(hit, v[at], 0) if len(own) else np.zeros(len(code), np.int64) for v in values]))
+    return pa.table({"batch": requests.column("batch"), "shard": requests.column("shard"),
+                     "blob": pa.array(out, pa.binary())})
 
 
 class Answers:
-    """The part of the model that one batch asked for."""
+    """The part of the model that one batch asked for, by ``codes``."""
 
-    def __init__(self, answers: pa.Table, law: dict[int, list[float]]):
-        columns = joined(answers.column("blob").to_pylist(), 6)
-        order = np.argsort(columns[0], kind="stable")
-        self.code, self.c, self.total, *self.n = [c[order] for c in columns]
-        self.law = law
+    def __init__(self, codes: np.ndarray, answers: pa.Table, shards: int, law: dict[int, list[float]]):
+        values = np.zeros((5, len(codes)), np.int64)
+        by = places_by_shard(codes, shards)
+        for shard, blob in zip(answers.column("shard").to_pylist(), answers.column("blob").to_pylist()):
+            values[:, by[shard]] = values_of(blob, 5)
+        self.code, self.c, self.sums, self.law = codes, values[0], values[1:], law
 
     def find(self, codes: np.ndarray, values: np.ndarray) -> np.ndarray:
         """Values of codes; 0 where the model has none."""
         if not len(self.code):
             return np.zeros((*values.shape[:-1], len(codes)), np.int64)
-        at = np.minimum(np.searchsorted(self.code, codes), len(self.code) - 1)
+        at = np.minimum(found_in(self.code, codes), len(self.code) - 1)
         return np.where(self.code[at] == codes, values[..., at], 0)
 
     def log_p(self, lang: int, keys: np.ndarray, order: int, bits: int) -> np.ndarray:
@@ -536,14 +596,13 @@ class Answers:
         model's table would hold it, so that a met n-gram's own lower orders alone
         are exact."""
         p = exact = np.full(len(keys), 1.0 / (1 << bits))
-        sums = np.stack([self.total, *self.n])
         for k in range(1, order + 1):
             law = self.law.get(lang << 3 | k)
             if law is None:
                 continue
             own, place = np.unique(keys & ((1 << bits * k) - 1), return_inverse=True)
-            c = self.find(tagged(lang, k, own), self.c)[place]
-            total, *n = self.find(tagged(lang, k - 1, own >> bits), sums)[:, place]
+            c = self.find(tagged(lang, k, own, bits), self.c)[place]
+            total, *n = self.find(tagged(lang, k - 1, own >> bits, bits), self.sums)[:, place]
             behind = np.maximum(total, 1)
             g = np.where(total > 0, sum(d * x for d, x in zip(law, n)) / behind, 1.0)
             exact = (c - np.array([0.0, *law])[np.minimum(c, 3)]) / behind + g * exact
@@ -555,23 +614,27 @@ def single(x: np.ndarray) -> np.ndarray:
     return x.astype(np.float32).astype(float)
 
 
-def score_batch(langs: dict[str, int], kinds: tuple, law: dict[int, list[float]]):
+def score_batch(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: int, law: dict[int, list[float]]):
+    """A batch's packed texts and answers -> its rows without texts, scored. Words
+    are held from the first pass over the texts to the second, characters are not."""
     def run(blobs: pa.Table, answers: pa.Table) -> pa.Table:
-        table, out = Answers(answers, law), []
+        found: dict[int, list[np.ndarray]] = {}
+        words: list[list[tuple]] = []
         for rows, by in unpacked(blobs):
-            texts = rows.column("text").to_pylist()
-            log_ppl = np.full((len(kinds), len(texts)), np.nan)
-            for lang, own in by.items():
-                if lang not in langs:
-                    continue
-                done = 0
-                for some in chunks([texts[i] or "" for i in own]):
-                    for kind, (order, bits) in enumerate(kinds):
-                        at, unique, n = grams(some, kind, bits)
-                        log_p = table.log_p(number(langs[lang], kind), unique, order, bits)[at]
-                        log_ppl[kind, own[done:done + len(some)]] = -np.add.reduceat(
-                            log_p, np.cumsum(n) - n) / n
-                    done += len(some)
+            words.append([])
+            for k, own, at, keys, n in tokens(rows, by, langs, kinds, (0, 1)):
+                gather(found, k, keys)
+                if k % 2:
+                    words[-1].append((k, own, at.astype(np.uint32), keys, n))
+        every, codes = wanted(found, kinds, known)
+        table, out = Answers(codes, answers, shards, law), []
+        log_p = {k: np.concatenate([table.log_p(k, keys[a:a + GATHERED // 4], *kinds[k % 2])
+                                    for a in range(0, len(keys), GATHERED // 4)]) for k, keys in every.items()}
+        for (rows, by), held in zip(unpacked(blobs), words):
+            log_ppl = np.full((len(kinds), len(rows)), np.nan)
+            for k, own, at, keys, n in chain(tokens(rows, by, langs, kinds, (0,)), held):
+                each = log_p[k][found_in(every[k], keys)][at]
+                log_ppl[k % 2, own] = -np.add.reduceat(each, np.cumsum(n) - n) / n
             rows = rows.drop_columns(["text"])
             for name, values in zip(("log_ppl", "word_log_ppl"), log_ppl):
                 rows = rows.append_column(name, pa.array(values, from_pandas=True))
@@ -601,22 +664,21 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     common = (docs.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang")
               .limit(MOST_LANGUAGES).collect())
     langs = {r["lang"]: i for i, r in enumerate(sorted(common, key=lambda r: r["lang"]))}
-    counts, sums, law = model(rows.where("fold = 0"), langs, work)
+    table, law = model(rows.where("fold = 0"), langs, work)
     trained = {tag >> 4 for tag in law}  # at most MOST_LANGUAGES
     langs = {lang: i for lang, i in langs.items() if i in trained}
     kind, kinds, shards = dict(docs.dtypes)["doc_id"], KINDS, shard_count(spark)
-    known = code_filter(counts.mapInArrow(codes_in(2), "code long").unionByName(
-        sums.mapInArrow(codes_in(5), "code long")))
-    # stored once, by batch: whoever asks and whoever scores sees the same batches, and scoring moves no text
+    known = code_filter(table.select("blob"))
+    # stored once, by batch: whoever asks and whoever scores sees the same whole batches, and no text is moved
     texts = work.put_bucketed(
         rows.withColumn("batch", F.spark_partition_id()).mapInArrow(pack, "batch int, blob binary"),
         "packed", "batch", shards)
-    requests = texts.mapInArrow(requester(langs, kinds, known, shards), "shard int, batch int, blob binary")
-    parts = counts.withColumn("sums", F.lit(False)).unionByName(sums.withColumn("sums", F.lit(True)))
-    answers = requests.groupBy("shard").cogroup(parts.groupBy("shard")).applyInArrow(
-        answer, "batch int, blob binary")
+    requests = texts.groupBy("batch").applyInArrow(
+        requester(langs, kinds, known, shards), "shard int, batch int, blob binary")
+    answers = requests.groupBy("shard").cogroup(table.groupBy("shard")).applyInArrow(
+        answer, "batch int, shard int, blob binary")
     scored = stored(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        score_batch(langs, kinds, law),
+        score_batch(langs, kinds, known, shards, law),
         f"doc_id {kind}, th long, lang string, fold int, log_ppl double, word_log_ppl double"), "scores")
     work.close()
     return scored

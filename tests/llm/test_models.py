@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -290,3 +291,38 @@ def test_few_links_go_to_few_tasks(spark, monkeypatch, few):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_answers_come_back_in_the_order_of_the_request_without_codes():
+    """Before, each answer held its codes again: over 4 bytes a code."""
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 1 << 48, 60_000))
+    codes = np.sort(np.concatenate([kneser_ney.tagged(3, 2, keys, 24), kneser_ney.tagged(3, 1, keys[::50] >> 24, 24)]))
+    some = rng.random(len(codes)) < 0.7
+    model = [codes[some], rng.integers(1, 3, some.sum()), *[rng.integers(0, 2, some.sum()) for _ in range(4)]]
+    parts, requests = kneser_ney.dealt(model, 5), kneser_ney.dealt([codes], 5)
+    answers = pa.concat_tables([kneser_ney.answer(
+        pa.table({"batch": pa.array([0], pa.int32()), "shard": pa.array([s], pa.int32()), "blob": [blob]}),
+        pa.table({"shard": [s], "blob": [parts[1][s]]})) for s, blob in zip(*requests)])
+    assert parts[0] == requests[0] == list(range(5))
+    assert sum(len(b.as_py()) for b in answers.column("blob")) < 2 * len(codes)
+    got = kneser_ney.Answers(codes, answers, 5, {})
+    assert (got.c[some] == model[1]).all() and not got.c[~some].any()
+    assert (got.sums[:, some] == np.stack(model[2:])).all() and not got.sums[:, ~some].any()
+    absent = kneser_ney.answer(answers.slice(0, 0), pa.table({"shard": [0], "blob": [parts[1][0]]}))
+    assert not len(absent) and absent.column_names == answers.column_names
+    assert not kneser_ney.Answers(codes, absent, 5, {}).c.any()
+
+
+def test_codes_are_scattered_and_taken_back():
+    kinds = kneser_ney.KINDS
+    for kind, (order, bits) in enumerate(kinds):
+        for length in range(order + 1):
+            keys = np.unique(np.arange(500) * 7919 % (1 << bits * length))
+            codes = kneser_ney.tagged(kneser_ney.number(5, kind), length, keys, bits)
+            assert len(set(codes.tolist())) == len(keys)
+            tag, n, b, back = kneser_ney.spread(codes, kinds)
+            assert (back == keys).all() and (n == length).all() and (b == bits).all()
+            assert (tag == (kneser_ney.number(5, kind) << 3 | length)).all()
+    assert kneser_ney.distinct_of(np.array([3, 1, 3, 2, 1])).tolist() == [1, 2, 3]
+    assert not len(kneser_ney.distinct_of(np.zeros(0, np.int64)))
