@@ -13,7 +13,9 @@ of any n-grams, and its differences are small. The model is counts by code, and
 sums of counts by context; both are dealt out into as many shards as the session
 has shuffle partitions, and travel as ascending arrays, compressed. Lower orders
 and contexts are derived shard by shard and dealt anew; the whole is stored by
-shard. To score, each scan partition is a batch, whose texts are stored packed:
+shard. Each language has a range of the shards by its share of the documents. To
+score, the texts of one language in a scan partition are a batch, or several if
+they have over ``MOST_TEXT`` characters, and are stored packed:
 it asks once for every distinct n-gram in it that a Bloom filter over the
 model's codes doesn't refuse, a shard's requests meet its part of the model, and
 what is found goes to the batch, in the order in which it asked, without the
@@ -40,7 +42,7 @@ import io
 from collections.abc import Iterable, Iterator
 from functools import cache, reduce
 from hashlib import blake2b
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -79,6 +81,8 @@ STEP = 0.001
 CHUNK = 1_000_000
 BLOB_BYTES = 6_000_000
 GATHERED = 1_000_000
+#: characters of a batch, and parts of a scan partition's texts of one language
+MOST_TEXT = 24_000_000
 MOST_IDS = 1_000_000
 #: n-grams are numbered by a table of so many places, beyond it by hash
 MOST_SPAN = 1 << 24
@@ -263,21 +267,39 @@ def summed(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [code[first], *[np.add.reduceat(c[order], first) if len(first) else c for c in columns[1:]]]
 
 
-def places_by_shard(codes: np.ndarray, shards: int) -> dict[int, np.ndarray]:
-    """The places of the codes of each shard, which is a range of scattered keys."""
-    shard = ((codes >> UNIT - 32 & 0xFFFFFFFF) * shards >> 32).astype(np.uint16 if shards < 1 << 16 else np.int64)
+class Shares:
+    """Ranges of ``shards`` shards, one for each language, by its weight: what a
+    batch of one language asks for lies in few of them."""
+
+    def __init__(self, shards: int, weights: list[int]):
+        self.shards, total = shards, max(1, sum(weights))
+        edges = np.array([(end * shards << 10) // total for end in accumulate(weights, initial=0)], np.int64)
+        self.low, self.width = edges[:-1], np.diff(edges)  # in shards / 1024
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        lang = codes >> UNIT + 4
+        place = self.low[lang] + ((codes >> UNIT - 32 & 0xFFFFFFFF) * self.width[lang] >> 32)
+        return np.minimum(place >> 10, self.shards - 1)
+
+
+def places_by_shard(codes: np.ndarray, shards: int | Shares) -> dict[int, np.ndarray]:
+    """The places of the codes of each shard, which is a range of scattered keys
+    (of some languages, if they have shares)."""
+    n, whole = (shards.shards, False) if isinstance(shards, Shares) else (shards, True)
+    shard = (codes >> UNIT - 32 & 0xFFFFFFFF) * n >> 32 if whole else shards.of(codes)
+    shard = shard.astype(np.uint16 if n < 1 << 16 else np.int64)
     order = np.argsort(shard, kind="stable")
     found, first = np.unique(shard[order], return_index=True)
     return dict(zip(found.tolist(), np.split(order, first[1:])))
 
 
-def dealt(columns: list[np.ndarray], shards: int) -> tuple[list[int], list[bytes]]:
+def dealt(columns: list[np.ndarray], shards: int | Shares) -> tuple[list[int], list[bytes]]:
     """Ascending codes dealt out: the shards that get some, and a blob for each."""
     by = places_by_shard(columns[0], shards)
     return list(by), [packed([c[at] for c in columns]) for at in by.values()]
 
 
-def shard_rows(columns: list[np.ndarray], shards: int) -> pa.RecordBatch:
+def shard_rows(columns: list[np.ndarray], shards: int | Shares) -> pa.RecordBatch:
     found, blobs = dealt(columns, shards)
     return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
@@ -295,7 +317,7 @@ def merged(parts: DataFrame) -> DataFrame:
     return parts.groupBy("shard").applyInArrow(run, "shard int, blob binary")
 
 
-def count_batches(langs: dict[str, int], kinds: tuple, shards: int):
+def count_batches(langs: dict[str, int], kinds: tuple, shards: int | Shares):
     """Texts -> (shard, blob): counts of the n-grams of the highest orders."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -329,7 +351,7 @@ def spread(codes: np.ndarray, kinds: tuple) -> tuple[np.ndarray, np.ndarray, np.
     return tag, length, bits, (key & (np.uint64(1) << width) - np.uint64(1)).astype(np.int64)
 
 
-def by_blob(kinds: tuple, shards: int, width: int, change):
+def by_blob(kinds: tuple, shards: int | Shares, width: int, change):
     """Applies ``change`` to the columns of each blob and deals the result out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -383,21 +405,21 @@ def whole(longest: pa.Table, rest: pa.Table) -> pa.Table:
     return pa.table({"shard": shard, "blob": pa.array([packed([code, *columns])], pa.binary())})
 
 
-def model(texts: DataFrame, langs: dict[str, int], work: Workspace) -> tuple[DataFrame, dict[int, list[float]]]:
+def model(texts: DataFrame, langs: dict[str, int], deal: Shares, work: Workspace) -> tuple[DataFrame, dict[int, list[float]]]:
     """Trusted texts -> the counts of all orders and the sums of all contexts (a
     blob for each shard, stored by shard), and the discounts of each tag. Each
     level is stored once, until the whole is; the longest n-grams, nearly all of
     it, stay in their shard. Probabilities come from these when a batch is scored."""
-    kinds, shards = KINDS, shard_count(texts.sparkSession)
+    kinds, shards = KINDS, deal.shards
     rows = "shard int, blob binary"
-    level = [work.put_bucketed(merged(texts.mapInArrow(count_batches(langs, kinds, shards), rows)), "level0", "shard", shards)]
+    level = [work.put_bucketed(merged(texts.mapInArrow(count_batches(langs, kinds, deal), rows)), "level0", "shard", shards)]
     for k in range(1, max(order for order, _ in kinds)):
-        level.append(work.put(merged(level[-1].mapInArrow(by_blob(kinds, shards, 2, lower), rows)), f"level{k}"))
+        level.append(work.put(merged(level[-1].mapInArrow(by_blob(kinds, deal, 2, lower), rows)), f"level{k}"))
     every = reduce(DataFrame.unionByName, level)
     seen = every.mapInArrow(counts_of_counts, "tag long, n1 long, n2 long, n3 long, n4 long").groupBy("tag").agg(
         *[F.sum(f"n{i}").alias(f"n{i}") for i in (1, 2, 3, 4)])
     law = {r[0]: discounts(list(r)[1:]) for r in seen.collect()}  # at most languages x orders
-    rest = every.mapInArrow(by_blob(kinds, shards, 2, contexts), rows).withColumn("sums", F.lit(True))
+    rest = every.mapInArrow(by_blob(kinds, deal, 2, contexts), rows).withColumn("sums", F.lit(True))
     for shorter in level[1:]:
         rest = rest.unionByName(shorter.withColumn("sums", F.lit(False)))
     table = work.put_bucketed(level[0].groupBy("shard").cogroup(rest.groupBy("shard")).applyInArrow(whole, rows),
@@ -482,19 +504,27 @@ def maybe_met(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 # scoring ----------------------------------------------------------------------
-def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a scan partition as compressed blobs of a few megabytes of rows."""
-    for batch in batches:
-        step = max(1, batch.num_rows * BLOB_BYTES // max(1, batch.nbytes))
-        for a in range(0, batch.num_rows, step):
-            sink = io.BytesIO()
-            rows = pa.Table.from_batches([batch.slice(a, step)]).drop_columns(["batch"])
-            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(
-                    compression=pa.Codec("zstd", compression_level=LEVEL))) as out:
-                out.write_table(rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("batch").slice(a, 1), pa.array([sink.getvalue()], pa.binary())],
-                ["batch", "blob"])
+def pack(langs: dict[str, int]):
+    """Rows of a scan partition as compressed blobs of a few megabytes of rows,
+    by batch: one language, and ``MOST_TEXT`` characters of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size: dict[int, int] = {}
+        for batch in batches:
+            numbers = np.array([langs.get(x, MOST_LANGUAGES) for x in batch.column("lang").to_pylist()])
+            for lang in np.unique(numbers).tolist():
+                rows = pa.Table.from_batches([batch]).take(pa.array(np.flatnonzero(numbers == lang)))
+                part, rows = rows.column("part")[0].as_py(), rows.drop_columns(["part"])
+                step = max(1, rows.num_rows * BLOB_BYTES // max(1, rows.nbytes))
+                for a in range(0, rows.num_rows, step):
+                    some, sink = rows.slice(a, step), io.BytesIO()
+                    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(
+                            compression=pa.Codec("zstd", compression_level=LEVEL))) as out:
+                        out.write_table(some)
+                    held = size[lang] = size.get(lang, 0) + (pc.sum(pc.utf8_length(some.column("text"))).as_py() or 0)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([(part << 8 | lang) << 24 | held // MOST_TEXT], pa.int64()),
+                         pa.array([sink.getvalue()], pa.binary())], ["batch", "blob"])
+    return run
 
 
 def unpacked(blobs: pa.Table) -> Iterator[tuple[pa.Table, dict[str, list[int]]]]:
@@ -546,7 +576,7 @@ def wanted(found: dict[int, list[np.ndarray]], kinds: tuple, known: np.ndarray)
     return keys, np.sort(np.concatenate(met))
 
 
-def requester(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: int):
+def requester(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: int | Shares):
     """A batch's packed texts -> (shard, batch, blob): the codes it asks for."""
     def run(blobs: pa.Table) -> pa.Table:
         found: dict[int, list[np.ndarray]] = {}
@@ -555,7 +585,7 @@ def requester(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: in
                 gather(found, k, keys)
         to, codes = dealt([wanted(found, kinds, known)[1]], shards)
         return pa.table({"shard": pa.array(to, pa.int32()),
-                         "batch": pa.array([blobs.column("batch")[0].as_py()] * len(to), pa.int32()),
+                         "batch": pa.array([blobs.column("batch")[0].as_py()] * len(to), pa.int64()),
                          "blob": pa.array(codes, pa.binary())})
     return run
 
@@ -577,11 +607,14 @@ def answer(requests: pa.Table, part: pa.Table) -> pa.Table:
 class Answers:
     """The part of the model that one batch asked for, by ``codes``."""
 
-    def __init__(self, codes: np.ndarray, answers: pa.Table, shards: int, law: dict[int, list[float]]):
-        values = np.zeros((5, len(codes)), np.int64)
+    def __init__(self, codes: np.ndarray, answers: pa.Table, shards: int | Shares, law: dict[int, list[float]]):
+        values = np.zeros((5, len(codes)), np.uint32)
         by = places_by_shard(codes, shards)
-        for shard, blob in zip(answers.column("shard").to_pylist(), answers.column("blob").to_pylist()):
-            values[:, by[shard]] = values_of(blob, 5)
+        for shard, blob in zip(answers.column("shard").to_pylist(), answers.column("blob")):
+            part = np.array(values_of(blob.as_py(), 5))
+            if part.size and part.max() >> 32:  # few counts take over four bytes
+                values = values.astype(np.int64, copy=False)
+            values[:, by[shard]] = part
         self.code, self.c, self.sums, self.law = codes, values[0], values[1:], law
 
     def find(self, codes: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -589,7 +622,7 @@ class Answers:
         if not len(self.code):
             return np.zeros((*values.shape[:-1], len(codes)), np.int64)
         at = np.minimum(found_in(self.code, codes), len(self.code) - 1)
-        return np.where(self.code[at] == codes, values[..., at], 0)
+        return np.where(self.code[at] == codes, values[..., at], 0).astype(np.int64)
 
     def log_p(self, lang: int, keys: np.ndarray, order: int, bits: int) -> np.ndarray:
         """Interpolated from the shortest n-gram up; in single precision where a
@@ -614,7 +647,7 @@ def single(x: np.ndarray) -> np.ndarray:
     return x.astype(np.float32).astype(float)
 
 
-def score_batch(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: int, law: dict[int, list[float]]):
+def score_batch(langs: dict[str, int], kinds: tuple, known: np.ndarray, shards: int | Shares, law: dict[int, list[float]]):
     """A batch's packed texts and answers -> its rows without texts, scored. Words
     are held from the first pass over the texts to the second, characters are not."""
     def run(blobs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -657,29 +690,33 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     work = Workspace(spark, "kneser_ney")
     ids = work.put(trusted_ids(labels), "ids")
-    ids = maybe_broadcast(ids, ids.count(), MOST_IDS)
     lang = F.coalesce(F.col("lang"), F.lit("und"))
-    rows = docs.select("doc_id", text_key().alias("th"), lang.alias("lang"), "text").join(
-        ids, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "th", "lang", "fold", "text")
+    rows = docs.select("doc_id", text_key().alias("th"), lang.alias("lang"), "text")
     common = (docs.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang")
               .limit(MOST_LANGUAGES).collect())
-    langs = {r["lang"]: i for i, r in enumerate(sorted(common, key=lambda r: r["lang"]))}
-    table, law = model(rows.where("fold = 0"), langs, work)
+    common = sorted(common, key=lambda r: r["lang"])
+    langs = {r["lang"]: i for i, r in enumerate(common)}
+    deal = Shares(shard_count(spark), [r["count"] for r in common])
+    train = ids.where("fold = 0").select("_id")
+    train = rows.join(maybe_broadcast(train, train.count(), MOST_IDS), F.col("doc_id") == F.col("_id"), "left_semi")
+    table, law = model(train, langs, deal, work)
     trained = {tag >> 4 for tag in law}  # at most MOST_LANGUAGES
     langs = {lang: i for lang, i in langs.items() if i in trained}
-    kind, kinds, shards = dict(docs.dtypes)["doc_id"], KINDS, shard_count(spark)
+    kind, kinds = dict(docs.dtypes)["doc_id"], KINDS
     known = code_filter(table.select("blob"))
     # stored once, by batch: whoever asks and whoever scores sees the same whole batches, and no text is moved
     texts = work.put_bucketed(
-        rows.withColumn("batch", F.spark_partition_id()).mapInArrow(pack, "batch int, blob binary"),
-        "packed", "batch", shards)
+        rows.withColumn("part", F.spark_partition_id()).mapInArrow(pack(langs), "batch long, blob binary"),
+        "packed", "batch", deal.shards)
     requests = texts.groupBy("batch").applyInArrow(
-        requester(langs, kinds, known, shards), "shard int, batch int, blob binary")
+        requester(langs, kinds, known, deal), "shard int, batch long, blob binary")
     answers = requests.groupBy("shard").cogroup(table.groupBy("shard")).applyInArrow(
-        answer, "batch int, shard int, blob binary")
-    scored = stored(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        score_batch(langs, kinds, known, shards, law),
-        f"doc_id {kind}, th long, lang string, fold int, log_ppl double, word_log_ppl double"), "scores")
+        answer, "batch long, shard int, blob binary")
+    scored = work.put(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        score_batch(langs, kinds, known, deal, law),
+        f"doc_id {kind}, th long, lang string, log_ppl double, word_log_ppl double"), "scored")
+    scored = stored(scored.join(maybe_broadcast(ids, ids.count()), F.col("doc_id") == F.col("_id"), "left").select(
+        "doc_id", "th", "lang", "fold", "log_ppl", "word_log_ppl"), "scores")
     work.close()
     return scored
 

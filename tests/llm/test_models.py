@@ -326,3 +326,48 @@ def test_codes_are_scattered_and_taken_back():
             assert (tag == (kneser_ney.number(5, kind) << 3 | length)).all()
     assert kneser_ney.distinct_of(np.array([3, 1, 3, 2, 1])).tolist() == [1, 2, 3]
     assert not len(kneser_ney.distinct_of(np.zeros(0, np.int64)))
+
+
+def test_a_batch_is_one_language_and_few_characters(monkeypatch):
+    """Before, a batch was a whole scan partition, so that memory grew with it."""
+    monkeypatch.setattr(kneser_ney, "MOST_TEXT", 5_000)
+    monkeypatch.setattr(kneser_ney, "BLOB_BYTES", 1_000)
+    langs = {"a": 0, "b": 1}
+    rows = [(i, i, "abx"[i % 3], None if i == 5 else "word " * (i % 40), i // 200) for i in range(400)]
+    table = pa.table([pa.array(c) for c in zip(*rows)], ["doc_id", "th", "lang", "text", "part"])
+    held = {}
+    for part in (0, 1):
+        mine = table.filter(pa.compute.equal(table["part"], part)).to_batches(max_chunksize=70)
+        for packed in kneser_ney.pack(langs)(iter(mine)):
+            for at, blob in zip(packed.column("batch").to_pylist(), packed.column("blob").to_pylist()):
+                held.setdefault(at, []).extend(pa.ipc.open_stream(blob).read_all().to_pylist())
+    assert sorted(r["doc_id"] for own in held.values() for r in own) == list(range(400))
+    for own in held.values():
+        assert len({r["lang"] for r in own}) == 1 and len({r["doc_id"] // 200 for r in own}) == 1
+        assert sum(len(r["text"] or "") for r in own) < 7_000
+    assert len(held) > 6
+
+
+def test_a_language_has_a_range_of_the_shards():
+    rng = np.random.default_rng(8)
+    keys = np.unique(rng.integers(0, 1 << 48, 30_000))
+    codes = np.concatenate([kneser_ney.tagged(kneser_ney.number(lang, 0), 4, keys, 12) for lang in range(4)])
+    by = kneser_ney.places_by_shard(codes, kneser_ney.Shares(10, [5, 0, 3, 2]))
+    assert sorted(np.concatenate(list(by.values())).tolist()) == list(range(len(codes)))
+    met = [{s for s, at in by.items() if (codes[at] >> kneser_ney.UNIT + 4 == lang).any()} for lang in range(4)]
+    assert met == [set(range(5)), {5}, {5, 6, 7}, {8, 9}]
+    lone = kneser_ney.places_by_shard(codes, kneser_ney.Shares(1, [5, 0, 3, 2]))
+    assert list(lone) == [0] and len(lone[0]) == len(codes)
+
+
+def test_counts_over_four_bytes_are_answered_whole():
+    codes = np.sort(kneser_ney.tagged(3, 2, np.arange(100), 24))
+    values = [np.arange(100) + (1 << 33), *[np.arange(100)] * 4]
+    requests = kneser_ney.dealt([codes], 3)
+    parts = dict(zip(*kneser_ney.dealt([codes, *values], 3)))
+    answers = pa.concat_tables([kneser_ney.answer(
+        pa.table({"batch": [0], "shard": [s], "blob": [blob]}), pa.table({"shard": [s], "blob": [parts[s]]}))
+        for s, blob in zip(*requests)])
+    got = kneser_ney.Answers(codes, answers, 3, {})
+    assert (got.c == values[0]).all() and (got.sums == np.stack(values[1:])).all()
+    assert (got.find(codes[::-1], got.c) == values[0][::-1]).all()
