@@ -38,3 +38,10 @@ def test_what_a_job_has_shuffled_goes_with_it(spark):
     held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     after = [held.apply(i).getName() for i in range(held.size())]
     assert not [n for n in set(after) - set(names) if n.startswith("shuffle_") and n.endswith(".data")]
+
+
+def test_an_audited_export_is_not_kept(spark):
+    before = folders(spark, "perf-audit")
+    assert QUERIES["perf_capture_audit"](spark, SF_SMALL).count() == 2
+    root, = folders(spark, "perf-audit") - before
+    assert not glob.glob(f"{root}/export/*")
