@@ -32,9 +32,23 @@ WHOLE = ""
 MOST_FOLDERS = 64
 #: commit files kept by ``vacuum``: a writer that is late by fewer commits finds its name taken
 KEPT_COMMITS = 100
+#: rows of a batch that are merged together, unless one part has more
+MOST_MERGED = 32_000_000
 _PART = "_part"
 
 
+def parts_together(rows_of: dict[str, int]) -> list[list[str]]:
+    """Parts in groups of at most ``MOST_MERGED`` rows (or of one part)."""
+    groups, held = [], 0
+    for name, rows in sorted(rows_of.items()):
+        if not groups or held + rows > MOST_MERGED:
+            groups.append([])
+            held = 0
+        groups[-1].append(name)
+        held += rows
+    return groups
+
+
 class CommitConflict(Exception):
     """Another writer has committed this version."""
 
@@ -140,17 +154,23 @@ class VersionedTable:
               stream: tuple[str, int] | None = None, notes: dict[str, str] | None = None) -> None:
         """Replace the parts that ``batch`` touches by ``combine`` of their
         committed rows and the batch's; other parts are neither read nor
-        written. ``part`` must give the same parts before and after; null is one."""
+        written. ``part`` must give the same parts before and after; null is one.
+        A large batch is merged some parts at a time, so that what lies shuffled
+        on disk is bounded; all become visible in one commit."""
         part = F.coalesce(part.cast("string"), F.lit("null"))
         while True:
             base = self.state()
             if stream and base["streams"].get(stream[0], -1) >= stream[1]:
                 return
-            touched = [r[0] for r in batch.select(part).distinct().collect()]
-            rows = combine(self.read(base, touched), batch)
-            new = self.write(rows, base, part)
+            rows_of = {r[0]: r[1] for r in batch.groupBy(part.alias(_PART)).count().collect()}
+            new: dict[str, str] = {}
+            groups = parts_together(rows_of)
+            for group in groups or [[]]:
+                some = batch if len(groups) < 2 else batch.where(part.isin(group))
+                rows = combine(self.read(base, group), some)
+                new |= self.write(rows, base, part)
             with suppress(CommitConflict):
-                self.commit(base, rows.schema, {p: [new[p]] if p in new else [] for p in touched},
+                self.commit(base, rows.schema, {p: [new[p]] if p in new else [] for p in rows_of},
                             dict([stream]) if stream else None, notes)
                 return
 

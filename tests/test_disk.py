@@ -45,3 +45,34 @@ def test_an_audited_export_is_not_kept(spark):
     assert QUERIES["perf_capture_audit"](spark, SF_SMALL).count() == 2
     root, = folders(spark, "perf-audit") - before
     assert not glob.glob(f"{root}/export/*")
+
+
+def test_a_large_batch_is_merged_some_parts_at_a_time(spark, monkeypatch):
+    """Before, all parts of a batch were shuffled together, however many rows it had."""
+    from reelmart.sources import versioned
+    monkeypatch.setattr(versioned, "MOST_MERGED", 3)
+    table, met = versioned.VersionedTable(spark, new_scratch(spark, "groups")), []
+
+    def put(rows):
+        def combine(old, new):
+            met.append(sorted({r.m or "null" for r in new.collect()}))
+            return (new if old is None else old.unionByName(new)).groupBy("m").agg(F.sum("v").cast("int").alias("v"))
+        table.merge(spark.createDataFrame(rows, "m string, v int"), F.col("m"), combine)
+
+    put([("a", 1), ("a", 2), ("b", 3), ("b", 4), ("c", 5), (None, 6)])
+    assert met == [["a"], ["b", "c"], ["null"]] and table.versions() == [1]
+    put([("b", 10), ("d", 7)])
+    assert met[3:] == [["b", "d"]]
+    got = {(r.m, r.v) for r in table.read().collect()}
+    assert got == {("a", 3), ("b", 17), ("c", 5), ("d", 7), (None, 6)}
+    put([])
+    assert table.read().count() == 5
+    assert versioned.parts_together({"a": 9, "b": 1, "c": 2, "d": 1}) == [["a"], ["b", "c"], ["d"]]
+
+
+def test_early_pulls_and_restatements_are_written_in_one_pass(spark):
+    before = folders(spark, "perf-stream")
+    rows = QUERIES["stream_perf_upsert"](spark, SF_SMALL)
+    root, = folders(spark, "perf-stream") - before
+    assert {f.split("=")[1] for f in glob.glob(f"{root}/pulls/pull=*")} == {"a", "b"}
+    assert "pull" not in rows.columns
