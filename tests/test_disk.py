@@ -76,3 +76,19 @@ def test_early_pulls_and_restatements_are_written_in_one_pass(spark):
     root, = folders(spark, "perf-stream") - before
     assert {f.split("=")[1] for f in glob.glob(f"{root}/pulls/pull=*")} == {"a", "b"}
     assert "pull" not in rows.columns
+
+
+def test_chunks_of_both_runs_are_dealt_out_once(spark):
+    """Before, each (asset, item) of either run was shuffled, sorted and joined. A
+    missing item equals no other, repeated ones count once."""
+    from reelmart.operators import quality as Q
+    kind = "asset_id string, chunk_sequence int, chunk_theme string, keywords array<string>, standalone_score int"
+    run1 = spark.createDataFrame([("x", 1, "t", ["k", "k", "l"], 3), ("x", 2, "t", None, 4), ("y", 1, None, [None], 2),
+                                  (None, 1, "t", ["k"], 1)], kind)
+    run2 = spark.createDataFrame([("x", 1, "t", ["k", "m"], 4), ("y", 1, None, [], 5), ("z", 1, "t", [], 1)], kind)
+    assets = spark.createDataFrame([("x", "c"), ("y", "d"), ("z", "e")], "asset_id string, client_id string")
+    out = Q.golden_gate(run1, run2, assets)
+    # x: t, k, l against t, k, m; y: a missing item in each, which differ; z: in the second run only
+    assert {(r.client_id, r.n_assets, r.mean_jaccard, r.score_agreement, r.passes) for r in out.collect()} == {
+        ("c", 1, 0.5, 1.0, False), ("d", 1, 0.0, 0.0, False), ("e", 1, 0.0, None, False)}
+    assert "FullOuter" not in out._jdf.queryExecution().toString()
