@@ -92,3 +92,14 @@ def test_chunks_of_both_runs_are_dealt_out_once(spark):
     assert {(r.client_id, r.n_assets, r.mean_jaccard, r.score_agreement, r.passes) for r in out.collect()} == {
         ("c", 1, 0.5, 1.0, False), ("d", 1, 0.0, 0.0, False), ("e", 1, 0.0, None, False)}
     assert "FullOuter" not in out._jdf.queryExecution().toString()
+
+
+def test_suites_are_reported_one_by_one(spark):
+    """Before, the shuffles of all suites lay on disk together."""
+    from reelmart.operators import quality as Q
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a")], "k int, v string")
+    rules = [("unique", "k", None, "CRITICAL"), ("not_null", "k", None, "HIGH")]
+    rep = Q.expectations_report({"one": df, "two": df.limit(1)}, {"one": rules, "two": rules})
+    assert "Exchange" not in plan(rep)
+    assert {(r.suite, r.expectation, r.n_checked, r.n_failed) for r in rep.collect()} == {
+        ("one", "unique(k)", 2, 2), ("one", "not_null(k)", 3, 1), ("two", "unique(k)", 1, 0), ("two", "not_null(k)", 1, 0)}
