@@ -103,3 +103,9 @@ def test_suites_are_reported_one_by_one(spark):
     assert "Exchange" not in plan(rep)
     assert {(r.suite, r.expectation, r.n_checked, r.n_failed) for r in rep.collect()} == {
         ("one", "unique(k)", 2, 2), ("one", "not_null(k)", 3, 1), ("two", "unique(k)", 1, 0), ("two", "not_null(k)", 1, 0)}
+
+
+def test_checks_are_reconciled_one_by_one(spark):
+    """Before, the shuffles of all three checks lay on disk together."""
+    rep = QUERIES["reconcile_keys"](spark, SF_SMALL)
+    assert "Exchange" not in plan(rep) and rep.count() == 3
